@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
-from lectern.llm import lines, mixing
+from lectern.llm import lines, minhash, mixing
 from lectern.llm.shared import read
 
 
+def op1_near_duplicates(spark, sf_dir):
+    return minhash.near_duplicates(read(spark, sf_dir, "documents"))
+
+
 def op7_source_mix(spark, sf_dir):
     return mixing.mix_sources(read(spark, sf_dir, "documents"))
 
@@ -15,11 +19,13 @@ def op10_line_dedup(spark, sf_dir):
 
 
 QUERIES = {
+    "op1_near_duplicates": op1_near_duplicates,
     "op7_source_mix": op7_source_mix,
     "op10_line_dedup": op10_line_dedup,
 }
 
 ORACLE_SQL = {
+    "op1_near_duplicates": minhash.ORACLE,
     "op7_source_mix": mixing.ORACLE.replace("{docs}", "documents"),
     "op10_line_dedup": lines.ORACLE,
 }
