@@ -2,25 +2,41 @@
 
 from __future__ import annotations
 
-from lectern.llm import lines, minhash, mixing
-from lectern.llm.shared import read
+from pyspark.sql import functions as F
+
+from lectern.llm import lines, minhash, mixing, token_counts, url_templates
+from lectern.llm.shared import new_path, read
 
 
 def op1_near_duplicates(spark, sf_dir):
     return minhash.near_duplicates(read(spark, sf_dir, "documents"))
 
 
+def op6_url_filter(spark, sf_dir):
+    return url_templates.judge_urls(read(spark, sf_dir, "pages"))
+
+
 def op7_source_mix(spark, sf_dir):
     return mixing.mix_sources(read(spark, sf_dir, "documents"))
 
 
+def op9_token_counts(spark, sf_dir):
+    """All documents as one batch of inserts, committed to a new store."""
+    store = new_path(spark, "token-store")
+    inserts = read(spark, sf_dir, "documents").select(F.lit("insert").alias("kind"), "source", "lang", "text", F.lit(None).cast("string").alias("old_text"))
+    token_counts.commit(token_counts.token_deltas(inserts), store, 1)
+    return token_counts.totals(spark, store)
+
+
 def op10_line_dedup(spark, sf_dir):
     return lines.dedup_lines(read(spark, sf_dir, "documents"))
 
 
 QUERIES = {
     "op1_near_duplicates": op1_near_duplicates,
+    "op6_url_filter": op6_url_filter,
     "op7_source_mix": op7_source_mix,
+    "op9_token_counts": op9_token_counts,
     "op10_line_dedup": op10_line_dedup,
 }
 
