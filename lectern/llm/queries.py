@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from lectern.llm import lines, minhash, mixing, token_counts, url_templates
+from lectern.llm import lines, minhash, mixing, quality, token_counts, url_templates
 from lectern.llm.shared import new_path, read
 
 
@@ -12,6 +12,10 @@ def op1_near_duplicates(spark, sf_dir):
     return minhash.near_duplicates(read(spark, sf_dir, "documents"))
 
 
+def op2_quality(spark, sf_dir):
+    return quality.classify_quality(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
 def op6_url_filter(spark, sf_dir):
     return url_templates.judge_urls(read(spark, sf_dir, "pages"))
 
@@ -34,6 +38,7 @@ def op10_line_dedup(spark, sf_dir):
 
 QUERIES = {
     "op1_near_duplicates": op1_near_duplicates,
+    "op2_quality": op2_quality,
     "op6_url_filter": op6_url_filter,
     "op7_source_mix": op7_source_mix,
     "op9_token_counts": op9_token_counts,
