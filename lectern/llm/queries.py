@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from lectern.llm import lines, minhash, mixing, quality, token_counts, url_templates
+from lectern.llm import decontaminate, lines, minhash, mixing, quality, token_counts, url_templates
 from lectern.llm.shared import new_path, read
 
 
@@ -24,6 +24,10 @@ def op7_source_mix(spark, sf_dir):
     return mixing.mix_sources(read(spark, sf_dir, "documents"))
 
 
+def op8_decontamination(spark, sf_dir):
+    return decontaminate.find_items(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
 def op9_token_counts(spark, sf_dir):
     """All documents as one batch of inserts, committed to a new store."""
     store = new_path(spark, "token-store")
@@ -41,6 +45,7 @@ QUERIES = {
     "op2_quality": op2_quality,
     "op6_url_filter": op6_url_filter,
     "op7_source_mix": op7_source_mix,
+    "op8_decontamination": op8_decontamination,
     "op9_token_counts": op9_token_counts,
     "op10_line_dedup": op10_line_dedup,
 }
