@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from lectern.llm import decontaminate, lines, minhash, mixing, quality, token_counts, url_templates
+from lectern.llm import decontaminate, lines, minhash, mixing, quality, suffixes, token_counts, url_templates
 from lectern.llm.shared import new_path, read
 
 
@@ -16,6 +16,10 @@ def op2_quality(spark, sf_dir):
     return quality.classify_quality(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
 
+def op5_suffix_dedup(spark, sf_dir):
+    return suffixes.remove_repeats(read(spark, sf_dir, "documents"))
+
+
 def op6_url_filter(spark, sf_dir):
     return url_templates.judge_urls(read(spark, sf_dir, "pages"))
 
@@ -43,6 +47,7 @@ def op10_line_dedup(spark, sf_dir):
 QUERIES = {
     "op1_near_duplicates": op1_near_duplicates,
     "op2_quality": op2_quality,
+    "op5_suffix_dedup": op5_suffix_dedup,
     "op6_url_filter": op6_url_filter,
     "op7_source_mix": op7_source_mix,
     "op8_decontamination": op8_decontamination,
