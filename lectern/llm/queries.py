@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from lectern.llm import chunks, decontaminate, lines, minhash, mixing, quality, suffixes, token_counts, url_templates
+from lectern.llm import chunks, decontaminate, lines, minhash, mixing, neighbours, quality, suffixes, token_counts, url_templates
 from lectern.llm.shared import new_path, read
 
 
@@ -16,6 +16,10 @@ def op2_quality(spark, sf_dir):
     return quality.classify_quality(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
 
+def op3_nearest_neighbours(spark, sf_dir):
+    return neighbours.nearest(read(spark, sf_dir, "embeddings"))
+
+
 def op4_chunk_dedup(spark, sf_dir):
     return chunks.dedup_chunks(read(spark, sf_dir, "documents"))
 
@@ -51,6 +55,7 @@ def op10_line_dedup(spark, sf_dir):
 QUERIES = {
     "op1_near_duplicates": op1_near_duplicates,
     "op2_quality": op2_quality,
+    "op3_nearest_neighbours": op3_nearest_neighbours,
     "op4_chunk_dedup": op4_chunk_dedup,
     "op5_suffix_dedup": op5_suffix_dedup,
     "op6_url_filter": op6_url_filter,
