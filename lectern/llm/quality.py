@@ -161,3 +161,18 @@ def classify_quality(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -
     return texts.mapInArrow(score, "doc_id long, score double").select(
         "doc_id", held.alias("held_out"), "score", (F.col("score") >= ACCEPT).cast("int").alias("predicted")
     )
+
+
+def keep_quality(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DataFrame:
+    """The rows of `docs`, with all their columns, whose predicted quality is 1 (see `classify_quality`); no shuffle."""
+    model = docs.sparkSession.sparkContext.broadcast(fit(docs, labels, sample))
+    at = docs.columns.index("text")
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            data, offsets = byte_view(batch.column(at))
+            for a, b in blocks(offsets):
+                scores = model.value.score(term_frequencies(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a]))
+                yield batch.slice(a, b - a).filter(pa.array(scores >= ACCEPT))
+
+    return docs.mapInArrow(keep, docs.schema)
