@@ -78,6 +78,63 @@ def _differing(a: str, b: str) -> Column:
     return sum((F.bit_count(F.col(a)[k].bitwiseXOR(F.col(b)[k])) for k in range(SKETCH_LONGS)), F.lit(0))
 
 
+def _grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        data, offsets = byte_view(batch.column(1))
+        for a, b in blocks(offsets):
+            sets = shingle_sets(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a], SHINGLE_WORDS)
+            ids = np.repeat(batch.column(0).slice(a, b - a).to_numpy(), [len(s) for s in sets])
+            yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(signed(np.concatenate(sets)))], ["id", "gram"])
+
+
+def _parities(shingles: np.ndarray) -> np.ndarray:
+    """For each of 1024 classes of shingles, whether the set has an odd number of them, as 16 words of bits."""
+    odd = np.bincount((shingles & U64(1023)).astype(np.int64), minlength=1024) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
+
+
+def _prefixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of each text the shingles that a similar text must meet it in: own ones first, then by hash; own ones are left out."""
+    for batch in batches:
+        data, offsets = byte_view(batch.column(1))
+        for a, b in blocks(offsets):
+            sets = shingle_sets(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a], SHINGLE_WORDS)
+            rows: list[tuple] = []
+            for r, s in enumerate(sets, a):
+                own = np.array(batch.column(2)[r].as_py() or [], np.int64)
+                shared = np.setdiff1d(s, own.view(U64), assume_unique=True)
+                last = len(s) - -(-LEAST_PERCENT * len(s) // 100)  # later positions leave too few
+                shared, odd = shared[: max(0, last + 1 - len(own))], _parities(s)
+                rows += [(gram, batch.column(0)[r].as_py(), len(s), len(own) + k, odd) for k, gram in enumerate(signed(shared).tolist())]
+            columns = list(zip(*rows, strict=True)) or [[]] * 5
+            lists = _lists(np.stack(columns[4])) if rows else pa.array([], pa.list_(pa.int64()))
+            yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in columns[:4]] + [lists], ["gram", "id", "n", "at", "odd"])
+
+
+def _similar_across(texts: DataFrame, left: DataFrame) -> DataFrame:
+    """Pairs (u > v) across components, one of each marked `other` in `left` (id, other, c), that may be similar.
+
+    An exact prefix join: with all shingles in one order, the first that a similar pair shares stands where
+    both sets still have the overlap that their sizes ask for. Shingles of one text only come first in the
+    order, so a text with many of them meets hardly any other, however large the group it resembles.
+    Classes of shingles that the texts have an even and an odd number of each cost them one shared shingle
+    or more; that bound is exact too, and leaves few pairs but those close to the threshold.
+    """
+    grams = texts.mapInArrow(_grams, "id long, gram long")
+    own = grams.groupBy("gram").agg(F.count("*").alias("n"), F.min("id").alias("doc_id")).filter("n = 1")
+    own = own.groupBy("doc_id").agg(F.collect_list("gram").alias("own"))
+    prefixes = texts.join(own, "doc_id", "left").mapInArrow(_prefixes, "gram long, id long, n long, at long, odd array<long>")
+    prefixes = materialize(prefixes.join(left, "id"), "near-prefixes")
+    a = prefixes.filter("other").select("gram", F.col("id").alias("u"), F.col("n").alias("nu"), F.col("at").alias("at_u"), F.col("c").alias("cu"), F.col("odd").alias("odd_u"))
+    b = prefixes.select("gram", F.col("id").alias("v"), F.col("n").alias("nv"), F.col("at").alias("at_v"), F.col("c").alias("cv"), F.col("odd").alias("odd_v"))
+    asked = LEAST_PERCENT * (F.col("nu") + F.col("nv"))
+    room = lambda n, at: (100 + LEAST_PERCENT) * (F.col(n) - F.col(at)) >= asked
+    apart = sum((F.bit_count(F.col("odd_u")[k].bitwiseXOR(F.col("odd_v")[k])) for k in range(16)), F.lit(0))
+    enough = (100 + LEAST_PERCENT) * (F.col("nu") + F.col("nv") - apart) >= 2 * asked
+    met = a.join(b, (a["gram"] == b["gram"]) & (F.col("cu") != F.col("cv")) & room("nu", "at_u") & room("nv", "at_v") & enough)
+    return met.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
+
+
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """Classes of near-duplicate texts: (doc_id, n_shingles, component_id, kept), one row for each input row.
 
@@ -86,9 +143,9 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     doc_id of them. The others are banded by min-max hashing: 144 permutations give minimum and maximum,
     48 bands hold six of these values each, so a pair of similarity 0.75 shares a band with probability
     0.9999. Links are confirmed on full sets, in three steps: each document with the likeliest of
-    the first members of its buckets; with the others of these; then, within buckets whose members aren't
-    all in one component by then, every pair across components. So a bucket of n members that hang
-    together takes n comparisons, and no link between two components is lost.
+    the first members of its buckets; with the others of these; then the members of buckets that aren't
+    all in one component by then by an exact prefix join across components. So a bucket of n members that
+    hang together takes n comparisons, and no link between two components is lost.
 
     One-bit sketches skip pairs that are far from the threshold (beyond seven deviations). A text without
     words has an empty set and links with nothing; null text is such a text. A null doc_id is kept, with
@@ -107,7 +164,6 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     centres = keyed.groupBy("key").agg(F.min("id").alias("centre"), F.max("id").alias("last")).filter("centre < last").drop("last")
     buckets = materialize(keyed.join(centres, "key"), "near-buckets")
     sketches = some.join(reps, "doc_id", "left_semi").groupBy(F.col("doc_id").alias("id")).agg(F.first("sketch").alias("sketch"))
-    near = lambda a, b: _differing(a, b) <= MOST_BITS
     stars = buckets.filter("id <> centre").select("id", "centre").distinct()
     stars = materialize(
         stars.join(sketches, "id").join(sketches.select(F.col("id").alias("centre"), F.col("sketch").alias("c_sketch")), "centre")
@@ -145,11 +201,9 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         .join(comps.select(F.col("id").alias("centre"), F.col("component").alias("cc")), "centre", "left")
         .select("key", "id", "c", (F.col("c") != F.coalesce("cc", "centre")).alias("other"))
     )
-    split = materialize(labelled.join(labelled.filter("other").select("key").distinct(), "key", "left_semi").join(sketches, "id"), "near-split")
-    one_side = split.filter("other").select("key", F.col("id").alias("u"), F.col("c").alias("cu"), F.col("sketch").alias("su"))
-    other_side = split.select("key", F.col("id").alias("v"), F.col("c").alias("cv"), F.col("sketch").alias("sv"))
-    third = one_side.join(other_side, (one_side["key"] == other_side["key"]) & (F.col("cu") != F.col("cv")) & near("su", "sv"))
-    third = third.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
+    mixed = labelled.join(labelled.filter("other").select("key").distinct(), "key", "left_semi")
+    left = materialize(mixed.groupBy("id").agg(F.max("other").alias("other"), F.min("c").alias("c")), "near-left")
+    third = _similar_across(texts.join(left.select(F.col("id").alias("doc_id")), "doc_id", "left_semi"), left)
     third = materialize(third.join(first.union(second), ["u", "v"], "left_anti"), "near-pairs")
     comps = components(comps.select(F.col("id").alias("u"), F.col("component").alias("v")).union(linked(third)))
 
