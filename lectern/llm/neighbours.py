@@ -89,12 +89,12 @@ class Leaves:
         """The k nearest here: leaves by projected distance, until none left can pass the chi-square test.
 
         reach: the k-th distance known so far. A leaf whose projected distance squared is `test` times the
-        squared reach or more holds a nearer point with probability under 1 - STOP only.
+        squared reach or more away holds a nearer point with probability under 1 - STOP only.
         """
         gaps = self.gaps(point)
         order = np.argsort(gaps, kind="stable")
         ids, distances, at, step = np.zeros(0, np.int64), np.zeros(0), 0, 2
-        while at < len(order) and gaps[order[at]] < test * reach * reach:
+        while at < len(order) and gaps[order[at]] <= test * reach * reach:
             rows = np.concatenate([np.arange(self.edges[x], self.edges[x + 1]) for x in order[at : at + step]])
             rows = rows[self.ids[rows] != own]
             ids = np.concatenate([ids, self.ids[rows]])
