@@ -9,9 +9,9 @@ from pyspark.sql import functions as F
 
 from lectern.functions.text import any_value_contains, blank_to_null
 
-# The keys that a source stands under, and the default student domain.
+# The keys that a source stands under, and what student addresses hold.
 SOURCE_KEYS = ("Źródło", "Zrodlo", "Source")
-STUDENT_DOMAIN = "@student.umw.edu.pl"
+STUDENT_DOMAIN = "@student."
 
 
 def source_of(payload: Column) -> Column:

@@ -12,7 +12,7 @@ from lectern.functions.text import blank_to_null, fuzzy_key, report_file
 REPORT_ORDER = ["full_name", "course_code", "tech_key"]
 PERCENTS = ["pct_course", "pct_program", "pct_faculty", "pct_university"]
 # Labels of person fields.
-PERSON_LABELS = {"ID_PLUM": "teacher_id", "Imię i nazwisko": "full_name", "E-mail": "email", "ID bazus": "id_bazus", "Wydział": "hr_wydzial", "Jednostka": "hr_jednostka"}
+PERSON_LABELS = {"ID": "teacher_id", "Imię i nazwisko": "full_name", "E-mail": "email", "ID bazus": "id_bazus", "Wydział": "hr_wydzial", "Jednostka": "hr_jednostka"}
 
 
 def nulls_last(columns: Sequence[str]) -> list[Column]:

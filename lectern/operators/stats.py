@@ -76,7 +76,7 @@ def enrich(events: DataFrame, state: DataFrame, emails: DataFrame, people: DataF
     one = emails.groupBy(F.col("teacher_id").cast("string").alias("teacher_id")).agg(F.min("email").alias("email"))
     hr = people.select("email", "full_name", F.col("wydzial").alias("hr_wydzial"), F.col("jednostka").alias("hr_jednostka"), "id_bazus", F.lit(True).alias("_hr"))
     e = events.filter(wanted).withColumn("_object", F.col("object_id").cast("string")).withColumn("teacher_id", F.col("teacher_id").cast("string"))
-    student = F.coalesce(F.lower("email").endswith(options.student_domain.lower()), F.lit(False))
+    student = F.coalesce(F.lower("email").contains(options.student_domain.lower()), F.lit(False))
     return (
         e.join(own, ["course_code", "_object"], "left").join(one, "teacher_id", "left").join(hr, "email", "left")
         .withColumns({

@@ -448,7 +448,7 @@ def _people_rows(spark, d):
 
 
 @query("""WITH p AS (SELECT o_custkey AS teacher_id, max(c_name) AS full_name, max(n_name) AS w, max(o_orderpriority) AS j FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey GROUP BY 1)
-SELECT teacher_id, 1 AS position, 'ID_PLUM' AS label, teacher_id::VARCHAR AS value FROM p UNION ALL SELECT teacher_id, 2, 'Imię i nazwisko', full_name FROM p
+SELECT teacher_id, 1 AS position, 'ID' AS label, teacher_id::VARCHAR AS value FROM p UNION ALL SELECT teacher_id, 2, 'Imię i nazwisko', full_name FROM p
 UNION ALL SELECT teacher_id, 3, 'Wydział', w FROM p UNION ALL SELECT teacher_id, 4, 'Jednostka', j FROM p""")
 def person_kv(spark, d):
     return reports.person_pairs(reports.person_record(_people_rows(spark, d)))
@@ -501,3 +501,57 @@ def merge_ids(spark, d):
     people = c.select(F.concat("c_name", F.lit(" ")).alias("mail"), "c_nationkey")
     ids = c.filter("c_custkey % 3 <> 0").select(F.upper("c_name").alias("e"), "c_custkey", F.col("c_custkey").alias("at"))
     return roster.merge_ids(people, ids, "mail", "e", "c_custkey", "at")[0].drop("mail")
+
+
+# ---- the composed step ----
+
+_LOG_RULES = [
+    (1, "View", "QUESTION_CREATE", "CREATE", "TAK", 5, "viewed module", "user with id '(\\d+)'", 1, "module id '(\\d+)'", 1),
+    (2, "Click", "URL_CREATE", "CREATE", "TAK", 5, "click", "user with id '(\\d+)'", 1, None, None),
+    (3, "Click", "RESOURCE_PAGE_CREATE", "CREATE", "TAK", 9, "clicked module id '(\\d+)'", "user with id '(?<id>\\d+)'", 1, None, None),
+    (4, "Sign", "NO", "CREATE", "NIE", 50, "signuped", None, None, None, None),
+    (5, "Error", "FORUM_POST_DELETE", "DELETE", "object-based", 1, "errored", "user with id '(\\d+)'", 1, "module id '(\\d+)'", 1),
+]
+
+
+def _raw_log(spark, d):
+    """Raw log records made of the events: description, context (not in every record) and some student addresses."""
+    e = table(spark, d, "events")
+    course, k, text = F.col("user_id") % 20, F.get_json_object("props", "$.k"), lambda c: c.cast("string")
+    described = F.concat(F.lit("The user with id '"), text(F.col("user_id")), F.lit("' "), "event_type", F.lit("ed module id '"), k, F.lit("'."))
+    place = F.concat(F.lit("Kurs: W"), text(course % 3), F.lit("/K"), text(course % 6), F.lit("/st/1sem-N"), text(course), F.lit("-2023/24z"))
+    pairs = [
+        F.lit("Opis"), described, F.lit("Kontekst zdarzenia"), F.when(F.col("event_id") % 13 == 0, "Strona").otherwise(place),
+        F.lit("mail"), F.when(F.col("user_id") % 9 == 0, "x@Student.uni.example").otherwise("x@uni.example"),
+    ]
+    return e.select(
+        F.concat(F.lit("C"), text(course)).alias("course"), F.date_format("ts", "yyyy-MM-dd HH:mm:ss").alias("time_text"), F.lit(None).cast("timestamp").alias("time_ts"),
+        text(F.col("event_id")).alias("row_key"), F.create_map(*pairs).alias("payload"), F.lit("f").alias("source_file"),
+    )
+
+
+_PARSED = """
+SELECT event_id::VARCHAR AS row_key, 'W' || (user_id % 20 % 3) || '/K' || (user_id % 20 % 6) || '/st/1sem-N' || (user_id % 20) || '-2023/24z' AS course_code, '2023/24' AS ay, 'z' AS term,
+  strftime(ts, '%Y-%m-%d %H:%M:%S') AS ts_utc, user_id::VARCHAR AS teacher_id,
+  CASE event_type WHEN 'view' THEN 'QUESTION_CREATE' WHEN 'click' THEN 'RESOURCE_PAGE_CREATE' ELSE 'FORUM_POST_DELETE' END AS tech_key, json_extract_string(props, '$.k') AS object_id
+FROM events WHERE event_type IN ('view', 'click', 'error') AND user_id % 9 <> 0 AND ts >= TIMESTAMP '2024-01-02' AND ts <= TIMESTAMP '2024-01-25'"""
+
+
+def _parse(spark, d):
+    from lectern.plans import pipeline
+    from lectern.schemas import RULE
+
+    options = pipeline.ParseOptions(date_from="2024-01-02", date_to="2024-01-25")
+    return pipeline.parse_events(_raw_log(spark, d), spark.createDataFrame(_LOG_RULES, RULE), options)
+
+
+@query(_PARSED)
+def parse_events(spark, d):
+    e = _parse(spark, d).events
+    return e.select("row_key", "course_code", "ay", "term", stamp("ts_utc").alias("ts_utc"), "teacher_id", "tech_key", "object_id")
+
+
+@query("""SELECT CASE WHEN user_id % 9 = 0 THEN 'student' WHEN ts < TIMESTAMP '2024-01-02' OR date_trunc('second', ts) > TIMESTAMP '2024-01-25' THEN 'date'
+  WHEN event_type IN ('signup', 'purchase') THEN 'rule' ELSE 'accepted' END AS reject_reason, count(*) AS n FROM events GROUP BY 1""")
+def parse_rejects(spark, d):
+    return _parse(spark, d).rejected

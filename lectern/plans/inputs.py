@@ -100,7 +100,7 @@ st AS (
 
 def emails(spark: SparkSession, sf_dir: str) -> DataFrame:
     u = table(spark, sf_dir, "events").select("user_id").distinct().filter("user_id % 11 <> 0")
-    domain = F.when(F.col("user_id") % 7 == 0, "@student.umw.edu.pl").otherwise("@uni.example")
+    domain = F.when(F.col("user_id") % 7 == 0, "@student.uni.example").otherwise("@uni.example")
     return u.select(F.col("user_id").cast("string").alias("teacher_id"), F.concat(F.lit("u"), F.col("user_id").cast("string"), domain).alias("email"))
 
 
@@ -112,7 +112,7 @@ def people(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 DIMENSIONS = """
 em AS (
-  SELECT DISTINCT user_id::VARCHAR AS teacher_id, 'u' || user_id || CASE WHEN user_id % 7 = 0 THEN '@student.umw.edu.pl' ELSE '@uni.example' END AS email
+  SELECT DISTINCT user_id::VARCHAR AS teacher_id, 'u' || user_id || CASE WHEN user_id % 7 = 0 THEN '@student.uni.example' ELSE '@uni.example' END AS email
   FROM events WHERE user_id % 11 <> 0),
 hr AS (
   SELECT email, 'Name ' || teacher_id AS full_name, 'F' || (teacher_id::INT % 3) AS wydzial, 'U' || (teacher_id::INT % 4) AS jednostka, 'B' || teacher_id AS id_bazus
@@ -120,7 +120,7 @@ hr AS (
 ENRICHED = STATE + "," + DIMENSIONS + """,
 te AS (
   SELECT e.*, st.status_final, st.confidence_deleted, st.activity_id IS NULL AS missing_state, em.email, hr.full_name, hr.wydzial, hr.jednostka, hr.id_bazus,
-    coalesce(em.email LIKE '%@student.umw.edu.pl', false) AS is_student, em.email IS NULL AS missing_email, em.email IS NOT NULL AND hr.email IS NULL AS missing_hr
+    coalesce(em.email LIKE '%@student.%', false) AS is_student, em.email IS NULL AS missing_email, em.email IS NOT NULL AND hr.email IS NULL AS missing_hr
   FROM ev e LEFT JOIN st ON st.course_code = e.course_code AND st.activity_id = e.object_id
   LEFT JOIN em ON em.teacher_id = e.teacher_id LEFT JOIN hr ON hr.email = em.email
   WHERE (e.counted OR e.count_mode = 'object-based') AND e.ay = '2023/24' AND e.term = 'z'),

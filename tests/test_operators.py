@@ -112,7 +112,7 @@ def test_stats(spark):
         ("C", "A", page, "99", "TAK"), ("C", "A", "BOOK_CHAPTER_CREATE", "5", "TAK"), ("C", "S", page, "10", "TAK"), ("C", "N", page, "10", "TAK"), ("C", "B", "WIKI_PAGE_CREATE", "1", "TAK"), ("C", "B", "WIKI_PAGE_CREATE", "2", "object-based"),
     ])
     st = spark.createDataFrame([("C", "10", "visible_active", 0.0, "page"), ("C", "11", "visible_active", 0.0, "page")], "course_code string, activity_id string, status_final string, confidence_deleted double, type string")
-    emails = spark.createDataFrame([("A", "a@x"), ("A", "b@x"), ("B", "b@x"), ("S", "s@student.umw.edu.pl")], "teacher_id string, email string")
+    emails = spark.createDataFrame([("A", "a@x"), ("A", "b@x"), ("B", "b@x"), ("S", "s@student.uni.example")], "teacher_id string, email string")
     people = spark.createDataFrame([("a@x", "Anna", "W", "J", "1")], "email string, full_name string, wydzial string, jednostka string, id_bazus string")
     long, qa = stats.compute_stats(e, st, emails, people, stats.StatsOptions("2025/26", "z"))
     got = {(r.teacher_id, r.tech_key): (r.count_value, r.pct_course, r.pct_uczelnia) for r in long.collect()}
