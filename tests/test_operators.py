@@ -152,3 +152,37 @@ def test_roster(spark):
     old, new = roster.read_roster(raw, "2026-01-01"), roster.read_roster(raw.withColumn("Nazwa kursu", F.lit("Z")), "2026-01-02")
     assert [(r.course_id, r.users, r.teachers, r.students) for r in old.collect()] == [("1", 1234, 12, 0)]
     assert [r.course_name for r in roster.import_roster(old, new).collect()] == ["Z"]
+
+
+def test_parse_events(spark):
+    from lectern.operators.keyed import MixedPeriods
+    from lectern.plans import pipeline
+
+    table = rules.compile_rules(sheet(spark), "no")
+    place, what = "Kurs: WF/An/stj/5sem-Nazwa-2025/26z", "user with id '12' created the 'page' with module id '3'"
+    rows = [
+        ("k", {"Opis": what, "Kontekst zdarzenia": place, "Czas": "2026-01-02 10:00"}), ("k", {"Opis": what, "Kontekst zdarzenia": "Strona", "Time": "1767348000"}),
+        ("WFAnstj5sem-Inny-202526z", {"Opis": what, "Czas": "2026-01-02"}), ("q", {"Opis": what, "Czas": "2026-01-02"}), ("k", {"Opis": what, "Kontekst zdarzenia": place}),
+        ("k", {"Opis": "hidden", "Czas": "2026-01-02"}), ("k", {"Opis": what, "Czas": "2026-01-02", "x": "a@STUDENT.y"}), ("k", {"Opis": "?", "Czas": "2026-01-02"}), ("k", {"Opis": what, "Źródło": "web robot", "Czas": "2026-01-02"}),
+    ]
+    raw = spark.createDataFrame([(c, None, None, str(i), p, "f") for i, (c, p) in enumerate(rows)], "course string, time_text string, time_ts timestamp, row_key string, payload map<string,string>, source_file string")
+    got = pipeline.parse_events(raw, table, pipeline.ParseOptions(block_sources=["ROBOT"]))
+    assert {r.row_key: (r.course_code, r.course_name, r.teacher_id, r.object_id) for r in got.events.collect()} == {
+        "0": (place[6:], "Nazwa", "12", "3"), "1": (place[6:], "Nazwa", "12", "3"), "2": ("WF/An/stj/5sem-Inny-2025/26z", "Inny", "12", "3"),
+    }
+    assert {r.reject_reason: r.n for r in got.rejected.collect()} == {"accepted": 3, "context": 1, "time": 1, "rule": 2, "student": 1, "source": 1}
+    assert got.conflicts.count() == 3
+    seen = raw.filter("row_key in ('0', '1')").select("row_key")
+    assert [r.row_key for r in pipeline.parse_events(raw, table, pipeline.ParseOptions(block_sources=["ROBOT"]), seen).events.collect()] == ["2"]
+    other = raw.limit(1).withColumn("payload", F.create_map(F.lit("Opis"), F.lit(what), F.lit("Kontekst zdarzenia"), F.lit(place[:-1] + "l"), F.lit("Czas"), F.lit("2026-01-02")))
+    with pytest.raises(MixedPeriods):
+        pipeline.parse_events(raw.union(other), table)
+
+
+def test_finalize_looks_at_earlier_events(spark):
+    from lectern.plans import pipeline
+
+    e = canonical(spark, [("C", "1", "K", "9", "TAK"), ("C", "1", "K", "9", "TAK_FLAG")]).drop("counted")
+    new, old = e.filter("count_mode = 'TAK'"), e.filter("count_mode = 'TAK_FLAG'")
+    assert [r.counted for r in pipeline.finalize(new, old).collect()] == [False]
+    assert [r.counted for r in pipeline.finalize(new, old, "batch").collect()] == [True]
