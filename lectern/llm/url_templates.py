@@ -137,3 +137,45 @@ def judge_urls(
     return judged.join(by_path, ["host", "raw"], "left").select(
         "page_id", "host", "path", "rule", F.coalesce("action", method).alias("verdict"), "template", "bad_share"
     )
+
+
+def oracle(least_seen: int = 3, many: int = 20, z: float = 1.96, prior: float = 4.0, reject: float = 0.7) -> str:
+    """DuckDB SQL of `judge_urls` with RULES on pages; every level of the tree is a step."""
+    fits = lambda r: f"(host = '{r[1]}' OR ends_with(host, '.{r[1]}')) AND starts_with(path, '{r[2]}')"
+    longest = sorted(RULES, key=lambda r: (-len(r[1] + r[2]), r))
+    rule = " ".join(f"WHEN {fits(r)} THEN '{r[1]}{r[2]}'" for r in longest)
+    action = " ".join(f"WHEN {fits(r)} THEN '{r[0]}'" for r in longest)
+    sql = rf"""
+WITH b AS (
+  SELECT page_id, coalesce(translate(regexp_extract(url, '(?s)^.*?://([^/?#]*)', 1), '{_UPPER}', '{_LOWER}'), '') AS host,
+    coalesce(regexp_extract(url, '(?s)^.*?://[^/?#]*([^?#]*)', 1), '') AS path FROM pages),
+p AS (SELECT *, list_filter(string_split(path, '/'), lambda s: s <> '') AS parts FROM b),
+j AS (
+  SELECT page_id, host, path, CASE {rule} END AS rule, CASE {action} END AS action, array_to_string(list_transform(parts[1:{DEPTH - 1}],
+    lambda s: CASE WHEN regexp_matches(s, '(?i)^[0-9a-f-]{{16,}}$') THEN '<id>' ELSE regexp_replace(s, '[0-9]+', '<n>', 'g') END)
+    || CASE WHEN len(parts) >= {DEPTH} THEN ['<rest>'] ELSE [] END, '/') AS raw
+  FROM p),
+t0 AS (
+  SELECT host, raw, CASE WHEN raw = '' THEN [] ELSE string_split(raw, '/') END AS segments, count(*) AS n, count(action) AS labelled,
+    count(*) FILTER (action = 'block') AS bad, '' AS template FROM j GROUP BY host, raw)"""
+    for k in range(DEPTH):
+        sql += f""",
+h{k} AS (SELECT *, segments[{k + 1}] AS child FROM t{k}),
+c{k} AS (SELECT host, template, child, sum(n)::BIGINT AS n, sum(labelled)::BIGINT AS l, sum(bad)::BIGINT AS b FROM h{k} WHERE child IS NOT NULL GROUP BY ALL),
+a{k} AS (SELECT host, template, count(*) AS v, sum(n)::BIGINT AS seen, sum(l)::BIGINT AS al, sum(b)::BIGINT AS ab FROM c{k} GROUP BY ALL),
+n{k} AS (
+  SELECT host, template, child, CASE WHEN NOT contains(child, '<') AND ((v >= {many} AND seen < 3 * v) OR n < {least_seen} OR (v > 1 AND
+    CASE WHEN l > 0 AND al - l > 0 THEN abs(b / l - (ab - b) / (al - l)) <= {z}::DOUBLE * sqrt(ab / al * (1 - ab / al) * (1 / l + 1 / (al - l))) ELSE l = 0 END))
+    THEN '*' ELSE child END AS name FROM c{k} JOIN a{k} USING (host, template)),
+t{k + 1} AS (
+  SELECT h.host, h.raw, h.segments, h.n, h.labelled, h.bad, CASE WHEN name IS NULL THEN h.template ELSE h.template || '/' || name END AS template
+  FROM h{k} h LEFT JOIN n{k} x ON x.host = h.host AND x.template = h.template AND x.child = h.child)"""
+    return sql + f""",
+hs AS (
+  SELECT host, (sum(bad) + {prior}::DOUBLE * (SELECT coalesce(sum(bad) / sum(labelled), 0.5) FROM t0)) / (sum(labelled) + {prior}::DOUBLE) AS host_share FROM t0 GROUP BY host),
+s AS (
+  SELECT t.host, template, (sum(bad) + {prior}::DOUBLE * host_share) / (sum(labelled) + {prior}::DOUBLE) AS bad_share
+  FROM t{DEPTH} t JOIN hs ON hs.host = t.host GROUP BY t.host, template, host_share)
+SELECT page_id, j.host, path, rule, coalesce(action, CASE WHEN bad_share >= {reject} THEN 'block' ELSE 'allow' END) AS verdict, t.template, bad_share
+FROM j JOIN t{DEPTH} t ON t.host = j.host AND t.raw = j.raw JOIN s ON s.host = t.host AND s.template = t.template
+"""
