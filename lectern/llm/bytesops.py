@@ -56,13 +56,14 @@ def byte_view(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(data, np.uint8) if data is not None and data.size else np.zeros(0, np.uint8), offsets
 
 
-def blocks(offsets: np.ndarray, most: int = BLOCK) -> Iterator[tuple[int, int]]:
-    """Row ranges of about `most` bytes each."""
+def blocks(offsets: np.ndarray, most: int = BLOCK, rows: int = 4096) -> Iterator[tuple[int, int]]:
+    """Row ranges of about `most` bytes and at most `rows` rows each."""
     n, at = len(offsets) - 1, 0
     while at < n:
         end = max(at + 1, int(np.searchsorted(offsets, offsets[at] + most, "right")) - 1)
-        yield at, min(end, n)
-        at = min(end, n)
+        end = min(end, at + rows, n)
+        yield at, end
+        at = end
 
 
 def span_hashes(values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:

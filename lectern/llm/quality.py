@@ -15,6 +15,8 @@ from lectern.llm.bytesops import U64, blocks, byte_view, mix, randoms, words
 #: Labelled rows that the classifier is fitted on at most (those of smallest hash), and what is broadcast of them.
 SAMPLE, TERMS, DIMENSIONS, NEIGHBOURS = 4000, 2048, 64, 15
 FOLDS, ACCEPT = 5, 0.3
+#: Texts that are scored at once: 8 MB of term counts.
+ROWS = 512
 #: Weight of a trait of the whole text against the sum of its words.
 TRAIT = 2
 _KIND = np.ones(256, np.int64)  # 1 letters and the bytes of other scripts
@@ -89,7 +91,7 @@ class Model:
 def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         data, offsets = byte_view(batch.column(1))
-        for a, b in blocks(offsets):
+        for a, b in blocks(offsets, rows=ROWS):
             x = term_frequencies(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a])
             at = [np.flatnonzero(r) for r in x]
             yield pa.RecordBatch.from_arrays(
@@ -152,7 +154,7 @@ def classify_quality(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             data, offsets = byte_view(batch.column(1))
-            for a, b in blocks(offsets):
+            for a, b in blocks(offsets, rows=ROWS):
                 scores = model.value.score(term_frequencies(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a]))
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), pa.array(scores, pa.float64())], ["doc_id", "score"])
 
@@ -171,7 +173,7 @@ def keep_quality(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Da
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             data, offsets = byte_view(batch.column(at))
-            for a, b in blocks(offsets):
+            for a, b in blocks(offsets, rows=ROWS):
                 scores = model.value.score(term_frequencies(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a]))
                 yield batch.slice(a, b - a).filter(pa.array(scores >= ACCEPT))
 
