@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from lectern.llm.bytesops import U64, blocks, byte_codes, byte_view, randoms, signed, span_hashes
 from lectern.llm.shared import materialize
-from lectern.llm.suffixes import keyed, with_cuts
+from lectern.llm.suffixes import CUT, cut, keyed, own_spans, span_lists, with_cuts
 
 #: Bits of the rolling hash that are zero at a cut, least bytes from a cut to the next, most bytes of a chunk.
 CUT_BITS, NEAREST, MOST = 4, 14, 512
@@ -93,5 +93,5 @@ def dedup_chunks(docs: DataFrame, least_run: int = LEAST_RUN) -> DataFrame:
         .filter(F.col("hi") - F.col("lo") >= least_run).drop("run")
     )
     spans = materialize(runs, "chunk-runs")
-    touched = spans.select("doc_id", "row_key").distinct()
-    return with_cuts(base, base.join(touched, ["doc_id", "row_key"], "left_semi"), spans)
+    losing = base.join(span_lists(spans), F.col("doc_id") == F.col("span_id")).select("doc_id", "row_key", "text", own_spans())
+    return with_cuts(base, losing.mapInArrow(cut, CUT))

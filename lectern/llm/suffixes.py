@@ -8,11 +8,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lectern.llm.bytesops import U64, byte_codes, byte_view, gram_hashes, mix, randoms, signed
-from lectern.llm.shared import materialize
+from lectern.llm.bytesops import U64, blocks, byte_codes, byte_view, mix, randoms, signed, span_hashes
 
 #: Bytes of a repeated string, and of the initial buckets' q-grams.
 LENGTH, Q = 50, 16
@@ -21,15 +20,33 @@ BUCKET_BYTES = 2_000_000
 _POINTER = randoms(41, 4)
 
 
-def _refine(buckets: np.ndarray, step: int, k: int) -> np.ndarray:
+def _finish(h: np.ndarray) -> np.ndarray:
+    h ^= h >> U64(32)
+    h *= U64(0xD6E8FEB86659FD93)
+    h ^= h >> U64(29)
+    return h
+
+
+def _refine(buckets: np.ndarray, step: int) -> np.ndarray:
     """Buckets of strings longer by `step`: by their own bucket and the one that starts `step` later."""
-    return mix(buckets[:-step] * _POINTER[k] + buckets[step:] * _POINTER[k + 1])
+    longer = buckets[:-step] * _POINTER[step % 4]
+    longer += buckets[step:]
+    return longer
+
+
+def short_buckets(data: np.ndarray, second: bool = False) -> np.ndarray:
+    """The bucket of each 16-byte string: bytes refined to 2, 4, 8 and 16."""
+    buckets = byte_codes(data, second)
+    for step in (1, 2, 4, 8):
+        if len(buckets) <= step:
+            return np.zeros(0, U64)
+        buckets = _refine(buckets, step)
+    return _finish(buckets)
 
 
-def string_buckets(data: np.ndarray, second: bool = False) -> tuple[np.ndarray, np.ndarray]:
-    """The bucket of each 16-byte string, and of each 50-byte string: 16, refined to 32, refined to 50."""
-    short = gram_hashes(byte_codes(data, second), Q)
-    return short, _refine(_refine(short, Q, 0), LENGTH - 2 * Q, 2)
+def string_buckets(data: np.ndarray, second: bool = False) -> np.ndarray:
+    """The bucket of each 50-byte string: 16, refined to 32, refined to 50."""
+    return _finish(_refine(_finish(_refine(short_buckets(data, second), Q)), LENGTH - 2 * Q))
 
 
 def _sliding_min(values: np.ndarray, width: int) -> np.ndarray:
@@ -40,19 +57,30 @@ def _sliding_min(values: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(values[:-more], values[more:]) if more else values
 
 
-def segments(short: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(sample, first, number) of the runs of consecutive 50-byte strings with one sample.
+def segments(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(row, sample, first, number) of the runs of consecutive 50-byte strings of a row with one sample.
 
-    The sample of a string is the smallest bucket among its 35 q-grams, so equal strings have equal samples.
+    Row r is data[bounds[r]:bounds[r + 1]]. The sample of a string is the smallest bucket among its 35
+    16-byte strings, so equal strings have equal samples. Runs are cut to 50 strings at most.
     """
-    least = _sliding_min(short, LENGTH - Q + 1)
-    first = np.flatnonzero(np.concatenate([[True], least[1:] != least[:-1]]))
-    number = np.diff(np.append(first, len(least)))
-    if number.max() > LENGTH:  # a long run is cut, for bounded pieces
+    size = np.diff(bounds)
+    strings = np.maximum(size - LENGTH + 1, 0)
+    none = np.zeros(0, np.int64)
+    if not strings.any():
+        return none, np.zeros(0, U64), none, none
+    least = _sliding_min(short_buckets(data), LENGTH - Q + 1)
+    rows = np.repeat(np.arange(len(size)), strings)
+    at = np.arange(len(rows)) + np.repeat(bounds[:-1] - np.cumsum(strings) + strings, strings)
+    least = least[at]
+    new = np.ones(len(at), bool)
+    new[1:] = (least[1:] != least[:-1]) | (rows[1:] != rows[:-1])
+    start = np.flatnonzero(new)
+    number = np.diff(np.append(start, len(at)))
+    if number.max() > LENGTH:
         parts = -(-number // LENGTH)
-        at = np.arange(parts.sum()) - np.repeat(np.cumsum(parts) - parts, parts)
-        first, number = np.repeat(first, parts) + at * LENGTH, np.minimum(np.repeat(number, parts) - at * LENGTH, LENGTH)
-    return mix(least[first]), first, number
+        step = np.arange(parts.sum()) - np.repeat(np.cumsum(parts) - parts, parts)
+        start, number = np.repeat(start, parts) + step * LENGTH, np.minimum(np.repeat(number, parts) - step * LENGTH, LENGTH)
+    return rows[start], mix(least[start]), at[start], number
 
 
 def _ask(parts: int):
@@ -65,19 +93,22 @@ def _ask(parts: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             data, offsets = byte_view(batch.column(1))
-            keys, docs = [np.zeros(0, U64)], [np.zeros(0, np.int64)]
-            for r, doc in enumerate(batch.column(0).to_pylist()):
-                if doc is not None and offsets[r + 1] - offsets[r] >= LENGTH:
-                    sample = np.unique(segments(gram_hashes(byte_codes(data[offsets[r] : offsets[r + 1]]), Q))[0])
-                    keys.append(sample)
-                    docs.append(np.full(len(sample), doc))
+            keys, docs, ids = [np.zeros(0, U64)], [np.zeros(0, np.int64)], batch.column(0).fill_null(0).to_numpy()
+            for a, b in blocks(offsets):
+                row, sample, _, _ = segments(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a])
+                keys.append(sample)
+                docs.append(ids[a:b][row])
             key, doc = np.concatenate(keys), np.concatenate(docs)
+            if not len(key):
+                continue
             order = np.lexsort((doc, key))
             key, doc = key[order], doc[order]
-            new = np.concatenate([[True], key[1:] != key[:-1]])[: len(key)]
-            start = np.flatnonzero(new)
+            once = np.ones(len(key), bool)
+            once[1:] = (key[1:] != key[:-1]) | (doc[1:] != doc[:-1])
+            key, doc = key[once], doc[once]
+            start = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
             size = np.diff(np.append(start, len(key)))
-            several = np.repeat(doc[np.minimum(start + size - 1, len(doc) - 1)] > doc[start], size) if len(key) else np.zeros(0, bool)
+            several = np.repeat(doc[start + size - 1] > doc[start], size)
             first = doc == np.repeat(doc[start], size)
             kind = np.where(first, several.astype(np.uint8), 2).astype(np.uint8)
             part = np.where(kind == 2, mix(doc.view(U64)) % U64(parts), key % U64(parts)).astype(np.int64)
@@ -90,7 +121,7 @@ def _ask(parts: int):
                 far = int(doc[at].max()) - base >= 1 << 32
                 top = key[at] >> U64(24)
                 rows.append((int(part[at[0]]), base, far, top.astype(np.uint32).tobytes() + (top >> U64(32)).astype(np.uint8).tobytes(), (doc[at] - base).astype(np.int64 if far else np.uint32).tobytes(), kind[at].tobytes()))
-            columns = list(zip(*rows, strict=True)) or [[]] * 6
+            columns = list(zip(*rows, strict=True))
             kinds = [pa.int64(), pa.int64(), pa.bool_(), pa.binary(), pa.binary(), pa.binary()]
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], ["part", "base", "far", "samples", "docs", "kinds"])
 
@@ -126,44 +157,125 @@ def _answer(rows: pa.Table) -> pa.Table:
     return pa.table({"doc_id": pa.array(doc[start], pa.int64()), "samples": lists})
 
 
-def _found_segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of texts with their shared samples: the segments that have one, by 128 bits of their bytes."""
-    names = ["doc_id", "row_key", "sample", "s1", "s2", "at", "number", "first"]
+def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(doc_id, row_key, compressed text): what travels between stages is about half of the text."""
     for batch in batches:
-        data, offsets = byte_view(batch.column(2))
-        out: list[list[np.ndarray]] = [[] for _ in names]
-        for r, (doc, row, shared) in enumerate(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(3), strict=True)):
-            text = data[offsets[r] : offsets[r + 1]]
-            if len(text) < LENGTH:
+        texts = [pa.compress(t, "zstd", asbytes=True) if t else b"" for t in batch.column(2).cast(pa.large_binary()).to_pylist()]
+        sizes = pa.array([len(t or "") for t in batch.column(2).cast(pa.large_binary()).to_pylist()], pa.int64())
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), sizes, pa.array(texts, pa.binary())], ["doc_id", "row_key", "size", "packed"])
+
+
+def unpack(size: int, packed: bytes) -> np.ndarray:
+    return np.frombuffer(pa.decompress(packed, size, "zstd", asbytes=True), np.uint8) if size else np.zeros(0, np.uint8)
+
+
+def _offer(parts: int):
+    """Of texts with their shared samples, rows (part, docs, rows, at, ends, body, low, high) of the segments to compare.
+
+    Equal segments of a batch are sent for their smallest document only; in the others they are copies for
+    certain. These go along as stretches (low, high), joined where they meet, under parts by document.
+    """
+    names = ["part", "docs", "rows", "at", "ends", "body", "low", "high"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = [unpack(n, t) for n, t in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True)]
+            ids, row_keys = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+            offsets, fields = np.concatenate([[0], np.cumsum([len(t) for t in texts])]).astype(np.int64), [[np.zeros(0, np.int64)] for _ in range(8)]
+            wanted = batch.column(4)
+            for x, y in blocks(offsets):
+                data, bounds = np.concatenate(texts[x:y]), offsets[x : y + 1] - offsets[x]
+                r, sample, at, number = segments(data, bounds)
+                if not len(r):
+                    continue
+                lists = wanted.slice(x, y - x)
+                shared = np.sort((np.repeat(np.arange(y - x), lists.value_lengths().to_numpy()) << 40) | (lists.flatten().to_numpy() >> 1))
+                key = (r << 40) | (sample >> U64(24)).astype(np.int64)
+                have = np.flatnonzero(shared[np.minimum(np.searchsorted(shared, key), len(shared) - 1)] == key)
+                r, lo, hi = r[have], at[have], at[have] + number[have] + LENGTH - 1
+                names_ = [signed(span_hashes(byte_codes(data, second), lo, hi)) for second in (False, True)]
+                part = (sample[have] % U64(parts)).astype(np.int64)
+                for f, v in zip(fields, (r + x, ids[x:y][r], row_keys[x:y][r], lo - bounds[r], hi - bounds[r], *names_, part), strict=True):
+                    f.append(v.astype(np.int64))
+            which, doc, row, a, b, n1, n2, part = (np.concatenate(x) for x in fields)
+            if not len(doc):
                 continue
-            (short, long), (_, long2) = string_buckets(text), string_buckets(text, True)
-            sample, at, number = segments(short)
-            shared = np.unique(shared.values.to_numpy())
-            near = np.minimum(np.searchsorted(shared >> 1, sample_key := (sample >> U64(24)).astype(np.int64)), len(shared) - 1)
-            have = np.flatnonzero((shared >> 1)[near] == sample_key)
-            a, b = at[have], at[have] + number[have] - 1
-            size = number[have].astype(U64)
-            # An odd entry can stand beside the even one where two samples agree in their kept bits; the even one counts.
-            values = [np.full(len(have), doc), np.full(len(have), row), signed(sample[have]), signed(mix(long[a] * _POINTER[0] + long[b] * _POINTER[1] + size)), signed(mix(long2[a] * _POINTER[2] + long2[b] * _POINTER[3] + size)), a, number[have], (shared[near[have]] & 1)]
-            for x, v in zip(out, values, strict=True):
+            order = np.lexsort((doc, n2, n1))
+            which, doc, row, a, b, n1, n2, part = (x[order] for x in (which, doc, row, a, b, n1, n2, part))
+            start = np.flatnonzero(np.concatenate([[True], (n1[1:] != n1[:-1]) | (n2[1:] != n2[:-1])]))
+            copy = doc > np.repeat(doc[start], np.diff(np.append(start, len(doc))))
+            rows = []
+            send = np.flatnonzero(~copy)
+            send = send[np.argsort(part[send], kind="stable")]
+            edges = np.flatnonzero(np.diff(part[send], prepend=-1))
+            for x, y in zip(edges, np.append(edges[1:], len(send)), strict=True):
+                own = send[x:y]
+                body = b"".join(texts[w][i:j].tobytes() for w, i, j in zip(which[own], a[own], b[own], strict=True))
+                body = pa.compress(body, "zstd", asbytes=True)
+                rows.append((int(part[own[0]]), doc[own], row[own], a[own].astype(np.int32), np.cumsum(b[own] - a[own]).astype(np.int32), body, [], []))
+            known = np.flatnonzero(copy)
+            known = known[np.lexsort((a[known], which[known]))]
+            if len(known):
+                w, lo, hi = which[known], a[known], b[known]
+                opens = np.concatenate([[True], (w[1:] != w[:-1]) | (lo[1:] > hi[:-1])])
+                first = np.flatnonzero(opens)
+                last = np.append(first[1:], len(lo)) - 1
+                home = (mix(doc[known][first].view(U64)) % U64(parts)).astype(np.int64)
+                by = np.argsort(home, kind="stable")
+                edges = np.flatnonzero(np.diff(home[by], prepend=-1))
+                for x, y in zip(edges, np.append(edges[1:], len(by)), strict=True):
+                    own = by[x:y]
+                    rows.append((int(home[own[0]]), doc[known][first][own], row[known][first][own], [], [], b"", lo[first][own].astype(np.int32), hi[last][own].astype(np.int32)))
+            columns = list(zip(*rows, strict=True)) or [[]] * 8
+            kinds = [pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.list_(pa.int32()), pa.list_(pa.int32()), pa.binary(), pa.list_(pa.int32()), pa.list_(pa.int32())]
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], names)
+
+    return run
+
+
+def _compare(table: pa.Table) -> pa.Table:
+    """Of one part: (doc_id, row_key, lo, hi) of the stretches that a smaller document has, and those already known."""
+    flat = lambda name: np.concatenate([np.zeros(0, np.int64), *[x.values.to_numpy().astype(np.int64) for x in table[name]]])
+    known = np.array([len(x) > 0 for x in table["low"].to_pylist()], bool)
+    passed = table.filter(pa.array(known))
+    pick = lambda t, name: np.concatenate([np.zeros(0, np.int64), *[x.values.to_numpy().astype(np.int64) for x in t[name]]])
+    out = [[pick(passed, "docs")], [pick(passed, "rows")], [flat("low")], [flat("high")]]
+    sent = table.filter(pa.array(~known))
+    docs, rows, at = (pick(sent, n) for n in ("docs", "rows", "at"))
+    if len(docs):
+        ends = [x.values.to_numpy() for x in sent["ends"]]
+        body = np.concatenate([unpack(int(e[-1]), b) for e, b in zip(ends, sent["body"].to_pylist(), strict=True)])
+        sizes = np.concatenate([np.diff(e, prepend=0) for e in ends]).astype(np.int64)
+        begin = np.cumsum(sizes) - sizes
+        number = sizes - LENGTH + 1
+        owner = np.repeat(np.arange(len(docs)), number)
+        place = np.repeat(begin, number) + np.arange(number.sum()) - np.repeat(np.cumsum(number) - number, number)
+        one, two = (string_buckets(body, second)[place] for second in (False, True))
+        order = np.argsort(one)
+        one, both = one[order], two[order]
+        if ((one[1:] == one[:-1]) & (both[1:] != both[:-1])).any():  # one name for different strings
+            order = np.lexsort((two, one := one[np.argsort(order)]))
+            one, both = one[order], two[order]
+        two, held = both, docs[owner[order]]
+        start = np.flatnonzero(np.concatenate([[True], (one[1:] != one[:-1]) | (two[1:] != two[:-1])]))
+        first = np.minimum.reduceat(held, start)
+        gone = np.zeros(len(place), bool)
+        gone[order] = held > np.repeat(first, np.diff(np.append(start, len(held))))
+        hit = np.flatnonzero(gone)
+        if len(hit):
+            who, lo = owner[hit], at[owner[hit]] + place[hit] - begin[owner[hit]]
+            opens = np.concatenate([[True], (who[1:] != who[:-1]) | (lo[1:] > lo[:-1] + 1)])
+            a = np.flatnonzero(opens)
+            b = np.append(a[1:], len(lo)) - 1
+            for x, v in zip(out, (docs[who[a]], rows[who[a]], lo[a], lo[b] + LENGTH), strict=True):
                 x.append(v)
-        columns = [pa.array(np.concatenate(x).astype(np.int64) if x else [], pa.int64()) for x in out]
-        yield pa.RecordBatch.from_arrays(columns, names)
+    return pa.table({n: pa.array(np.concatenate(x), pa.int64()) for n, x in zip(("doc_id", "row_key", "lo", "hi"), out, strict=True)})
 
 
-def _strings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of texts with segments (s1, s2, at, number): every 50-byte string of these, by 128 bits."""
+def _cut_packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        data, offsets = byte_view(batch.column(1))
-        out: list[list[np.ndarray]] = [[], [], [], [], [], []]
-        for r, (doc, found) in enumerate(zip(batch.column(0).to_pylist(), batch.column(2).to_pylist(), strict=True)):
-            text = data[offsets[r] : offsets[r + 1]]
-            long, long2 = string_buckets(text)[1], string_buckets(text, True)[1]
-            for s in found:
-                a, b = s["at"], s["at"] + s["number"]
-                for x, v in zip(out, (signed(long[a:b]), signed(long2[a:b]), doc, s["s1"], s["s2"], np.arange(b - a)), strict=True):
-                    x.append(np.full(b - a, v) if np.isscalar(v) else v)
-        yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x).astype(np.int64) if x else [], pa.int64()) for x in out], ["b1", "b2", "doc_id", "s1", "s2", "ahead"])
+        texts = [unpack(n, t).tobytes() for n, t in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True)]
+        yield from cut(iter([pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(texts, pa.binary()), batch.column(4)], ["doc_id", "row_key", "text", "spans"])]))
 
 
 def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -184,18 +296,27 @@ def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(list(zip(*rows, strict=True)) or [[]] * 6, kinds, strict=True)], names)
 
 
-def with_cuts(base: DataFrame, texts: DataFrame, spans: DataFrame) -> DataFrame:
-    """Every row of `base` (doc_id, row_key, text) with n_bytes, n_removed, n_spans, kept_sha256; spans: doc_id, row_key, lo, hi.
+def span_lists(spans: DataFrame) -> DataFrame:
+    """(span_id, all_spans): the spans of a doc_id, with row_key."""
+    span = F.struct("row_key", F.col("lo").cast("int").alias("lo"), F.col("hi").cast("int").alias("hi"))
+    return spans.groupBy(F.col("doc_id").alias("span_id")).agg(F.collect_set(span).alias("all_spans"))
+
+
+def own_spans() -> Column:
+    return F.filter("all_spans", lambda s: s["row_key"] == F.col("row_key")).alias("spans")
 
-    Only `texts`, the rows that may have spans, meet these; all others keep their text.
+
+CUT = "doc_id long, row_key long, n_removed long, n_spans long, kept_sha256 string, kept binary"
+
+
+def with_cuts(base: DataFrame, changed: DataFrame) -> DataFrame:
+    """Every row of `base` (doc_id, row_key, text) with n_bytes, n_removed, n_spans, kept_sha256; `changed` as of `cut`.
+
+    Rows that `changed` lacks keep their text. Equal rows of one doc_id are cut alike.
     """
-    lists = spans.groupBy("doc_id", "row_key").agg(F.collect_set(F.struct(F.col("lo").cast("int").alias("lo"), F.col("hi").cast("int").alias("hi"))).alias("spans"))
-    changed = (
-        texts.select("doc_id", "row_key", "text").join(lists, ["doc_id", "row_key"])
-        .mapInArrow(cut, "doc_id long, row_key long, n_removed long, n_spans long, kept_sha256 string, kept binary")
-        .groupBy(F.col("doc_id").alias("c_id"), F.col("row_key").alias("c_key"))
-        .agg(F.first("n_removed").alias("n_removed"), F.first("n_spans").alias("n_spans"), F.first("kept_sha256").alias("cut_sha256"))
-    )  # equal rows of one doc_id are cut alike
+    changed = changed.groupBy(F.col("doc_id").alias("c_id"), F.col("row_key").alias("c_key")).agg(
+        F.first("n_removed").alias("n_removed"), F.first("n_spans").alias("n_spans"), F.first("kept_sha256").alias("cut_sha256")
+    )
     text = F.coalesce("text", F.lit(""))
     whole = base.select("doc_id", "row_key", F.octet_length(text).cast("long").alias("n_bytes"), F.sha2(text.cast("binary"), 256).alias("whole_sha256"))
     return whole.join(changed, F.col("doc_id").eqNullSafe(F.col("c_id")) & (F.col("row_key") == F.col("c_key")), "left").select(
@@ -210,38 +331,17 @@ def keyed(docs: DataFrame) -> DataFrame:
 
 
 def repeated_spans(base: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(texts, spans): rows of `base` that share a sample with another document, and the repeated stretches in them."""
+    """(packed texts, spans): the texts compressed, and the stretches in them that a smaller document has."""
     size = base.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     parts = max(16, math.ceil(size / BUCKET_BYTES))
     asked = base.select("doc_id", "text").mapInArrow(_ask(parts), "part long, base long, far boolean, samples binary, docs binary, kinds binary")
     shared = asked.groupBy("part").applyInArrow(_answer, "doc_id long, samples array<long>")
     per_doc = shared.groupBy("doc_id").agg(F.flatten(F.collect_list("samples")).alias("samples"))
-    texts = materialize(base.join(per_doc, "doc_id"), "suffix-texts")
-    found = materialize(
-        texts.select("doc_id", "row_key", "text", "samples").mapInArrow(
-            _found_segments, "doc_id long, row_key long, sample long, s1 long, s2 long, at long, number long, first long"
-        ),
-        "suffix-segments",
-    )
-    origin = materialize(
-        found.groupBy("s1", "s2").agg(F.min(F.struct("doc_id", "row_key", "at", "number", "sample")).alias("o")), "suffix-origins"
-    )
-    later = found.filter("first = 0").join(origin.select("s1", "s2", F.col("o.doc_id").alias("o_id")), ["s1", "s2"])
-    later = materialize(later.select("doc_id", "row_key", "sample", "s1", "s2", "at", "number", (F.col("doc_id") > F.col("o_id")).alias("copy")), "suffix-later")
-    copies = later.filter("copy").select("doc_id", "row_key", F.col("at").alias("lo"), (F.col("at") + F.col("number") + LENGTH - 1).alias("hi"))
-    # Segments that no earlier document has as a whole: refine to single strings, against all that share the sample.
-    open_ = later.filter("not copy")
-    wanted = origin.select("s1", "s2", "o.*").join(open_.select("sample").distinct(), "sample", "left_semi")
-    lists = wanted.groupBy("doc_id", "row_key").agg(F.collect_list(F.struct("s1", "s2", "at", "number")).alias("found"))
-    one_each = texts.select("doc_id", "row_key", "text").dropDuplicates(["doc_id", "row_key"])
-    strings = materialize(
-        one_each.join(lists, ["doc_id", "row_key"]).select("doc_id", "text", "found").mapInArrow(_strings, "b1 long, b2 long, doc_id long, s1 long, s2 long, ahead long"),
-        "suffix-strings",
+    packed = base.mapInArrow(pack, "doc_id long, row_key long, size long, packed binary")
+    offered = packed.join(per_doc.withColumnRenamed("doc_id", "span_id"), F.col("doc_id") == F.col("span_id")).select("doc_id", "row_key", "size", "packed", "samples").mapInArrow(
+        _offer(parts), "part long, docs array<long>, rows array<long>, at array<int>, ends array<int>, body binary, low array<int>, high array<int>"
     )
-    origins = strings.groupBy("b1", "b2").agg(F.min("doc_id").alias("o_id"), F.max("doc_id").alias("l_id")).filter("o_id < l_id").drop("l_id")
-    hits = strings.join(origins, ["b1", "b2"]).filter("doc_id > o_id").select("s1", "s2", "ahead")
-    single = open_.join(hits, ["s1", "s2"]).select("doc_id", "row_key", (F.col("at") + F.col("ahead")).alias("lo"), (F.col("at") + F.col("ahead") + LENGTH).alias("hi"))
-    return texts, copies.union(single)
+    return packed, offered.groupBy("part").applyInArrow(_compare, "doc_id long, row_key long, lo long, hi long")
 
 
 def remove_repeats(docs: DataFrame) -> DataFrame:
@@ -249,15 +349,18 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
 
     Reads doc_id (whole number) and text, as UTF-8 bytes. A byte goes if some 50-byte string that covers it
     also starts in a document of smaller doc_id; all strings are judged on the input. Every string's sample
-    is the smallest of its 16-byte buckets; only samples of two documents or more matter, and a document
-    that is the first with a sample keeps those strings. What is left is compared by
-    buckets refined by the bucket identifiers of later offsets, 16 to 32 to 50 bytes, first whole
-    stretches of strings with one sample, then the single strings of stretches that no earlier
-    document has whole. Buckets have 128-bit names in place of ranks, so none is ever gathered or sorted.
+    is the smallest of its 16-byte buckets, so equal strings meet under one sample; samples that one document
+    has alone are left out first. The stretches around the others are compared part by part of the key
+    space: 16-byte buckets are refined by the bucket identifiers of later offsets to 32 and then to 50
+    bytes, and the smallest document of each last bucket keeps the string.
 
+    A part stands for some 2 MB of text, so parts grow in number and not in size; within a batch equal
+    stretches are sent once, so a text in very many documents comes to one piece a batch. Texts travel compressed.
     Null text is empty. A null doc_id neither gives nor loses anything. Rows of one doc_id don't affect each
     other; each comes back. Texts under 50 bytes stay. Empty input: no rows.
     """
     base = keyed(docs)
-    texts, spans = repeated_spans(base)
-    return with_cuts(base, texts, spans)
+    packed, spans = repeated_spans(base)
+    cuts = packed.join(span_lists(spans), F.col("doc_id") == F.col("span_id")).select("doc_id", "row_key", "size", "packed", own_spans())
+    changed = cuts.mapInArrow(_cut_packed, CUT)
+    return with_cuts(base, changed)
