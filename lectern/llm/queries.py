@@ -67,6 +67,7 @@ QUERIES = {
 
 ORACLE_SQL = {
     "op1_near_duplicates": minhash.ORACLE,
+    "op5_suffix_dedup": suffixes.ORACLE,
     "op6_url_filter": url_templates.oracle(),
     "op7_source_mix": mixing.ORACLE.replace("{docs}", "documents"),
     "op10_line_dedup": lines.ORACLE,

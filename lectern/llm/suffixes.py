@@ -364,3 +364,23 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     cuts = packed.join(span_lists(spans), F.col("doc_id") == F.col("span_id")).select("doc_id", "row_key", "size", "packed", own_spans())
     changed = cuts.mapInArrow(_cut_packed, CUT)
     return with_cuts(base, changed)
+
+
+ORACLE = """
+WITH d AS (SELECT doc_id, coalesce(hex(encode(text)), '') AS h FROM documents),
+g AS (SELECT doc_id, unnest(generate_series(0, length(h) // 2 - 50)) AS pos, h FROM d WHERE length(h) >= 100),
+s AS (SELECT doc_id, pos, substr(h, 2 * pos + 1, 100) AS string FROM g),
+f AS (SELECT string, min(doc_id) AS first_id FROM s GROUP BY string HAVING count(*) > 1),
+r AS (SELECT doc_id, pos FROM s JOIN f USING (string) WHERE doc_id > first_id),
+o AS (SELECT *, coalesce(pos > lag(pos) OVER (PARTITION BY doc_id ORDER BY pos) + 50, true)::INT AS opens FROM r),
+i AS (SELECT *, sum(opens) OVER (PARTITION BY doc_id ORDER BY pos) AS span FROM o),
+p AS (SELECT doc_id, min(pos) AS lo, max(pos) + 50 AS hi FROM i GROUP BY doc_id, span),
+q AS (SELECT *, coalesce(lag(hi) OVER (PARTITION BY doc_id ORDER BY lo), 0) AS since FROM p),
+k AS (
+  SELECT q.doc_id, sum(hi - lo)::BIGINT AS n_removed, count(*)::BIGINT AS n_spans, max(hi) AS last,
+    string_agg(substr(h, 2 * since + 1, 2 * (lo - since)), '' ORDER BY lo) AS kept
+  FROM q JOIN d ON d.doc_id = q.doc_id GROUP BY q.doc_id)
+SELECT d.doc_id, length(h) // 2 AS n_bytes, coalesce(n_removed, 0) AS n_removed, coalesce(n_spans, 0) AS n_spans,
+  sha256(unhex(coalesce(kept || substr(h, 2 * last + 1), h))) AS kept_sha256
+FROM d LEFT JOIN k ON k.doc_id = d.doc_id
+"""
