@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from lectern.functions.text import safe_column
 from lectern.operators.filters import STUDENT_DOMAIN, visible
+from lectern.operators.tables import kept
 
 GROUP = ["ay", "term", "teacher_id", "course_code", "tech_key"]
 LEVELS = {"pct_course": ["course_code"], "pct_kierunek": ["kierunek_code"], "pct_wydzial": ["wydzial_code"], "pct_uczelnia": []}
@@ -119,7 +120,8 @@ def compute_stats(
 ) -> tuple[DataFrame, DataFrame]:
     """(metrics_long, metrics_qa) of the period, or of all periods if none is named.
 
-    state also has type. Counts are of visible events of eligible teachers (no students, with e-mail).
+    state also has type. Counts are of visible events of eligible teachers (no students, with e-mail); they are written
+    to the shared folder, since each level's sums and the rows themselves read them.
     """
     enriched = enrich(events, state, emails, people, options)
     eligible = enriched.filter(~F.col("is_student") & ~F.col("missing_email"))
@@ -127,6 +129,7 @@ def compute_stats(
         F.min("activity_label").alias("activity_label"), mode_count().alias("count_value"), mixed_mode().alias("mixed"),
         *[F.min(c).alias(c) for c in ("full_name", "email", "hr_wydzial", "hr_jednostka", "id_bazus")],
     )
+    counts = kept(counts, "stats-counts")  # small, and read once for every level
     shared = shares(counts, "count_value", ["ay", "term", "tech_key"], LEVELS, options.decimals)
     zero = lambda c: F.coalesce(F.col(c), F.lit(0)).alias(c)
     text = lambda c, name: F.coalesce(F.col(c), F.lit("")).alias(name)
