@@ -17,7 +17,8 @@ from lectern.llm.bytesops import U64, blocks, byte_codes, byte_view, mix, random
 LENGTH, Q = 50, 16
 #: Bytes of text that one bucket of sampled q-grams stands for.
 BUCKET_BYTES = 2_000_000
-_POINTER = randoms(41, 4)
+#: A multiplier of its own for every refinement step and name, so that no two parts of a string weigh the same.
+_POINTER, _POINTER2 = (dict(zip((1, 2, 4, 8, Q, LENGTH - 2 * Q), randoms(seed, 6), strict=True)) for seed in (41, 43))
 
 
 def _finish(h: np.ndarray) -> np.ndarray:
@@ -27,9 +28,9 @@ def _finish(h: np.ndarray) -> np.ndarray:
     return h
 
 
-def _refine(buckets: np.ndarray, step: int) -> np.ndarray:
+def _refine(buckets: np.ndarray, step: int, second: bool = False) -> np.ndarray:
     """Buckets of strings longer by `step`: by their own bucket and the one that starts `step` later."""
-    longer = buckets[:-step] * _POINTER[step % 4]
+    longer = buckets[:-step] * (_POINTER2 if second else _POINTER)[step]
     longer += buckets[step:]
     return longer
 
@@ -40,13 +41,13 @@ def short_buckets(data: np.ndarray, second: bool = False) -> np.ndarray:
     for step in (1, 2, 4, 8):
         if len(buckets) <= step:
             return np.zeros(0, U64)
-        buckets = _refine(buckets, step)
+        buckets = _refine(buckets, step, second)
     return _finish(buckets)
 
 
 def string_buckets(data: np.ndarray, second: bool = False) -> np.ndarray:
     """The bucket of each 50-byte string: 16, refined to 32, refined to 50."""
-    return _finish(_refine(_finish(_refine(short_buckets(data, second), Q)), LENGTH - 2 * Q))
+    return _finish(_refine(_finish(_refine(short_buckets(data, second), Q, second)), LENGTH - 2 * Q, second))
 
 
 def _sliding_min(values: np.ndarray, width: int) -> np.ndarray:
