@@ -12,13 +12,18 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lectern.llm.bytesops import U64, blocks, byte_view, mix, randoms, words
+from lectern.llm.shared import WORD
 
 #: Word edits that a copy may have, as a share of the item's words, and the share of such copies to find.
 EDIT_SHARE, TARGET_RECALL = 0.2, 0.95
 #: Window lengths in words; a suffix of an item is indexed by the longest that it fills, if that is a quarter of the item or more.
 WINDOWS = (4, 8, 16, 32)
-#: Independent walks of the embedding, symbols sampled for a key, items that one broadcast index holds at most.
-WALKS, SAMPLED, ITEMS_AT_ONCE = 4, 4, 5000
+#: Items of more words have 128 to 256 of the longest windows indexed, evenly spread. Items shorter than any window are looked up whole.
+LONG = 4 * WINDOWS[-1]
+#: Independent walks of the embedding, symbols sampled for a key, items and words that one broadcast index holds at most.
+WALKS, SAMPLED, ITEMS_AT_ONCE, WORDS_AT_ONCE = 4, 4, 5000, 250_000
+#: Pairs whose edits are counted in step, and words of their regions.
+_PAIRS_AT_ONCE, _CELLS = 512, 1 << 17
 #: Bits of a hash that the bit maps before the exact look-ups take: of each key's table, and of seeds and words.
 _KEY_BITS, _WORD_BITS = 18, 20
 
@@ -81,6 +86,14 @@ def _pairs(hashes: np.ndarray) -> np.ndarray:
     return mix(hashes[:-1] * _SALT[0] + hashes[1:] * _SALT[1]) if len(hashes) > 1 else np.zeros(0, U64)
 
 
+def _grams(hashes: np.ndarray, n: int) -> np.ndarray:
+    """A hash of each n consecutive words."""
+    out = np.zeros(max(0, len(hashes) - n + 1), U64)
+    for k in range(n):
+        out += hashes[k : k + len(out)] * _SALT[k]
+    return mix(out)
+
+
 @dataclass
 class Index:
     """The windows of a bounded number of items, by LSH key."""
@@ -89,6 +102,7 @@ class Index:
     items: list[np.ndarray]
     tables: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = field(default_factory=list)  # a key's sorted values, item, offset
     seeds: np.ndarray = field(default_factory=lambda: np.zeros(0, U64))
+    short: list[tuple[int, np.ndarray, np.ndarray]] = field(default_factory=list)  # words, sorted hashes of whole items, item
 
     def build(self) -> Index:
         self.seeds = np.unique(np.concatenate([_pairs(x) for x in self.items] + [np.zeros(0, U64)]))
@@ -97,13 +111,23 @@ class Index:
             coins = _coins(item)
             for w, longer in zip(WINDOWS, (*WINDOWS[1:], 1 << 30), strict=True):
                 starts = np.arange(max(0, len(item) - longer + 1), max(0, len(item) - w + 1))
-                for k, values in _keys(item, coins, starts, w) if len(starts) and 4 * w >= len(item) else ():
+                if len(item) > LONG and w == WINDOWS[-1]:
+                    starts = starts[:: len(item) // LONG]
+                elif 4 * w < len(item):
+                    continue
+                for k, values in _keys(item, coins, starts, w) if len(starts) else ():
                     found[k].append((values, np.full(len(starts), i), starts))
         for k in range(len(_PLAN)):
             parts = found[k] or [(np.zeros(0, U64), np.zeros(0, np.int64), np.zeros(0, np.int64))]
             values, item, offset = (np.concatenate(x) for x in zip(*parts, strict=True))
             order = np.argsort(values, kind="stable")
             self.tables.append((values[order], item[order], offset[order]))
+        for n in range(1, WINDOWS[0]):
+            item = np.array([i for i, x in enumerate(self.items) if len(x) == n], np.int64)
+            if len(item):
+                values = np.concatenate([_grams(self.items[i], n) for i in item])
+                order = np.argsort(values, kind="stable")
+                self.short.append((n, values[order], item[order]))
         return self
 
     def prepare(self) -> None:
@@ -141,14 +165,40 @@ class Index:
         pair, start = packed >> 32, (packed & ((1 << 32) - 1)) - (1 << 31)
         return np.stack([pair // len(self.items), pair % len(self.items), start], 1) if len(packed) else np.zeros((0, 3), np.int64)
 
+    def exact(self, symbols: np.ndarray, rows: np.ndarray, row_ends: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """(row, item, word) of the first place in each row of every item that is shorter than any window."""
+        for n, table, item in self.short:
+            values = _grams(symbols, n)
+            starts = np.flatnonzero(row_ends[rows[: len(values)]] - np.arange(len(values)) >= n)
+            low, high = (np.searchsorted(table, values[starts], side) for side in ("left", "right"))
+            count = high - low
+            hit = item[np.repeat(low, count) + np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)]
+            start = np.repeat(starts, count)
+            _, at = np.unique(rows[start] * len(self.items) + hit, return_index=True)
+            yield rows[start[at]], hit[at], start[at]
+
+    def merged(self, found: np.ndarray) -> np.ndarray:
+        """(row, item, first and last word at which it would start): starts that a long item's slack covers make one candidate."""
+        row, item, at = found.T
+        near = at // np.where(self.sizes[item] > LONG, np.maximum((EDIT_SHARE * self.sizes[item]).astype(np.int64), 1), 1)
+        opens = np.ones(len(found), bool)
+        opens[1:] = (row[1:] != row[:-1]) | (item[1:] != item[:-1]) | (near[1:] != near[:-1])
+        start = np.flatnonzero(opens)
+        return np.column_stack([found[start], at[np.append(start[1:], len(found)) - 1] if len(found) else at])
 
     def plausible(self, found: np.ndarray, symbols: np.ndarray, first: np.ndarray) -> np.ndarray:
-        """Candidates whose region has words of the item's own often enough; fewer can't be within the edits."""
+        """Candidates, by the item's size, whose region has words of the item's own often enough; fewer can't be within the edits."""
+        found = self.merged(found)
+        found = found[np.argsort(self.sizes[found[:, 1]], kind="stable")]
+        edges = np.searchsorted(self.sizes[found[:, 1]], [0, *(LONG << k for k in range(32))], "right")
+        return np.concatenate([self._plausible(found[a:b], symbols, first) for a, b in zip(edges, edges[1:], strict=False)])
+
+    def _plausible(self, found: np.ndarray, symbols: np.ndarray, first: np.ndarray) -> np.ndarray:
         if not len(found):
             return found
-        row, item, at = found.T
+        row, item, at, till = found.T
         slack = (EDIT_SHARE * self.sizes[item]).astype(np.int64)
-        low, high = np.maximum(first[row], at - slack), np.minimum(first[row + 1], at + self.sizes[item] + slack)
+        low, high = np.maximum(first[row], at - slack), np.minimum(first[row + 1], till + self.sizes[item] + slack)
         seen = np.zeros(len(found), np.int64)
         for step in range(int((high - low).max())):
             here = np.minimum(low + step, len(symbols) - 1)
@@ -177,13 +227,19 @@ def _search(index: Index, symbols: np.ndarray, rows: np.ndarray, n: int) -> list
     first = np.searchsorted(rows, np.arange(n + 1))
     found = index.plausible(index.candidates(symbols, rows, first[1:]), symbols, first)
     best: dict[tuple[int, int], tuple[int, int]] = {}
-    for part in range(0, len(found), 512):
-        some, regions, patterns = found[part : part + 512].tolist(), [], []
-        for r, i, at in some:
+    for r, i, at in index.exact(symbols, rows, first[1:]):
+        best.update(zip(zip(r.tolist(), i.tolist(), strict=True), zip([0] * len(r), (at - first[r]).tolist(), strict=True), strict=True))
+    part = 0
+    while part < len(found):
+        widest = 2 * int(index.sizes[found[min(part + _PAIRS_AT_ONCE, len(found)) - 1, 1]])
+        end = part + max(1, min(_PAIRS_AT_ONCE, _CELLS // widest))
+        some, regions, patterns = found[part:end].tolist(), [], []
+        part = end
+        for r, i, at, till in some:
             slack = int(EDIT_SHARE * len(index.items[i]))
             patterns.append(index.items[i])
-            regions.append(symbols[max(first[r], at - slack) : min(first[r + 1], at + len(index.items[i]) + slack)])
-        for (r, i, at), edits in zip(some, edit_distances(patterns, regions).tolist(), strict=True):
+            regions.append(symbols[max(first[r], at - slack) : min(first[r + 1], till + len(index.items[i]) + slack)])
+        for (r, i, at, _), edits in zip(some, edit_distances(patterns, regions).tolist(), strict=True):
             if edits <= int(EDIT_SHARE * len(index.items[i])):
                 place = (edits, max(0, at - int(first[r])))
                 best[r, i] = min(best.get((r, i), place), place)
@@ -198,18 +254,20 @@ def find_items(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     words that some item has is a seed (so few edits leave some seed of an item whole); from each seed the
     document's windows of 4, 8, 16 and 32 words are embedded by CGK walks and looked up, by repeated samples
     of the embedding, among the windows of the items. What agrees in any of the keys is confirmed by
-    the exact edit distance. Items of fewer than four words are compared as a whole through no window, so
-    they are never found; empty items and texts and nulls match nothing. Rows of one doc_id are merged,
-    equal item ids too, each with its fewest edits. Items are indexed in blocks of some 5000, so that what is
-    broadcast stays bounded, and every block looks at all documents.
+    the exact edit distance. Items of over 128 words have 128 to 256 windows of 32 words indexed, evenly spread.
+    Items of fewer than four words allow no edit and are looked up whole, at every word; empty items and texts
+    and nulls match nothing. Rows of one doc_id are merged, equal item ids too, each with its fewest edits.
+    Items are indexed in blocks of some 5000, and of some 250,000 words, so that what is broadcast stays
+    bounded, and every block looks at all documents.
     """
     spark = docs.sparkSession
     items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.lower(F.col("text").cast("string")).alias("text")).filter("item_id is not null and text is not null")
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.lower(F.col("text").cast("string")).alias("text"))
     schema = "doc_id long, item_id long, edits long, item_words long, first_word long"
-    parts, total = -(-items.count() // ITEMS_AT_ONCE), None
-    for part in range(max(1, parts)):
-        rows = items.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(max(1, parts))) == part).toArrow()
+    n_items, n_words = items.agg(F.count("*"), F.coalesce(F.sum(F.regexp_count("text", F.lit(WORD))), F.lit(0))).first()
+    parts, total = max(1, -(-n_items // ITEMS_AT_ONCE), -(-n_words // WORDS_AT_ONCE)), None
+    for part in range(parts):
+        rows = items.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(parts)) == part).toArrow()
         data, offsets = byte_view(rows["text"])
         hashes, row, _, _ = words(data[offsets[0] : offsets[-1]], offsets - offsets[0])
         index = spark.sparkContext.broadcast(Index(rows["item_id"].to_pylist(), np.split(hashes, np.searchsorted(row, np.arange(1, rows.num_rows)))).build())

@@ -166,6 +166,36 @@ def test_decontamination(spark):
     assert decontaminate.find_items(d.filter("false"), b).count() == 0 and decontaminate.find_items(d, b.filter("false")).count() == 0
 
 
+def test_decontamination_of_short_and_long_items(spark, monkeypatch):
+    """Items of 1 to 4 and of 128 to 900 words, in one block of items and in several."""
+    rng = random.Random(8)
+    words = [f"v{i}" for i in range(2000)]
+    items = [rng.sample(words, n) for n in (1, 2, 2, 3, 3, 4, 4, 128, 129, 140, 200, 257, 300, 520, 900)]
+    docs = []
+    for i in range(60):
+        text, item = [rng.choice(words) for _ in range(rng.randrange(5, 200))], items[i % 15]
+        copy = list(item)
+        for _ in range(rng.randrange(0, int((0, 0.05, 0.15, 0.25)[i // 15] * len(copy)) + 1)):
+            p = rng.randrange(len(copy))
+            copy[p : p + 1] = rng.choice([[], [rng.choice(words)], [copy[p], rng.choice(words)]])
+        at = rng.choice([0, len(text), rng.randrange(len(text))])
+        text[at:at] = copy
+        docs.append((i, " ".join(text).title()))
+    docs += [(60, items[3][0]), (61, " ".join(items[3])), (62, " ".join(items[3][:2])), (63, items[3][2]), (64, " ".join(["same"] * 400))]
+    items.append(["same"] * 300)
+    d = spark.createDataFrame(docs, "doc_id long, text string")
+    b = spark.createDataFrame([(k, " ".join(x)) for k, x in enumerate(items)], "item_id long, text string")
+    want = {}
+    for i, t in docs:
+        for k, item in enumerate(items):
+            if (edits := brute_edits(item, t.lower().split())) <= int(0.2 * len(item)):
+                want[i, k] = edits
+    for at_once in (250_000, 900):
+        monkeypatch.setattr(decontaminate, "WORDS_AT_ONCE", at_once)
+        got = {(r.doc_id, r.item_id): r.edits for r in decontaminate.find_items(d, b).collect()}
+        assert got == want and {k for _, k in got} == set(range(16))
+
+
 def test_token_counts(spark, tmp_path):
     encode = token_counts._encoding(token_counts.VOCABULARY, token_counts.PATTERN).encode_ordinary
     n = lambda t: len(encode(t)) if t else 0
