@@ -219,6 +219,12 @@ def text_keys(spark, d):
     return table(spark, d, "documents").select("doc_id", text_f.fuzzy_key(head).alias("fuzzy"), text_f.compact_key(head).alias("compact"))
 
 
+@query(r"""SELECT doc_id, translate(lower(trim(regexp_replace(text, '[\s\x{A0}]+', ' ', 'g'))), 'ąćęłńóśżź', 'acelnoszz') AS fuzzy,
+  regexp_replace(translate(lower(text), 'ąćęłńóśżź', 'acelnoszz'), '[\s\x{A0}_\-/:.,]+', '', 'g') AS compact FROM documents""")
+def text_keys_whole(spark, d):
+    return table(spark, d, "documents").select("doc_id", text_f.fuzzy_key("text").alias("fuzzy"), text_f.compact_key("text").alias("compact"))
+
+
 @query("SELECT c_custkey, CASE c_custkey % 3 WHEN 2 THEN 0 WHEN 1 THEN trunc(c_acctbal)::BIGINT ELSE c_custkey * 1000 END::BIGINT AS n FROM customer")
 def lenient_int(spark, d):
     c = table(spark, d, "customer")
