@@ -8,6 +8,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -17,6 +18,8 @@ from lectern.llm.bytesops import U64, blocks, byte_codes, byte_view, mix, random
 LENGTH, Q = 50, 16
 #: Bytes of text that one bucket of sampled q-grams stands for.
 BUCKET_BYTES = 2_000_000
+#: Stretches around one sample from which on their strings are dealt one by one; they are counted in one document of COUNTED.
+HOT_STRETCHES, COUNTED = BUCKET_BYTES // (2 * LENGTH), 8
 #: A multiplier of its own for every refinement step and name, so that no two parts of a string weigh the same.
 _POINTER, _POINTER2 = (dict(zip((1, 2, 4, 8, Q, LENGTH - 2 * Q), randoms(seed, 6), strict=True)) for seed in (41, 43))
 
@@ -170,11 +173,28 @@ def unpack(size: int, packed: bytes) -> np.ndarray:
     return np.frombuffer(pa.decompress(packed, size, "zstd", asbytes=True), np.uint8) if size else np.zeros(0, np.uint8)
 
 
-def _offer(parts: int):
+def _tally(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(sample, n): stretches around each sample that has several in a batch of texts."""
+    for batch in batches:
+        data, offsets = byte_view(batch.column(0))
+        keys = [segments(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a])[1] >> U64(24) for a, b in blocks(offsets)]
+        key, n = np.unique(np.concatenate([np.zeros(0, U64), *keys]), return_counts=True)
+        yield pa.RecordBatch.from_arrays([pa.array(signed(key[n > 1])), pa.array(n[n > 1].astype(np.int64))], ["sample", "n"])
+
+
+def hot_samples(base: DataFrame) -> np.ndarray:
+    """The samples, in order, that have about HOT_STRETCHES stretches or more: one in that many stretches at most, so few."""
+    some = base.filter(F.col("doc_id").isNotNull() & (F.pmod(F.xxhash64("doc_id"), F.lit(COUNTED)) == 0)).select("text")
+    found = some.mapInArrow(_tally, "sample long, n long").groupBy("sample").agg(F.sum("n").alias("n")).filter(F.col("n") >= HOT_STRETCHES // COUNTED)
+    return np.sort(np.array([r["sample"] for r in found.select("sample").collect()], np.int64))
+
+
+def _offer(parts: int, hot: Broadcast[np.ndarray]):
     """Of texts with their shared samples, rows (part, docs, rows, at, ends, body, low, high) of the segments to compare.
 
     Equal segments of a batch are sent for their smallest document only; in the others they are copies for
     certain. These go along as stretches (low, high), joined where they meet, under parts by document.
+    Stretches around a hot sample are split into their strings, and each has the part of its own name.
     """
     names = ["part", "docs", "rows", "at", "ends", "body", "low", "high"]
 
@@ -193,9 +213,14 @@ def _offer(parts: int):
                 shared = np.sort((np.repeat(np.arange(y - x), lists.value_lengths().to_numpy()) << 40) | (lists.flatten().to_numpy() >> 1))
                 key = (r << 40) | (sample >> U64(24)).astype(np.int64)
                 have = np.flatnonzero(shared[np.minimum(np.searchsorted(shared, key), len(shared) - 1)] == key)
-                r, lo, hi = r[have], at[have], at[have] + number[have] + LENGTH - 1
+                split = np.isin((sample[have] >> U64(24)).astype(np.int64), hot.value)
+                pieces = np.where(split, number[have], 1)
+                one = np.repeat(np.arange(len(have)), pieces)
+                split, have = split[one], have[one]
+                r, lo = r[have], at[have] + np.arange(len(one)) - np.repeat(np.cumsum(pieces) - pieces, pieces)
+                hi = lo + np.where(split, 1, number[have]) + LENGTH - 1
                 names_ = [signed(span_hashes(byte_codes(data, second), lo, hi)) for second in (False, True)]
-                part = (sample[have] % U64(parts)).astype(np.int64)
+                part = (np.where(split, names_[0].view(U64), sample[have]) % U64(parts)).astype(np.int64)
                 for f, v in zip(fields, (r + x, ids[x:y][r], row_keys[x:y][r], lo - bounds[r], hi - bounds[r], *names_, part), strict=True):
                     f.append(v.astype(np.int64))
             which, doc, row, a, b, n1, n2, part = (np.concatenate(x) for x in fields)
@@ -331,17 +356,24 @@ def keyed(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.hash(F.col("text").cast("string")).cast("long").alias("row_key"), F.col("text").cast("string").alias("text"))
 
 
-def repeated_spans(base: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(packed texts, spans): the texts compressed, and the stretches in them that a smaller document has."""
+def offers(base: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(packed texts, offered): the texts compressed, and what of them is to be compared, by part."""
     size = base.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     parts = max(16, math.ceil(size / BUCKET_BYTES))
     asked = base.select("doc_id", "text").mapInArrow(_ask(parts), "part long, base long, far boolean, samples binary, docs binary, kinds binary")
     shared = asked.groupBy("part").applyInArrow(_answer, "doc_id long, samples array<long>")
     per_doc = shared.groupBy("doc_id").agg(F.flatten(F.collect_list("samples")).alias("samples"))
     packed = base.mapInArrow(pack, "doc_id long, row_key long, size long, packed binary")
+    hot = base.sparkSession.sparkContext.broadcast(hot_samples(base))
     offered = packed.join(per_doc.withColumnRenamed("doc_id", "span_id"), F.col("doc_id") == F.col("span_id")).select("doc_id", "row_key", "size", "packed", "samples").mapInArrow(
-        _offer(parts), "part long, docs array<long>, rows array<long>, at array<int>, ends array<int>, body binary, low array<int>, high array<int>"
+        _offer(parts, hot), "part long, docs array<long>, rows array<long>, at array<int>, ends array<int>, body binary, low array<int>, high array<int>"
     )
+    return packed, offered
+
+
+def repeated_spans(base: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(packed texts, spans): the texts compressed, and the stretches in them that a smaller document has."""
+    packed, offered = offers(base)
     return packed, offered.groupBy("part").applyInArrow(_compare, "doc_id long, row_key long, lo long, hi long")
 
 
@@ -356,7 +388,9 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     bytes, and the smallest document of each last bucket keeps the string.
 
     A part stands for some 2 MB of text, so parts grow in number and not in size; within a batch equal
-    stretches are sent once, so a text in very many documents comes to one piece a batch. Texts travel compressed.
+    stretches are sent once, so a text in very many documents comes to one piece a batch. Samples with very many
+    stretches (some 20,000, counted beforehand in an eighth of the documents) have each string dealt by its own
+    name, so a frequent phrase with different neighbours is spread over all parts. Texts travel compressed.
     Null text is empty. A null doc_id neither gives nor loses anything. Rows of one doc_id don't affect each
     other; each comes back. Texts under 50 bytes stay. Empty input: no rows.
     """

@@ -129,6 +129,21 @@ def test_suffixes_tell_swapped_bytes_apart(spark):
     assert {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in got} == brute_suffix(texts)
 
 
+def test_suffixes_spread_a_frequent_phrase(spark, texts, monkeypatch):
+    """One phrase with ever different neighbours: right results, and no part with most of its stretches."""
+    rng = random.Random(14)
+    text = lambda: " ".join(passage(rng, 8))
+    hot = [(1000 + i, f"{text()} a common heading of 30 b. {text()}") for i in range(200)]
+    hot += [(2000 + i, f"{text()} {hot[i][1]}") for i in range(20)]
+    monkeypatch.setattr(suffixes, "HOT_STRETCHES", 64)
+    base = suffixes.keyed(frame(spark, hot).repartition(3))
+    assert len(suffixes.hot_samples(base)) > 0
+    sizes = [r.n for r in suffixes.offers(base)[1].selectExpr("part", "size(docs) as n").groupBy("part").agg({"n": "sum"}).toDF("part", "n").collect()]
+    assert len(sizes) == 16 and max(sizes) < 0.2 * sum(sizes)
+    got = suffixes.remove_repeats(frame(spark, texts + hot).repartition(3)).collect()
+    assert {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in got} == brute_suffix(texts + hot)
+
+
 def test_chunks(spark, texts):
     seen, want = set(), {}
     for i, t in sorted(texts):
