@@ -5,16 +5,40 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 
-def kept(df: DataFrame, name: str) -> DataFrame:
-    """Write `df` and read it back; the folder is spark.checkpoint.dir, or a temporary one where that is unset."""
-    spark = df.sparkSession
+def shared_dir(spark: SparkSession) -> str:
+    """The folder that driver and executors share, spark.checkpoint.dir.
+
+    In local mode a temporary one is set up where that is unset; on a cluster, whose machines don't share
+    local folders, that is an error.
+    """
     where = spark.conf.get("spark.checkpoint.dir", None)
     if not where:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         where = "file://" + tempfile.mkdtemp(prefix="spark-lectern-", dir="/tmp")
         spark.conf.set("spark.checkpoint.dir", where)
-    path = f"{where.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    return where.rstrip("/")
+
+
+def new_path(spark: SparkSession, name: str) -> str:
+    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def kept(df: DataFrame, name: str, path: str | None = None) -> DataFrame:
+    """Write `df` to `path`, by default a new folder of the shared one, and read it back.
+
+    That cuts the lineage and survives lost executors.
+    """
+    spark = df.sparkSession
+    path = path or new_path(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def drop(spark: SparkSession, path: str) -> None:
+    """Delete an intermediate table that nothing reads any more."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
