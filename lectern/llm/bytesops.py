@@ -10,10 +10,12 @@ import pyarrow as pa
 U64 = np.uint64
 #: Bytes that one step works on at once; a longer text is a step of its own.
 BLOCK = 1 << 18
-_BASE = 0x9E3779B97F4A7C15 | 1
-_INVERSE = pow(_BASE, -1, 1 << 64)
+#: Span hashes are polynomials modulo this prime, two of them with bases of their own to each hash.
+PRIME = (1 << 31) - 1
+_BASES = ((1_270_634_339, 1_911_520_717), (693_724_181, 2_035_175_333))
 _SEPARATOR = np.isin(np.arange(256), [0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D])
 _powers: dict[int, np.ndarray] = {}
+_LOW = U64(PRIME)
 
 
 def randoms(seed: int, n: int) -> np.ndarray:
@@ -27,12 +29,12 @@ _FOLD[65:91] += 32
 
 
 def powers(base: int, n: int) -> np.ndarray:
-    """base**i mod 2**64 for i < n, kept between calls up to a few blocks' length."""
+    """base**i mod PRIME for i < n, kept between calls up to a few blocks' length."""
     have = _powers.get(base)
     if have is None or len(have) < n:
-        row = np.full(max(n, BLOCK + 1), base, U64)
-        row[0] = 1
-        have = np.multiply.accumulate(row)
+        have = np.ones(1, U64)
+        while len(have) < max(n, BLOCK + 1):
+            have = np.concatenate([have, have * U64(pow(base, len(have), PRIME)) % _LOW])
         if n <= 8 * BLOCK:
             _powers[base] = have
     return have[:n]
@@ -66,19 +68,20 @@ def blocks(offsets: np.ndarray, most: int = BLOCK, rows: int = 4096) -> Iterator
         at = end
 
 
-def span_hashes(values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """A hash of values[start:end] for each span; values are 64-bit codes of the symbols."""
-    sums = np.zeros(len(values) + 1, U64)
-    np.cumsum(values * powers(_BASE, len(values)), out=sums[1:])
-    return mix((sums[ends] - sums[starts]) * powers(_INVERSE, len(values) + 1)[starts] + (ends - starts).astype(U64))
+def span_hashes(values: np.ndarray, starts: np.ndarray, ends: np.ndarray, second: bool = False) -> np.ndarray:
+    """A hash of values[start:end] for each span; values are 64-bit codes of the symbols.
 
-
-def gram_hashes(values: np.ndarray, q: int) -> np.ndarray:
-    """A hash of each q consecutive values."""
-    if len(values) < q:
-        return np.zeros(0, U64)
-    at = np.arange(len(values) - q + 1)
-    return span_hashes(values, at, at + q)
+    Two polynomials modulo a prime, each over 31 bits of the codes and with a base of its own; `second`
+    has two other bases.
+    """
+    lanes = []
+    for base, shift in zip(_BASES[second], (0, 33), strict=True):
+        terms = ((values >> U64(shift)) & _LOW) * powers(base, len(values))
+        sums = np.zeros(len(values) + 1, U64)
+        np.cumsum((terms & _LOW) + (terms >> U64(31)), out=sums[1:])
+        inverse = powers(pow(base, -1, PRIME), len(values) + 1)[starts]
+        lanes.append((sums[ends] - sums[starts]) % _LOW * inverse % _LOW)
+    return mix((lanes[0] << U64(32) | lanes[1]) + (ends - starts).astype(U64) * U64(0x9E3779B97F4A7C15))
 
 
 def byte_codes(data: np.ndarray, second: bool = False) -> np.ndarray:

@@ -60,7 +60,7 @@ def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 continue
             rows, ends = cut_points(part, bounds)
             starts = np.concatenate([[0], ends[:-1]])
-            digests = [signed(span_hashes(byte_codes(part, second), starts, ends)) for second in (False, True)]
+            digests = [signed(span_hashes(byte_codes(part, second), starts, ends, second)) for second in (False, True)]
             sides = [batch.column(k).slice(a, b - a).take(pa.array(rows)) for k in (0, 1)]
             yield pa.RecordBatch.from_arrays(
                 [*sides, pa.array(digests[0]), pa.array(digests[1]), pa.array((starts - bounds[rows]).astype(np.int32)), pa.array((ends - bounds[rows]).astype(np.int32))],

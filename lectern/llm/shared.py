@@ -2,34 +2,38 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: A word is a run of bytes that are neither blank nor one of the five ASCII line and tab controls.
-WORD = r"[^\x20\x09-\x0D]+"
-
-
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share; a local one is set up only where the cluster names none."""
-    where = spark.conf.get("spark.checkpoint.dir", None)
-    if not where:
-        where = "file://" + tempfile.mkdtemp(prefix="spark-lectern-", dir="/tmp")
-        spark.conf.set("spark.checkpoint.dir", where)
-    return where.rstrip("/")
+from lectern.operators.tables import drop, kept as materialize, new_path, shared_dir
 
+__all__ = ["WORD", "drop", "join_hot", "materialize", "new_path", "read", "shared_dir", "word_count"]
 
-def new_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-
-
-def materialize(df: DataFrame, name: str) -> DataFrame:
-    """Write `df` to the shared folder and read it back: cuts the lineage, survives lost executors."""
-    spark, path = df.sparkSession, new_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+#: A word is a run of bytes that are neither blank nor one of the five ASCII line and tab controls.
+WORD = r"[^\x20\x09-\x0D]+"
+#: Keys that are broadcast as hot ones, at most.
+HOT_KEYS = 4096
+
+
+def join_hot(rows: DataFrame, table: DataFrame, keys: Sequence[str], number: str) -> DataFrame:
+    """Inner join of `rows` with `table` (one row a key), in which `number` says how many rows have the key.
+
+    Keys with a share of 1 / HOT_KEYS of these rows or more are HOT_KEYS at most, whatever the input: they
+    are broadcast, so that their rows stay where they are. All others meet by a shuffle, in which no key is
+    large. Both inputs are read twice and should be written tables.
+    """
+    total = table.agg(F.coalesce(F.sum(number), F.lit(0))).first()[0]
+    least = max(1000, -(-total // HOT_KEYS))
+    many = table.filter(F.col(number) >= least)
+    if not many.limit(1).count():
+        return rows.join(table.drop(number), list(keys))
+    names = [F.col(k).alias(f"_hot_{k}") for k in keys]
+    same = [F.col(k) == F.col(f"_hot_{k}") for k in keys]
+    hot = F.broadcast(many.select(*names))
+    rest = rows.join(hot, same, "left_anti").join(table.filter(F.col(number) < least).drop(number), list(keys))
+    return rest.unionByName(rows.join(F.broadcast(many.drop(number)), list(keys)))
 
 
 def word_count(text: Column) -> Column:

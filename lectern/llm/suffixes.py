@@ -14,43 +14,65 @@ from pyspark.sql import functions as F
 
 from lectern.llm.bytesops import U64, blocks, byte_codes, byte_view, mix, randoms, signed, span_hashes
 
-#: Bytes of a repeated string, and of the initial buckets' q-grams.
-LENGTH, Q = 50, 16
+#: Bytes of a repeated string, of a sample, and of the q-grams that make the initial buckets.
+LENGTH, Q, INITIAL = 50, 16, 8
+#: Offsets by whose bucket pointers the buckets are refined: from 8 bytes to 16, 32 and 50.
+OFFSETS = (8, 16, LENGTH - 32)
 #: Bytes of text that one bucket of sampled q-grams stands for.
 BUCKET_BYTES = 2_000_000
 #: Stretches around one sample from which on their strings are dealt one by one; they are counted in one document of COUNTED.
 HOT_STRETCHES, COUNTED = BUCKET_BYTES // (2 * LENGTH), 8
-#: A multiplier of its own for every refinement step and name, so that no two parts of a string weigh the same.
-_POINTER, _POINTER2 = (dict(zip((1, 2, 4, 8, Q, LENGTH - 2 * Q), randoms(seed, 6), strict=True)) for seed in (41, 43))
+_MULTIPLIERS = dict(zip((1, 2, 4, 8), randoms(41, 4), strict=True))
 
 
-def _finish(h: np.ndarray) -> np.ndarray:
-    h ^= h >> U64(32)
-    h *= U64(0xD6E8FEB86659FD93)
-    h ^= h >> U64(29)
-    return h
-
+def short_names(data: np.ndarray) -> np.ndarray:
+    """A number for each 16-byte string, which only picks samples and deals out the work; unequal strings may share one."""
+    names = byte_codes(data)
+    for step, multiplier in _MULTIPLIERS.items():
+        if len(names) <= step:
+            return np.zeros(0, U64)
+        names = names[:-step] * multiplier + names[step:]
+    names ^= names >> U64(32)
+    names *= U64(0xD6E8FEB86659FD93)
+    return names ^ (names >> U64(29))
 
-def _refine(buckets: np.ndarray, step: int, second: bool = False) -> np.ndarray:
-    """Buckets of strings longer by `step`: by their own bucket and the one that starts `step` later."""
-    longer = buckets[:-step] * (_POINTER2 if second else _POINTER)[step]
-    longer += buckets[step:]
-    return longer
 
+def _group_starts(keys: np.ndarray) -> np.ndarray:
+    """Of each place in sorted `keys` the place where its group of equal keys starts."""
+    new = np.ones(len(keys), bool)
+    new[1:] = keys[1:] != keys[:-1]
+    return np.maximum.accumulate(np.where(new, np.arange(len(keys)), 0))
 
-def short_buckets(data: np.ndarray, second: bool = False) -> np.ndarray:
-    """The bucket of each 16-byte string: bytes refined to 2, 4, 8 and 16."""
-    buckets = byte_codes(data, second)
-    for step in (1, 2, 4, 8):
-        if len(buckets) <= step:
-            return np.zeros(0, U64)
-        buckets = _refine(buckets, step, second)
-    return _finish(buckets)
 
+def refine(data: np.ndarray, room: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(places, buckets): the places of equal LENGTH-byte strings and their bucket pointers, by bucket.
 
-def string_buckets(data: np.ndarray, second: bool = False) -> np.ndarray:
-    """The bucket of each 50-byte string: 16, refined to 32, refined to 50."""
-    return _finish(_refine(_finish(_refine(short_buckets(data, second), Q, second)), LENGTH - 2 * Q, second))
+    room: bytes from each place to the end of its stretch. The initial buckets are those of the sorted
+    8-byte strings; a bucket's pointer is where it starts in the order. A bucket of several places
+    is refined by sorting these on the pointers of the places 8, then 16, then 18 bytes on, which earlier
+    refinement has made stand for 8, 16 and 32 bytes. The new buckets take pointers within the old one's
+    range, so those of single places never change. Nothing is hashed: equal pointers mean equal bytes.
+    """
+    grams = np.zeros(len(data), U64)
+    for k in range(INITIAL):
+        grams <<= U64(8)
+        grams[: len(data) - k] |= data[k:]
+    places = np.flatnonzero(room >= INITIAL)
+    places = places[np.argsort(grams[places])]
+    pointers, have = np.zeros(len(data), np.int64), INITIAL
+    pointers[places] = _group_starts(grams[places])
+    del grams
+    for offset in OFFSETS:
+        own = pointers[places]
+        several = np.bincount(own, minlength=1)[own] > 1
+        have += offset
+        places = places[several & (room[places] >= have)]
+        keys = pointers[places] * len(data) + pointers[places + offset]
+        order = np.argsort(keys)
+        places, keys = places[order], keys[order]
+        own = pointers[places]
+        pointers[places] = own + _group_starts(keys) - _group_starts(own)
+    return places, pointers[places]
 
 
 def _sliding_min(values: np.ndarray, width: int) -> np.ndarray:
@@ -64,15 +86,15 @@ def _sliding_min(values: np.ndarray, width: int) -> np.ndarray:
 def segments(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """(row, sample, first, number) of the runs of consecutive 50-byte strings of a row with one sample.
 
-    Row r is data[bounds[r]:bounds[r + 1]]. The sample of a string is the smallest bucket among its 35
-    16-byte strings, so equal strings have equal samples. Runs are cut to 50 strings at most.
+    Row r is data[bounds[r]:bounds[r + 1]]. The sample of a string is the smallest number among its 35
+    16-byte strings', so equal strings have equal samples. Runs are cut to 50 strings at most.
     """
     size = np.diff(bounds)
     strings = np.maximum(size - LENGTH + 1, 0)
     none = np.zeros(0, np.int64)
     if not strings.any():
         return none, np.zeros(0, U64), none, none
-    least = _sliding_min(short_buckets(data), LENGTH - Q + 1)
+    least = _sliding_min(short_names(data), LENGTH - Q + 1)
     rows = np.repeat(np.arange(len(size)), strings)
     at = np.arange(len(rows)) + np.repeat(bounds[:-1] - np.cumsum(strings) + strings, strings)
     least = least[at]
@@ -202,7 +224,7 @@ def _offer(parts: int, hot: Broadcast[np.ndarray]):
         for batch in batches:
             texts = [unpack(n, t) for n, t in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True)]
             ids, row_keys = batch.column(0).to_numpy(), batch.column(1).to_numpy()
-            offsets, fields = np.concatenate([[0], np.cumsum([len(t) for t in texts])]).astype(np.int64), [[np.zeros(0, np.int64)] for _ in range(8)]
+            offsets, fields = np.concatenate([[0], np.cumsum([len(t) for t in texts])]).astype(np.int64), [[np.zeros(0, np.int64)] for _ in range(7)]
             wanted = batch.column(4)
             for x, y in blocks(offsets):
                 data, bounds = np.concatenate(texts[x:y]), offsets[x : y + 1] - offsets[x]
@@ -219,17 +241,19 @@ def _offer(parts: int, hot: Broadcast[np.ndarray]):
                 split, have = split[one], have[one]
                 r, lo = r[have], at[have] + np.arange(len(one)) - np.repeat(np.cumsum(pieces) - pieces, pieces)
                 hi = lo + np.where(split, 1, number[have]) + LENGTH - 1
-                names_ = [signed(span_hashes(byte_codes(data, second), lo, hi)) for second in (False, True)]
-                part = (np.where(split, names_[0].view(U64), sample[have]) % U64(parts)).astype(np.int64)
-                for f, v in zip(fields, (r + x, ids[x:y][r], row_keys[x:y][r], lo - bounds[r], hi - bounds[r], *names_, part), strict=True):
+                name = span_hashes(byte_codes(data), lo, hi)
+                part = (np.where(split, name, sample[have]) % U64(parts)).astype(np.int64)
+                for f, v in zip(fields, (r + x, ids[x:y][r], row_keys[x:y][r], lo - bounds[r], hi - bounds[r], signed(name), part), strict=True):
                     f.append(v.astype(np.int64))
-            which, doc, row, a, b, n1, n2, part = (np.concatenate(x) for x in fields)
+            which, doc, row, a, b, name, part = (np.concatenate(x) for x in fields)
             if not len(doc):
                 continue
-            order = np.lexsort((doc, n2, n1))
-            which, doc, row, a, b, n1, n2, part = (x[order] for x in (which, doc, row, a, b, n1, n2, part))
-            start = np.flatnonzero(np.concatenate([[True], (n1[1:] != n1[:-1]) | (n2[1:] != n2[:-1])]))
-            copy = doc > np.repeat(doc[start], np.diff(np.append(start, len(doc))))
+            order = np.lexsort((doc, name))
+            which, doc, row, a, b, name, part = (x[order] for x in (which, doc, row, a, b, name, part))
+            start = _group_starts(name)
+            copy = doc > doc[start]
+            at = offsets[which] + a
+            copy[copy] = _same_bytes(np.concatenate(texts), at[copy], at[start[copy]], (b - a)[copy], (b - a)[start[copy]])
             rows = []
             send = np.flatnonzero(~copy)
             send = send[np.argsort(part[send], kind="stable")]
@@ -259,6 +283,17 @@ def _offer(parts: int, hot: Broadcast[np.ndarray]):
     return run
 
 
+def _same_bytes(data: np.ndarray, one: np.ndarray, other: np.ndarray, size: np.ndarray, other_size: np.ndarray) -> np.ndarray:
+    """Whether the stretches of `data` at `one` and `other`, of 50 bytes or more, are equal."""
+    eight = np.ndarray(len(data) - 7, "<u8", data, 0, (1,))  # eight bytes from every place on
+    same = size == other_size
+    for k in range(0, int(size.max(initial=0)), 8):
+        at = np.minimum(k, size - 8)
+        near = np.flatnonzero(same)
+        same[near] = eight[one[near] + at[near]] == eight[other[near] + at[near]]
+    return same
+
+
 def _compare(table: pa.Table) -> pa.Table:
     """Of one part: (doc_id, row_key, lo, hi) of the stretches that a smaller document has, and those already known."""
     flat = lambda name: np.concatenate([np.zeros(0, np.int64), *[x.values.to_numpy().astype(np.int64) for x in table[name]]])
@@ -273,23 +308,16 @@ def _compare(table: pa.Table) -> pa.Table:
         body = np.concatenate([unpack(int(e[-1]), b) for e, b in zip(ends, sent["body"].to_pylist(), strict=True)])
         sizes = np.concatenate([np.diff(e, prepend=0) for e in ends]).astype(np.int64)
         begin = np.cumsum(sizes) - sizes
-        number = sizes - LENGTH + 1
-        owner = np.repeat(np.arange(len(docs)), number)
-        place = np.repeat(begin, number) + np.arange(number.sum()) - np.repeat(np.cumsum(number) - number, number)
-        one, two = (string_buckets(body, second)[place] for second in (False, True))
-        order = np.argsort(one)
-        one, both = one[order], two[order]
-        if ((one[1:] == one[:-1]) & (both[1:] != both[:-1])).any():  # one name for different strings
-            order = np.lexsort((two, one := one[np.argsort(order)]))
-            one, both = one[order], two[order]
-        two, held = both, docs[owner[order]]
-        start = np.flatnonzero(np.concatenate([[True], (one[1:] != one[:-1]) | (two[1:] != two[:-1])]))
-        first = np.minimum.reduceat(held, start)
-        gone = np.zeros(len(place), bool)
-        gone[order] = held > np.repeat(first, np.diff(np.append(start, len(held))))
+        owner = np.repeat(np.arange(len(docs)), sizes)
+        places, buckets = refine(body, np.repeat(begin + sizes, sizes) - np.arange(len(body)))
+        gone = np.zeros(len(body), bool)
+        if len(places):
+            held, start = docs[owner[places]], _group_starts(buckets)
+            first = np.minimum.reduceat(held, np.unique(start))
+            gone[places] = held > np.repeat(first, np.diff(np.append(np.unique(start), len(held))))
         hit = np.flatnonzero(gone)
         if len(hit):
-            who, lo = owner[hit], at[owner[hit]] + place[hit] - begin[owner[hit]]
+            who, lo = owner[hit], at[owner[hit]] + hit - begin[owner[hit]]
             opens = np.concatenate([[True], (who[1:] != who[:-1]) | (lo[1:] > lo[:-1] + 1)])
             a = np.flatnonzero(opens)
             b = np.append(a[1:], len(lo)) - 1
@@ -382,13 +410,13 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
 
     Reads doc_id (whole number) and text, as UTF-8 bytes. A byte goes if some 50-byte string that covers it
     also starts in a document of smaller doc_id; all strings are judged on the input. Every string's sample
-    is the smallest of its 16-byte buckets, so equal strings meet under one sample; samples that one document
-    has alone are left out first. The stretches around the others are compared part by part of the key
-    space: 16-byte buckets are refined by the bucket identifiers of later offsets to 32 and then to 50
-    bytes, and the smallest document of each last bucket keeps the string.
+    is the least numbered of its 16-byte strings, so equal strings meet under one sample; samples that one
+    document has alone are left out first. The stretches around the others are compared part by part of the
+    sample space by bucket-pointer refinement (see `refine`), which decides equality by bytes, and the
+    smallest document of each last bucket keeps the string.
 
     A part stands for some 2 MB of text, so parts grow in number and not in size; within a batch equal
-    stretches are sent once, so a text in very many documents comes to one piece a batch. Samples with very many
+    stretches (byte by byte) are sent once, so a text in very many documents comes to one piece a batch. Samples with very many
     stretches (some 20,000, counted beforehand in an eighth of the documents) have each string dealt by its own
     name, so a frequent phrase with different neighbours is spread over all parts. Texts travel compressed.
     Null text is empty. A null doc_id neither gives nor loses anything. Rows of one doc_id don't affect each

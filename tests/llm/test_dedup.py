@@ -121,14 +121,42 @@ def test_suffixes_tell_swapped_bytes_apart(spark):
         p = rng.randrange(40, 80)
         swapped = text[:p] + text[p + n : p + 2 * n] + text[p : p + n] + text[p + 2 * n :]
         a, b = (np.frombuffer(t[p - 30 : p + 70].encode(), np.uint8) for t in (text, swapped))
-        for second in (False, True):
-            equal = suffixes.string_buckets(a, second) == suffixes.string_buckets(b, second)
-            assert equal.tolist() == [bytes(a[i : i + 50]) == bytes(b[i : i + 50]) for i in range(51)]
+        places, buckets = suffixes.refine(np.concatenate([a, b]), np.tile(np.arange(100, 0, -1), 2))
+        bucket = dict(zip(places.tolist(), buckets.tolist()))
+        equal = [i in bucket and bucket[i] == bucket.get(100 + i) for i in range(51)]
+        assert equal == [bytes(a[i : i + 50]) == bytes(b[i : i + 50]) for i in range(51)]
         texts += [(2 * k, text), (2 * k + 1, swapped)]
     got = suffixes.remove_repeats(frame(spark, texts)).collect()
     assert {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in got} == brute_suffix(texts)
 
 
+def test_refined_buckets_are_those_of_equal_strings():
+    rng = np.random.default_rng(15)
+    for letters in (1, 2, 20):
+        parts = [rng.integers(97, 97 + letters, n) for n in (49, 50, 51, 99, 300)]
+        parts.append(np.concatenate([parts[4][10:80], parts[3]]))
+        data = np.concatenate(parts).astype(np.uint8)
+        room = np.concatenate([np.arange(len(p), 0, -1) for p in parts])
+        strings = {}
+        for p in np.flatnonzero(room >= 50).tolist():
+            strings.setdefault(bytes(data[p : p + 50]), set()).add(p)
+        found = {}
+        for p, b in zip(*(x.tolist() for x in suffixes.refine(data, room))):
+            found.setdefault(b, set()).add(p)
+        assert {frozenset(x) for x in strings.values() if len(x) > 1} == {frozenset(x) for x in found.values() if len(x) > 1}
+
+
+def test_span_hashes_tell_symmetric_strings_apart():
+    """Thue-Morse words share every polynomial modulo a power of two."""
+    from lectern.llm.bytesops import byte_codes, span_hashes
+
+    word = np.array([bin(i).count("1") & 1 for i in range(2048)])
+    data = np.concatenate([word, 1 - word]).astype(np.uint8) + 97
+    for second in (False, True):
+        a, b = span_hashes(byte_codes(data, second), np.array([0, 2048]), np.array([2048, 4096]), second)
+        assert a != b
+
+
 def test_suffixes_spread_a_frequent_phrase(spark, texts, monkeypatch):
     """One phrase with ever different neighbours: right results, and no part with most of its stretches."""
     rng = random.Random(14)
