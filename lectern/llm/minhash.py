@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from lectern.llm.bytesops import U64, blocks, byte_view, mix, randoms, shingle_sets, signed
 from lectern.llm.components import components
-from lectern.llm.shared import materialize
+from lectern.llm.shared import join_hot, materialize, salted
 
 #: 48 bands of three permutations, each giving its minimum and its maximum: six values a band, 288 in all.
 BANDS, PERMUTATIONS_A_BAND = 48, 3
@@ -37,6 +37,12 @@ def _extremes(shingles: np.ndarray) -> np.ndarray:
     return np.stack([low, high], 1).ravel()
 
 
+def _digest(shingles: np.ndarray) -> tuple[int, int]:
+    """Two numbers of a set."""
+    both = np.array([shingles.sum(dtype=U64), mix(shingles).sum(dtype=U64)], U64).view(np.int64)
+    return int(both[0]), int(both[1])
+
+
 def _lists(values: np.ndarray) -> pa.Array:
     n, width = values.shape
     return pa.ListArray.from_arrays(pa.array(np.arange(n + 1, dtype=np.int32) * width), pa.array(signed(np.ascontiguousarray(values).ravel())))
@@ -53,31 +59,43 @@ def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             bits[:, : _N * 2] = (seen * np.uint32(0x9E3779B1)) >> np.uint32(31)
             sketch = np.packbits(bits, 1).view(np.int64)
             size = np.array([len(s) for s in sets], np.int64)
-            digest = np.array([[s.sum(dtype=U64), mix(s).sum(dtype=U64)] for s in sets], U64)
+            digest = np.array([_digest(s) for s in sets], np.int64)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0).slice(a, b - a), pa.array(size), pa.array(signed(digest[:, 0].copy())), pa.array(signed(digest[:, 1].copy())), _lists(keys), _lists(sketch)],
+                [batch.column(0).slice(a, b - a), pa.array(size), pa.array(digest[:, 0]), pa.array(digest[:, 1]), _lists(keys), _lists(sketch)],
                 ["doc_id", "n_shingles", "h1", "h2", "bands", "sketch"],
             )
 
 
 def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of rows (a, b, text of a, text of b) those whose full shingle sets are similar enough."""
+    """Of rows (u, v, cu, cv, text of u, text of v) those whose full shingle sets are similar enough, without the texts."""
     for batch in batches:
         sides = []
-        for k in (2, 3):
+        for k in (4, 5):
             data, offsets = byte_view(batch.column(k))
             sides.append([s for a, b in blocks(offsets) for s in shingle_sets(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a], SHINGLE_WORDS)])
         near = []
         for x, y in zip(*sides, strict=True):
             both = len(np.intersect1d(x, y, assume_unique=True))
             near.append(both > 0 and 100 * both >= LEAST_PERCENT * (len(x) + len(y) - both))
-        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], ["u", "v"]).filter(pa.array(near, pa.bool_()))
+        yield pa.RecordBatch.from_arrays(batch.columns[:4], ["u", "v", "cu", "cv"]).filter(pa.array(near, pa.bool_()))
 
 
 def _differing(a: str, b: str) -> Column:
     return sum((F.bit_count(F.col(a)[k].bitwiseXOR(F.col(b)[k])) for k in range(SKETCH_LONGS)), F.lit(0))
 
 
+def _right_text(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of rows (doc_id, text, id, n_shingles, h1, h2) the id and text where the text has just that set."""
+    for batch in batches:
+        data, offsets = byte_view(batch.column(1))
+        for a, b in blocks(offsets):
+            sets = shingle_sets(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a], SHINGLE_WORDS)
+            seen = np.array([(len(s), *_digest(s)) for s in sets], np.int64).reshape(-1, 3)
+            asked = np.stack([batch.column(k).slice(a, b - a).to_numpy() for k in (3, 4, 5)], 1)
+            part = pa.RecordBatch.from_arrays([batch.column(2), batch.column(1)], ["id", "text"]).slice(a, b - a)
+            yield part.filter(pa.array((seen == asked).all(1)))
+
+
 def _grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         data, offsets = byte_view(batch.column(1))
@@ -94,36 +112,36 @@ def _parities(shingles: np.ndarray) -> np.ndarray:
 
 
 def _prefixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of each text the shingles that a similar text must meet it in: own ones first, then by hash; own ones are left out."""
+    """Of each text the shingles that a similar text must meet it in: the rarest ones, but none that it has alone."""
     for batch in batches:
-        data, offsets = byte_view(batch.column(1))
-        for a, b in blocks(offsets):
-            sets = shingle_sets(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a], SHINGLE_WORDS)
-            rows: list[tuple] = []
-            for r, s in enumerate(sets, a):
-                own = np.array(batch.column(2)[r].as_py() or [], np.int64)
-                shared = np.setdiff1d(s, own.view(U64), assume_unique=True)
-                last = len(s) - -(-LEAST_PERCENT * len(s) // 100)  # later positions leave too few
-                shared, odd = shared[: max(0, last + 1 - len(own))], _parities(s)
-                rows += [(gram, batch.column(0)[r].as_py(), len(s), len(own) + k, odd) for k, gram in enumerate(signed(shared).tolist())]
-            columns = list(zip(*rows, strict=True)) or [[]] * 5
-            lists = _lists(np.stack(columns[4])) if rows else pa.array([], pa.list_(pa.int64()))
-            yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in columns[:4]] + [lists], ["gram", "id", "n", "at", "odd"])
+        ids, lists, rows = batch.column(0), batch.column(1), []
+        edges, entries = lists.offsets.to_numpy(), lists.values
+        texts, grams = entries.field("texts").to_numpy(), entries.field("gram").to_numpy()
+        for r, (a, b) in enumerate(zip(edges, edges[1:], strict=False)):
+            order = np.lexsort((grams[a:b], texts[a:b]))
+            n, odd = b - a, _parities(grams[a:b].view(U64))
+            last = n - -(-LEAST_PERCENT * n // 100)  # later positions leave too few
+            first = np.searchsorted(texts[a:b][order], 2)
+            rows += [(grams[a:b][order[k]], ids[r].as_py(), n, k, odd) for k in range(first, last + 1)]
+        columns = list(zip(*rows, strict=True)) or [[]] * 5
+        odds = _lists(np.stack(columns[4])) if rows else pa.array([], pa.list_(pa.int64()))
+        yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in columns[:4]] + [odds], ["gram", "id", "n", "at", "odd"])
 
 
 def _similar_across(texts: DataFrame, left: DataFrame) -> DataFrame:
-    """Pairs (u > v) across components, one of each marked `other` in `left` (id, other, c), that may be similar.
+    """Pairs (u > v, cu, cv) across components, one of each marked `other` in `left` (id, other, c), that may be similar.
 
     An exact prefix join: with all shingles in one order, the first that a similar pair shares stands where
-    both sets still have the overlap that their sizes ask for. Shingles of one text only come first in the
-    order, so a text with many of them meets hardly any other, however large the group it resembles.
+    both sets still have the overlap that their sizes ask for. The order goes by the number of texts, the
+    rarest shingle first, so what very many texts have stands in a prefix only if nearly all of its text is
+    such; shingles of one text only aren't sent at all.
     Classes of shingles that the texts have an even and an odd number of each cost them one shared shingle
     or more; that bound is exact too, and leaves few pairs but those close to the threshold.
     """
-    grams = texts.mapInArrow(_grams, "id long, gram long")
-    own = grams.groupBy("gram").agg(F.count("*").alias("n"), F.min("id").alias("doc_id")).filter("n = 1")
-    own = own.groupBy("doc_id").agg(F.collect_list("gram").alias("own"))
-    prefixes = texts.join(own, "doc_id", "left").mapInArrow(_prefixes, "gram long, id long, n long, at long, odd array<long>")
+    grams = materialize(texts.mapInArrow(_grams, "id long, gram long"), "near-grams")
+    number = materialize(grams.groupBy("gram").agg(F.count("*").alias("n")).withColumn("texts", F.col("n")), "near-shingles")
+    lists = join_hot(grams, number, ["gram"], "n").groupBy("id").agg(F.collect_list(F.struct("texts", "gram")).alias("grams"))
+    prefixes = lists.mapInArrow(_prefixes, "gram long, id long, n long, at long, odd array<long>")
     prefixes = materialize(prefixes.join(left, "id"), "near-prefixes")
     a = prefixes.filter("other").select("gram", F.col("id").alias("u"), F.col("n").alias("nu"), F.col("at").alias("at_u"), F.col("c").alias("cu"), F.col("odd").alias("odd_u"))
     b = prefixes.select("gram", F.col("id").alias("v"), F.col("n").alias("nv"), F.col("at").alias("at_v"), F.col("c").alias("cv"), F.col("odd").alias("odd_v"))
@@ -132,88 +150,101 @@ def _similar_across(texts: DataFrame, left: DataFrame) -> DataFrame:
     apart = sum((F.bit_count(F.col("odd_u")[k].bitwiseXOR(F.col("odd_v")[k])) for k in range(16)), F.lit(0))
     enough = (100 + LEAST_PERCENT) * (F.col("nu") + F.col("nv") - apart) >= 2 * asked
     met = a.join(b, (a["gram"] == b["gram"]) & (F.col("cu") != F.col("cv")) & room("nu", "at_u") & room("nv", "at_v") & enough)
-    return met.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
+    first = F.col("u") > F.col("v")
+    return met.select(
+        F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"), F.when(first, F.col("cu")).otherwise(F.col("cv")).alias("cu"), F.when(first, F.col("cv")).otherwise(F.col("cu")).alias("cv")
+    ).distinct()
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """Classes of near-duplicate texts: (doc_id, n_shingles, component_id, kept), one row for each input row.
 
     Reads doc_id (whole number) and text. Texts are linked if the sets of their five-word shingles (A-Z
-    folded) have 100 * intersection >= 75 * union. Texts of equal sets are first reduced to the smallest
-    doc_id of them. The others are banded by min-max hashing: 144 permutations give minimum and maximum,
+    folded) have 100 * intersection >= 75 * union. Texts of equal sets are first made one class. Classes are
+    banded by min-max hashing: 144 permutations give minimum and maximum,
     48 bands hold six of these values each, so a pair of similarity 0.75 shares a band with probability
-    0.9999. Links are confirmed on full sets, in three steps: each document with the likeliest of
+    0.9999. Links are confirmed on full sets, in three steps: each class with the likeliest of
     the first members of its buckets; with the others of these; then the members of buckets that aren't
     all in one component by then by an exact prefix join across components. So a bucket of n members that
-    hang together takes n comparisons, and no link between two components is lost.
+    hang together takes n comparisons, and no link between two components is lost. The second and third step
+    merge components only, so their graphs are small.
 
     One-bit sketches skip pairs that are far from the threshold (beyond seven deviations). A text without
     words has an empty set and links with nothing; null text is such a text. A null doc_id is kept, with
-    itself (null) as component. Rows of one doc_id are one node. Empty input: no rows.
+    itself (null) as component. Rows of one doc_id are one node, which holds the classes of all its texts
+    together. A very long text is one step of a task. Other columns aren't read. Empty input: no rows.
     """
     base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     signed_docs = materialize(
         base.mapInArrow(_sign, "doc_id long, n_shingles long, h1 long, h2 long, bands array<long>, sketch array<long>"), "near-signed"
     )
-    some = signed_docs.filter("n_shingles > 0 and doc_id is not null")
-    classes = some.groupBy("n_shingles", "h1", "h2").agg(F.min("doc_id").alias("rep"))
-    members = materialize(some.select("doc_id", "n_shingles", "h1", "h2").join(classes, ["n_shingles", "h1", "h2"]).select("doc_id", "rep").distinct(), "near-classes")
-    # A doc_id with several texts is one node: its classes are linked through it.
-    reps = members.select(F.col("rep").alias("doc_id")).distinct()
-    keyed = some.join(reps, "doc_id", "left_semi").select(F.col("doc_id").alias("id"), F.explode("bands").alias("key"))
-    centres = keyed.groupBy("key").agg(F.min("id").alias("centre"), F.max("id").alias("last")).filter("centre < last").drop("last")
-    buckets = materialize(keyed.join(centres, "key"), "near-buckets")
-    sketches = some.join(reps, "doc_id", "left_semi").groupBy(F.col("doc_id").alias("id")).agg(F.first("sketch").alias("sketch"))
-    stars = buckets.filter("id <> centre").select("id", "centre").distinct()
-    stars = materialize(
-        stars.join(sketches, "id").join(sketches.select(F.col("id").alias("centre"), F.col("sketch").alias("c_sketch")), "centre")
-        .withColumn("bits", _differing("sketch", "c_sketch")).filter(F.col("bits") <= MOST_BITS).select("id", "centre", "bits"),
-        "near-stars",
+    some, of_set = signed_docs.filter("n_shingles > 0 and doc_id is not null"), ["n_shingles", "h1", "h2"]
+    classes = materialize(
+        some.groupBy(*of_set).agg(F.min("doc_id").alias("rep"), F.count("*").alias("n")).withColumn("id", F.monotonically_increasing_id()), "near-classes"
     )
-    wanted = buckets.select(F.col("id").alias("doc_id")).distinct()
-    texts = materialize(base.join(wanted, "doc_id", "left_semi"), "near-texts")
+    reps = materialize(
+        some.join(classes.select("id", F.col("rep").alias("doc_id"), *of_set), ["doc_id", *of_set]).select("id", "doc_id", "bands", "sketch").dropDuplicates(["id"]), "near-reps"
+    )
+    keyed = reps.select("id", F.explode("bands").alias("key"))
+    centres = keyed.groupBy("key").agg(F.min("id").alias("centre"), F.max("id").alias("last"), F.count("*").alias("n")).filter("centre < last").drop("last")
+    buckets = materialize(join_hot(keyed, materialize(centres, "near-centres"), ["key"], "n"), "near-buckets")
+    sketches = reps.select("id", "sketch")
+    stars = materialize(buckets.filter("id <> centre").select("id", "centre").distinct().join(sketches, "id"), "near-stars")
+    of_centre = stars.groupBy("centre").agg(F.count("*").alias("n")).join(sketches.select(F.col("id").alias("centre"), F.col("sketch").alias("c_sketch")), "centre")
+    stars = join_hot(stars, materialize(of_centre, "near-stars"), ["centre"], "n")
+    stars = materialize(stars.select("id", "centre", _differing("sketch", "c_sketch").alias("bits")).filter(F.col("bits") <= MOST_BITS), "near-stars")
+    # Texts of the classes that share a bucket: by the class's first document, of whose texts the one with this set.
+    asked = reps.join(buckets.select("id").distinct(), "id", "left_semi").join(classes.select("id", *of_set), "id")
+    texts = materialize(base.join(asked.select("id", "doc_id", *of_set), "doc_id").mapInArrow(_right_text, "id long, text string").dropDuplicates(["id"]), "near-texts")
 
     def linked(pairs: DataFrame) -> DataFrame:
-        a = texts.select(F.col("doc_id").alias("u"), F.col("text").alias("u_text"))
-        b = texts.select(F.col("doc_id").alias("v"), F.col("text").alias("v_text"))
-        return pairs.join(a, "u").join(b, "v").select("u", "v", "u_text", "v_text").mapInArrow(_verify, "u long, v long")
+        """Of pairs (u, v, cu, cv) the true links; v may be in very many."""
+        pairs, ends = salted(pairs, texts.select(F.col("id").alias("v"), F.col("text").alias("v_text")), "v", "u")
+        a = texts.select(F.col("id").alias("u"), F.col("text").alias("u_text"))
+        both = pairs.join(ends, ["v", "salt"]).join(a, "u").select("u", "v", "cu", "cv", "u_text", "v_text")
+        return both.mapInArrow(_verify, "u long, v long, cu long, cv long")
+
+    def labelled(links: DataFrame, labels: DataFrame) -> DataFrame:
+        """(id, c) with the components joined that the links (cu, cv) hold together."""
+        merged = components(links.select(F.col("cu").alias("u"), F.col("cv").alias("v"))).withColumnRenamed("id", "c")
+        return materialize(labels.join(merged, "c", "left").select("id", F.coalesce("component", "c").alias("c")), "near-labels")
+
+    def apart(pairs: DataFrame, labels: DataFrame) -> DataFrame:
+        """(u, v, cu, cv): pairs whose ends aren't known to be in one component, with the components."""
+        ends = [labels.select(F.col("id").alias(x), F.col("c").alias(f"c{x}")) for x in "uv"]
+        return pairs.join(ends[0], "u").join(ends[1], "v").filter("cu <> cv").select("u", "v", "cu", "cv")
 
     one = F.min(F.struct("bits", "centre"))["centre"]
-    first = materialize(stars.groupBy("id").agg(one.alias("v")).select(F.col("id").alias("u"), "v"), "near-pairs")
-    links = members.filter("doc_id <> rep").select(F.col("doc_id").alias("u"), F.col("rep").alias("v")).union(linked(first))
-    comps = components(links)
-
-    def apart(pairs: DataFrame) -> DataFrame:
-        """Pairs whose ends aren't known to be in one component."""
-        c = comps.withColumnRenamed("component", "c")
-        return (
-            pairs.join(c.select(F.col("id").alias("u"), F.col("c").alias("cu")), "u", "left")
-            .join(c.select(F.col("id").alias("v"), F.col("c").alias("cv")), "v", "left")
-            .filter(F.coalesce("cu", "u") != F.coalesce("cv", "v")).select("u", "v")
-        )
-
-    second = materialize(apart(stars.select(F.col("id").alias("u"), F.col("centre").alias("v")).join(first, ["u", "v"], "left_anti")), "near-pairs")
-    stars_of = comps.select(F.col("id").alias("u"), F.col("component").alias("v"))
-    comps = components(stars_of.union(linked(second)))
-
-    labelled = (
-        buckets.join(comps, "id", "left").withColumn("c", F.coalesce("component", "id"))
-        .join(comps.select(F.col("id").alias("centre"), F.col("component").alias("cc")), "centre", "left")
-        .select("key", "id", "c", (F.col("c") != F.coalesce("cc", "centre")).alias("other"))
-    )
-    mixed = labelled.join(labelled.filter("other").select("key").distinct(), "key", "left_semi")
+    first = materialize(stars.groupBy("id").agg(one.alias("v")).select(F.col("id").alias("u"), "v", F.col("id").alias("cu"), F.col("v").alias("cv")), "near-pairs")
+    links = linked(first)
+    several = materialize(some.groupBy("doc_id").agg(F.count("*").alias("n")).filter("n > 1").drop("n"), "near-several")
+    if several.limit(1).count():  # a doc_id with several rows holds their classes together
+        own = some.join(several, "doc_id").select("doc_id", *of_set).distinct().join(classes, of_set).select("doc_id", F.col("id").alias("u"))
+        links = links.unionByName(own.join(own.groupBy("doc_id").agg(F.min("u").alias("v")), "doc_id").select("u", "v", F.col("u").alias("cu"), F.col("v").alias("cv")))
+    labels = labelled(links, classes.select("id", F.col("id").alias("c")))
+
+    rest = stars.select(F.col("id").alias("u"), F.col("centre").alias("v")).join(first, ["u", "v"], "left_anti")
+    second = materialize(apart(rest, labels), "near-pairs")
+    labels = labelled(linked(second), labels)
+
+    places = buckets.join(labels, "id").join(labels.select(F.col("id").alias("centre"), F.col("c").alias("cc")), "centre")
+    places = materialize(places.select("key", "id", "c", (F.col("c") != F.col("cc")).alias("other")), "near-places")
+    mixed = places.join(places.filter("other").select("key").distinct(), "key", "left_semi")
     left = materialize(mixed.groupBy("id").agg(F.max("other").alias("other"), F.min("c").alias("c")), "near-left")
-    third = _similar_across(texts.join(left.select(F.col("id").alias("doc_id")), "doc_id", "left_semi"), left)
-    third = materialize(third.join(first.union(second), ["u", "v"], "left_anti"), "near-pairs")
-    comps = components(comps.select(F.col("id").alias("u"), F.col("component").alias("v")).union(linked(third)))
-
-    found = comps.select(F.col("id").alias("doc_id"), "component")
-    return signed_docs.select("doc_id", "n_shingles").join(found, "doc_id", "left").select(
-        "doc_id",
-        "n_shingles",
-        F.coalesce("component", "doc_id").alias("component_id"),
-        F.coalesce(F.col("component") == F.col("doc_id"), F.lit(True)).alias("kept"),
-    )
+    if left.limit(1).count():
+        third = _similar_across(texts.join(left.select("id"), "id", "left_semi"), left)
+        seen = first.select("u", "v").union(second.select("u", "v"))
+        seen = seen.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
+        labels = labelled(linked(materialize(third.join(seen, ["u", "v"], "left_anti"), "near-pairs")), labels)
+
+    named = labels.join(classes, "id")
+    smallest = named.groupBy("c").agg(F.min("rep").alias("component"))
+    named = materialize(named.join(smallest, "c").select(*of_set, "component", "n"), "near-named")
+    rows = signed_docs.select("doc_id", *of_set)
+    alone = rows.filter("n_shingles = 0 or doc_id is null").select("doc_id", "n_shingles", F.col("doc_id").alias("component"))
+    found = join_hot(rows.filter("n_shingles > 0 and doc_id is not null"), named, of_set, "n").select("doc_id", "n_shingles", "component").unionByName(alone)
+    # A doc_id with several texts is one node, whichever of them is empty.
+    return found.select("doc_id", "n_shingles", F.col("component").alias("component_id"), F.coalesce(F.col("component") == F.col("doc_id"), F.lit(True)).alias("kept"))
 
 
 ORACLE = r"""

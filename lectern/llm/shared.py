@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from lectern.operators.tables import drop, kept as materialize, new_path, shared_dir
 
-__all__ = ["WORD", "drop", "join_hot", "materialize", "new_path", "read", "shared_dir", "word_count"]
+__all__ = ["WORD", "drop", "join_hot", "materialize", "new_path", "read", "salted", "shared_dir", "word_count"]
 
 #: A word is a run of bytes that are neither blank nor one of the five ASCII line and tab controls.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -36,6 +36,22 @@ def join_hot(rows: DataFrame, table: DataFrame, keys: Sequence[str], number: str
     return rest.unionByName(rows.join(F.broadcast(many.drop(number)), list(keys)))
 
 
+def salted(rows: DataFrame, table: DataFrame, key: str, by: str) -> tuple[DataFrame, DataFrame]:
+    """Both with a column salt, to be joined on key and salt: for rows with a key of `table` that very many of them have.
+
+    Such a key's rows, dealt by the column `by`, get as many salts as they are shares of 1 / HOT_KEYS, and its
+    row in `table` is repeated as often: at most 2 * HOT_KEYS rows more in all, however wide they are. `rows` is
+    read three times and should be a written table.
+    """
+    least = max(1000, -(-rows.count() // HOT_KEYS))
+    hot = rows.groupBy(F.col(key).alias("_hot")).agg(F.count("*").alias("_n")).filter(F.col("_n") >= least)
+    hot = F.broadcast(materialize(hot.select("_hot", F.ceil(F.col("_n") / least).cast("int").alias("_salts")), "hot-keys"))  # HOT_KEYS rows at most
+    salt = F.coalesce(F.pmod(F.xxhash64(by), F.col("_salts")), F.lit(0)).cast("int").alias("salt")
+    dealt = rows.join(hot, F.col(key) == F.col("_hot"), "left").select(*rows.columns, salt)
+    salts = F.explode(F.sequence(F.lit(0), F.coalesce("_salts", F.lit(1)) - 1)).alias("salt")
+    return dealt, table.join(hot, F.col(key) == F.col("_hot"), "left").select(*table.columns, salts)
+
+
 def word_count(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
 

@@ -239,3 +239,52 @@ def test_lines(spark, texts):
 def test_empty(spark, run):
     assert run(frame(spark, [])).collect() == []
     assert len(run(frame(spark, [(None, None), (1, None), (1, None)])).collect()) == 3
+
+
+def components_of(texts):
+    """Smallest doc_id that each reaches; rows of one doc_id are one node."""
+    parent = {i: i for i, _ in texts}
+
+    def root(i):
+        while parent[i] != i:
+            i = parent[i]
+        return i
+
+    sets = [(i, shingles(t)) for i, t in texts]
+    for k, (i, a) in enumerate(sets):
+        for j, b in sets[:k]:
+            if a and 100 * len(a & b) >= 75 * len(a | b):
+                x, y = sorted((root(i), root(j)))
+                parent[y] = x
+    return {i: root(i) for i in parent}
+
+
+def test_one_doc_id_with_two_texts(spark):
+    rng = random.Random(21)
+    base, other = passage(rng, 60), passage(rng, 60)
+    near = lambda words: " ".join(words[:-1] + ["own"])
+    texts = [(5, " ".join(base)), (5, near(other)), (9, " ".join(other)), (11, near(base)), (12, " ".join(passage(rng, 40))), (5, ""), (5, None)]
+    got = {(r.doc_id, r.n_shingles): r.component_id for r in minhash.near_duplicates(frame(spark, texts)).collect()}
+    want = components_of(texts)
+    assert want == {5: 5, 9: 5, 11: 5, 12: 12} and {d: c for (d, _), c in got.items()} == want
+
+
+def test_near_duplicates_with_shingles_that_all_texts_have(spark, monkeypatch):
+    """A heading in every text, near copies across bad centres, and joins that deal out hot keys."""
+    from lectern.llm import shared
+
+    rng = random.Random(22)
+    heading, texts = " ".join(passage(rng, 12)), []
+    for g in range(12):
+        base = passage(rng, 70)
+        for k in range(6):
+            words = list(base)
+            for p in rng.sample(range(0, 70, 10), k % 4):
+                words[p] = rng.choice(WORDS)
+            texts.append((len(texts), f"{heading} {' '.join(words)}"))
+    texts += [(len(texts) + i, texts[0][1]) for i in range(30)]
+    monkeypatch.setattr(shared, "HOT_KEYS", 1 << 40)
+    builtin = max
+    monkeypatch.setattr(shared, "max", lambda *a: 2 if a[0] == 1000 else builtin(*a), raising=False)
+    got = {r.doc_id: r.component_id for r in minhash.near_duplicates(frame(spark, texts)).collect()}
+    assert got == components_of(texts)
