@@ -14,10 +14,10 @@ from pyspark.sql import functions as F
 
 from lectern.llm.bytesops import U64, blocks, byte_codes, byte_view, mix, randoms, signed, span_hashes
 
-#: Bytes of a repeated string, of a sample, and of the q-grams that make the initial buckets.
-LENGTH, Q, INITIAL = 50, 16, 8
-#: Offsets by whose bucket pointers the buckets are refined: from 8 bytes to 16, 32 and 50.
-OFFSETS = (8, 16, LENGTH - 32)
+#: Bytes of a repeated string, and of a sample.
+LENGTH, Q = 50, 16
+#: Bytes of stretches that are refined at once; a sample's stretches stay together.
+AT_ONCE = 1 << 18
 #: Bytes of text that one bucket of sampled q-grams stands for.
 BUCKET_BYTES = 2_000_000
 #: Stretches around one sample from which on their strings are dealt one by one; they are counted in one document of COUNTED.
@@ -44,37 +44,86 @@ def _group_starts(keys: np.ndarray) -> np.ndarray:
     return np.maximum.accumulate(np.where(new, np.arange(len(keys)), 0))
 
 
+def _sorted(keys: np.ndarray, places: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Keys and their places (below n), by key; one number for both is sorted if they fit in it."""
+    bits = n.bit_length()
+    if len(keys) and int(keys.max()).bit_length() + bits > 63:
+        order = np.argsort(keys)
+        return keys[order], places[order]
+    both = keys << bits
+    both |= places
+    both.sort()
+    return both >> bits, both & ((1 << bits) - 1)
+
+
 def refine(data: np.ndarray, room: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(places, buckets): the places of equal LENGTH-byte strings and their bucket pointers, by bucket.
 
     room: bytes from each place to the end of its stretch. The initial buckets are those of the sorted
-    8-byte strings; a bucket's pointer is where it starts in the order. A bucket of several places
-    is refined by sorting these on the pointers of the places 8, then 16, then 18 bytes on, which earlier
-    refinement has made stand for 8, 16 and 32 bytes. The new buckets take pointers within the old one's
-    range, so those of single places never change. Nothing is hashed: equal pointers mean equal bytes.
+    q-grams, q being the bytes that fit in one number; a bucket's pointer is where it starts in the order. A
+    bucket of several places is refined by sorting these on the pointers of the places q, then 2q, 4q ...
+    bytes on, which earlier refinement has made stand for as many bytes, up to LENGTH. The new buckets take
+    pointers within the old one's range, so those of single places never change. Nothing is hashed: equal
+    pointers mean equal bytes.
     """
-    grams = np.zeros(len(data), U64)
-    for k in range(INITIAL):
-        grams <<= U64(8)
-        grams[: len(data) - k] |= data[k:]
-    places = np.flatnonzero(room >= INITIAL)
-    places = places[np.argsort(grams[places])]
-    pointers, have = np.zeros(len(data), np.int64), INITIAL
-    pointers[places] = _group_starts(grams[places])
-    del grams
-    for offset in OFFSETS:
+    n, letters = len(data), np.bincount(data, minlength=256) > 0
+    codes, bits = (np.cumsum(letters) - 1)[data], max(1, int(letters.sum() - 1).bit_length())
+    have = max(1, min(LENGTH // 2, (63 - n.bit_length()) // bits))
+    places = np.flatnonzero(room >= have)
+    grams = codes[places]
+    for k in range(1, have):
+        grams = grams << bits | codes[places + k]
+    grams, places = _sorted(grams, places, n)
+    pointers = np.zeros(n, np.int64)
+    pointers[places] = _group_starts(grams)
+    while have < LENGTH:
+        offset = min(have, LENGTH - have)
         own = pointers[places]
         several = np.bincount(own, minlength=1)[own] > 1
         have += offset
         places = places[several & (room[places] >= have)]
-        keys = pointers[places] * len(data) + pointers[places + offset]
-        order = np.argsort(keys)
-        places, keys = places[order], keys[order]
+        keys, places = _sorted(pointers[places] * n + pointers[places + offset], places, n)
         own = pointers[places]
         pointers[places] = own + _group_starts(keys) - _group_starts(own)
     return places, pointers[places]
 
 
+def repeated(bodies: list[bytes], docs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(stretch, lo, hi): what of each stretch a stretch of a smaller document holds as well, in strings of LENGTH bytes.
+
+    Equal strings have equal samples, so stretches are refined sample by sample, many small ones at once.
+    """
+    sizes = np.array([len(b) for b in bodies], np.int64)
+    body, ends = np.frombuffer(b"".join(bodies), np.uint8), np.cumsum(sizes)
+    names = np.append(short_names(body), np.full(Q - 1, ~U64(0), U64))
+    for k in range(1, Q):
+        names[ends - k] = ~U64(0)  # strings over an end
+    sample = np.minimum.reduceat(names, ends - sizes)
+    order = np.argsort(sample, kind="stable")
+    filled, opens, out = np.cumsum(sizes[order]), np.append(_group_starts(sample[order]), len(order)), []
+    a = 0
+    while a < len(order):
+        b = int(np.searchsorted(filled, filled[a] - sizes[order[a]] + AT_ONCE, "right"))
+        b = int(opens[b]) if opens[b] > a else int(np.searchsorted(opens, opens[a], "right"))
+        own = order[a:b]
+        data = np.frombuffer(b"".join([bodies[k] for k in own.tolist()]), np.uint8)
+        size, a = sizes[own], b
+        end = np.cumsum(size)
+        owner = np.repeat(np.arange(len(own)), size)
+        places, buckets = refine(data, end[owner] - np.arange(len(data)))
+        if not len(places):
+            continue
+        held, start = docs[own][owner[places]], _group_starts(buckets)
+        groups = np.flatnonzero(start == np.arange(len(start)))
+        first = np.minimum.reduceat(held, groups)
+        hit = np.sort(places[held > np.repeat(first, np.diff(np.append(groups, len(held))))])
+        if len(hit):
+            who, lo = owner[hit], hit - (end - size)[owner[hit]]
+            new = np.flatnonzero(np.concatenate([[True], (who[1:] != who[:-1]) | (lo[1:] > lo[:-1] + 1)]))
+            out.append((own[who[new]], lo[new], lo[np.append(new[1:], len(lo)) - 1] + LENGTH))
+    return tuple(np.concatenate(x) for x in zip(*out, strict=True)) if out else (np.zeros(0, np.int64),) * 3
+
+
 def _sliding_min(values: np.ndarray, width: int) -> np.ndarray:
     have = 1
     while 2 * have <= width:
@@ -304,25 +353,30 @@ def _compare(table: pa.Table) -> pa.Table:
     sent = table.filter(pa.array(~known))
     docs, rows, at = (pick(sent, n) for n in ("docs", "rows", "at"))
     if len(docs):
-        ends = [x.values.to_numpy() for x in sent["ends"]]
-        body = np.concatenate([unpack(int(e[-1]), b) for e, b in zip(ends, sent["body"].to_pylist(), strict=True)])
-        sizes = np.concatenate([np.diff(e, prepend=0) for e in ends]).astype(np.int64)
-        begin = np.cumsum(sizes) - sizes
-        owner = np.repeat(np.arange(len(docs)), sizes)
-        places, buckets = refine(body, np.repeat(begin + sizes, sizes) - np.arange(len(body)))
-        gone = np.zeros(len(body), bool)
-        if len(places):
-            held, start = docs[owner[places]], _group_starts(buckets)
-            first = np.minimum.reduceat(held, np.unique(start))
-            gone[places] = held > np.repeat(first, np.diff(np.append(np.unique(start), len(held))))
-        hit = np.flatnonzero(gone)
-        if len(hit):
-            who, lo = owner[hit], at[owner[hit]] + hit - begin[owner[hit]]
-            opens = np.concatenate([[True], (who[1:] != who[:-1]) | (lo[1:] > lo[:-1] + 1)])
-            a = np.flatnonzero(opens)
-            b = np.append(a[1:], len(lo)) - 1
-            for x, v in zip(out, (docs[who[a]], rows[who[a]], lo[a], lo[b] + LENGTH), strict=True):
-                x.append(v)
+        kinds: dict[bytes, int] = {}  # equal stretches are one
+        kind, sizes = [], []
+        for e, b in zip(sent["ends"], sent["body"].to_pylist(), strict=True):
+            e = e.values.to_numpy().tolist()
+            body = unpack(e[-1], b).tobytes()
+            for i, j in zip([0, *e], e, strict=False):
+                kind.append(kinds.setdefault(body[i:j], len(kinds)))
+                sizes.append(j - i)
+        kind, sizes = np.array(kind), np.array(sizes, np.int64)
+        least = np.full(len(kinds), np.iinfo(np.int64).max)
+        np.minimum.at(least, kind, docs)
+        copy = docs > least[kind]
+        for x, v in zip(out, (docs, rows, at, at + sizes), strict=True):
+            x.append(v[copy])
+        which, lo, hi = repeated(list(kinds), least)
+        # What holds for a kind holds for each of its stretches in the kind's smallest document.
+        by = np.argsort(which, kind="stable")
+        which, lo, hi = which[by], lo[by], hi[by]
+        mine = np.flatnonzero(~copy)
+        a, b = (np.searchsorted(which, kind[mine], side) for side in ("left", "right"))
+        one = np.repeat(mine, b - a)
+        take = np.repeat(a, b - a) + np.arange(len(one)) - np.repeat(np.cumsum(b - a) - (b - a), b - a)
+        for x, v in zip(out, (docs[one], rows[one], at[one] + lo[take], at[one] + hi[take]), strict=True):
+            x.append(v)
     return pa.table({n: pa.array(np.concatenate(x), pa.int64()) for n, x in zip(("doc_id", "row_key", "lo", "hi"), out, strict=True)})
 
 
