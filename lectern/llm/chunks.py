@@ -6,17 +6,15 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window as W
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lectern.llm.bytesops import U64, blocks, byte_codes, byte_view, randoms, signed, span_hashes
-from lectern.llm.shared import materialize
+from lectern.llm.shared import join_hot, materialize
 from lectern.llm.suffixes import CUT, cut, keyed, own_spans, span_lists, with_cuts
 
 #: Bits of the rolling hash that are zero at a cut, least bytes from a cut to the next, most bytes of a chunk.
-CUT_BITS, NEAREST, MOST = 4, 14, 512
-#: A run of repeated chunks is removed from this many bytes.
-LEAST_RUN = 50
+CUT_BITS, NEAREST, MOST = 5, 30, 1024
 _GEAR = (randoms(51, 256) >> U64(20)).astype(np.uint32)
 
 
@@ -61,37 +59,35 @@ def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             rows, ends = cut_points(part, bounds)
             starts = np.concatenate([[0], ends[:-1]])
             digests = [signed(span_hashes(byte_codes(part, second), starts, ends, second)) for second in (False, True)]
+            order = np.lexsort((*digests, rows))
+            again = np.zeros(len(rows), bool)  # the text has the chunk before
+            again[order[1:]] = np.logical_and.reduce([x[order[1:]] == x[order[:-1]] for x in (rows, *digests)])
             sides = [batch.column(k).slice(a, b - a).take(pa.array(rows)) for k in (0, 1)]
             yield pa.RecordBatch.from_arrays(
-                [*sides, pa.array(digests[0]), pa.array(digests[1]), pa.array((starts - bounds[rows]).astype(np.int32)), pa.array((ends - bounds[rows]).astype(np.int32))],
-                ["doc_id", "row_key", "h1", "h2", "lo", "hi"],
+                [*sides, pa.array(digests[0]), pa.array(digests[1]), pa.array((starts - bounds[rows]).astype(np.int32)), pa.array((ends - bounds[rows]).astype(np.int32)), pa.array(again)],
+                ["doc_id", "row_key", "h1", "h2", "lo", "hi", "again"],
             )
 
 
-def dedup_chunks(docs: DataFrame, least_run: int = LEAST_RUN) -> DataFrame:
-    """Remove chunks that earlier documents have: (doc_id, n_bytes, n_removed, n_spans, kept_sha256), a row for each input row.
+def dedup_chunks(docs: DataFrame) -> DataFrame:
+    """Remove chunks that occurred before: (doc_id, n_bytes, n_removed, n_spans, kept_sha256), a row for each input row.
 
     Reads doc_id (whole number) and text, as UTF-8 bytes. Texts are cut where a gear rolling hash of the last
-    32 bytes says so (some 40 bytes a chunk), so a shifted copy has the same chunks. A chunk is a repeat if its
-    128-bit digest occurs in a document of smaller doc_id; runs of neighbouring repeats go if they
-    come to `least_run` bytes, shorter ones are taken for chance and stay.
+    32 bytes says so (some 90 bytes a chunk), so a shifted copy has the same chunks. A chunk goes if its
+    128-bit digest occurs at an earlier place, in a document of smaller doc_id or before it in its own;
+    n_spans counts maximal runs of removed bytes. Chunks under 31 bytes are ends of texts, short texts among them.
 
-    Digests are reduced by min and joined back, both in parts that adaptive execution can split; no group of
-    equal chunks is gathered. Only texts that lose something meet their spans. Null text is empty. A null doc_id
-    neither gives nor loses anything. Rows of one doc_id don't affect each other; each comes back. Empty input: no rows.
+    Texts are chunked once; digests are reduced by min and joined back, digests that very many chunks have
+    by a broadcast of at most 4096 of them; no group of equal chunks is gathered. Only texts that lose something
+    meet their spans. Null text is empty. A null doc_id neither gives nor loses anything. Rows of one doc_id with
+    different texts don't affect each other, equal ones are cut alike; each comes back. Empty input: no rows.
     """
     base = keyed(docs)
-    chunks = base.filter("doc_id is not null").mapInArrow(_chunks, "doc_id long, row_key long, h1 long, h2 long, lo int, hi int")
-    first = chunks.groupBy("h1", "h2").agg(F.min("doc_id").alias("first_id"), F.max("doc_id").alias("last_id")).filter("first_id < last_id")
-    repeats = materialize(chunks.join(first, ["h1", "h2"]).filter("doc_id > first_id").select("doc_id", "row_key", "lo", "hi"), "chunk-repeats")
-    # A run goes on while a repeat starts where the last one ended; windows hold one text's chunks.
-    order = W.partitionBy("doc_id", "row_key").orderBy("lo", "hi")
-    opens = F.coalesce(F.lag("hi").over(order) < F.col("lo"), F.lit(True)).cast("int")
-    runs = (
-        repeats.distinct().withColumn("opens", opens).withColumn("run", F.sum("opens").over(order))
-        .groupBy("doc_id", "row_key", "run").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"))
-        .filter(F.col("hi") - F.col("lo") >= least_run).drop("run")
-    )
-    spans = materialize(runs, "chunk-runs")
+    chunks = base.filter("doc_id is not null").mapInArrow(_chunks, "doc_id long, row_key long, h1 long, h2 long, lo int, hi int, again boolean")
+    chunks = materialize(chunks, "chunks")
+    first = chunks.groupBy("h1", "h2").agg(F.min("doc_id").alias("first_id"), F.max("doc_id").alias("last_id"), F.count("*").alias("n"))
+    first = materialize(first.filter("first_id < last_id").drop("last_id"), "chunk-firsts")
+    copies = join_hot(chunks.filter("not again").drop("again"), first, ["h1", "h2"], "n").filter("doc_id > first_id")
+    spans = materialize(copies.select("doc_id", "row_key", "lo", "hi").unionByName(chunks.filter("again").select("doc_id", "row_key", "lo", "hi")), "chunk-repeats")
     losing = base.join(span_lists(spans), F.col("doc_id") == F.col("span_id")).select("doc_id", "row_key", "text", own_spans())
     return with_cuts(base, losing.mapInArrow(cut, CUT))

@@ -172,28 +172,40 @@ def test_suffixes_spread_a_frequent_phrase(spark, texts, monkeypatch):
     assert {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in got} == brute_suffix(texts + hot)
 
 
+def brute_chunks(data):
+    """Chunks by a gear hash that is rolled byte by byte."""
+    gear, low, cuts = 0, [], []
+    for i, c in enumerate(data):
+        gear = (2 * gear + int(chunks._GEAR[c])) % 2**32
+        inside = i + 1 < len(data) and data[i + 1] & 0xC0 == 0x80
+        if gear < 2 ** (32 - chunks.CUT_BITS) and not inside:
+            if not low or i - low[-1] > chunks.NEAREST:
+                cuts.append(i + 1)
+            low.append(i)
+    ends, at = [], 0
+    for end in sorted({*cuts, len(data)} - {0}):
+        ends += [x for x in range(at + chunks.MOST, end, chunks.MOST) if data[x] & 0xC0 != 0x80] + [end]
+        at = end
+    return [(a, b, data[a:b]) for a, b in zip([0, *ends], ends)]
+
+
 def test_chunks(spark, texts):
     seen, want = set(), {}
+    texts = texts + [(5000 + i, t) for i, t in enumerate([" ".join(WORDS[:60]) * 3, "short", "short", "x" * 40_000 + "short"])]
     for i, t in sorted(texts):
-        data = np.frombuffer((t or "").encode(), np.uint8)
-        ends = chunks.cut_points(data, np.array([0, len(data)]))[1] if len(data) else []
-        parts = [(a, b, bytes(data[a:b])) for a, b in zip([0, *ends[:-1]], ends)]
-        assert b"".join(p[2] for p in parts) == bytes(data)
-        gone, run = bytearray(len(data)), [0, 0]
-        for a, b, part in [*parts, (len(data), len(data), b"")]:
-            if part and part in seen:
-                run = [run[0], b] if run[1] == a and run[1] > run[0] else [a, b]
-            else:
-                if run[1] - run[0] >= chunks.LEAST_RUN:
-                    gone[run[0] : run[1]] = b"\1" * (run[1] - run[0])
-                run = [0, 0]
-        seen |= {p[2] for p in parts}
-        want[i] = (len(data), sum(gone), hashlib.sha256(bytes(c for c, g in zip(data, gone) if not g)).hexdigest())
-    got = chunks.dedup_chunks(frame(spark, texts + [(None, "x" * 300)])).collect()
-    assert len(got) == len(texts) + 1
+        data = (t or "").encode()
+        parts, gone = brute_chunks(data), bytearray(len(data))
+        assert b"".join(p[2] for p in parts) == data
+        for a, b, part in parts:
+            if part in seen:
+                gone[a:b] = b"\1" * (b - a)
+            seen.add(part)
+        want[i] = (len(data), sum(gone), len(re.findall(b"\1+", gone)), hashlib.sha256(bytes(c for c, g in zip(data, gone) if not g)).hexdigest())
+    got = chunks.dedup_chunks(frame(spark, texts + texts[:3] + [(None, "x" * 300)])).collect()
+    assert len(got) == len(texts) + 4
     for r in got:
         if r.doc_id is not None:
-            assert (r.n_bytes, r.n_removed, r.kept_sha256) == want[r.doc_id]
+            assert (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) == want[r.doc_id]
     assert sum(r.n_removed > 0 for r in got) > 5
 
 
