@@ -14,7 +14,7 @@ from lectern.llm.shared import join_hot, materialize
 from lectern.llm.suffixes import CUT, cut, keyed, own_spans, span_lists, with_cuts
 
 #: Bits of the rolling hash that are zero at a cut, least bytes from a cut to the next, most bytes of a chunk.
-CUT_BITS, NEAREST, MOST = 5, 30, 1024
+CUT_BITS, NEAREST, MOST = 6, 40, 1024
 _GEAR = (randoms(51, 256) >> U64(20)).astype(np.uint32)
 
 
@@ -73,9 +73,9 @@ def dedup_chunks(docs: DataFrame) -> DataFrame:
     """Remove chunks that occurred before: (doc_id, n_bytes, n_removed, n_spans, kept_sha256), a row for each input row.
 
     Reads doc_id (whole number) and text, as UTF-8 bytes. Texts are cut where a gear rolling hash of the last
-    32 bytes says so (some 90 bytes a chunk), so a shifted copy has the same chunks. A chunk goes if its
+    32 bytes says so (some 130 bytes a chunk), so a shifted copy has the same chunks. A chunk goes if its
     128-bit digest occurs at an earlier place, in a document of smaller doc_id or before it in its own;
-    n_spans counts maximal runs of removed bytes. Chunks under 31 bytes are ends of texts, short texts among them.
+    n_spans counts maximal runs of removed bytes. Chunks under 41 bytes are ends of texts, short texts among them.
 
     Texts are chunked once; digests are reduced by min and joined back, digests that very many chunks have
     by a broadcast of at most 4096 of them; no group of equal chunks is gathered. Only texts that lose something

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from lectern.llm import chunks, decontaminate, lines, minhash, mixing, neighbours, quality, suffixes, token_counts, url_templates
-from lectern.llm.shared import new_path, read
+from lectern.llm.shared import materialize, new_path, read
 
 
 def op1_near_duplicates(spark, sf_dir):
@@ -41,10 +41,22 @@ def op8_decontamination(spark, sf_dir):
 
 
 def op9_token_counts(spark, sf_dir):
-    """All documents as one batch of inserts, committed to a new store."""
-    store = new_path(spark, "token-store")
-    inserts = read(spark, sf_dir, "documents").select(F.lit("insert").alias("kind"), "source", "lang", "text", F.lit(None).cast("string").alias("old_text"))
-    token_counts.commit(token_counts.token_deltas(inserts), store, 1)
+    """Token counts of all documents, kept up to date over three batches and a replay.
+
+    Batch 1 inserts every document as a crawl in lower case had it, and the benchmark by mistake; batch 2 revises
+    every document to its text as it is; batch 3 takes the benchmark out. Batch 2 then comes once more.
+    """
+    store, none = new_path(spark, "token-store"), F.lit(None).cast("string")
+    docs = read(spark, sf_dir, "documents").select("source", "lang", "text", F.lower("text").alias("before"))
+    stray = read(spark, sf_dir, "benchmark").select(F.lit("benchmark").alias("source"), none.alias("lang"), "text")
+    row = lambda df, kind, text, old: df.select(F.lit(kind).alias("kind"), "source", "lang", F.col(text).alias("text"), old.alias("old_text"))
+    first = row(docs, "insert", "before", none).union(row(stray, "insert", "text", none))
+    token_counts.commit(token_counts.token_deltas(first), store, 1)
+    revised = materialize(token_counts.token_deltas(row(docs, "revise", "text", F.col("before"))), "token-deltas")
+    token_counts.commit(revised, store, 2)
+    token_counts.commit(token_counts.token_deltas(row(stray, "delete", "text", none)), store, 3)
+    token_counts.commit(revised, store, 2)
+    token_counts.compact(spark, store)
     return token_counts.totals(spark, store)
 
 

@@ -3,17 +3,19 @@
 from __future__ import annotations
 
 import base64
+import json
+import uuid
 from collections.abc import Iterator
-from functools import lru_cache
+from functools import lru_cache, reduce
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 #: The public vocabulary's file and its split pattern.
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 PATTERN = r"""'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
-KEYS = ["source", "lang", "tokenizer"]
+KEYS, COUNTS = ["source", "lang", "tokenizer"], ["n_docs", "n_tokens"]
 
 
 @lru_cache(2)
@@ -44,7 +46,8 @@ def token_deltas(changes: DataFrame, tokenizer: str = "byte_bpe_50k", path: str
 
     Reads kind, source, lang, text and old_text. kind insert counts text, delete takes the count of text
     away, revise adds the count of text less that of old_text; any other or null kind changes nothing.
-    Null text counts 0. Null source or lang is a group of its own. Empty input: no rows.
+    Null text counts 0. Null source or lang is a group of its own. Repeated rows count each time; there is no
+    order, so no ties. A very long text is encoded whole. Other columns aren't read. Empty input: no rows.
     """
     counted = count_tokens(
         changes.select("kind", "source", "lang", F.col("text").cast("string").alias("text"), F.col("old_text").cast("string").alias("old_text")),
@@ -58,16 +61,72 @@ def token_deltas(changes: DataFrame, tokenizer: str = "byte_bpe_50k", path: str
     )
 
 
+def _log(spark: SparkSession, store: str) -> list[Row]:
+    """The published commits (version, batch_id, deltas, totals), latest first; folders are named from the store on."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{store}/log")
+    if not path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path):
+        return []
+    rows = spark.read.schema("version long, batch_id long, deltas string, totals string").json(f"{store}/log").filter("version is not null")
+    last = rows.groupBy("batch_id").agg(F.max(F.struct("version", "deltas", "totals")).alias("c")).select("batch_id", "c.*")
+    return last.orderBy(F.desc("version")).collect()  # one row a batch
+
+
+def _publish(spark: SparkSession, store: str, version: int, batch_id: int, deltas: str, totals: str) -> None:
+    """Make a commit visible: its one line is written beside the log and moved there, which happens whole or not at all."""
+    fs, name = spark._jvm.org.apache.hadoop.fs, f"{version:012d}.json"
+    written, place = fs.Path(f"{store}/pending/{uuid.uuid4().hex}"), fs.Path(f"{store}/log/{name}")
+    files = place.getFileSystem(spark._jsc.hadoopConfiguration())
+    files.mkdirs(place.getParent())
+    out = files.create(written, False)
+    out.write(bytearray(json.dumps({"version": version, "batch_id": batch_id, "deltas": deltas, "totals": totals}) + "\n", "utf-8"))
+    out.close()
+    if files.exists(place) or not files.rename(written, place):
+        raise RuntimeError(f"another writer has published version {version} of {store}")
+
+
 def commit(deltas: DataFrame, store: str, batch_id: int) -> None:
-    """Write a batch's deltas under its id. The same id again replaces the batch, so a replay counts once."""
-    deltas.write.mode("overwrite").parquet(f"{store}/batch_id={int(batch_id)}")
+    """Add a batch's deltas to the totals of `store`, once: the same id again replaces what the batch added.
+
+    The batch and the new totals (the last ones plus the batch, less its earlier deltas if it is a replay) are
+    written to folders of their own. Then one line in the log names both; until it is there, readers see the
+    last version, so a crash at any point loses and doubles nothing. Only the last totals, one row a
+    group, are read: batches before aren't summed again. One writer at a time; a second one gets an error.
+    """
+    spark, batch_id = deltas.sparkSession, int(batch_id)
+    done = _log(spark, store)
+    version = done[0]["version"] + 1 if done else 1
+    mine, after = (f"{kind}/{version:012d}-{uuid.uuid4().hex}" for kind in ("deltas", "totals"))
+    deltas.select(*KEYS, *COUNTS).write.parquet(f"{store}/{mine}")
+    parts = [_counts(spark, f"{store}/{mine}")]
+    if done:
+        parts.append(_counts(spark, f"{store}/{done[0]['totals']}"))
+    for earlier in (r for r in done if r["batch_id"] == batch_id):
+        parts.append(_counts(spark, f"{store}/{earlier['deltas']}").select(*KEYS, *[(-F.col(c)).alias(c) for c in COUNTS]))
+    total = reduce(DataFrame.union, parts).groupBy(*KEYS).agg(*[F.sum(c).alias(c) for c in COUNTS])
+    total.coalesce(1).write.parquet(f"{store}/{after}")  # a row for each source, language and tokenizer
+    _publish(spark, store, version, batch_id, mine, after)
+
+
+def _counts(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.schema("source string, lang string, tokenizer string, n_docs long, n_tokens long").parquet(path)
 
 
 def totals(spark: SparkSession, store: str) -> DataFrame:
-    """Sums over all committed batches: (source, lang, tokenizer, n_docs, n_tokens); groups that come to nothing go."""
-    schema = "source string, lang string, tokenizer string, n_docs long, n_tokens long, batch_id int"
-    return (
-        spark.read.schema(schema).option("basePath", store).parquet(store)
-        .groupBy(*KEYS).agg(F.sum("n_docs").alias("n_docs"), F.sum("n_tokens").alias("n_tokens"))
-        .filter("n_docs <> 0 or n_tokens <> 0")
-    )
+    """The last published totals: (source, lang, tokenizer, n_docs, n_tokens); groups that come to nothing go."""
+    done = _log(spark, store)
+    if not done:
+        return spark.createDataFrame([], "source string, lang string, tokenizer string, n_docs long, n_tokens long")
+    return _counts(spark, f"{store}/{done[0]['totals']}").filter("n_docs <> 0 or n_tokens <> 0")
+
+
+def compact(spark: SparkSession, store: str) -> int:
+    """Delete the totals of all versions but the last, and replaced or unpublished deltas; the number of folders deleted."""
+    done, gone = _log(spark, store), 0
+    used = {r["deltas"] for r in done} | {done[0]["totals"]} if done else set()
+    for kind in ("deltas", "totals", "pending"):
+        path = spark._jvm.org.apache.hadoop.fs.Path(f"{store}/{kind}")
+        files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+        for found in files.listStatus(path) if files.exists(path) else []:
+            if f"{kind}/{found.getPath().getName()}" not in used:
+                gone += files.delete(found.getPath(), True)
+    return gone

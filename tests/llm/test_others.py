@@ -211,6 +211,39 @@ def test_token_counts(spark, tmp_path):
     assert {r.n_docs for r in token_counts.totals(spark, store).collect()} == {1}
 
 
+def test_token_totals_survive_crashes(spark, tmp_path, monkeypatch):
+    store, schema = f"file://{tmp_path}/store", "kind string, source string, lang string, text string, old_text string"
+    one, two = (token_counts.token_deltas(spark.createDataFrame([("insert", s, "en", "some words here", None)], schema)) for s in ("a", "b"))
+    assert token_counts.totals(spark, store).count() == 0
+    token_counts.commit(one, store, 7)
+    before = token_counts.totals(spark, store).collect()
+
+    def crash(*_):
+        raise OSError("lost")
+
+    with monkeypatch.context() as m:
+        m.setattr(token_counts, "_publish", crash)
+        for batch in (7, 8):
+            with pytest.raises(OSError):
+                token_counts.commit(two, store, batch)
+    assert token_counts.totals(spark, store).collect() == before
+    token_counts.commit(two, store, 8)
+    assert token_counts.compact(spark, store) == 2 * 2 + 1  # unpublished batches and totals, and the first totals
+    token_counts.commit(one, store, 8)
+    assert [(r.source, r.n_docs) for r in token_counts.totals(spark, store).collect()] == [("a", 2)]
+
+
+def test_token_count_query(spark):
+    from lectern.llm.queries import QUERIES
+    from lectern.llm.shared import read
+
+    encode, want = token_counts._encoding(token_counts.VOCABULARY, token_counts.PATTERN).encode_ordinary, {}
+    for r in read(spark, SF, "documents").collect():
+        n, t = want.get((r.source, r.lang), (0, 0))
+        want[r.source, r.lang] = (n + 1, t + (len(encode(r.text)) if r.text else 0))
+    assert {(r.source, r.lang): (r.n_docs, r.n_tokens) for r in QUERIES["op9_token_counts"](spark, SF).collect()} == want
+
+
 def test_queries_have_the_contracted_columns(spark):
     from lectern.llm.queries import QUERIES
 
