@@ -217,7 +217,7 @@ def test_chunks_resist_shifts():
     assert len(a & b) >= len(a) - 2
 
 
-def brute_lines(texts, least=25):
+def brute_lines(texts, least=8):
     seen, out = {}, {}
     for i, t in sorted(texts):
         parts = (t or "").split("\n")
@@ -237,13 +237,19 @@ def brute_lines(texts, least=25):
     return out
 
 
-def test_lines(spark, texts):
-    want = brute_lines(texts)
-    got = lines.dedup_lines(frame(spark, texts + texts[:2] + [(None, "a")]), carry=["key"]).collect()
-    assert len(got) == len(texts) + 3 and {r.key for r in got} == {"k"}
+@pytest.mark.parametrize("least", [1, 8, 25])
+def test_lines(spark, texts, least):
+    rng = random.Random(31)
+    some = [" ".join(passage(rng, n)) for n in (1, 1, 2, 2, 3, 3, 4, 5, 6, 9, 12)]
+    more = [(1000 + k, "\n".join(rng.choice(some + [""]) for _ in range(rng.randrange(1, 40)))) for k in range(40)]
+    more += [(2000, "\n".join(rng.choice(some) for _ in range(5000))), (2001, "x" * 200_000)]
+    want = brute_lines(texts + more, least)
+    got = lines.dedup_lines(frame(spark, texts + more + texts[:2] + [(None, "a")]), least, carry=["key"]).collect()
+    assert len(got) == len(texts) + len(more) + 3 and {r.key for r in got} == {"k"}
     for r in got:
         if r.doc_id is not None:
             assert (r.text, r.n_removed) == want[r.doc_id]
+            assert (r.n_runs > 0) == (r.n_removed > 0)
     assert sum(r.n_removed > 0 for r in got) > 5
 
 
