@@ -83,27 +83,30 @@ class Model:
             return np.where(empty, 0.0, 0.5)
         near = self.project(frequencies) @ self.vectors.T
         k = min(NEIGHBOURS, near.shape[1])
-        best = np.argpartition(-near, k - 1, axis=1)[:, :k]
+        last = -np.partition(-near, k - 1, axis=1)[:, k - 1 : k]
+        sure, tied = near > last, near == last
+        taken = sure | (tied & (np.cumsum(tied, axis=1) <= k - sure.sum(1, keepdims=True)))
+        best = np.nonzero(taken)[1].reshape(-1, k)
         share = np.maximum(np.take_along_axis(near, best, 1).astype(np.float64), 1e-6) ** 4
         return np.where(empty, 0.0, np.clip((share * self.labels[best]).sum(1) / share.sum(1), 0, 1))
 
 
 def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        data, offsets = byte_view(batch.column(1))
+        data, offsets = byte_view(batch.column(2))
         for a, b in blocks(offsets, rows=ROWS):
             x = term_frequencies(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a])
             at = [np.flatnonzero(r) for r in x]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0).slice(a, b - a), pa.array(at, pa.list_(pa.int32())), pa.array([r[i] for r, i in zip(x, at, strict=True)], pa.list_(pa.float32()))],
-                ["quality", "at", "share"],
+                [batch.column(0).slice(a, b - a), batch.column(1).slice(a, b - a), pa.array(at, pa.list_(pa.int32())), pa.array([r[i] for r, i in zip(x, at, strict=True)], pa.list_(pa.float32()))],
+                ["doc_id", "quality", "at", "share"],
             )
 
 
 def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     """Fit on at most `sample` labelled documents outside the held-out fold (crc32 of doc_id mod 5 is 0).
 
-    Only sparse term shares of the sampled texts reach the driver, where the latent axes are found by a
+    Only sparse term shares of the sampled texts, one for each doc_id (the smallest of several), reach the driver, where the latent axes are found by a
     randomised singular value decomposition.
     """
     held = F.crc32(F.col("doc_id").cast("string")) % FOLDS == 0
@@ -116,13 +119,14 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     rows = (
         texts.join(F.broadcast(chosen), "doc_id")  # `sample` rows of two numbers
-        .select("quality", "text").mapInArrow(_features, "quality int, at array<int>, share array<float>").limit(2 * sample).toArrow()
-    )
+        .groupBy("doc_id").agg(F.first("quality").alias("quality"), F.min("text").alias("text"))
+        .select("doc_id", "quality", "text").mapInArrow(_features, "doc_id long, quality int, at array<int>, share array<float>").toArrow()
+    )
     x = np.zeros((rows.num_rows, TERMS), np.float32)
     for r, (at, share) in enumerate(zip(rows["at"].to_pylist(), rows["share"].to_pylist(), strict=True)):
         x[r, at] = share
     y = np.array(rows["quality"].to_pylist(), np.float64)
-    order = np.lexsort((y, x.sum(1)))  # rows arrive in any order
+    order = np.argsort(rows["doc_id"].to_numpy())  # rows arrive in any order
     x, y = x[order], y[order]
     some = x.any(1)
     x, y = x[some], y[some]
@@ -147,7 +151,9 @@ def classify_quality(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -
 
     Null text or one without words scores 0. A null doc_id isn't held out. Labels that are null, not 0/1 or
     without document are passed over, several for one doc_id count as the smallest. Without any usable label
-    every text with words scores 0.5. Rows come back one for one.
+    every text with words scores 0.5. Rows, repeated ones too, come back one for one. Where several labelled vectors
+    tie for the last place among the neighbours, equal cosines weigh the same and the earlier ones in doc_id order are
+    taken. A very long text is one step of a task, and other columns aren't read. Empty input: no rows.
     """
     model = docs.sparkSession.sparkContext.broadcast(fit(docs, labels, sample))
 

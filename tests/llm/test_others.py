@@ -34,6 +34,38 @@ def test_quality(spark):
     assert quality.classify_quality(docs.filter("false"), labels).count() == 0
 
 
+def test_quality_votes_are_those_of_the_nearest(spark):
+    """Scores against votes counted one text and one neighbour at a time; long, repeated and clashing rows."""
+    from lectern.llm.bytesops import byte_view
+    from lectern.llm.shared import read
+    import pyarrow as pa
+
+    docs, labels = read(spark, SF, "documents"), read(spark, SF, "labels")
+    extra = spark.createDataFrame([(90001, "word and more " * 200_000, 1, 2), (90002, "same", 1, 2), (90002, "same", 1, 2), (90002, "other", 1, 2)], "doc_id long, text string, quality int, held_out int")
+    docs = docs.select("doc_id", "text", F.lit(0).alias("quality"), F.lit(0).alias("held_out")).union(extra)
+    model = quality.fit(docs, labels)
+    got = sorted((r.doc_id, r.score) for r in quality.classify_quality(docs, labels).collect())
+    rows = docs.select("doc_id", "text").collect()
+    want = []
+    for r in rows:
+        data, offsets = byte_view(pa.array([r.text]))
+        x = quality.term_frequencies(data, offsets)[0]
+        if not x.any():
+            want.append((r.doc_id, 0.0))
+            continue
+        y = x * model.weights
+        y = (y / np.linalg.norm(y)) @ model.axes
+        y = y / np.linalg.norm(y)
+        cosines = [(-float(np.dot(v, y)), k) for k, v in enumerate(model.vectors)]
+        best = sorted(cosines)[: quality.NEIGHBOURS]
+        weights = [max(-c, 1e-6) ** 4 for c, _ in best]
+        want.append((r.doc_id, sum(w * model.labels[k] for w, (_, k) in zip(weights, best)) / sum(weights)))
+    assert len(got) == len(want) and [i for i, _ in got] == sorted(i for i, _ in want)
+    assert all(abs(a[1] - b[1]) < 1e-3 for a, b in zip(got, sorted(want)))
+    again = sorted((r.doc_id, r.score) for r in quality.classify_quality(docs.repartition(7), labels.repartition(3)).collect())
+    assert all(abs(a[1] - b[1]) < 1e-6 for a, b in zip(got, again))
+
+
 def test_neighbours(spark):
     rng = np.random.default_rng(2)
     points = np.concatenate([rng.standard_normal((700, 16)), np.repeat(rng.standard_normal((1, 16)), 60, 0)]).astype(np.float32)
