@@ -8,6 +8,7 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -246,6 +247,29 @@ def _search(index: Index, symbols: np.ndarray, rows: np.ndarray, n: int) -> list
     return [(r, i, *place) for (r, i), place in best.items()]
 
 
+def _indexes(benchmark: DataFrame) -> Iterator[Broadcast[Index]]:
+    """The benchmark's items in blocks, each as a broadcast index of bounded size."""
+    spark = benchmark.sparkSession
+    items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.lower(F.col("text").cast("string")).alias("text")).filter("item_id is not null and text is not null")
+    n_items, n_words = items.agg(F.count("*"), F.coalesce(F.sum(F.regexp_count("text", F.lit(WORD))), F.lit(0))).first()
+    parts = max(1, -(-n_items // ITEMS_AT_ONCE), -(-n_words // WORDS_AT_ONCE))
+    for part in range(parts):
+        rows = items.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(parts)) == part).toArrow()
+        data, offsets = byte_view(rows["text"])
+        hashes, row, _, _ = words(data[offsets[0] : offsets[-1]], offsets - offsets[0])
+        yield spark.sparkContext.broadcast(Index(rows["item_id"].to_pylist(), np.split(hashes, np.searchsorted(row, np.arange(1, rows.num_rows)))).build())
+
+
+def _found(index: Index, texts: pa.Array) -> Iterator[tuple[int, int, int, int]]:
+    """(row, item, edits, first word) of the items that lower-case texts hold."""
+    index.prepare()
+    data, offsets = byte_view(texts)
+    for a, b in blocks(offsets, 1 << 20):
+        hashes, row, _, _ = words(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a])
+        for r, i, edits, at in _search(index, hashes, row, b - a):
+            yield a + r, i, edits, at
+
+
 def find_items(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """Benchmark items that documents hold: (doc_id, item_id, edits, item_words, first_word), a row for each pair.
 
@@ -253,44 +277,44 @@ def find_items(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     item of n words if some stretch of it is at most floor(0.2 n) word edits away. Every pair of adjacent
     words that some item has is a seed (so few edits leave some seed of an item whole); from each seed the
     document's windows of 4, 8, 16 and 32 words are embedded by CGK walks and looked up, by repeated samples
-    of the embedding, among the windows of the items. What agrees in any of the keys is confirmed by
-    the exact edit distance. Items of over 128 words have 128 to 256 windows of 32 words indexed, evenly spread.
+    of the embedding, among the windows of the items: of each suffix of an item the longest that it fills. What
+    agrees in any of the keys is confirmed by the exact edit distance. Items of over 128 words have 128 to 256 windows
+    of 32 words indexed, evenly spread, since walks over longer windows lose step at so many edits (README).
     Items of fewer than four words allow no edit and are looked up whole, at every word; empty items and texts
-    and nulls match nothing. Rows of one doc_id are merged, equal item ids too, each with its fewest edits.
+    and nulls match nothing. Rows of one doc_id are merged, equal item ids too, each with its fewest edits (ties:
+    the first place); null doc_ids are one. A very long text is one step of a task; other columns aren't read.
     Items are indexed in blocks of some 5000, and of some 250,000 words, so that what is broadcast stays
     bounded, and every block looks at all documents.
     """
-    spark = docs.sparkSession
-    items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.lower(F.col("text").cast("string")).alias("text")).filter("item_id is not null and text is not null")
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.lower(F.col("text").cast("string")).alias("text"))
-    schema = "doc_id long, item_id long, edits long, item_words long, first_word long"
-    n_items, n_words = items.agg(F.count("*"), F.coalesce(F.sum(F.regexp_count("text", F.lit(WORD))), F.lit(0))).first()
-    parts, total = max(1, -(-n_items // ITEMS_AT_ONCE), -(-n_words // WORDS_AT_ONCE)), None
-    for part in range(parts):
-        rows = items.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(parts)) == part).toArrow()
-        data, offsets = byte_view(rows["text"])
-        hashes, row, _, _ = words(data[offsets[0] : offsets[-1]], offsets - offsets[0])
-        index = spark.sparkContext.broadcast(Index(rows["item_id"].to_pylist(), np.split(hashes, np.searchsorted(row, np.arange(1, rows.num_rows)))).build())
+    total = None
+    for index in _indexes(benchmark):
 
         def search(batches: Iterator[pa.RecordBatch], index=index) -> Iterator[pa.RecordBatch]:
-            index.value.prepare()
             for batch in batches:
-                data, offsets = byte_view(batch.column(1))
-                out: list[tuple] = []
-                for a, b in blocks(offsets, 1 << 20):
-                    hashes, row, _, _ = words(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a])
-                    for r, i, edits, at in _search(index.value, hashes, row, b - a):
-                        out.append((batch.column(0)[a + r].as_py(), index.value.ids[i], edits, len(index.value.items[i]), at))
+                out = [(batch.column(0)[r].as_py(), index.value.ids[i], edits, len(index.value.items[i]), at) for r, i, edits, at in _found(index.value, batch.column(1))]
                 columns = list(zip(*out, strict=True)) or [[]] * 5
                 yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["doc_id", "item_id", "edits", "item_words", "first_word"])
 
-        found = texts.mapInArrow(search, schema)
+        found = texts.mapInArrow(search, "doc_id long, item_id long, edits long, item_words long, first_word long")
         total = found if total is None else total.union(found)
     best = F.min(F.struct("edits", "item_words", "first_word"))
     return total.groupBy("doc_id", "item_id").agg(best.alias("best")).select("doc_id", "item_id", "best.*")
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The rows of `docs`, with all their columns, that hold no benchmark item (see `find_items`)."""
-    leaks = find_items(docs, benchmark).select(F.col("doc_id").alias("leak_id")).distinct()
-    return docs.join(leaks, docs["doc_id"] == leaks["leak_id"], "left_anti")
+    """The rows of `docs`, with all their columns, that hold no benchmark item (see `find_items`); no shuffle.
+
+    Each row is judged by its own text, whatever its doc_id: null, or shared with a row that goes.
+    """
+    for index in _indexes(benchmark):
+
+        def keep(batches: Iterator[pa.RecordBatch], index=index) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                clean = np.ones(len(batch), bool)
+                clean[[r for r, *_ in _found(index.value, batch.columns[-1])]] = False
+                kept = batch.filter(pa.array(clean))
+                yield pa.RecordBatch.from_arrays(kept.columns[:-1], kept.schema.names[:-1])
+
+        docs = docs.select("*", F.lower(F.col("text").cast("string")).alias("lower case")).mapInArrow(keep, docs.schema)
+    return docs
