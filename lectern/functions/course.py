@@ -24,20 +24,25 @@ CLASS_TYPES = {
     "PZ": "Praktyka zawodowa",
     "SK": "Samokształcenie kierowane",
 }
+# The forms of a course in the logs' context, of a course in a file's name (the tracks by name), and of its beginning.
 CONTEXT = r"(?i)^\s*kurs:\s*(.+?/.+?/.+?/(\d+sem)-(.+)-(\d{4}/\d{2})([zl]))\s*$"
-FILE = r"^([A-Z]{2,4}[A-Za-z0-9\-]{1,8}?)(st[12j]|ns[12j]|st|ns)(\d+sem)-(.+?)-(\d{4})(\d{2})(l|z)$"
+FILE = r"^([A-Z]{2,4}[A-Za-z0-9\-]{1,8}?)(st[12j]|ns[12j]|nst|st|ns)(\d+sem)-(.+?)-(\d{4})(\d{2})(l|z)$"
 PREFIX = r"^([A-Z]{2,3})([A-Za-z]{2}(?:-[A-Z]{2})?)$"
 FIELDS = ["course_code", "wydzial_code", "kierunek_code", "track_code", "semester_code", "course_name", "ay", "term"]
 
 
 def expand_class_type(name: Column) -> Column:
     """Replace the first known class type code between dashes, or at the end after a dash, by its name."""
-    out = name
-    for code, full in reversed(list(CLASS_TYPES.items())):
-        inner = F.when(name.contains(f"-{code}-"), F.replace(name, F.lit(f"-{code}-"), F.lit(f"-{full}-")))
-        last = F.when(name.endswith(f"-{code}"), F.concat(F.substring(name, F.lit(1), F.length(name) - len(code)), F.lit(full)))
-        out = F.coalesce(inner, last, out)
-    return out
+
+    def expanded(n: Column) -> Column:
+        out = n
+        for code, full in reversed(list(CLASS_TYPES.items())):
+            inner = F.when(n.contains(f"-{code}-"), F.replace(n, F.lit(f"-{code}-"), F.lit(f"-{full}-")))
+            last = F.when(n.endswith(f"-{code}"), F.concat(F.substring(n, F.lit(1), F.length(n) - len(code)), F.lit(full)))
+            out = F.coalesce(inner, last, out)
+        return out
+
+    return F.get(F.transform(F.array(name), expanded), F.lit(0))  # the name is worked out once
 
 
 def parse_context(text: Column) -> Column:
@@ -93,10 +98,13 @@ def parse_context_by(text: Column, course_rx: str, period_rx: str) -> Column:
     return F.struct(extract(text, course_rx).alias("course"), extract(text, period_rx).alias("period"))
 
 
-def course_id(payload: Column, preferred: tuple[str, ...] = ("Kontekst zdarzenia", "Opis", "URL")) -> Column:
-    """Course number found by the usual patterns, in the preferred fields first, then in all values."""
-    # The spellings of a course number.
-    patterns = [r"(?i)course with id '(\d+)'", r"(?i)course/view\.php\?id=(\d+)", r"(?i)courseid[=:]\s*(\d+)", r"(?i)\bkurs(?:u)? o id '?(\d+)"]
-    fields = F.concat_ws(" ", *[F.try_element_at(payload, F.lit(f)) for f in preferred])
-    every = F.concat_ws(" ", F.map_values(payload))
-    return F.coalesce(*[extract(t, p) for t in (fields, every) for p in patterns])
+# Fields that name a course by number, and the spellings of the number in order of choice.
+ID_FIELDS = ("Opis", "Description", "Event description", "Nazwa zdarzenia", "Kontekst zdarzenia")
+ID_SPELLINGS = (r"course with id\s+'(\d+)'", r"course with id\s+(\d+)", r"\bcourse id\b\s*[:=]?\s*(\d+)", r"\bid kursu\b\s*[:=]?\s*(\d+)")
+
+
+def course_id(payload: Column) -> Column:
+    """Course number in the fields that usually name it; in all values only where these are all empty."""
+    usual = F.concat_ws("\n", *[F.nullif(F.try_element_at(payload, F.lit(f)), F.lit("")) for f in ID_FIELDS])
+    text = F.when(usual != "", usual).otherwise(F.concat_ws("|", F.map_values(payload)))
+    return F.coalesce(*[extract(text, "(?i)" + spelling) for spelling in ID_SPELLINGS])

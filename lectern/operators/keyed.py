@@ -25,7 +25,7 @@ def bounds(df: DataFrame, keys: Sequence[str], time: str, low: str = "first_at",
 
 def only_new(new: DataFrame, existing: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Rows of `new` whose key isn't in `existing`. Rows with a null key are new."""
-    return new.join(existing.select(*keys).distinct(), list(keys), "left_anti")
+    return new.join(existing.select(*keys).distinct(), list(keys), "left_anti").select(*new.columns)
 
 
 def insert_absent(new: DataFrame, existing: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:

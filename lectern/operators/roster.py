@@ -9,24 +9,30 @@ from lectern.functions.text import blank_to_null, email_key, joined_key, lenient
 from lectern.operators.keyed import lookup_last, upsert
 
 # Roster columns and their headers.
-TEXTS = {"course_id": "ID kursu", "course_name": "Nazwa kursu"}
+TEXTS = {"course_id": ("ID kursu", "course_id"), "course_name": ("Nazwa kursu", "course_name")}
 COUNTS = {
-    "users": "Użytkownicy",
-    "students": "Studenci",
-    "teachers": "Nauczyciele",
-    "teachers_no_edit": "Nauczyciele bez praw edycji",
-    "teachers_responsible": "Nauczyciele odpowiedzialny",
-    "students_enrolled": "Studenci zapisani",
-    "students_done": "Studenci po ukończeniu",
-    "students_in_progress": "Studenci w trakcie",
-    "students_before_start": "Studenci przed rozpoczęciem",
+    "users": ("Użytkownicy",),
+    "students": ("Studenci",),
+    "teachers": ("Nauczyciele",),
+    "teachers_no_edit": ("Nauczyciele bez praw edycji",),
+    "teachers_responsible": ("Nauczyciele odpowiedzialny", "Nauczyciele odpowiedzialni"),
+    "students_enrolled": ("Studenci zapisani",),
+    "students_done": ("Studenci po ukończeniu",),
+    "students_in_progress": ("Studenci w trakcie",),
+    "students_before_start": ("Studenci przed rozpocząciem", "Studenci przed rozpoczęciem"),
 }
 
 
-def read_roster(raw: DataFrame, loaded_at: str) -> DataFrame:
-    """Roster rows of a sheet of text columns; unreadable numbers are 0, rows without course id go."""
-    col = lambda header: F.col(f"`{c}`") if (c := pick_column(raw.columns, [header])) else F.lit(None).cast("string")
-    rows = raw.select(*[blank_to_null(col(h)).alias(n) for n, h in TEXTS.items()], *[lenient_int(col(h)).alias(n) for n, h in COUNTS.items()])
+def read_roster(raw: DataFrame, loaded_at: str, lenient: bool = False) -> DataFrame:
+    """Roster rows of a sheet of text columns; unreadable numbers are 0, rows without course id go.
+
+    A sheet without one of the columns is an error; if `lenient`, only one without course id, and numbers of missing columns are 0.
+    """
+    found = {n: pick_column(raw.columns, list(h)) for n, h in (TEXTS | COUNTS).items()}
+    if missing := [n for n, c in found.items() if c is None and (n == "course_id" or not lenient)]:
+        raise ValueError(f"missing columns: {', '.join(missing)}")
+    col = lambda n: F.col(f"`{c}`") if (c := found[n]) else F.lit(None).cast("string")
+    rows = raw.select(*[blank_to_null(col(n)).alias(n) for n in TEXTS], *[lenient_int(col(n)).alias(n) for n in COUNTS])
     key = joined_key([F.col(c) for c in ("course_id", "course_name", "students_enrolled", "teachers")])
     return rows.filter("course_id is not null").withColumns({"row_key": key, "loaded_at": F.lit(loaded_at).cast("timestamp")})
 

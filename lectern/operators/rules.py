@@ -105,7 +105,9 @@ def match_rules(
 
     kind = "array<struct<priority:int,turn:int,activity_label:string,tech_key:string,operation:string,count_mode:string>>"
     hits = F.array_compact(F.array(*[hit(r) for r in table]).cast(kind)) if table else F.array().cast(kind)
-    found = events.withColumn("_hits", hits).withColumn("_best", F.array_max("_hits"))
+    # Behind the explode of one element no filter moves below the matching, so each pattern runs once a text.
+    found = events.withColumn("_hits", hits)
+    found = found.select("*", F.explode(F.array(F.array_max("_hits"))).alias("_best"))
     if not keep_unmatched:
         found = found.filter("_best is not null")
     found = found.select(

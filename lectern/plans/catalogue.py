@@ -10,7 +10,9 @@ from pyspark.sql import functions as F
 from lectern.functions import course as course_f
 from lectern.functions import text as text_f
 from lectern.operators import filters, keyed, reports, roster, rules, stats, state
+from lectern.operators.tables import kept, new_path
 from lectern.plans import inputs
+from lectern.sources import logs, sinks
 from lectern.plans.inputs import CANONICAL, COUNTED, ENRICHED, SNAPSHOTS, STATE, DIMENSIONS, stamp, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -47,6 +49,7 @@ SELECT o_custkey, n_name, r_name, tech_key, count_value,
   round(count_value / sum(count_value) OVER (PARTITION BY tech_key), 4) AS pct_all FROM c""")
 def share_hierarchy(spark, d):
     counts = _orders(spark, d).groupBy("o_custkey", "n_name", "r_name", F.col("o_orderpriority").alias("tech_key")).agg(F.count("*").alias("count_value"))
+    counts = kept(counts, "share-counts")  # each level reads the counts, not the join
     levels = {"pct_customer": ["o_custkey"], "pct_nation": ["n_name"], "pct_region": ["r_name"], "pct_all": []}
     return stats.shares(counts, "count_value", ["tech_key"], levels)
 
@@ -212,17 +215,15 @@ def payload_json(spark, d):
     return seven.select("event_id", text_f.lenient_int(F.try_element_at("m", F.lit("k"))).alias("k"), starts.alias("has_7"))
 
 
-@query(r"""SELECT doc_id, translate(lower(trim(regexp_replace(left(text, 60), '[\s\x{A0}]+', ' ', 'g'))), 'ąćęłńóśżź', 'acelnoszz') AS fuzzy,
-  regexp_replace(translate(lower(left(text, 60)), 'ąćęłńóśżź', 'acelnoszz'), '[\s\x{A0}_\-/:.,]+', '', 'g') AS compact FROM documents""")
+@query(r"""SELECT doc_id, translate(lower(trim(regexp_replace(text, '[\s\x{A0}]+', ' ', 'g'))), 'ąćęłńóśżź', 'acelnoszz') AS fuzzy,
+  regexp_replace(translate(lower(text), 'ąćęłńóśżź', 'acelnoszz'), '[\s\x{A0}_\-/:.,]+', '', 'g') AS compact FROM documents""")
 def text_keys(spark, d):
-    head = F.substring("text", 1, 60)
-    return table(spark, d, "documents").select("doc_id", text_f.fuzzy_key(head).alias("fuzzy"), text_f.compact_key(head).alias("compact"))
+    return table(spark, d, "documents").select("doc_id", text_f.fuzzy_key("text").alias("fuzzy"), text_f.compact_key("text").alias("compact"))
 
 
-@query(r"""SELECT doc_id, translate(lower(trim(regexp_replace(text, '[\s\x{A0}]+', ' ', 'g'))), 'ąćęłńóśżź', 'acelnoszz') AS fuzzy,
-  regexp_replace(translate(lower(text), 'ąćęłńóśżź', 'acelnoszz'), '[\s\x{A0}_\-/:.,]+', '', 'g') AS compact FROM documents""")
+@query(ORACLE_SQL["text_keys"])
 def text_keys_whole(spark, d):
-    return table(spark, d, "documents").select("doc_id", text_f.fuzzy_key("text").alias("fuzzy"), text_f.compact_key("text").alias("compact"))
+    return text_keys(spark, d)
 
 
 @query("SELECT c_custkey, CASE c_custkey % 3 WHEN 2 THEN 0 WHEN 1 THEN trunc(c_acctbal)::BIGINT ELSE c_custkey * 1000 END::BIGINT AS n FROM customer")
@@ -561,3 +562,106 @@ def parse_events(spark, d):
   WHEN event_type IN ('signup', 'purchase') THEN 'rule' ELSE 'accepted' END AS reject_reason, count(*) AS n FROM events GROUP BY 1""")
 def parse_rejects(spark, d):
     return _parse(spark, d).rejected
+
+
+# ---- files and sinks: tables written as files of the usual forms, read back by the sources ----
+
+_LOG = """(
+  SELECT DISTINCT 'K' || (user_id % 15) AS course, strftime(ts, '%Y-%m-%d %H:%M:%S') AS time_text,
+    'logs_K' || (user_id % 15) || '_' || strftime(ts, '%Y%m%d') || '-0000.csv' AS source_file,
+    sha256(strftime(ts, '%Y-%m-%d %H:%M:%S') || chr(31) || 'K' || chr(31) || 'Zażółć ' || event_type || ' in the course with id ' || chr(39) || user_id || chr(39)) AS row_key,
+    'Zażółć ' || event_type || ' in the course with id ' || chr(39) || user_id || chr(39) AS note, user_id::VARCHAR AS course_id
+  FROM events)"""
+
+
+def _raw(spark, d):
+    return logs.first_records(logs.log_rows(inputs.log_files(spark, d), F.lit("1970-01-01")))
+
+
+@query(f"SELECT course, time_text, time_text AS at, source_file, row_key, note, course_id FROM {_LOG}")
+def log_records(spark, d):
+    at = F.date_format("time_ts", "yyyy-MM-dd HH:mm:ss").alias("at")
+    return _raw(spark, d).select("course", "time_text", at, "source_file", "row_key", F.try_element_at("payload", F.lit("Opis")).alias("note"), "course_id")
+
+
+@query(f"SELECT course, source_file, row_key FROM {_LOG}")
+def merge_into_table(spark, d):
+    """Half of the courses, then all, then all once more: each record is in the table once."""
+    path, rows = new_path(spark, "raw-events"), kept(_raw(spark, d), "log-rows")
+    for part in (rows.filter("length(course) = 2"), rows, rows):
+        sinks.append_absent(part, path, ["row_key"], ["source_file"])
+    return spark.read.parquet(path).select("course", "source_file", "row_key")
+
+
+@query(f"SELECT course, time_text, row_key, 'K' AS context FROM {_LOG}")
+def export_read_back(spark, d):
+    path = new_path(spark, "export")
+    sinks.export_courses(_raw(spark, d), path)
+    back = spark.read.csv(path, sep=";", header=True, escape="\\")
+    return back.select("course", "time_text", "row_key", F.get_json_object("payload", "$['Kontekst zdarzenia']").alias("context"))
+
+
+@query("WITH" + CANONICAL + " SELECT ay, term, CASE WHEN term = 'l' THEN 'NEW' ELSE operation END AS operation, count(*) AS n FROM c0 GROUP BY ALL")
+def replace_period(spark, d):
+    """All periods, then one of them again with other rows."""
+    path, events = new_path(spark, "periods"), inputs.canonical(spark, d)
+    sinks.replace_periods(events, path)
+    sinks.replace_periods(events.filter("term = 'l'").withColumn("operation", F.lit("NEW")), path)
+    return spark.read.parquet(path).groupBy("ay", "term", "operation").agg(F.count("*").alias("n"))
+
+
+@query("WITH" + STATE + "SELECT course_code, activity_id FROM u")
+def replace_state(spark, d):
+    path, found = new_path(spark, "state"), state.universe(inputs.snapshots(spark, d), inputs.canonical(spark, d))
+    sinks.replace_all(found.limit(5), path)
+    sinks.replace_all(found, path)
+    return spark.read.parquet(path)
+
+
+@query("SELECT event_type AS qa_type, 2 * count(*) AS n FROM events GROUP BY 1")
+def append_findings(spark, d):
+    """Findings by both namings of their columns go to one table."""
+    path = new_path(spark, "findings")
+    found = table(spark, d, "events").select(F.col("event_type").alias("qa_type"), F.col("user_id").alias("teacher_id"), F.lit("C").alias("course_code"), F.lit("K").alias("tech_key"), F.col("props").alias("details"))
+    sinks.append_findings(found, path)
+    sinks.append_findings(found.withColumnsRenamed({"qa_type": "type", "details": "description"}), path)
+    return spark.read.parquet(path).groupBy("qa_type").agg(F.count("*").alias("n"))
+
+
+@query("SELECT o_orderstatus AS kind, NULL::BIGINT AS number, count(*) AS n, 'orders.csv' AS _source_file FROM (SELECT DISTINCT o_orderstatus FROM orders) GROUP BY 1 UNION ALL SELECT o_orderstatus, length(o_orderpriority), count(*), 'more.csv' FROM (SELECT DISTINCT o_orderstatus, o_orderpriority FROM orders) GROUP BY 1, 2")
+def merge_frames(spark, d):
+    path, o = new_path(spark, "merged"), table(spark, d, "orders")
+    kinds = o.select(F.col("o_orderstatus").alias("kind"))
+    more = o.select(F.col("o_orderstatus").alias("kind"), F.length("o_orderpriority").cast("long").alias("number"), "o_orderpriority")
+    sinks.merge_parquet({"orders.csv": kinds, "more.csv": more}, path, dedup_per_file=True)
+    return spark.read.parquet(path).groupBy("kind", "number", "_source_file").agg(F.count("*").alias("n"))
+
+
+@query("SELECT DISTINCT 'C' || (user_id % 20) AS course_code, user_id::VARCHAR AS activity_id, event_type AS type, strftime(ts, '%Y-%m-%d') || ' 08:00' AS captured, strftime(ts, '%Y%m%d') || '-0800_zawartosc_kursow.csv' AS source_file FROM events")
+def snapshot_files(spark, d):
+    rows = logs.snapshot_rows(inputs.snapshot_files(spark, d))
+    return rows.select("course_code", "activity_id", "type", F.date_format("captured_at", "yyyy-MM-dd HH:mm").alias("captured"), "source_file").distinct()
+
+
+@query("SELECT c_custkey::VARCHAR AS course_id, CASE WHEN c_custkey % 2 = 0 THEN 'new ' ELSE '' END || c_name AS course_name, c_nationkey * 1000 AS users, 0 AS students, c_custkey AS teachers FROM customer")
+def roster_import(spark, d):
+    """A sheet with one column by its other header and unreadable numbers; half of its courses come again."""
+    c, text = table(spark, d, "customer"), lambda x: F.col(x).cast("string")
+    counts = {h[-1]: F.lit("x") for h in roster.COUNTS.values()} | {"Użytkownicy": F.concat(text("c_nationkey"), F.lit(" 000")), "Nauczyciele": F.concat(text("c_custkey"), F.lit(".0"))}
+    sheet = c.select(text("c_custkey").alias("ID kursu "), F.col("c_name").alias("course_name"), *[v.alias(h) for h, v in counts.items()])
+    again = sheet.filter(F.col("ID kursu ") % 2 == 0).withColumn("course_name", F.concat(F.lit("new "), "course_name"))
+    both = roster.import_roster(roster.read_roster(sheet, "2026-01-01"), roster.read_roster(again, "2026-01-02"))
+    return both.select("course_id", "course_name", "users", "students", "teachers")
+
+
+@query("SELECT lower(c_name) || '@x.pl' AS email, min(c_mktsegment) AS full_name, NULL::VARCHAR AS wydzial, min(c_nationkey)::VARCHAR AS jednostka FROM customer GROUP BY 1")
+def people_by_alias(spark, d):
+    c = table(spark, d, "customer")
+    sheet = c.select(F.concat(F.lit(" "), "c_name", F.lit("@X.pl")).alias("Mail"), F.col("c_mktsegment").alias("NazwiskoImie"), F.col("c_nationkey").alias("Katedra"))
+    return logs.people(sheet).select("email", "full_name", "wydzial", "jednostka")
+
+
+@query("SELECT DISTINCT o_custkey::VARCHAR AS teacher_id, lower(o_orderpriority) AS email FROM orders")
+def ids_by_alias(spark, d):
+    sheet = table(spark, d, "orders").select(F.concat(F.col("o_custkey").cast("string"), F.lit(".0")).alias("UserID"), F.concat(F.lit(" "), "o_orderpriority").alias("E-Mail"))
+    return logs.id_emails(sheet)

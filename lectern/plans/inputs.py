@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -140,3 +140,41 @@ ml AS (
     round(count_value / nullif(sum(count_value) OVER (PARTITION BY ay, term, wydzial_code, tech_key), 0), 4) AS pct_wydzial,
     round(count_value / nullif(sum(count_value) OVER (PARTITION BY ay, term, tech_key), 0), 4) AS pct_uczelnia
   FROM cnt)"""
+
+
+def as_files(lines: DataFrame, header: Column, encode: Column) -> DataFrame:
+    """Rows (name, line) as files of a folder: path, name, modificationTime, length, content."""
+    text = F.concat_ws("\n", header, F.array_join(F.array_sort(F.collect_list("line")), "\n"), F.lit(""))
+    content = lines.groupBy("name").agg(text.alias("text")).withColumn("content", encode)
+    return content.select(F.concat(F.lit("/in/"), "name").alias("path"), "name", F.lit("2024-01-01").cast("timestamp").alias("modificationTime"), F.length("content").cast("long").alias("length"), "content")
+
+
+def log_files(spark: SparkSession, sf_dir: str, records: int | None = None) -> DataFrame:
+    """Log files of 15 courses and every day: some in windows-1250 with tabs, some with byte order mark and ;, others with commas.
+
+    A record for each event, or `records` of them, events coming again as often as it takes.
+    """
+    spark.conf.set("spark.sql.legacy.javaCharsets", "true")  # windows-1250
+    e = table(spark, sf_dir, "events")
+    if records is not None:
+        times = -(-records // max(1, e.count()))
+        e = e.withColumn("again", F.explode(F.sequence(F.lit(1), F.lit(times)))).orderBy("again", "event_id").limit(records)
+    course = F.concat(F.lit("K"), (F.col("user_id") % 15).cast("string"))
+    name = F.concat(F.lit("logs_"), course, F.lit("_"), F.date_format("ts", "yyyyMMdd"), F.lit("-0000.csv"))
+    note = F.concat(F.lit("Zażółć "), "event_type", F.lit(" in the course with id '"), F.col("user_id").cast("string"), F.lit("'"))
+    kind = lambda tab, mark, comma: F.when(F.col("name").rlike("_K[0-4]_"), tab).when(F.col("name").rlike("_K[5-9]_"), mark).otherwise(comma)
+    sep = kind(F.lit("\t"), F.lit(";"), F.lit(","))
+    lines = e.select(name.alias("name"), stamp("ts").alias("at"), note.alias("note"))
+    lines = lines.select("name", F.concat(F.col("at"), sep, F.lit('" K"'), sep, F.lit('"'), F.col("note"), F.lit('"')).alias("line"))
+    header = F.concat(F.lit("Czas"), F.max(sep), F.lit("Kontekst zdarzenia"), F.max(sep), F.lit("Opis"))
+    utf8 = F.encode("text", "utf-8")
+    return as_files(lines, header, kind(F.encode("text", "windows-1250"), F.concat(F.unhex(F.lit("EFBBBF")), utf8), utf8))
+
+
+def snapshot_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A file of course contents for every day."""
+    e, user = table(spark, sf_dir, "events"), F.col("user_id").cast("string")
+    course = F.concat(F.lit("C"), (F.col("user_id") % 20).cast("string"))
+    name = F.concat(F.date_format("ts", "yyyyMMdd"), F.lit("-0800_zawartosc_kursow.csv"))
+    lines = e.select(name.alias("name"), F.concat_ws(",", F.lit("Kurs"), course, F.lit("Nazwa"), "event_type", user).alias("line"))
+    return as_files(lines, F.lit("Nazwa kursu,ID kursu,Nazwa aktywności,Format aktywności,ID aktywności"), F.encode("text", "utf-8"))

@@ -12,6 +12,7 @@ from lectern.functions.course import CONTEXT as CONTEXT_FORM
 from lectern.functions.course import FIELDS, code_from_file, parse_code
 from lectern.functions.text import extract, parse_epoch
 from lectern.operators import filters, keyed, rules, stats
+from lectern.operators.tables import kept
 from lectern.sources import logs, sinks
 
 # Payload keys of context, description and time.
@@ -37,12 +38,28 @@ class Parsed:
     rejected: DataFrame = field(repr=False)
 
 
-def merge_logs(spark: SparkSession, root: str, table: str, export: str | None = None, scope: str = "all") -> int:
-    """Append the records of all log files below `root` that `table` lacks; export courses if asked; the number added."""
-    added = sinks.append_absent(logs.raw_events(spark, root, scope), table, ["row_key"] + (["course"] if scope == "course" else []), ["source_file"])
+@dataclass(frozen=True)
+class Merged:
+    """What a merge of log files came to: OK, or SKIPPED if there was no file."""
+
+    status: str
+    courses: int
+    files: int
+    records: int
+    inserted: int
+
+
+def merge_logs(spark: SparkSession, root: str, table: str, export: str | None = None, scope: str = "all") -> Merged:
+    """Append the records of all log files below `root` that `table` lacks; export courses if asked."""
+    found = logs.files(spark, root)
+    courses, files = logs.log_files(found).agg(F.countDistinct("course"), F.count("*")).first()
+    if not files:
+        return Merged("SKIPPED", 0, 0, 0, 0)
+    rows = kept(logs.log_rows(found, F.current_timestamp()), "log-rows")  # files are read and parsed once
+    inserted = sinks.append_absent(logs.first_records(rows, scope), table, ["row_key"] + (["course"] if scope == "course" else []), ["source_file"])
     if export:
         sinks.export_courses(spark.read.parquet(table), export)
-    return added
+    return Merged("OK", courses, files, rows.count(), inserted)
 
 
 def parse_events(raw: DataFrame, table: DataFrame, options: ParseOptions = ParseOptions(), existing: DataFrame | None = None) -> Parsed:
@@ -75,6 +92,9 @@ def parse_events(raw: DataFrame, table: DataFrame, options: ParseOptions = Parse
             ("key", filters.key_allowed(F.col("tech_key"), options.allow_keys, options.block_keys)),
         ],
     )
+    # Events, conflicts, rejects and the check of the period read one written pass of the rules.
+    wanted = ["_code", "ts_utc", "teacher_id", "operation", "tech_key", "activity_label", "object_id", "count_mode", "rule_no", "priority", "n_best", "best_rules", "row_key", "source_file", "reject_reason"]
+    checked = kept(checked.select(*wanted), "parse-checked")
     good = checked.filter("reject_reason is null").withColumn("_place", parse_code(F.col("_code")))
     events = good.select(
         *[F.col(f"_place.{f}").alias(f) for f in FIELDS], "ts_utc", F.col("teacher_id").cast("string").alias("teacher_id"), "operation", "tech_key", "activity_label",

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import csv
 import io
+import sys
 from collections.abc import Iterator, Sequence
 
 import pyarrow as pa
@@ -19,13 +20,18 @@ LOG_FILE = r"(?i)^logs_(.+)_(\d{8}-\d{4})\.csv$"
 TIME_COLUMNS = ("czas", "time", "date", "timecreated")
 TEACHER_ID, EMAIL = ("teacher_id", "id", "userid"), ("email", "mail", "e-mail")
 HR = {
-    "email": ("email", "e-mail", "mail", "adres e-mail"),
-    "full_name": ("full_name", "pełna nazwa", "imię i nazwisko", "nazwisko i imię"),
+    "email": ("email", "mail", "e-mail", "adres e-mail"),
+    "full_name": ("full_name", "imie_nazwisko", "name", "nazwiskoimie", "pełna nazwa", "imię i nazwisko", "nazwisko i imię"),
     "wydzial": ("wydzial", "wydział", "wydział jednostki zatrudnienia"),
-    "jednostka": ("jednostka", "jednostka podlegajaca rozliczeniu", "jednostka organizacyjna"),
+    "jednostka": ("jednostka", "unit", "katedra", "jednostka podlegajaca rozliczeniu", "jednostka organizacyjna"),
     "id_bazus": ("id_bazus", "id bazus", "bazus"),
 }
-INPUT_KINDS = {"hr": r"(?i)(hr|pracowni|teachers)", "roster": r"(?i)(roster|uczestni|lista_kurs)", "snapshot": r"(?i)(zawartosc|snapshot)"}
+# What the names of input files have in them.
+INPUT_KINDS = {
+    "hr": r"(?i)(nauczyciel|teachers|hr|dane_do_raportu|pracowni)",
+    "roster": r"(?i)(uczestni|roster|enrol|zapisani|lista_kurs)",
+    "snapshot": r"(?i)(zawartosc|snapshot)",
+}
 
 
 def files(spark: SparkSession, root: str, glob: str = "*.csv") -> DataFrame:
@@ -55,6 +61,7 @@ def delimiter(text: Column) -> Column:
 
 def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Of (path, text, sep) one row per record: path, line_no, header, fields."""
+    csv.field_size_limit(sys.maxsize)
     kinds = [pa.string(), pa.int64(), pa.list_(pa.string()), pa.list_(pa.string())]
     names = ["path", "line_no", "header", "fields"]
     for batch in batches:
@@ -79,7 +86,8 @@ def records(found: DataFrame) -> DataFrame:
     """(path, line_no, fields, payload): the records of quoted, ragged delimited files, each by its own header.
 
     Fields are trimmed, blank records dropped, missing tail fields empty; the payload maps header to field, an
-    empty header is col_<n>, and of equal headers the last counts. A file is one record batch of a task, so
+    empty header is col_<n>, and of equal headers the last counts. A quote that is never closed takes what is
+    left of its file into one field, of whatever length. A file is read by one task, so
     files should be of a size that a task can hold.
     """
     text = found.withColumn("text", decoded(F.col("content"))).select("path", "text", delimiter(F.col("text")).alias("sep"))
@@ -96,20 +104,28 @@ def time_text(payload: Column) -> Column:
     return F.coalesce(*[blank_to_null(F.try_element_at(low, F.lit(t))) for t in TIME_COLUMNS])
 
 
+def log_rows(found: DataFrame, inserted_at: Column) -> DataFrame:
+    """Every record of log files (path, name, content) as a raw event (schemas.RAW_EVENT), with line_no."""
+    logs = log_files(found)
+    rows = records(logs).join(logs.select("path", "name", "course"), "path")
+    at = time_text(F.col("payload"))
+    return rows.select(
+        "course", at.alias("time_text"), parse_time(at).alias("time_ts"), F.sha2(F.array_join("fields", "\u001f"), 256).alias("row_key"),
+        "payload", F.col("name").alias("source_file"), course_id(F.col("payload")).alias("course_id"), inserted_at.cast("timestamp").alias("inserted_at"), "line_no",
+    )
+
+
+def first_records(rows: DataFrame, scope: str = "all") -> DataFrame:
+    """Of equal records the first by file, line and course; scope "course": of each course."""
+    return one_per_key(rows, ["row_key"] + (["course"] if scope == "course" else []), [F.col("source_file"), F.col("line_no"), F.col("course")]).drop("line_no")
+
+
 def raw_events(spark: SparkSession, root: str, scope: str = "all", inserted_at: str = "1970-01-01") -> DataFrame:
     """Raw events of all log files below `root` (schemas.RAW_EVENT); a record counts once, in its first file by name.
 
     scope "course": once in each course.
     """
-    found = log_files(files(spark, root))
-    by_file = found.select("path", "name", "course")
-    rows = records(found).join(by_file, "path")
-    at = time_text(F.col("payload"))
-    events = rows.select(
-        "course", at.alias("time_text"), parse_time(at).alias("time_ts"), F.sha2(F.array_join("fields", "\u001f"), 256).alias("row_key"),
-        "payload", F.col("name").alias("source_file"), course_id(F.col("payload")).alias("course_id"), F.lit(inserted_at).cast("timestamp").alias("inserted_at"), "line_no",
-    )
-    return one_per_key(events, ["row_key"] + (["course"] if scope == "course" else []), [F.col("source_file"), F.col("line_no"), F.col("course")]).drop("line_no")
+    return first_records(log_rows(files(spark, root), F.lit(inserted_at)), scope)
 
 
 def snapshot_rows(found: DataFrame) -> DataFrame:
@@ -150,7 +166,8 @@ def id_emails(raw: DataFrame) -> DataFrame:
 def people(raw: DataFrame, position: str | None = None, columns: dict[str, str] | None = None, carry: Sequence[str] = ()) -> DataFrame:
     """(email, full_name, wydzial, jednostka, id_bazus, carry): the first row of each e-mail.
 
-    Columns by alias, or as `columns` names them (a missing one is an error then). `position` orders the rows.
+    Columns by alias, or as `columns` names them (a missing one is an error then). `position` orders the rows;
+    without it the first row is the smallest by its other columns, so that the outcome doesn't depend on partitions.
     """
     if columns:
         require_columns(raw.columns, list(columns.values()))
@@ -158,8 +175,9 @@ def people(raw: DataFrame, position: str | None = None, columns: dict[str, str]
     if not chosen["email"]:
         raise ValueError("no e-mail column")
     text = lambda c: blank_to_null(F.col(f"`{c}`").cast("string")) if c else F.lit(None).cast("string")
-    rows = raw.select(*[(F.lower(text(c)) if f == "email" else text(c)).alias(f) for f, c in chosen.items()], *carry, (F.col(position) if position else F.monotonically_increasing_id()).alias("_position"))
-    return one_per_key(rows.filter("email is not null"), ["email"], [F.col("_position")]).drop("_position")
+    rows = raw.select(*[(F.lower(text(c)) if f == "email" else text(c)).alias(f) for f, c in chosen.items()], *carry, (F.col(position) if position else F.lit(0)).alias("_position"))
+    order = ["_position", *[c for c in rows.columns if c not in ("email", "_position")]]
+    return one_per_key(rows.filter("email is not null"), ["email"], [F.col(f"`{c}`").asc_nulls_last() for c in order]).drop("_position")
 
 
 def latest_inputs(found: DataFrame, kinds: dict[str, str] = INPUT_KINDS) -> DataFrame:

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,12 +16,15 @@ def _exists(spark: SparkSession, path: str) -> bool:
     return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
 
 
-def merge_parquet(frames: Sequence[DataFrame], path: str, dedup_per_file: bool = False) -> None:
-    """All frames as one Parquet table, columns by name, missing ones null; each has _source_file."""
-    merged = frames[0]
-    for f in frames[1:]:
-        merged = merged.unionByName(f, allowMissingColumns=True)
-    (merged.dropDuplicates() if dedup_per_file else merged).write.mode("overwrite").parquet(path)
+def merge_parquet(frames: Mapping[str, DataFrame] | Sequence[DataFrame], path: str, dedup_per_file: bool = False) -> None:
+    """All frames as one Parquet table, columns by name, missing ones null; equal rows of one frame once if asked.
+
+    Frames that are given by the names of their files get these as _source_file.
+    """
+    named = [f.withColumn("_source_file", F.lit(n)) for n, f in frames.items()] if isinstance(frames, Mapping) else list(frames)
+    if dedup_per_file:
+        named = [f.dropDuplicates() for f in named]
+    reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), named).write.mode("overwrite").parquet(path)
 
 
 def export_courses(events: DataFrame, path: str, kind: str = "csv") -> None:
@@ -52,7 +56,28 @@ def append_absent(new: DataFrame, path: str, keys: Sequence[str], order: Sequenc
         fresh.unpersist()
 
 
+def replace_all(df: DataFrame, path: str) -> None:
+    """Replace a table that `df` doesn't read, such as the state of activities."""
+    df.write.mode("overwrite").parquet(path)
+
+
+#: Columns of findings, by either of their names.
+FINDING = {"qa_type": "type", "teacher_id": "teacher_id", "course_code": "course_code", "tech_key": "tech_key", "details": "description"}
+
+
+def append_findings(findings: DataFrame, path: str) -> None:
+    """Append findings as text columns by name, whichever of the two names a column has; raises if one is missing."""
+    names = {n: next((c for c in (n, other) if c in findings.columns), None) for n, other in FINDING.items()}
+    if missing := [n for n, c in names.items() if c is None]:
+        raise ValueError(f"missing columns: {', '.join(missing)}")
+    append(findings.select(*[F.col(c).cast("string").alias(n) for n, c in names.items()]), path)
+
+
 def append(df: DataFrame, path: str) -> None:
+    """Append rows; raises if the table at `path` has other columns."""
+    spark = df.sparkSession
+    if _exists(spark, path) and (there := spark.read.parquet(path).columns) != df.columns:
+        raise ValueError(f"the table has columns {there}, the rows {df.columns}")
     df.write.mode("append").parquet(path)
 
 

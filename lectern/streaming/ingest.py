@@ -8,9 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from lectern.functions.course import course_id
-from lectern.functions.text import parse_time
-from lectern.sources.logs import log_files, records, time_text
+from lectern.sources.logs import first_records, log_rows
 from lectern.sources.sinks import append_absent
 
 FILE = "path string, modificationTime timestamp, length long, content binary"
@@ -25,20 +23,14 @@ def _named(batch: DataFrame) -> DataFrame:
 
 
 def stream_logs(spark: SparkSession, root: str, table: str, checkpoint: str) -> StreamingQuery:
-    """Append the records of log files not seen yet to the Parquet table `table`, each record once.
+    """Append the records of log files not seen yet to the Parquet table `table` (schemas.RAW_EVENT), each record once.
 
     A batch keeps the first of equal records and appends those that the table lacks, so a replayed batch adds
     nothing. Stops when all files that are there have been taken.
     """
 
-    def take(batch: DataFrame, batch_id: int) -> None:
-        found = log_files(_named(batch))
-        rows = records(found).join(found.select("path", "name", "course"), "path")
-        at = time_text(F.col("payload"))
-        events = rows.select(
-            "course", at.alias("time_text"), parse_time(at).alias("time_ts"), F.sha2(F.array_join("fields", "\u001f"), 256).alias("row_key"), "payload",
-            F.col("name").alias("source_file"), course_id(F.col("payload")).alias("course_id"), F.lit(batch_id).alias("batch_id"),
-        )
+    def take(batch: DataFrame, _: int) -> None:
+        events = first_records(log_rows(_named(batch), F.current_timestamp()))
         append_absent(events, table, ["row_key"], ["source_file", "course"])
 
     return _new_files(spark, root, "*.csv").writeStream.foreachBatch(take).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()

@@ -115,3 +115,71 @@ def test_mixed_periods(spark):
     assert keyed.require_one_period(df.filter("term = 'z'")).count() == 1
     with pytest.raises(keyed.MixedPeriods):
         keyed.require_one_period(df)
+
+
+def test_long_fields_and_open_quotes(spark, folder):
+    root = folder("logs_A_20260101-0000.csv", ('Czas;Opis\n2026-01-01;"' + "x" * 300_000 + '"\n2026-01-02;"open\nto the end;').encode())
+    assert sorted(len(r.payload["Opis"]) for r in logs.raw_events(spark, root).collect()) == [len("open\nto the end;"), 300_000]
+
+
+def test_merge_says_what_it_did(spark, folder, tmp_path):
+    from lectern import schemas
+    from lectern.plans import pipeline
+
+    table = f"file://{tmp_path}/raw"
+    assert pipeline.merge_logs(spark, folder("other.csv", b"a;b\n1;2\n"), table).status == "SKIPPED"
+    folder("logs_A_20260101-0000.csv", b"Czas;Opis\n2026-01-01;x\n2026-01-01;x\n2026-01-02;y\n")
+    root = folder("logs_B_20260101-0000.csv", b"Czas;Opis\n2026-01-02;y\n2026-01-03;course with id '5'\n")
+    assert pipeline.merge_logs(spark, root, table) == pipeline.Merged("OK", 2, 2, 5, 3)
+    assert pipeline.merge_logs(spark, root, table).inserted == 0
+    got = spark.read.parquet(table)
+    assert [f.split()[0] for f in schemas.RAW_EVENT.split(", ")] == got.columns and got.filter("course_id = '5'").count() == 1
+    ingest.stream_logs(spark, root, table, f"file://{tmp_path}/check").awaitTermination()
+    assert spark.read.parquet(table).columns == got.columns and spark.read.parquet(table).count() == 3
+
+
+def test_tables_that_appends_refuse(spark, tmp_path):
+    path = f"file://{tmp_path}/qa"
+    rows = spark.createDataFrame([("T", "1", "C", "K", "d")], "qa_type string, teacher_id string, course_code string, tech_key string, details string")
+    sinks.append_findings(rows, path)
+    with pytest.raises(ValueError):
+        sinks.append_findings(rows.drop("details"), path)
+    with pytest.raises(ValueError):
+        sinks.append(rows.withColumnRenamed("details", "more"), path)
+    assert spark.read.parquet(path).count() == 1
+
+
+@pytest.mark.parametrize("payload, want", [
+    ({"Opis": "the course with id '12'."}, "12"), ({"Description": "Course with ID 7"}, "7"), ({"Kontekst zdarzenia": "x", "Opis": "course id: 8"}, "8"),
+    ({"Nazwa zdarzenia": "ID kursu = 9"}, "9"), ({"Inne": "course id 3"}, "3"), ({"Opis": "none", "Inne": "course id 3"}, None), ({}, None),
+])
+def test_course_numbers(spark, payload, want):
+    from lectern.functions.course import course_id
+
+    assert spark.createDataFrame([(payload,)], "p map<string,string>").select(course_id(F.col("p"))).first()[0] == want
+
+
+@pytest.mark.parametrize("name, want", [
+    ("WFAnstj5sem-Nazwa-WY-202526z", "WF/An/stj/5sem-Nazwa-Wykład-2025/26z"), ("WFAnnst5sem-Nazwa-202526l", "WF/An/nst/5sem-Nazwa-2025/26l"), ("WLLe-EDnst1sem-N-202526z", "WL/Le-ED/nst/1sem-N-2025/26z"),
+    ("WLLe-EDns11sem-N-202526z", "WL/Le-ED/ns1/1sem-N-2025/26z"), ("WLLe-EDst1sem-N-202526z", "WL/Le-ED/st/1sem-N-2025/26z"), ("other", None),
+])
+def test_courses_by_file_name(spark, name, want):
+    from lectern.functions.course import code_from_file
+
+    assert spark.createDataFrame([(name,)], "c string").select(code_from_file(F.col("c"))).first()[0] == want
+
+
+def test_other_headers(spark, folder):
+    from lectern.operators import roster
+
+    hr = spark.createDataFrame([("A@x.pl", "N", "K")], "mail string, NazwiskoImie string, katedra string")
+    assert [tuple(r)[:4] for r in logs.people(hr).collect()] == [("a@x.pl", "N", None, "K")]
+    sheet = spark.createDataFrame([("1", "5")], "course_id string, `Studenci przed rozpocząciem` string")
+    with pytest.raises(ValueError):
+        roster.read_roster(sheet, "2026-01-01")
+    assert roster.read_roster(sheet, "2026-01-01", lenient=True).first().students_before_start == 5
+    with pytest.raises(ValueError):
+        roster.read_roster(sheet.drop("course_id"), "2026-01-01", lenient=True)
+    for name in ("dane_do_raportu.csv", "enrol.csv"):
+        root = folder(name, b"x")
+    assert {r.kind for r in logs.latest_inputs(logs.files(spark, root)).collect()} == {"hr", "roster"}
