@@ -23,13 +23,13 @@ COUNTS = {
 }
 
 
-def read_roster(raw: DataFrame, loaded_at: str, lenient: bool = False) -> DataFrame:
+def read_roster(raw: DataFrame, loaded_at: str, strict: bool = False) -> DataFrame:
     """Roster rows of a sheet of text columns; unreadable numbers are 0, rows without course id go.
 
-    A sheet without one of the columns is an error; if `lenient`, only one without course id, and numbers of missing columns are 0.
+    A sheet without course id is an error. Numbers of other columns that it lacks are 0; if `strict`, these are an error too.
     """
     found = {n: pick_column(raw.columns, list(h)) for n, h in (TEXTS | COUNTS).items()}
-    if missing := [n for n, c in found.items() if c is None and (n == "course_id" or not lenient)]:
+    if missing := [n for n, c in found.items() if c is None and (n == "course_id" or strict)]:
         raise ValueError(f"missing columns: {', '.join(missing)}")
     col = lambda n: F.col(f"`{c}`") if (c := found[n]) else F.lit(None).cast("string")
     rows = raw.select(*[blank_to_null(col(n)).alias(n) for n in TEXTS], *[lenient_int(col(n)).alias(n) for n in COUNTS])

@@ -176,10 +176,10 @@ def test_other_headers(spark, folder):
     assert [tuple(r)[:4] for r in logs.people(hr).collect()] == [("a@x.pl", "N", None, "K")]
     sheet = spark.createDataFrame([("1", "5")], "course_id string, `Studenci przed rozpocząciem` string")
     with pytest.raises(ValueError):
-        roster.read_roster(sheet, "2026-01-01")
-    assert roster.read_roster(sheet, "2026-01-01", lenient=True).first().students_before_start == 5
+        roster.read_roster(sheet, "2026-01-01", strict=True)
+    assert roster.read_roster(sheet, "2026-01-01").first().students_before_start == 5
     with pytest.raises(ValueError):
-        roster.read_roster(sheet.drop("course_id"), "2026-01-01", lenient=True)
+        roster.read_roster(sheet.drop("course_id"), "2026-01-01")
     for name in ("dane_do_raportu.csv", "enrol.csv"):
         root = folder(name, b"x")
     assert {r.kind for r in logs.latest_inputs(logs.files(spark, root)).collect()} == {"hr", "roster"}
