@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from lectern.functions.course import CONTEXT as CONTEXT_FORM
 from lectern.functions.course import FIELDS, code_from_file, parse_code
 from lectern.functions.text import extract, parse_epoch
-from lectern.operators import filters, keyed, rules, stats
+from lectern.operators import filters, keyed, reports, rules, stats
 from lectern.operators.tables import kept
 from lectern.sources import logs, sinks
 
@@ -112,3 +112,40 @@ def finalize(new: DataFrame, existing: DataFrame | None = None, scope: str = "al
         return stats.invalidate(new)
     both = new.withColumn("_new", F.lit(True)).unionByName(existing.select(*columns).withColumn("_new", F.lit(False)), allowMissingColumns=True)
     return stats.invalidate(both).filter("_new").drop("_new")
+
+
+@dataclass(frozen=True)
+class Summary:
+    """The frames of the summary report's sheets."""
+
+    main: DataFrame
+    qa: DataFrame
+    info: DataFrame
+
+
+def summary_report(long: DataFrame, qa: DataFrame, ay: str, term: str, generated: str, max_rows: int = 1_000_000, policy: str = "error", zero_counts: bool = False) -> Summary:
+    """Active rows in report order under the overflow policy (see reports.overflow), findings, and the counts of what is shown."""
+    rows = reports.active(long, zero_counts)
+    shown = reports.report_columns(rows)
+    main = reports.overflow(shown, [*reports.REPORT_ORDER, "teacher_id"], max_rows, policy)
+    ordered = [c for c in ("sheet_no", "row_no", *reports.REPORT_ORDER) if c in main.columns] or ["full_name"]
+    return Summary(main.orderBy(*reports.nulls_last(ordered)), reports.qa_rows(qa), reports.info(shown, ay, term, generated))
+
+
+@dataclass(frozen=True)
+class Packs:
+    """The frames of the individual reports: rows and persons by teacher, and each teacher's file and status."""
+
+    rows: DataFrame
+    persons: DataFrame
+    status: DataFrame
+
+
+def individual_packs(long: DataFrame, path: str | None = None) -> Packs:
+    """One pack for each teacher: active rows with a count, the person's record as lines, the status; rows are written to `path` if given."""
+    rows = reports.active(long)
+    persons = reports.person_record(long)
+    status = reports.pack_status(persons, rows)
+    if path:
+        sinks.report_packs(rows, status, path)
+    return Packs(rows, reports.person_pairs(persons), status)

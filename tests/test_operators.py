@@ -186,3 +186,51 @@ def test_finalize_looks_at_earlier_events(spark):
     new, old = e.filter("count_mode = 'TAK'"), e.filter("count_mode = 'TAK_FLAG'")
     assert [r.counted for r in pipeline.finalize(new, old).collect()] == [False]
     assert [r.counted for r in pipeline.finalize(new, old, "batch").collect()] == [True]
+
+
+LONG = (
+    "teacher_id string, full_name string, email string, id_bazus string, course_name string, course_code string, tech_key string, activity_label string, "
+    "count_value long, visible_active boolean, hr_wydzial string, hr_jednostka string"
+)
+
+
+def test_individual_packs(spark, tmp_path):
+    from lectern.plans import pipeline
+
+    ten = ("10", "Kowalski Jan", "j@x.pl", "B123")
+    rows = [
+        (*ten, "Kurs B", "B", "URL", "Adres URL", 2, True, "WL", "Katedra X"), (*ten, "Kurs A", "A", "PAGE", "Strona", 3, True, "WL", "Katedra X"), (*ten, "Kurs A", "A", "WIKI", "Wiki", 0, True, "WL", "Katedra X"),
+        ("11", "Zero", "z@x.pl", "B1", "Kurs A", "A", "PAGE", "Strona", 0, True, None, None), ("12", "Bez", None, "B2", "Kurs A", "A", "PAGE", "Strona", 1, True, None, None),
+        ("13", "Nowak/Anna:*?", "n@x.pl", None, "Kurs A", "A", "PAGE", "Strona", 1, True, None, None),
+    ]
+    packs = pipeline.individual_packs(spark.createDataFrame(rows, LONG), f"file://{tmp_path}/packs")
+    status = {r.teacher_id: (r.status, r.n_rows) for r in packs.status.collect()}
+    assert status == {"10": ("OK", 2), "11": ("SKIPPED_NO_DATA", 0), "12": ("SKIPPED_NO_EMAIL", 1), "13": ("SKIPPED_NO_ID", 1)}
+    assert len(list((tmp_path / "packs").glob("report_file=*"))) == 1
+    written = spark.read.parquet(f"file://{tmp_path}/packs").collect()
+    assert [(r.course_name, r.activity_label, r.count_value) for r in written] == [("Kurs A", "Strona", 3), ("Kurs B", "Adres URL", 2)]
+    assert {(r.label, r.value) for r in packs.persons.filter("teacher_id = '10'").collect()} >= {("ID", "10"), ("ID bazus", "B123"), ("Wydział", "WL"), ("Jednostka", "Katedra X")}
+
+
+@pytest.mark.parametrize("policy", ["error", "split", "skip"])
+def test_summary_report(spark, policy):
+    from lectern.operators import reports
+    from lectern.plans import pipeline
+
+    rows = [(str(i), name, "e", "b", "K", course, "T", "L", n, True, None, None) for i, (name, course, n) in enumerate([("B", "ZZ", 1), ("A", "BB", 2), ("A", "AA", 3), ("A", "CC", 0)])]
+    long = spark.createDataFrame(rows, LONG)
+    qa = spark.createDataFrame([("T", "1", "C", "K", "d")], "qa_type string, teacher_id string, course_code string, tech_key string, details string")
+    if policy == "error":
+        with pytest.raises(reports.TooManyRows):
+            pipeline.summary_report(long, qa, "2025/26", "z", "now", max_rows=2)
+        main = pipeline.summary_report(long, qa, "2025/26", "z", "now", max_rows=3).main.collect()
+        assert [(r.full_name, r.course_code) for r in main] == [("A", "AA"), ("A", "BB"), ("B", "ZZ")]
+        return
+    made = pipeline.summary_report(long, qa, "2025/26", "z", "now", max_rows=2, policy=policy)
+    main = made.main.collect()
+    if policy == "split":
+        assert [(r.sheet_no, r.full_name, r.course_code) for r in main] == [(1, "A", "AA"), (1, "A", "BB"), (2, "B", "ZZ")]
+    else:
+        assert all(r.course is None and r.pct_course is None for r in main) and sum(r.count_value for r in main) == 6
+    assert {r.key: r.value for r in made.info.collect()} == {"ay": "2025/26", "term": "z", "generated_at": "now", "rows": "3", "teachers": "3", "courses": "3"}
+    assert made.qa.count() == 1
