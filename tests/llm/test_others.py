@@ -315,3 +315,37 @@ def test_pipeline(spark):
                 gone.add(b)
     assert ids[3] == set(sets) - gone
     assert {tuple(r) for r in p.run(spark, SF).collect()} == {tuple(r) for r in steps[-1].collect()}
+
+
+def test_long_urls_and_texts(spark):
+    url = "https://long.example.com/fr/" + "a/" * 100_000 + "?q"
+    pages = spark.createDataFrame([(1, url, "r"), (1, url, "r"), (2, "https://x.net/" + "9" * 500_000, "r")], "page_id long, url string, rule string")
+    got = sorted(url_templates.judge_urls(pages).collect(), key=lambda r: r.page_id)
+    assert [(r.page_id, r.rule, len(r.path)) for r in got] == [(1, "com/fr/", 200_004), (1, "com/fr/", 200_004), (2, None, 500_001)]
+    docs = spark.createDataFrame([(1, "a", "w " * 1_000_000, 0), (2, "b", "w", 0), (2, "b", "w", 0)], "doc_id long, source string, text string, target int")
+    mixed = mixing.mix_sources(docs).collect()
+    assert sorted((r.doc_id, r.size) for r in mixed) == [(1, 1_000_000), (2, 1), (2, 1)] and all(r.taken <= 3 * r.size for r in mixed)
+
+
+def test_decontamination_judges_each_row(spark):
+    rng = random.Random(41)
+    item = " ".join(f"b{rng.randrange(900)}" for _ in range(40))
+    long_text = "word " * 300_000 + item + " word" * 300_000
+    rows = [(None, item, 1), (None, "clean text", 1), (3, item, 1), (3, "clean too", 1), (4, long_text, 1), (5, None, 1), (6, "", 1)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, item_id int")
+    b = spark.createDataFrame([(1, item)], "item_id long, text string")
+    assert sorted((str(r.doc_id), r.text) for r in decontaminate.decontaminate(docs, b).collect() if r.text) == [("3", "clean too"), ("None", "clean text")]
+    assert decontaminate.decontaminate(docs, b).count() == 4
+
+
+def test_pipeline_stages_on_nulls_and_nothing(spark):
+    import corpus_pipeline as p
+
+    schema = "doc_id long, text string, lang string, source string, n_chars long"
+    words = " ".join(f"w{i}" for i in range(60))
+    odd = [(None, None, None, None, None), (None, words, None, "a", None), (1, "", "en", None, 0), (1, words, "en", "a", 5), (1, words, "en", "a", 5), (2, None, "en", "b", None), (3, "x" * 100_000, "en", "b", 1)]
+    for rows in ([], odd):
+        docs = spark.createDataFrame(rows, schema)
+        for _, stage in p.STAGES:
+            got = stage(spark, docs, SF)
+            assert got.count() <= len(rows)
