@@ -26,7 +26,10 @@ def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def without_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents less the lines that repeat earlier ones; n_chars follows the text. One that loses all its words goes."""
-    left = dedup_lines(docs, carry=["lang", "source"]).filter((F.col("n_removed") == 0) | F.col("text").rlike(WORD))
+    left = dedup_lines(docs, carry=["lang", "source"])
+    # Behind the explode of one element the filter stays above, so what is left of a text is put together once.
+    left = left.select("doc_id", F.explode(F.array("text")).alias("text"), "lang", "source", "n_removed")
+    left = left.filter((F.col("n_removed") == 0) | F.col("text").rlike(WORD))
     return left.withColumn("n_chars", F.length("text").cast("long")).select(COLUMNS)
 
 
