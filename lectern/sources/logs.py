@@ -53,7 +53,8 @@ def decoded(content: Column) -> Column:
 
 def delimiter(text: Column) -> Column:
     """The most frequent of tab, ; and , in the first 20 non-blank lines; ties in this order; ; if there is none."""
-    head = F.array_join(F.slice(F.filter(F.split(text, r"\r?\n"), lambda x: F.trim(x) != ""), 1, 20), "\n")
+    lines = F.split(text, r"\r?\n(?:\x20*+\r?\n)*+", 22)  # blank lines go with the break before them; one may come first, and the last is the rest
+    head = F.array_join(F.slice(F.filter(lines, lambda x: F.trim(x) != ""), 1, 20), "\n")
     n = {d: F.length(head) - F.length(F.replace(head, F.lit(d), F.lit(""))) for d in ("\t", ";", ",")}
     most = F.greatest(*n.values())
     return F.when(most == 0, ";").when(n["\t"] == most, "\t").when(n[";"] == most, ";").otherwise(",")

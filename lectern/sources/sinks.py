@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lectern.operators.keyed import insert_absent
@@ -27,10 +27,18 @@ def merge_parquet(frames: Mapping[str, DataFrame] | Sequence[DataFrame], path: s
     reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), named).write.mode("overwrite").parquet(path)
 
 
+def _in_order(rows: DataFrame, *by: str | Column) -> DataFrame:
+    """Rows dealt to tasks by ranges of `by` and sorted so in each; rows that are read twice, once for the bounds."""
+    return rows.repartitionByRange(*by).sortWithinPartitions(*by)
+
+
 def export_courses(events: DataFrame, path: str, kind: str = "csv") -> None:
-    """One folder per course, rows by time descending, those without time last; quoted text with ; for csv."""
+    """One folder per course, rows by time descending, those without time last; quoted text with ; for csv.
+
+    A large course is dealt over several tasks by time, so its folder holds several files; their names sort as their rows do.
+    """
     flat = events.withColumn("payload", F.to_json("payload")) if "payload" in events.columns and kind == "csv" else events
-    ordered = flat.repartition("course").sortWithinPartitions("course", *[F.col(c).desc_nulls_last() for c in ("time_ts", "inserted_at")])
+    ordered = _in_order(flat, "course", *[F.col(c).desc_nulls_last() for c in ("time_ts", "inserted_at")])
     writer = ordered.write.mode("overwrite").partitionBy("course")
     writer.option("sep", ";").option("header", "true").option("quoteAll", "true").csv(path) if kind == "csv" else writer.parquet(path)
 
@@ -82,6 +90,6 @@ def append(df: DataFrame, path: str) -> None:
 
 
 def report_packs(rows: DataFrame, status: DataFrame, path: str) -> None:
-    """One folder per report file of a teacher whose status is OK."""
+    """One folder per report file of a teacher whose status is OK; a large one holds several files, whose names sort as their rows do."""
     ready = rows.join(status.filter("status = 'OK'").select("teacher_id", "report_file"), "teacher_id")
-    ready.repartition("report_file").sortWithinPartitions("report_file", "course_name", "activity_label").write.mode("overwrite").partitionBy("report_file").parquet(path)
+    _in_order(ready, "report_file", "course_name", "activity_label").write.mode("overwrite").partitionBy("report_file").parquet(path)

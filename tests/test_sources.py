@@ -90,6 +90,30 @@ def test_sinks(spark, tmp_path):
     assert spark.read.parquet(f"{path}4").count() == 6
 
 
+def test_large_course_over_several_files(spark, tmp_path):
+    path = f"file://{tmp_path}/hot"
+    events = spark.range(2000).select(
+        F.when(F.col("id") % 10 == 0, "B").otherwise("A").alias("course"), F.when(F.col("id") % 7 > 0, F.timestamp_seconds(F.hash("id") % 100000)).alias("time_ts"),
+        F.timestamp_seconds("id").alias("inserted_at"),
+    )
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        sinks.export_courses(events, path, "parquet")
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    found = sorted((tmp_path / "hot" / "course=A").glob("*.parquet"))
+    got = [(r.time_ts, r.inserted_at) for f in found for r in spark.read.parquet(f"file://{f}").collect()]
+    key = lambda r: (r[0] is None, -r[0].timestamp() if r[0] else 0, -r[1].timestamp())
+    assert len(found) > 1 and len(got) == 1800 and got == sorted(got, key=key)
+
+
+def test_delimiter_looks_at_twenty_lines(spark):
+    texts = ["\n \n\r\na;b\r\n  \r\n\r\n1,2;3;4\r\n", "a\tb\n" + "1;2\n" * 19 + ",,,,,,,,,,\n" * 9, "  \n" + "a,b\n \n" * 20 + ";;;;;;;;;;;;;;;;;;;;;;;;\n" * 3, "one", "", None]
+    rows = spark.createDataFrame(list(enumerate(texts)), "no int, text string")
+    got = [r.d for r in rows.select("no", logs.delimiter(F.col("text")).alias("d")).orderBy("no").collect()]
+    assert got == [";", ";", ",", ";", ";", ","]
+
+
 def test_stream_adds_new_records_once(spark, folder, tmp_path):
     root = folder("logs_A_20260101-0000.csv", b"Czas;Opis\n2026-01-01;x\n2026-01-01;x\n2026-01-02;y\n")
     table, check = f"file://{tmp_path}/table", f"file://{tmp_path}/check"
