@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from lectern.llm import chunks, decontaminate, lines, minhash, mixing, neighbours, quality, suffixes, token_counts, url_templates
+from lectern.llm import chunks, decontaminate, infilling, lines, minhash, mixing, negatives, neighbours, pieces, quality, suffixes, token_counts, url_templates
 from lectern.llm.shared import materialize, new_path, read
 
 
@@ -64,6 +64,24 @@ def op10_line_dedup(spark, sf_dir):
     return lines.dedup_lines(read(spark, sf_dir, "documents"))
 
 
+def op11_fill_in_middle(spark, sf_dir):
+    changed = infilling.restored(infilling.fill_in_middle(read(spark, sf_dir, "documents")))
+    digests = [F.sha2(c, 256).alias(f"{c}_sha256") for c in ("output", "restored")]
+    return changed.select("doc_id", "n", "form", "prefix_chars", "middle_chars", *digests)
+
+
+def op12_sentencepiece(spark, sf_dir):
+    coded = pieces.decode_pieces(pieces.encode_pieces(read(spark, sf_dir, "documents")))
+    return coded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2("ids_le", 256).alias("ids_sha256"), F.sha2("text", 256).alias("decoded_sha256"))
+
+
+def op13_hard_negatives(spark, sf_dir):
+    """Anchors' hard negatives among labels that are off by one where vec_id is divisible by 7."""
+    given = read(spark, sf_dir, "embeddings")
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.hard_negatives(given.withColumn("label", label))
+
+
 QUERIES = {
     "op1_near_duplicates": op1_near_duplicates,
     "op2_quality": op2_quality,
@@ -75,6 +93,9 @@ QUERIES = {
     "op8_decontamination": op8_decontamination,
     "op9_token_counts": op9_token_counts,
     "op10_line_dedup": op10_line_dedup,
+    "op11_fill_in_middle": op11_fill_in_middle,
+    "op12_sentencepiece": op12_sentencepiece,
+    "op13_hard_negatives": op13_hard_negatives,
 }
 
 ORACLE_SQL = {
@@ -83,4 +104,6 @@ ORACLE_SQL = {
     "op6_url_filter": url_templates.oracle(),
     "op7_source_mix": mixing.ORACLE.replace("{docs}", "documents"),
     "op10_line_dedup": lines.ORACLE,
+    "op11_fill_in_middle": infilling.ORACLE,
+    "op13_hard_negatives": negatives.ORACLE,
 }
