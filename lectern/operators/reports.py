@@ -8,30 +8,57 @@ from pyspark.sql import Column, DataFrame, Window as W
 from pyspark.sql import functions as F
 
 from lectern.functions.text import blank_to_null, fuzzy_key, report_file
+from lectern.operators.contract import Field, check, project
 
 REPORT_ORDER = ["full_name", "course_code", "tech_key"]
-PERCENTS = ["pct_course", "pct_program", "pct_faculty", "pct_university"]
-# Labels of person fields.
+#: Shares as the sheets have them, and as the metrics do.
+SHARES = [
+    Field("pct_course", "double", needed=False),
+    Field("pct_program", "double", ("pct_program", "pct_kierunek"), needed=False),
+    Field("pct_faculty", "double", ("pct_faculty", "pct_wydzial"), needed=False),
+    Field("pct_university", "double", ("pct_university", "pct_uczelnia"), needed=False),
+]
+PERCENTS = [f.name for f in SHARES]
+COURSE, ACTIVITY = ("course_name", "course_code"), ("activity_label", "tech_key")
+#: What a pack takes from the metrics.
+PACK = [Field("teacher_id", "string"), Field("course_name", "string", COURSE), Field("activity_label", "string", ACTIVITY), Field("count_value", "bigint"), *SHARES]
+# Labels of person fields, and of further staff fields.
 PERSON_LABELS = {"ID": "teacher_id", "Imię i nazwisko": "full_name", "E-mail": "email", "ID bazus": "id_bazus", "Wydział": "hr_wydzial", "Jednostka": "hr_jednostka"}
+STAFF_LABELS = {"hr_katedra": "Katedra", "hr_zaklad": "Zakład", "hr_stanowisko": "Stanowisko", "hr_tytul": "Tytuł / Stopień", "hr_umowa": "Rodzaj umowy"}
+#: Names without hr_ that a staff field goes by in the metrics.
+STAFF_NAMES = {"hr_wydzial": "wydzial", "hr_jednostka": "jednostka"}
 
 
 def nulls_last(columns: Sequence[str]) -> list[Column]:
     return [F.col(c).asc_nulls_last() for c in columns]
 
 
-def report_columns(long: DataFrame, label: Sequence[str] = ("activity_label", "tech_key"), course: Sequence[str] = ("course_name", "course_code")) -> DataFrame:
-    """The report's columns with their fallbacks; percentages that aren't there are null."""
-    first = lambda names: next((F.col(n) for n in names if n in long.columns), F.lit(None).cast("string"))
-    pct = [(F.col(p) if p in long.columns else F.lit(None).cast("double")).alias(p) for p in PERCENTS]
-    return long.select("full_name", "teacher_id", first(course).alias("course"), first(label).alias("activity"), "tech_key", "course_code", "count_value", *pct)
+def report_columns(long: DataFrame, label: Sequence[str] = ACTIVITY, course: Sequence[str] = COURSE) -> DataFrame:
+    """The summary's columns by their names in the metrics or in the sheet, and all hr_ columns; shares that aren't there are null.
+
+    Raises ContractError, before any job, if the table has no column for one of the others.
+    """
+    fields = [
+        Field("full_name", "string"), Field("teacher_id", "string"), Field("course", "string", tuple(course)), Field("activity", "string", tuple(label)),
+        Field("tech_key", "string", ("tech_key", *label)), Field("course_code", "string", ("course_code", *course)), Field("count_value", "bigint"), *SHARES,
+    ]
+    return long.select(*project(long, fields), *[c for c in long.columns if c.lower().startswith("hr_")])
+
+
+def shown(long: DataFrame, zero_counts: bool = False) -> DataFrame:
+    """Rows of the summary: those with visible_active, where there is such a column, and without zero counts unless asked for."""
+    check(long, [Field("count_value", "bigint")])
+    rows = long.filter(F.coalesce(F.col("visible_active").cast("string").try_cast("boolean"), F.lit(False))) if "visible_active" in long.columns else long
+    return rows if zero_counts else rows.filter(F.col("count_value").try_cast("bigint") != 0)
 
 
 def active(long: DataFrame, zero_counts: bool = False) -> DataFrame:
-    """Rows that are active by visible_active, else by confidence_flag (bool or text), else all; zero counts go unless asked for."""
+    """Rows that are active by visible_active, else by confidence_flag (bool, or text that may also be visible_active), else all; zero counts go unless asked for."""
     if "visible_active" in long.columns:
         keep = F.coalesce(F.col("visible_active").cast("string").try_cast("boolean"), F.lit(False))
     elif "confidence_flag" in long.columns:
-        keep = F.coalesce(F.col("confidence_flag").cast("string").try_cast("boolean"), F.lit(False))
+        flag = F.col("confidence_flag").cast("string")
+        keep = F.coalesce(flag.try_cast("boolean"), F.lit(False)) | F.coalesce(F.lower(F.trim(flag)) == "visible_active", F.lit(False))
     else:
         keep = F.lit(True)
     return long.filter(keep if zero_counts else keep & (F.col("count_value") > 0))
@@ -58,15 +85,15 @@ class TooManyRows(ValueError):
     """The report has more rows than one sheet takes."""
 
 
-def overflow(rows: DataFrame, order: Sequence[str], max_rows: int, policy: str) -> DataFrame:
-    """What the main sheet holds under `policy`: error (raises), split (sheets) or skip (one row per teacher and activity)."""
+def overflow(rows: DataFrame, order: Sequence[str], max_rows: int, policy: str, whole: DataFrame | None = None) -> DataFrame:
+    """What the main sheet holds under `policy`: error (raises), split (sheets) or skip (one row per teacher and activity, of `whole` if given)."""
     if policy == "split":
         return sheet_split(rows, order, max_rows)
     if rows.limit(max_rows + 1).count() <= max_rows:
         return rows
     if policy == "error":
         raise TooManyRows(f"more than {max_rows} rows")
-    return collapse(rows)
+    return collapse(rows if whole is None else whole)
 
 
 def collapse(rows: DataFrame) -> DataFrame:
@@ -92,14 +119,20 @@ def qa_rows(qa: DataFrame) -> DataFrame:
 
 
 def person_record(rows: DataFrame, key: str = "teacher_id", fields: Sequence[str] | None = None) -> DataFrame:
-    """One row per person: the greatest non-blank value of each field; by default name, e-mail, number and all hr_ columns."""
-    chosen = fields or [c for c in rows.columns if c in ("full_name", "email", "id_bazus") or c.startswith("hr_")]
-    return rows.groupBy(key).agg(*[F.max(blank_to_null(F.col(c))).alias(c) for c in chosen])
+    """One row per person: the greatest non-blank value of each field.
+
+    By default name, e-mail, number and all hr_ columns; faculty and unit also where they go by their names without hr_.
+    """
+    own = {c: c for c in fields or [c for c in rows.columns if c in ("full_name", "email", "id_bazus") or c.startswith("hr_")]}
+    if fields is None:
+        own |= {hr: name for hr, name in STAFF_NAMES.items() if hr not in rows.columns and name in rows.columns}
+    return rows.groupBy(key).agg(*[F.max(blank_to_null(F.col(c))).alias(name) for name, c in own.items()])
 
 
 def person_pairs(people: DataFrame, labels: dict[str, str] = PERSON_LABELS) -> DataFrame:
-    """(teacher_id, position, label, value): a person's record as lines."""
+    """(teacher_id, position, label, value): a person's record as lines; further hr_ columns last, by their label or their name."""
     here = {k: v for k, v in labels.items() if v in people.columns}
+    here |= {STAFF_LABELS.get(c, c): c for c in people.columns if c.startswith("hr_") and c not in here.values()}
     lines = [F.struct(F.lit(i).alias("position"), F.lit(k).alias("label"), F.col(v).cast("string").alias("value")) for i, (k, v) in enumerate(here.items(), 1)]
     return people.select("teacher_id", F.explode(F.array(*lines)).alias("l")).select("teacher_id", "l.*")
 
@@ -120,6 +153,64 @@ def pack_status(teachers: DataFrame, rows: DataFrame) -> DataFrame:
     )
 
 
+def pack_rows(rows: DataFrame) -> DataFrame:
+    """Rows of the packs (PACK) with `problem`: what of the row can't be put into a pack, else null. Nothing is raised for a single row."""
+    text = lambda f: F.col(f"`{f.source(rows.columns)}`").cast("string")
+    problems = []
+    for f in PACK[3:]:
+        if (source := f.source(rows.columns)) is not None:
+            value = F.col(f"`{source}`").try_cast(f.kind)
+            wrong = value.isNull() & text(f).isNotNull()
+            if f.kind == "double":
+                wrong = wrong | F.isnan(value) | (value < 0) | (value > 1)
+            problems.append(F.when(wrong, F.concat(F.lit(f"{f.name} is no {'share' if f.kind == 'double' else 'whole number'}: "), text(f))))
+    return rows.select(*project(rows, PACK, lenient=True), F.coalesce(*problems).alias("problem"))
+
+
+def pack_results(teachers: DataFrame, rows: DataFrame, needs_number: bool = True) -> DataFrame:
+    """(teacher_id, report_file, n_rows, status, message) of each teacher's pack; one that can't be made is ERROR, the others come out.
+
+    teachers: teacher_id, full_name, email, id_bazus; rows: see `pack_rows`. SKIPPED_NO_ID without teacher, or without number
+    if that is needed, SKIPPED_NO_EMAIL without e-mail, SKIPPED_NO_DATA without rows. ERROR if a row can't be read, or if several
+    packs would have the same file, which only one of them could keep.
+    """
+    own = rows.groupBy("teacher_id").agg(F.count("*").alias("n_rows"), F.min("problem").alias("problem"))
+    blank = lambda c: blank_to_null(F.col(c)).isNull()
+    no_id = blank("teacher_id") | (blank("id_bazus") if needs_number else F.lit(False))
+    status = (
+        F.when(no_id, "SKIPPED_NO_ID").when(blank("email"), "SKIPPED_NO_EMAIL").when(F.col("n_rows").isNull(), "SKIPPED_NO_DATA")
+        .when(F.col("problem").isNotNull(), "ERROR").otherwise("OK")
+    )
+    file = report_file(F.col("full_name"), F.col("id_bazus")).alias("report_file")
+    found = teachers.withColumn("teacher_id", F.col("teacher_id").cast("string")).join(own, "teacher_id", "left")
+    found = found.select("teacher_id", file, F.coalesce("n_rows", F.lit(0)).alias("n_rows"), status.alias("status"), "problem")
+    shared = found.filter("status in ('OK', 'ERROR')").groupBy("report_file").agg(F.count("*").alias("_packs")).filter("_packs > 1")
+    clash = F.col("_packs").isNotNull() & F.col("status").isin("OK", "ERROR")
+    message = (
+        F.when(F.col("problem").isNotNull() & (F.col("status") == "ERROR"), F.col("problem")).when(clash, F.concat(F.col("_packs").cast("string"), F.lit(" packs have this file")))
+        .when(F.col("status") == "SKIPPED_NO_ID", "no id").when(F.col("status") == "SKIPPED_NO_EMAIL", "no e-mail").when(F.col("status") == "SKIPPED_NO_DATA", "no rows with a count")
+    )
+    return found.join(shared, "report_file", "left").select(
+        "teacher_id", "report_file", "n_rows", F.when(clash, "ERROR").otherwise(F.col("status")).alias("status"), message.alias("message")
+    )
+
+
+def checked_against(status: DataFrame, written: DataFrame) -> DataFrame:
+    """`status` with n_written, the rows that `written` (report_file) holds; a pack that isn't there whole is ERROR."""
+    there = written.groupBy(F.col("report_file").cast("string").alias("report_file")).agg(F.count("*").alias("_there"))
+    n = F.when(F.col("status") == "OK", F.coalesce("_there", F.lit(0))).otherwise(0)
+    short = (F.col("status") == "OK") & (n != F.col("n_rows"))
+    message = F.when(short, F.concat(n.cast("string"), F.lit(" of "), F.col("n_rows").cast("string"), F.lit(" rows are written"))).otherwise(F.col("message"))
+    return status.join(there, "report_file", "left").select(
+        "teacher_id", "report_file", "n_rows", n.alias("n_written"), F.when(short, "ERROR").otherwise(F.col("status")).alias("status"), message.alias("message")
+    )
+
+
+def status_counts(status: DataFrame) -> DataFrame:
+    """(status, n, n_rows): how many entities came to what, and their rows."""
+    return status.groupBy("status").agg(F.count("*").alias("n"), F.sum("n_rows").alias("n_rows"))
+
+
 def course_blocks(rows: DataFrame, entity: str, course: str, position: str, most: int = 16) -> DataFrame:
     """(entity, course, block_no): an entity's courses in order of first appearance, the first `most` of them."""
     firsts = rows.groupBy(entity, course).agg(F.min(position).alias("_first"))

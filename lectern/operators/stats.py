@@ -9,11 +9,17 @@ from pyspark.sql import Column, DataFrame, Window as W
 from pyspark.sql import functions as F
 
 from lectern.functions.text import safe_column
+from lectern.operators.contract import Field, check
 from lectern.operators.filters import STUDENT_DOMAIN, visible
 from lectern.operators.tables import kept
 
 GROUP = ["ay", "term", "teacher_id", "course_code", "tech_key"]
 LEVELS = {"pct_course": ["course_code"], "pct_kierunek": ["kierunek_code"], "pct_wydzial": ["wydzial_code"], "pct_uczelnia": []}
+#: Columns of the metrics that reports read.
+METRICS = [
+    *[Field(c, "string") for c in ("ay", "term", "teacher_id", "full_name", "email", "wydzial", "jednostka", "id_bazus", "course_code", "tech_key", "activity_label")],
+    *[Field(c, "bigint") for c in ("count_value", "deleted_count", "hidden_count", "unknown_count")], *[Field(c, "double") for c in LEVELS], Field("confidence_flag", "boolean"),
+]
 
 
 @dataclass(frozen=True)
@@ -138,6 +144,7 @@ def compute_stats(
         text("hr_jednostka", "jednostka"), text("id_bazus", "id_bazus"), "course_code", "tech_key", "activity_label", "count_value",
         *LEVELS, zero("deleted_count"), zero("hidden_count"), zero("unknown_count"), F.coalesce("confidence_flag", F.lit(False)).alias("confidence_flag"),
     )
+    check(long, METRICS)
     mixed = counts.filter("mixed").select(
         "ay", "term", F.lit("MIXED_COUNT_MODE").alias("qa_type"), "teacher_id", "course_code", "tech_key",
         F.lit(None).cast("string").alias("object_id"), F.lit("min!=max count_mode in group").alias("details"),

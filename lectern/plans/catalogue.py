@@ -665,3 +665,94 @@ def people_by_alias(spark, d):
 def ids_by_alias(spark, d):
     sheet = table(spark, d, "orders").select(F.concat(F.col("o_custkey").cast("string"), F.lit(".0")).alias("UserID"), F.concat(F.lit(" "), "o_orderpriority").alias("E-Mail"))
     return logs.id_emails(sheet)
+
+
+# ---- reports of the real metrics ----
+
+_ALL_PCT = "count_value, pct_course, pct_kierunek AS pct_program, pct_wydzial AS pct_faculty, pct_uczelnia AS pct_university"
+
+
+@query("WITH" + ENRICHED + f""", s AS (SELECT coalesce(full_name, '') AS full_name, teacher_id, course_code AS course, activity_label AS activity, tech_key, course_code, {_ALL_PCT} FROM ml WHERE count_value <> 0),
+n AS (SELECT *, row_number() OVER (ORDER BY full_name, course_code, tech_key, teacher_id) AS row_no FROM s) SELECT *, (row_no - 1) // 100 + 1 AS sheet_no FROM n""")
+def summary_report(spark, d):
+    """The main sheets of the computed metrics: four shares, and no filter by confidence_flag."""
+    from lectern.plans import pipeline
+
+    long, qa = _long(spark, d)
+    return pipeline.summary_report(long, qa, "2023/24", "z", "now", max_rows=100, policy="split").main
+
+
+@query("WITH" + ENRICHED + """, s AS (SELECT coalesce(full_name, '') AS full_name, teacher_id, activity_label AS activity, sum(count_value)::BIGINT AS count_value FROM ml GROUP BY ALL)
+SELECT * FROM s""")
+def summary_collapsed(spark, d):
+    """The main sheet where one row per teacher and activity must do."""
+    from lectern.plans import pipeline
+
+    long, qa = _long(spark, d)
+    return pipeline.summary_report(long, qa, "2023/24", "z", "now", max_rows=10, policy="skip").main.select("full_name", "teacher_id", "activity", "count_value")
+
+
+def _faulty(spark, d):
+    """The metrics with a share that is none for some teachers, the same name and number for others, and no e-mail for others."""
+    i, share = F.col("teacher_id").cast("int"), F.col("pct_wydzial")
+    same = lambda c, v: F.when(i % 11 == 1, v).otherwise(F.col(c)).alias(c)
+    cells = [same("full_name", "Same"), same("id_bazus", "B"), F.when(i % 17 == 3, " ").otherwise(F.col("email")).alias("email"), F.when(i % 13 == 2, share + 7).otherwise(share).alias("pct_wydzial")]
+    long = _long(spark, d)[0]
+    return long.select(*[c for c in long.columns if c not in ("full_name", "id_bazus", "email", "pct_wydzial")], *cells)
+
+
+_PACKS = ENRICHED + """,
+fl AS (
+  SELECT * REPLACE (CASE WHEN teacher_id::INT % 11 = 1 THEN 'Same' ELSE full_name END AS full_name, CASE WHEN teacher_id::INT % 11 = 1 THEN 'B' ELSE id_bazus END AS id_bazus,
+    CASE WHEN teacher_id::INT % 17 = 3 THEN NULL ELSE email END AS email) FROM ml),
+te1 AS (
+  SELECT teacher_id, max(full_name) AS full_name, max(id_bazus) AS id_bazus, max(email) AS email, count(*) AS n FROM fl GROUP BY 1),
+st1 AS (
+  SELECT teacher_id, coalesce(full_name, 'UNKNOWN') || '_' || coalesce(id_bazus, 'BRAK_BAZUS') || '.xlsx' AS report_file, n AS n_rows,
+    CASE WHEN id_bazus IS NULL THEN 'SKIPPED_NO_ID' WHEN email IS NULL THEN 'SKIPPED_NO_EMAIL' WHEN teacher_id::INT % 13 = 2 THEN 'ERROR' ELSE 'OK' END AS s FROM te1),
+st2 AS (
+  SELECT *, CASE WHEN s IN ('OK', 'ERROR') AND count(*) FILTER (s IN ('OK', 'ERROR')) OVER (PARTITION BY report_file) > 1 THEN 'ERROR' ELSE s END AS status FROM st1)"""
+
+
+def _packs(spark, d):
+    from lectern.plans import pipeline
+
+    path = new_path(spark, "packs")
+    return pipeline.individual_packs(_faulty(spark, d), path, active=F.lit(True)), path
+
+
+@query("WITH" + _PACKS + " SELECT teacher_id, report_file, n_rows, CASE WHEN status = 'OK' THEN n_rows ELSE 0 END AS n_written, status FROM st2")
+def individual_packs(spark, d):
+    """Statuses of packs that are written and counted again; those that fail are kept apart."""
+    return _packs(spark, d)[0].status.select("teacher_id", "report_file", "n_rows", "n_written", "status")
+
+
+@query("WITH" + _PACKS + f" SELECT report_file, course_code AS course_name, activity_label, {_ALL_PCT} FROM ml JOIN st2 USING (teacher_id) WHERE status = 'OK'")
+def packs_read_back(spark, d):
+    _, path = _packs(spark, d)
+    return spark.read.parquet(path).select("report_file", "course_name", "activity_label", "count_value", *reports.PERCENTS)
+
+
+@query("WITH" + _PACKS + " SELECT status, count(*) AS n, sum(n_rows)::BIGINT AS n_rows FROM st2 GROUP BY 1")
+def pack_status_counts(spark, d):
+    return reports.status_counts(_packs(spark, d)[0].status)
+
+
+@query("WITH" + _PACKS + """, p AS (SELECT teacher_id, max(full_name) AS full_name, max(email) AS email, max(id_bazus) AS id_bazus, max(wydzial) AS wydzial, max(jednostka) AS jednostka FROM fl GROUP BY 1)
+SELECT teacher_id, position::INT AS position, label, value FROM (
+  SELECT teacher_id, unnest([1, 2, 3, 4, 5, 6]) AS position, unnest(['ID', 'Imię i nazwisko', 'E-mail', 'ID bazus', 'Wydział', 'Jednostka']) AS label,
+    unnest([teacher_id, full_name, email, id_bazus, wydzial, jednostka]) AS value FROM p)""")
+def pack_persons(spark, d):
+    """The person lines of the packs, faculty and unit as the metrics name them."""
+    from lectern.plans import pipeline
+
+    return pipeline.individual_packs(_faulty(spark, d), active=F.lit(True)).persons
+
+
+@query("WITH" + ENRICHED + """, fl AS (SELECT m.*, bool_or(coalesce(o.confidence_deleted < 1, false)) AS flag FROM ml m LEFT JOIN ok o USING (teacher_id, course_code, tech_key) GROUP BY ALL)
+SELECT teacher_id, course_code, tech_key, CASE teacher_id::INT % 3 WHEN 0 THEN flag WHEN 1 THEN true ELSE false END AS kept FROM fl WHERE CASE teacher_id::INT % 3 WHEN 0 THEN flag WHEN 1 THEN true ELSE false END""")
+def active_rows(spark, d):
+    """Rows that are active by a flag that is a truth value in some rows, text in others, and something else in the rest."""
+    i, flag = F.col("teacher_id").cast("int"), F.col("confidence_flag").cast("string")
+    rows = _long(spark, d)[0].withColumn("confidence_flag", F.when(i % 3 == 0, flag).when(i % 3 == 1, " Visible_Active").otherwise("perhaps"))
+    return reports.active(rows, zero_counts=True).select("teacher_id", "course_code", "tech_key", F.lit(True).alias("kept"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lectern.functions.course import CONTEXT as CONTEXT_FORM
@@ -124,10 +124,13 @@ class Summary:
 
 
 def summary_report(long: DataFrame, qa: DataFrame, ay: str, term: str, generated: str, max_rows: int = 1_000_000, policy: str = "error", zero_counts: bool = False) -> Summary:
-    """Active rows in report order under the overflow policy (see reports.overflow), findings, and the counts of what is shown."""
-    rows = reports.active(long, zero_counts)
-    shown = reports.report_columns(rows)
-    main = reports.overflow(shown, [*reports.REPORT_ORDER, "teacher_id"], max_rows, policy)
+    """Metrics in report order under the overflow policy (see reports.overflow), findings, and the counts of what is shown.
+
+    Columns go by their names in the metrics or in the sheet; a table that lacks one is refused before any job.
+    """
+    shown = reports.report_columns(reports.shown(long, zero_counts))
+    whole = reports.report_columns(reports.shown(long, True))
+    main = reports.overflow(shown, [*reports.REPORT_ORDER, "teacher_id"], max_rows, policy, whole)
     ordered = [c for c in ("sheet_no", "row_no", *reports.REPORT_ORDER) if c in main.columns] or ["full_name"]
     return Summary(main.orderBy(*reports.nulls_last(ordered)), reports.qa_rows(qa), reports.info(shown, ay, term, generated))
 
@@ -141,11 +144,23 @@ class Packs:
     status: DataFrame
 
 
-def individual_packs(long: DataFrame, path: str | None = None) -> Packs:
-    """One pack for each teacher: active rows with a count, the person's record as lines, the status; rows are written to `path` if given."""
-    rows = reports.active(long)
-    persons = reports.person_record(long)
-    status = reports.pack_status(persons, rows)
+def individual_packs(long: DataFrame, path: str | None = None, active: Column | None = None, needs_number: bool = True, status_path: str | None = None) -> Packs:
+    """One pack for each teacher: active rows with a count, the person's record as lines, the status; rows are written to `path` if given.
+
+    `active` says which rows are, in place of visible_active or confidence_flag. A teacher whose rows can't be read,
+    or whose file another one has too, gets ERROR and no pack; all others come out. What is written is counted again, and
+    the statuses (with n_written) are appended to `status_path` if that is given.
+    """
+    chosen = reports.active(long) if active is None else long.filter(active & (F.col("count_value") > 0))
+    rows, persons = reports.pack_rows(chosen), reports.person_record(long)
+    if path:
+        rows = kept(rows, "pack-rows")  # read for the statuses and for the packs
+    status = reports.pack_results(persons, rows, needs_number)
     if path:
-        sinks.report_packs(rows, status, path)
-    return Packs(rows, reports.person_pairs(persons), status)
+        status = kept(status, "pack-status")
+        sinks.report_packs(rows.drop("problem"), status, path)
+        written = long.sparkSession.read.schema("course_name string, report_file string").parquet(path)
+        status = kept(reports.checked_against(status, written), "pack-status")
+        if status_path:
+            sinks.append(status, status_path)
+    return Packs(rows.filter("problem is null").drop("problem"), reports.person_pairs(persons), status)

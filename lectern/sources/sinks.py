@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lectern.operators.keyed import insert_absent
+from lectern.operators.reports import ACTIVITY, COURSE
 
 
 def _exists(spark: SparkSession, path: str) -> bool:
@@ -90,6 +91,8 @@ def append(df: DataFrame, path: str) -> None:
 
 
 def report_packs(rows: DataFrame, status: DataFrame, path: str) -> None:
-    """One folder per report file of a teacher whose status is OK; a large one holds several files, whose names sort as their rows do."""
+    """One folder per report file of a teacher whose status is OK, rows by course and activity; a large one holds several files, whose names sort as their rows do."""
     ready = rows.join(status.filter("status = 'OK'").select("teacher_id", "report_file"), "teacher_id")
-    _in_order(ready, "report_file", "course_name", "activity_label").write.mode("overwrite").partitionBy("report_file").parquet(path)
+    first = lambda names: next(n for n in names if n in rows.columns)
+    by = [first(COURSE), first(ACTIVITY)]
+    _in_order(ready, "report_file", *by).write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy("report_file").parquet(path)
