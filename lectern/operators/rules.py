@@ -123,12 +123,16 @@ def match_rules(
 
 
 def match_rules_joined(events: DataFrame, rules: DataFrame, text: str, key: Sequence[str], case_sensitive: bool = False) -> DataFrame:
-    """(key, rule_no, priority, n_matches, n_best) of each matched text, for rule tables of any size.
+    """(key, rule_no, priority, n_matches, n_best) of each matched text; every pattern is tried on every text.
 
-    The rules side decides the plan: Spark broadcasts it only below its own limit. One aggregate by key follows.
+    For thousands of rules see `rule_index.match_rules_indexed`. The rules side decides the plan: Spark broadcasts it only below its own limit. One aggregate by key follows.
     """
     pattern = F.concat(F.lit("" if case_sensitive else "(?i)"), F.col("match_rx"))
-    pairs = events.select(*key, text).join(rules.select("rule_no", "priority", "match_rx"), F.expr("true") & F.rlike(F.col(text), pattern))
+    return winners(events.select(*key, text).join(rules.select("rule_no", "priority", "match_rx"), F.expr("true") & F.rlike(F.col(text), pattern)), key)
+
+
+def winners(pairs: DataFrame, key: Sequence[str]) -> DataFrame:
+    """(key, rule_no, priority, n_matches, n_best) of matching pairs (key, rule_no, priority): the greatest priority, the smallest rule_no of it."""
     counted = pairs.groupBy(*key, "priority").agg(F.count("*").alias("n"), F.min("rule_no").alias("rule_no"))
     return (
         counted.groupBy(*key)

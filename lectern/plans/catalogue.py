@@ -756,3 +756,37 @@ def active_rows(spark, d):
     i, flag = F.col("teacher_id").cast("int"), F.col("confidence_flag").cast("string")
     rows = _long(spark, d)[0].withColumn("confidence_flag", F.when(i % 3 == 0, flag).when(i % 3 == 1, " Visible_Active").otherwise("perhaps"))
     return reports.active(rows, zero_counts=True).select("teacher_id", "course_code", "tech_key", F.lit(True).alias("kept"))
+
+
+# ---- many rules ----
+
+
+def _many_rules(spark, d):
+    """Texts of the events, and a rule for each kind of event with each user, for each with each object, and one without literal."""
+    e = table(spark, d, "events").withColumn("k", F.get_json_object("props", "$.k").cast("int")).withColumn("t", F.ascii("event_type"))
+    text = lambda c: F.col(c).cast("string")
+    described = F.concat(F.lit("The user with id '"), text("user_id"), F.lit("' "), "event_type", F.lit("ed module id '"), text("k"), F.lit("'."))
+    by_user = e.select("t", "event_type", "user_id").distinct().select(
+        (F.col("t") * 100_000 + F.col("user_id")).cast("int").alias("rule_no"), (F.col("user_id") % 3).cast("int").alias("priority"),
+        F.concat(F.lit("^the (?<who>user) with id '"), text("user_id"), F.lit("' +"), "event_type", F.lit("ED\\b")).alias("match_rx"),
+    )
+    by_object = e.select("t", "event_type", "k").distinct().select(
+        (20_000_000 + F.col("t") * 1000 + F.col("k")).cast("int").alias("rule_no"), (F.col("k") % 4).cast("int").alias("priority"),
+        F.concat("event_type", F.lit("ed (?:module|page) id '"), text("k"), F.lit("'(?!\\d)")).alias("match_rx"),
+    )
+    loose = spark.range(1).select(F.lit(90_000_000).cast("int").alias("rule_no"), F.lit(1).alias("priority"), F.lit("[b-d]\\w+ed .*'\\d{2}'").alias("match_rx"))
+    return e.select("event_id", described.alias("text")), by_user.unionByName(by_object).unionByName(loose)
+
+
+@query("""WITH e AS (SELECT event_id, ascii(event_type) AS t, event_type, user_id, json_extract_string(props, '$.k')::INT AS k FROM events),
+m AS (
+  SELECT event_id, t * 100000 + user_id AS rule_no, user_id % 3 AS priority FROM e
+  UNION ALL SELECT event_id, 20000000 + t * 1000 + k, k % 4 FROM e
+  UNION ALL SELECT event_id, 90000000, 1 FROM e WHERE event_type IN ('click', 'purchase') AND k BETWEEN 10 AND 99)
+SELECT event_id, arg_max(rule_no, priority * 100000000 - rule_no)::INT AS rule_no, max(priority)::INT AS priority, count(*) AS n_matches FROM m GROUP BY event_id""")
+def rule_match_many(spark, d):
+    """The winners among as many rules as there are pairs of a kind of event with a user or an object."""
+    from lectern.operators import rule_index
+
+    texts, many = _many_rules(spark, d)
+    return rule_index.match_rules_indexed(texts, many, "text", ["event_id"]).select("event_id", "rule_no", "priority", "n_matches")
