@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -16,8 +15,8 @@ from lectern.llm.bytesops import blocks, byte_view
 MODEL = "piece_bpe_32k.model"
 #: What stands for a blank inside a model.
 BLANK = "▁"
-#: Entries of a worker's tables of pairs and of short stretches in each of two generations: memory, not results.
-MEMO = 1 << 17
+#: Entries of a worker's tables of short stretches and of pairs in each of two generations: memory, not results.
+MEMO, PAIRS = 1 << 18, 1 << 19
 #: Stretches up to this length are remembered.
 SHORT = 48
 
@@ -43,17 +42,16 @@ class Pieces:
         self.score = {p: model.get_score(i) for p, i in self.id.items()}
         self.bytes = [model.piece_to_id(f"<0x{b:02X}>") for b in range(256)]
         self.begin, self.end = model.bos_id(), model.eos_id()
-        chars = {c for p in self.id for c in p}
+        self.chars = chars = {c for p in self.id for c in p}
         if not all(model.is_byte(b) for b in self.bytes) or any(c not in self.id for c in chars) or any(model.is_unused(i) for i in ids) or self._unigram():
             raise ValueError("not a model of merges with bytes for unknown characters")
         self.automaton = ahocorasick.Automaton()
         for piece, i in self.id.items():
             self.automaton.add_word(piece, (i, len(piece)))
         self.automaton.make_automaton()
-        # No piece goes on from another character to a blank: a text may be cut there, and around unknown characters.
-        known = "".join(map(re.escape, sorted(chars - {BLANK})))
-        through = any(a != BLANK and b == BLANK for p in self.id for a, b in zip(p, p[1:], strict=False))
-        self.stretch = re.compile(f"[{known}{BLANK}]+|(?s:.)" if through else f"{BLANK}*[{known}]+|{BLANK}+|(?s:.)")
+        # A text may be cut wherever no piece has the two characters side by side, so around unknown ones too.
+        self.beside = {a + b for p in self.id for a, b in zip(p, p[1:], strict=False)}
+        self.words = "\n" not in self.id and not any(pair[1] == BLANK and pair[0] != BLANK for pair in self.beside)
         self.size, self.whole = n, {}
         self.pairs, self.old_pairs, self.seen, self.old_seen = {}, {}, {}, {}
 
@@ -88,50 +86,96 @@ class Pieces:
         if found is None:
             left, right = (self.text[t] for t in divmod(key, self.size))
             found = self.merged(left + right) == [left, right]
-        if len(self.pairs) >= MEMO:
+        if len(self.pairs) >= PAIRS:
             self.pairs, self.old_pairs = {}, self.pairs
         self.pairs[key] = found
         return found
 
     def prefix_table(self, stretch: str) -> tuple[list[int], list[int]]:
         """For every prefix of a stretch of known characters its last token, and that one's length."""
-        size, known, n = self.size, self.pairs.get, len(stretch) + 1
-        last, lengths = [-1] * n, [0] * n
+        size, known, whole, n = self.size, self.pairs.get, self.whole.get, len(stretch) + 1
+        last, lengths, done = [0] * n, [0] * n, 0
         for at, (token, length) in self.automaton.iter(stretch):
-            at += 1
-            if last[at] < 0:
-                if length == at:
-                    fits = self.alone(token)
+            if at >= done:  # the prefix that ends here has no token yet
+                if length > at:
+                    fits = whole(token)
+                    if fits is None:
+                        fits = self.alone(token)
                 else:
-                    key = last[at - length] * size + token
+                    key = last[at + 1 - length] * size + token
                     fits = known(key)
                     if fits is None:
                         fits, known = self.meet(key), self.pairs.get
                 if fits:
-                    last[at], lengths[at] = token, length
+                    done = at + 1
+                    last[done], lengths[done] = token, length
         return last, lengths
 
-    def tokens(self, stretch: str) -> list[int]:
-        """The tokens of a stretch, read off its prefix table from the end; bytes for an unknown character. Short ones are remembered."""
+    def read_off(self, part: str) -> tuple[int, ...]:
+        """The tokens of a part of known characters, from the end of its prefix table; bytes for one unknown character."""
+        if part[0] not in self.chars:
+            return tuple(self.bytes[b] for b in part.encode())
+        (last, lengths), found, at = self.prefix_table(part), [], len(part)
+        while at:
+            found.append(last[at])
+            at -= lengths[at]
+        return tuple(found[::-1])
+
+    def tokens(self, stretch: str) -> tuple[int, ...]:
+        """The tokens of a stretch: of what is before its last cut, and of the rest part by part; remembered if it is short."""
         found = self.old_seen.get(stretch)
-        if found is None and stretch[0] not in self.id:
-            found = [self.bytes[b] for b in stretch.encode()]
-        elif found is None:
-            (last, lengths), found, at = self.prefix_table(stretch), [], len(stretch)
-            while at:
-                found.append(last[at])
-                at -= lengths[at]
-            found.reverse()
+        if found is None:
+            beside, end = self.beside, len(stretch)
+            while end > 1 and stretch[end - 2 : end] not in beside:
+                end -= 1
+            if self.chars.issuperset(stretch[:end]):
+                parts = [stretch[:end], *stretch[end:]]
+            else:
+                cuts = [0, *[k for k in range(1, end) if stretch[k - 1 : k + 1] not in beside], *range(end, len(stretch) + 1)]
+                parts = [stretch[a:b] for a, b in zip(cuts, cuts[1:], strict=False)]
+            found = self.part(parts[0]) if len(parts) > 1 else self.read_off(stretch)
+            for part in parts[1:]:
+                found += self.part(part)
+        self.remember(stretch, found)
+        return found
+
+    def part(self, part: str) -> tuple[int, ...]:
+        found = self.seen.get(part) or self.old_seen.get(part)
+        if found is None:
+            found = self.read_off(part)
+            self.remember(part, found)
+        return found
+
+    def remember(self, stretch: str, tokens: tuple[int, ...]) -> None:
         if len(stretch) <= SHORT:
             if len(self.seen) >= MEMO:
                 self.seen, self.old_seen = {}, self.seen
-            self.seen[stretch] = found
-        return found
+            self.seen[stretch] = tokens
+
+    def stretches(self, text: str) -> Iterator[str]:
+        """A normalized text in stretches that no piece goes across: words with the blanks before them, line ends."""
+        if not self.words:
+            if text:
+                yield text
+            return
+        for no, line in enumerate(text.split("\n")):
+            if no:
+                yield "\n"
+            blanks, words = "", line.split(BLANK)
+            if words[0]:
+                yield words[0]
+            for word in words[1:]:
+                blanks += BLANK
+                if word:
+                    yield blanks + word
+                    blanks = ""
+            if blanks:
+                yield blanks
 
     def encode(self, text: str) -> list[int]:
         """Ids of a text between begin and end."""
         ids, seen = [self.begin], self.seen.get
-        for stretch in self.stretch.findall(self.library.normalize(text)):
+        for stretch in self.stretches(self.library.normalize(text)):
             found = seen(stretch)
             if found is None:
                 found, seen = self.tokens(stretch), self.seen.get
@@ -162,7 +206,7 @@ def encode_pieces(docs: DataFrame, path: str | None = None) -> DataFrame:
     Reads doc_id and text. Ids are those of the model's own library, with begin and end. For every prefix of a
     stretch the unique last token is stored: an automaton gives the pieces that end there, and the one that can stand next to
     the last token before it is taken, so each character is looked at once, however long the stretch; ids are read off from the end.
-    Stretches end where no piece can go across, and short ones are remembered by each worker, within a bound.
+    Texts are cut where no piece has two characters side by side, and short stretches are remembered by each worker, within a bound.
 
     `path` is the model's file on every worker, by default the public tokenizers' one. A null or empty text has begin
     and end only; bytes that aren't UTF-8 become replacement characters. Rows are independent: repeated rows and rows of
