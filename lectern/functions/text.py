@@ -59,6 +59,11 @@ def parse_time(c: Column) -> Column:
     return F.coalesce(iso, F.when(shape, F.coalesce(*[F.try_to_timestamp(t, F.lit(f)) for f in formats])), short)
 
 
+def at_zone(c: Column) -> Column:
+    """Whether a log time says its zone."""
+    return F.trim(c).rlike(r"^\d{4}-\d{2}-\d{2}[ T].*(Z|[+-]\d{2}:?\d{2})$")
+
+
 def parse_epoch(c: Column) -> Column:
     """Timestamp of epoch seconds, or milliseconds above 10**10, or of any spelling that parse_time knows."""
     number = F.when(F.trim(c).rlike(r"^\d{1,15}$"), F.trim(c).try_cast("long"))

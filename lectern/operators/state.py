@@ -91,6 +91,38 @@ def activities_state(snapshots: DataFrame, events: DataFrame, options: StateOpti
     )
 
 
+#: Column that course tables are dealt by.
+COURSE_BUCKET = "course_bucket"
+
+
+def with_course_bucket(rows: DataFrame, buckets: int) -> DataFrame:
+    """`rows` with the bucket of their course; tables written by it are read in part where only some courses matter."""
+    return rows.withColumn(COURSE_BUCKET, F.pmod(F.xxhash64(F.col("course_code").cast("string")), F.lit(buckets)).cast("int"))
+
+
+def refresh_state(
+    snapshots: DataFrame, events: DataFrame, touched: DataFrame, path: str, buckets: int = 64, options: StateOptions = StateOptions()
+) -> list[int]:
+    """Bring the state table at `path` up to date after a batch that touched some courses (course_code); the buckets written.
+
+    What activities_state says of a course comes from the course's own snapshots and events, so the buckets of these courses are computed
+    again from all of their rows and overwritten, and all other folders stay as they are. Snapshots and events that are
+    partitioned by course_bucket, with the same number of buckets, are read in these folders only. A table is always refreshed with
+    the same number of buckets.
+    """
+    hit = sorted(r[0] for r in with_course_bucket(touched.select("course_code"), buckets).select(COURSE_BUCKET).distinct().collect())  # `buckets` at most
+    if not hit:
+        return []
+
+    def of_hit(rows: DataFrame) -> DataFrame:
+        placed = rows if COURSE_BUCKET in rows.columns else with_course_bucket(rows, buckets)
+        return placed.filter(F.col(COURSE_BUCKET).isin(*hit)).drop(COURSE_BUCKET)
+
+    state = with_course_bucket(activities_state(of_hit(snapshots), of_hit(events), options), buckets)
+    state.hint("rebalance", COURSE_BUCKET).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(COURSE_BUCKET).parquet(path)
+    return hit
+
+
 def state_findings(state: DataFrame, snapshots: DataFrame, events: DataFrame) -> DataFrame:
     """(qa_id, qa_type, course_code, activity_id, details): deleted in the log but seen visible later; never named by an event."""
     late = state.filter("deleted_at_log < last_snapshot_at and visible_last").select(

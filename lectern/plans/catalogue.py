@@ -790,3 +790,70 @@ def rule_match_many(spark, d):
 
     texts, many = _many_rules(spark, d)
     return rule_index.match_rules_indexed(texts, many, "text", ["event_id"]).select("event_id", "rule_no", "priority", "n_matches")
+
+
+# ---- loads of real folders ----
+
+
+@query(f"SELECT course, source_file, row_key, strftime(time_text::TIMESTAMP, '%Y-%m-%d %H:%M:%S') AS at, 'ERROR' AS status, 0 AS inserted_again FROM {_LOG} WHERE course <> 'K14'")
+def merge_logs(spark, d):
+    """Log files of a folder merged into a keyed table, then once more; the files of one course are no text."""
+    from lectern.plans import pipeline
+    from lectern.sources.keyed_table import KeyedTable
+
+    broken = F.when(F.col("name").contains("_K14_"), F.concat(F.unhex(F.lit("00")), F.col("content"))).otherwise(F.col("content"))
+    root = inputs.as_folder(inputs.log_files(spark, d).withColumn("content", broken), new_path(spark, "log-folder"))
+    path = new_path(spark, "keyed-events")
+    first = pipeline.merge_logs(spark, root, path, buckets=16)
+    again = pipeline.merge_logs(spark, root, path, buckets=16)
+    rows = KeyedTable(path, ("row_key",)).read(spark)
+    return rows.select("course", "source_file", "row_key", stamp("time_ts").alias("at"), F.lit(first.status).alias("status"), F.lit(again.inserted).alias("inserted_again"))
+
+
+@query("""WITH s AS (SELECT DISTINCT 'C' || (user_id % 20) AS course_code, user_id, event_type, strftime(ts, '%Y%m%d') AS day FROM events),
+f AS (SELECT count(DISTINCT day) AS files, count(DISTINCT day) FILTER (day LIKE '%5') AS failed FROM s),
+r AS (SELECT count(*) AS scanned, strftime(max(ts), '%Y-%m-%d') || ' 08:00' AS latest FROM events WHERE strftime(ts, '%Y%m%d') NOT LIKE '%5'),
+i AS (SELECT count(*) AS inserted FROM s WHERE day NOT LIKE '%5')
+SELECT 'ERROR' AS status, files, failed, scanned, inserted, latest, 0 AS inserted_again FROM f, r, i""")
+def snapshot_load(spark, d):
+    """What a load of a folder of snapshots and its repetition come to; files of some days lack a column."""
+    from lectern.plans import pipeline
+
+    other = F.when(F.col("name").rlike(r"^\d{7}5-"), F.encode(F.replace(F.col("content").cast("string"), F.lit("ID aktywności"), F.lit("Nr")), "utf-8")).otherwise(F.col("content"))
+    root = inputs.as_folder(inputs.snapshot_files(spark, d).withColumn("content", other), new_path(spark, "snapshot-folder"))
+    path = new_path(spark, "snapshots")
+    first, again = (pipeline.load_snapshots(spark, root, path, buckets=16) for _ in range(2))
+    row = (first.status, first.files, first.failed, first.scanned, first.inserted, first.latest and first.latest.strftime("%Y-%m-%d %H:%M"), again.inserted)
+    return spark.createDataFrame([row], "status string, files long, failed long, scanned long, inserted long, latest string, inserted_again int")
+
+
+@query("""WITH e AS (SELECT event_id, user_id % 20 AS file, TIMESTAMP '2025-10-25 23:00:00' + INTERVAL (event_id * 37 % 14400) SECOND AS instant FROM events),
+w AS (SELECT *, instant + CASE WHEN instant < TIMESTAMP '2025-10-26 01:00:00' THEN INTERVAL 2 HOUR ELSE INTERVAL 1 HOUR END AS wall FROM e),
+j AS (SELECT *, wall < lag(wall) OVER (PARTITION BY file ORDER BY instant, event_id) AS jump FROM w WHERE wall >= TIMESTAMP '2025-10-26 02:00:00' AND wall < TIMESTAMP '2025-10-26 03:00:00'),
+p AS (SELECT event_id, wall, count(*) FILTER (jump) OVER (PARTITION BY file ORDER BY instant, event_id) > 0 AS second FROM j)
+SELECT w.event_id, strftime(CASE WHEN p.second THEN p.wall - INTERVAL 1 HOUR WHEN p.event_id IS NOT NULL THEN p.wall - INTERVAL 2 HOUR ELSE instant END, '%Y-%m-%d %H:%M:%S') AS at
+FROM w LEFT JOIN p USING (event_id)""")
+def log_times_in_zone(spark, d):
+    """Times of files of the night in which the clocks are set back, as instants; where a file's order tells the passes apart they are the right ones."""
+    from lectern.operators import zones
+
+    start = F.to_timestamp(F.lit("2025-10-25 23:00:00"))
+    e = table(spark, d, "events").select("event_id", (F.col("user_id") % 20).alias("file"), (F.col("event_id") * 37 % 14400).alias("second"))
+    wall = F.from_utc_timestamp(start + F.make_dt_interval(secs=F.col("second")), "Europe/Warsaw")
+    rows = e.select("event_id", "file", wall.alias("at"), (F.col("second") * 1_000_000_000 + F.col("event_id")).alias("line"))
+    return zones.in_zone(rows, "Europe/Warsaw", "at", ["file"], "line").select("event_id", stamp("at").alias("at"))
+
+
+@query("WITH" + STATE + """SELECT course_code, activity_id, type, strftime(first_seen_at, '%Y-%m-%d %H:%M:%S') AS first_seen_at, strftime(last_seen_at, '%Y-%m-%d %H:%M:%S') AS last_seen_at,
+  status_final, evidence_deleted, confidence_deleted FROM st""")
+def state_by_batches(spark, d):
+    """The state after three batches of snapshots and events, each of which computes the buckets of its own courses again."""
+    path, snapshots = new_path(spark, "state"), kept(state.with_course_bucket(inputs.snapshots(spark, d), 16), "snapshots")
+    events = kept(state.with_course_bucket(stats.invalidate(inputs.canonical(spark, d)), 16), "events")
+    early = F.col("captured_at") < F.lit("2024-01-10").cast("timestamp_ntz")
+    state.refresh_state(snapshots.filter(early), events.filter("term = 'z'"), snapshots.filter(early), path, 16)
+    half = lambda rows: rows.filter("course_bucket % 2 = 0")
+    for part in (half(snapshots), snapshots):
+        state.refresh_state(snapshots, events, part.select("course_code").union(half(events).select("course_code")), path, 16)
+    s = spark.read.parquet(path)
+    return s.select(*state.KEY, "type", *[stamp(c).alias(c) for c in ("first_seen_at", "last_seen_at")], "status_final", "evidence_deleted", "confidence_deleted")

@@ -178,3 +178,17 @@ def snapshot_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     name = F.concat(F.date_format("ts", "yyyyMMdd"), F.lit("-0800_zawartosc_kursow.csv"))
     lines = e.select(name.alias("name"), F.concat_ws(",", F.lit("Kurs"), course, F.lit("Nazwa"), "event_type", user).alias("line"))
     return as_files(lines, F.lit("Nazwa kursu,ID kursu,Nazwa aktywności,Format aktywności,ID aktywności"), F.encode("text", "utf-8"))
+
+
+def as_folder(files: DataFrame, root: str) -> str:
+    """Files (name, content) in a real folder: each is written by a task, with a line end behind it, and moved to its name."""
+    spark, fs = files.sparkSession, files.sparkSession._jvm.org.apache.hadoop.fs
+    files.select("name", F.col("content").cast("string")).repartition("name").write.partitionBy("name").text(f"{root}-parts")
+    base = fs.Path(f"{root}-parts")
+    disk = base.getFileSystem(spark._jsc.hadoopConfiguration())
+    disk.mkdirs(fs.Path(root))
+    for folder in disk.listStatus(base):
+        if folder.isDirectory():
+            part = next(f.getPath() for f in disk.listStatus(folder.getPath()) if f.getPath().getName().startswith("part-"))
+            disk.rename(part, fs.Path(root, folder.getPath().getName().split("=", 1)[1]))
+    return root

@@ -4,16 +4,18 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass, field
+from datetime import datetime
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from lectern.functions.course import CONTEXT as CONTEXT_FORM
 from lectern.functions.course import FIELDS, code_from_file, parse_code
-from lectern.functions.text import extract, parse_epoch
-from lectern.operators import filters, keyed, reports, rules, stats
+from lectern.functions.text import at_zone, extract, parse_epoch, parse_time
+from lectern.operators import filters, keyed, reports, rules, stats, zones
 from lectern.operators.tables import kept
 from lectern.sources import logs, sinks
+from lectern.sources.keyed_table import KeyedTable
 
 # Payload keys of context, description and time.
 CONTEXT, DESCRIPTION, TIMES = "Kontekst zdarzenia", "Opis", ("Czas", "Time", "Date")
@@ -29,6 +31,7 @@ class ParseOptions:
     allow_keys: Sequence[str] = ()
     block_keys: Sequence[str] = ()
     one_period: bool = True
+    log_timezone: str | None = None
 
 
 @dataclass(frozen=True)
@@ -40,26 +43,74 @@ class Parsed:
 
 @dataclass(frozen=True)
 class Merged:
-    """What a merge of log files came to: OK, or SKIPPED if there was no file."""
+    """What a merge of log files came to: OK, SKIPPED if there was no file, or ERROR if some couldn't be read; the others are merged.
+
+    results: (path, name, length, problem) of each file.
+    """
 
     status: str
     courses: int
     files: int
     records: int
     inserted: int
+    failed: int = 0
+    results: DataFrame | None = field(default=None, compare=False, repr=False)
+
+
+@dataclass(frozen=True)
+class Loaded:
+    """What a load of snapshot files came to, and the latest time that one of its rows was taken at."""
+
+    status: str
+    files: int
+    failed: int
+    scanned: int
+    inserted: int
+    latest: datetime | None
+    results: DataFrame | None = field(default=None, compare=False, repr=False)
 
 
-def merge_logs(spark: SparkSession, root: str, table: str, export: str | None = None, scope: str = "all") -> Merged:
-    """Append the records of all log files below `root` that `table` lacks; export courses if asked."""
-    found = logs.files(spark, root)
-    courses, files = logs.log_files(found).agg(F.countDistinct("course"), F.count("*")).first()
+def _readable(found: DataFrame, needed: Sequence[str] = ()) -> tuple[DataFrame, DataFrame, int]:
+    """The files that can be read, the results of all, and the number of those that can't."""
+    results = kept(logs.file_results(found, needed), "file-results")
+    failed = results.filter("problem is not null").count()
+    return found.join(results.filter("problem is not null").select("path"), "path", "left_anti") if failed else found, results, failed
+
+
+def _append(rows: DataFrame, table: str, keys: Sequence[str], order: Sequence[str], buckets: int | None) -> int:
+    return sinks.append_absent(rows, table, keys, order) if buckets is None else KeyedTable(table, tuple(keys), buckets).append_absent(rows, order)
+
+
+def merge_logs(spark: SparkSession, root: str, table: str, export: str | None = None, scope: str = "all", buckets: int | None = None, log_timezone: str | None = None) -> Merged:
+    """Append the records of all log files below `root` that `table` lacks; export courses if asked.
+
+    With `buckets` the table is a KeyedTable, of which a merge reads the keys of its own buckets only. Files that can't be
+    read are listed in the results and left out. Records are counted as they are written, files and courses in the results.
+    """
+    found = logs.log_files(logs.files(spark, root))
+    readable, results, failed = _readable(found)
+    courses, files = logs.log_files(results).agg(F.countDistinct("course"), F.count("*")).first()
     if not files:
         return Merged("SKIPPED", 0, 0, 0, 0)
-    rows = kept(logs.log_rows(found, F.current_timestamp()), "log-rows")  # files are read and parsed once
-    inserted = sinks.append_absent(logs.first_records(rows, scope), table, ["row_key"] + (["course"] if scope == "course" else []), ["source_file"])
+    seen = Observation()
+    rows = kept(logs.log_rows(readable, F.current_timestamp(), log_timezone).observe(seen, F.count("*").alias("n")), "log-rows")  # files are read and parsed once
+    inserted = _append(logs.first_records(rows, scope), table, ["row_key"] + (["course"] if scope == "course" else []), ["source_file"], buckets)
     if export:
-        sinks.export_courses(spark.read.parquet(table), export)
-    return Merged("OK", courses, files, rows.count(), inserted)
+        sinks.export_courses(spark.read.parquet(table) if buckets is None else KeyedTable(table, ("row_key",)).read(spark), export)
+    return Merged("ERROR" if failed else "OK", courses, files, seen.get.get("n", 0), inserted, failed, results)
+
+
+def load_snapshots(spark: SparkSession, root: str, table: str, glob: str = "*.csv", buckets: int | None = None) -> Loaded:
+    """Append the activity snapshots below `root` that `table` lacks by row_key; what was scanned is counted as it is written."""
+    found = logs.files(spark, root, glob)
+    readable, results, failed = _readable(found, logs.SNAPSHOT_COLUMNS)
+    files = results.count()
+    if not files:
+        return Loaded("SKIPPED", 0, 0, 0, 0, None)
+    seen = Observation()
+    rows = kept(logs.snapshot_rows(readable).observe(seen, F.count("*").alias("n"), F.max("captured_at").alias("latest")), "snapshot-rows")
+    inserted = _append(rows, table, ["row_key"], ["source_file"], buckets)
+    return Loaded("ERROR" if failed else "OK", files, failed, seen.get.get("n", 0), inserted, seen.get.get("latest"), results)
 
 
 def parse_events(raw: DataFrame, table: DataFrame, options: ParseOptions = ParseOptions(), existing: DataFrame | None = None) -> Parsed:
@@ -67,7 +118,8 @@ def parse_events(raw: DataFrame, table: DataFrame, options: ParseOptions = Parse
 
     Checks in order: source, student, time, date, context, rule, key. The course comes from the context, else from
     the smallest code that the course's other records have, else from the file's course. A winner NIE rejects.
-    Raises MixedPeriods, before anything is written, if the events belong to more than one period.
+    Raises MixedPeriods, before anything is written, if the events belong to more than one period. With log_timezone, times
+    in the payload that say no zone are wall clock times of it; time_ts is an instant already.
     """
     new = raw if existing is None else keyed.only_new(raw, existing, ["row_key"])
     value = lambda k: F.try_element_at("payload", F.lit(k))
@@ -75,7 +127,9 @@ def parse_events(raw: DataFrame, table: DataFrame, options: ParseOptions = Parse
     named = raw.select(F.col("course").alias("_course"), own.alias("_code")).groupBy("_course").agg(F.min("_code").alias("_code"))
     known = named.select("_course", F.coalesce("_code", code_from_file(F.col("_course"))).alias("_known"))
     texts = F.array(*[value(k) for k in TIMES], F.col("time_text"))
-    at = F.coalesce("time_ts", F.get(F.array_compact(F.transform(texts, parse_epoch)), F.lit(0)))
+    zone = options.log_timezone
+    wall = lambda x: F.when(F.trim(x).rlike(r"^\d+$") | at_zone(x), parse_epoch(x)).otherwise(zones.earlier(parse_time(x), zone))
+    at = F.coalesce("time_ts", F.get(F.array_compact(F.transform(texts, wall if zone else parse_epoch)), F.lit(0)))
     rows = new.join(known, new["course"].eqNullSafe(F.col("_course")), "left").select(
         *new.columns, F.coalesce(F.trim(own), F.col("_known")).alias("_code"), at.alias("ts_utc"), value(DESCRIPTION).alias("_text")
     )

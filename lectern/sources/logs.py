@@ -12,9 +12,12 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lectern.functions.course import course_id
-from lectern.functions.text import blank_to_null, extract, json_key, parse_time, pick_column, require_columns
+from lectern.functions.text import at_zone, blank_to_null, extract, json_key, parse_time, pick_column, require_columns
 from lectern.operators.keyed import one_per_key
+from lectern.operators.zones import in_zone
 
+#: Columns that a file of snapshots must have.
+SNAPSHOT_COLUMNS = ("ID kursu", "ID aktywności")
 LOG_FILE = r"(?i)^logs_(.+)_(\d{8}-\d{4})\.csv$"
 # Headers of the time column in order of choice, and what other columns are called.
 TIME_COLUMNS = ("czas", "time", "date", "timecreated")
@@ -51,6 +54,22 @@ def decoded(content: Column) -> Column:
     return F.when(F.is_valid_utf8(body.cast("string")), body.cast("string")).otherwise(F.decode(body, "windows-1250"))
 
 
+def file_results(found: DataFrame, needed: Sequence[str] = ()) -> DataFrame:
+    """(path, name, length, problem) of each file: why it can't be read as a table with the columns `needed`, or null.
+
+    A file with a zero byte is no text in an encoding of one byte; one without any line holds nothing.
+    """
+    text = decoded(F.col("content"))
+    head = F.regexp_extract(text, r"^\s*+([^\r\n]++)", 1)
+    fields = F.transform(F.split(head, delimiter(text)), lambda x: F.trim(F.translate(x, '"', "")))
+    lacks = F.array_except(F.array(*[F.lit(c) for c in needed]), fields) if needed else F.array().cast("array<string>")
+    problem = (
+        F.when(F.contains("content", F.unhex(F.lit("00"))), "no text file").when(F.trim(head) == "", "no lines")
+        .when(F.size(lacks) > 0, F.concat(F.lit("no column "), F.array_join(lacks, ", ")))
+    )
+    return found.select("path", "name", "length", problem.alias("problem"))
+
+
 def delimiter(text: Column) -> Column:
     """The most frequent of tab, ; and , in the first 20 non-blank lines; ties in this order; ; if there is none."""
     lines = F.split(text, r"\r?\n(?:\x20*+\r?\n)*+", 22)  # blank lines go with the break before them; one may come first, and the last is the rest
@@ -105,15 +124,28 @@ def time_text(payload: Column) -> Column:
     return F.coalesce(*[blank_to_null(F.try_element_at(low, F.lit(t))) for t in TIME_COLUMNS])
 
 
-def log_rows(found: DataFrame, inserted_at: Column) -> DataFrame:
-    """Every record of log files (path, name, content) as a raw event (schemas.RAW_EVENT), with line_no."""
+def log_rows(found: DataFrame, inserted_at: Column, log_timezone: str | None = None) -> DataFrame:
+    """Every record of log files (path, name, content) as a raw event (schemas.RAW_EVENT), with line_no.
+
+    Times count as UTC, or as wall clock times of `log_timezone` (see zones.in_zone).
+    """
     logs = log_files(found)
-    rows = records(logs).join(logs.select("path", "name", "course"), "path")
+    return raw_rows(records(logs).join(logs.select("path", "name", "course"), "path"), inserted_at, log_timezone)
+
+
+def raw_rows(rows: DataFrame, inserted_at: Column, log_timezone: str | None = None) -> DataFrame:
+    """Records (name, course, line_no, fields, payload) as raw events."""
     at = time_text(F.col("payload"))
-    return rows.select(
+    raw = rows.select(
         "course", at.alias("time_text"), parse_time(at).alias("time_ts"), F.sha2(F.array_join("fields", "\u001f"), 256).alias("row_key"),
         "payload", F.col("name").alias("source_file"), course_id(F.col("payload")).alias("course_id"), inserted_at.cast("timestamp").alias("inserted_at"), "line_no",
     )
+    if not log_timezone:
+        return raw
+    zoned = F.coalesce(at_zone(F.col("time_text")), F.lit(False))  # such a time is an instant as it stands
+    split = raw.withColumn("_instant", F.when(zoned, F.col("time_ts"))).withColumn("time_ts", F.when(~zoned, F.col("time_ts")))
+    local = in_zone(split, log_timezone, "time_ts", ["course", "source_file"], "line_no")
+    return local.withColumn("time_ts", F.coalesce("_instant", "time_ts")).select(*raw.columns)
 
 
 def first_records(rows: DataFrame, scope: str = "all") -> DataFrame:
@@ -121,12 +153,12 @@ def first_records(rows: DataFrame, scope: str = "all") -> DataFrame:
     return one_per_key(rows, ["row_key"] + (["course"] if scope == "course" else []), [F.col("source_file"), F.col("line_no"), F.col("course")]).drop("line_no")
 
 
-def raw_events(spark: SparkSession, root: str, scope: str = "all", inserted_at: str = "1970-01-01") -> DataFrame:
+def raw_events(spark: SparkSession, root: str, scope: str = "all", inserted_at: str = "1970-01-01", log_timezone: str | None = None) -> DataFrame:
     """Raw events of all log files below `root` (schemas.RAW_EVENT); a record counts once, in its first file by name.
 
     scope "course": once in each course.
     """
-    return first_records(log_rows(files(spark, root), F.lit(inserted_at)), scope)
+    return first_records(log_rows(files(spark, root), F.lit(inserted_at), log_timezone), scope)
 
 
 def snapshot_rows(found: DataFrame) -> DataFrame:

@@ -8,7 +8,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from lectern.sources.logs import first_records, log_rows
+from lectern.operators.state import refresh_state
+from lectern.operators.tables import kept
+from lectern.sources.keyed_table import KeyedTable, batch_name
+from lectern.sources.logs import first_records, log_rows, snapshot_rows
 from lectern.sources.sinks import append_absent
 
 FILE = "path string, modificationTime timestamp, length long, content binary"
@@ -22,34 +25,57 @@ def _named(batch: DataFrame) -> DataFrame:
     return batch.withColumn("name", F.element_at(F.split("path", "/"), -1))
 
 
-def stream_logs(spark: SparkSession, root: str, table: str, checkpoint: str) -> StreamingQuery:
+def stream_logs(
+    spark: SparkSession, root: str, table: str, checkpoint: str, buckets: int | None = None, log_timezone: str | None = None, after: Callable[[int], None] | None = None
+) -> StreamingQuery:
     """Append the records of log files not seen yet to the Parquet table `table` (schemas.RAW_EVENT), each record once.
 
     A batch keeps the first of equal records and appends those that the table lacks, so a replayed batch adds
-    nothing. Stops when all files that are there have been taken.
+    nothing. Stops when all files that are there have been taken. With `buckets` the table is a KeyedTable: a batch reads the keys of its
+    own buckets only, and writes folders named after the stream and the batch, so that a batch that failed in the middle of its
+    write, or after it and before the checkpoint, replaces what it left when it comes again. `after` is called with the
+    number of rows that a batch added.
     """
 
-    def take(batch: DataFrame, _: int) -> None:
-        events = first_records(log_rows(_named(batch), F.current_timestamp()))
-        append_absent(events, table, ["row_key"], ["source_file", "course"])
+    def take(batch: DataFrame, batch_id: int) -> None:
+        events = first_records(log_rows(_named(batch), F.current_timestamp(), log_timezone))
+        if buckets is None:
+            n = append_absent(events, table, ["row_key"], ["source_file", "course"])
+        else:
+            n = KeyedTable(table, ("row_key",), buckets).append_absent(events, ["source_file", "course"], batch_name(spark, checkpoint, batch_id))
+        if after:
+            after(n)
 
     return _new_files(spark, root, "*.csv").writeStream.foreachBatch(take).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
 def stream_snapshots(
-    spark: SparkSession, root: str, table: str, checkpoint: str, read: Callable[[DataFrame], DataFrame], recompute: Callable[[DataFrame], None]
+    spark: SparkSession, root: str, table: str, checkpoint: str, read: Callable[[DataFrame], DataFrame], recompute: Callable[[DataFrame], None], buckets: int | None = None
 ) -> StreamingQuery:
     """Append new snapshot rows (by row_key) to `table`, then call `recompute` with the courses that the batch touched.
 
-    `read` turns a batch of files (path, name, modificationTime, content) into snapshot rows.
+    `read` turns a batch of files (path, name, modificationTime, content) into snapshot rows. With `buckets` the table is a
+    KeyedTable, see `stream_logs`. A batch that comes again recomputes its courses again.
     """
 
-    def take(batch: DataFrame, _: int) -> None:
-        rows = read(_named(batch)).persist()
-        try:
+    def take(batch: DataFrame, batch_id: int) -> None:
+        rows = kept(read(_named(batch)), "snapshot-rows")
+        if buckets is None:
             append_absent(rows, table, ["row_key"], ["source_file"])
-            recompute(rows.select("course_code").distinct())
-        finally:
-            rows.unpersist()
+        else:
+            KeyedTable(table, ("row_key",), buckets).append_absent(rows, ["source_file"], batch_name(spark, checkpoint, batch_id))
+        recompute(rows.select("course_code").distinct())
 
     return _new_files(spark, root, "*.csv").writeStream.foreachBatch(take).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+
+def stream_state(spark: SparkSession, root: str, table: str, events: Callable[[], DataFrame], state: str, checkpoint: str, buckets: int = 64) -> StreamingQuery:
+    """Keep the state of activities up to date with new snapshot files: of each batch only the buckets of its courses are computed again.
+
+    events: gives the canonical events as they are then.
+    """
+
+    def recompute(courses: DataFrame) -> None:
+        refresh_state(KeyedTable(table, ("row_key",)).read(spark), events(), courses, state, buckets)
+
+    return stream_snapshots(spark, root, table, checkpoint, snapshot_rows, recompute, buckets)
