@@ -25,7 +25,7 @@ CLASS_TYPES = {
     "SK": "Samokształcenie kierowane",
 }
 # The forms of a course in the logs' context, of a course in a file's name (the tracks by name), and of its beginning.
-CONTEXT = r"(?i)^\s*kurs:\s*(.+?/.+?/.+?/(\d+sem)-(.+)-(\d{4}/\d{2})([zl]))\s*$"
+CONTEXT = r"(?id)kurs:\s*([A-Z0-9]{1,3}/[A-Z0-9]{1,6}/[A-Z0-9_]+/(\d+sem)-(.+?)-(\d{4}/\d{2})([zl]))"
 FILE = r"^([A-Z]{2,4}[A-Za-z0-9\-]{1,8}?)(st[12j]|ns[12j]|nst|st|ns)(\d+sem)-(.+?)-(\d{4})(\d{2})(l|z)$"
 PREFIX = r"^([A-Z]{2,3})([A-Za-z]{2}(?:-[A-Z]{2})?)$"
 FIELDS = ["course_code", "wydzial_code", "kierunek_code", "track_code", "semester_code", "course_name", "ay", "term"]
@@ -46,7 +46,7 @@ def expand_class_type(name: Column) -> Column:
 
 
 def parse_context(text: Column) -> Column:
-    """Struct of FIELDS from `Kurs: W/K/T/5sem-Name-2025/26z`; null if the text isn't of that form."""
+    """Struct of FIELDS from the first `Kurs: W/K/T/5sem-Name-2025/26z` anywhere in the text, the name as short as it can be; null if there is none."""
     code = extract(text, CONTEXT, 1)
     part = F.split(code, "/")
     return F.when(

@@ -857,3 +857,15 @@ def state_by_batches(spark, d):
         state.refresh_state(snapshots, events, part.select("course_code").union(half(events).select("course_code")), path, 16)
     s = spark.read.parquet(path)
     return s.select(*state.KEY, "type", *[stamp(c).alias(c) for c in ("first_seen_at", "last_seen_at")], "status_final", "evidence_deleted", "confidence_deleted")
+
+
+_EMBEDDED = "CASE p_partkey % 5 WHEN 0 THEN '' WHEN 1 THEN 'Strona: ' || p_name || ', ' WHEN 2 THEN 'kurs: brak ' ELSE 'Forum ' END || CASE p_partkey % 7 WHEN 3 THEN 'Kurs: WLLX/Le-ED/st/1sem-' ELSE 'KURS:  WF/An' || '/st_' || (p_size % 9) || '/' || (p_size % 9 + 1) || 'sem-' END || replace(p_name, ' ', '-') || '-20' || (20 + p_size % 6) || '/' || (21 + p_size % 6) || CASE WHEN p_partkey % 2 = 0 THEN 'Z' ELSE 'l' END || CASE p_partkey % 3 WHEN 1 THEN ' (kopia)' WHEN 2 THEN '-2019/20z' ELSE '' END"
+
+
+@query("""SELECT p_partkey, CASE WHEN ok THEN 'WF/An/st_' || (p_size % 9) || '/' || (p_size % 9 + 1) || 'sem-' || replace(p_name, ' ', '-') || '-' || ay || CASE WHEN p_partkey % 2 = 0 THEN 'Z' ELSE 'l' END END AS course_code,
+  CASE WHEN ok THEN 'st_' || (p_size % 9) END AS track_code, CASE WHEN ok THEN replace(p_name, ' ', '-') END AS course_name, CASE WHEN ok THEN ay END AS ay, CASE WHEN ok THEN CASE WHEN p_partkey % 2 = 0 THEN 'z' ELSE 'l' END END AS term
+FROM (SELECT *, p_partkey % 7 <> 3 AS ok, '20' || (20 + p_size % 6) || '/' || (21 + p_size % 6) AS ay FROM part)""")
+def context_search(spark, d):
+    """Contexts behind, before and between other text; of two periods the first ends the name, and too long a faculty is none."""
+    rows = table(spark, d, "part").select("p_partkey", course_f.parse_context(F.expr(_EMBEDDED)).alias("c"))
+    return rows.select("p_partkey", *[F.col(f"c.{f}").alias(f) for f in ("course_code", "track_code", "course_name", "ay", "term")])
