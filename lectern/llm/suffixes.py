@@ -434,8 +434,8 @@ def with_cuts(base: DataFrame, changed: DataFrame) -> DataFrame:
 
 
 def keyed(docs: DataFrame) -> DataFrame:
-    """(doc_id, row_key, text); row_key tells texts of one doc_id apart."""
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.hash(F.col("text").cast("string")).cast("long").alias("row_key"), F.col("text").cast("string").alias("text"))
+    """(doc_id, row_key, text); row_key, 64 bits of hash, tells texts of one doc_id apart."""
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(F.col("text").cast("string")).alias("row_key"), F.col("text").cast("string").alias("text"))
 
 
 def offers(base: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -17,7 +17,8 @@ RULES = (
     ("allow", "com", "/fr/"),
     ("block", "com", "/de/"),
 )
-DEPTH = 6
+#: Levels of the tree; what a path has from the last one on is one segment, kept by its own value.
+DEPTH = 16
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -38,14 +39,10 @@ def rule_of(host: Column, path: Column, rules: Sequence[tuple[str, str, str]], p
     return found
 
 
-def _segments(path: Column) -> Column:
-    """Path segments with numbers and long hexadecimal ids typed; those beyond DEPTH as one <rest>."""
+def _typed(path: Column) -> Column:
+    """The path's segments with numbers and long hexadecimal ids typed, joined."""
     parts = F.filter(F.split(path, "/"), lambda s: s != "")
-    typed = F.transform(
-        F.slice(parts, 1, DEPTH - 1),
-        lambda s: F.when(s.rlike(r"(?i)^[0-9a-f-]{16,}$"), "<id>").otherwise(F.regexp_replace(s, "[0-9]+", "<n>")),
-    )
-    return F.when(F.size(parts) >= DEPTH, F.concat(typed, F.array(F.lit("<rest>")))).otherwise(typed)
+    return F.array_join(F.transform(parts, lambda s: F.when(s.rlike(r"(?i)^[0-9a-f-]{16,}$"), "<id>").otherwise(F.regexp_replace(s, "[0-9]+", "<n>"))), "/")
 
 
 def generalise(paths: DataFrame, least_seen: int, many: int, z: float) -> DataFrame:
@@ -101,23 +98,24 @@ def judge_urls(
     labelled bad urls, smoothed with `prior` pseudo-counts towards its host's share and that towards the
     share of all, rejects it from `reject` up.
 
-    Null url or one without "://": empty host and path, judged as any other. Null page_id, repeated rows and
-    other columns are kept or ignored as they are. An empty table gives no rows.
+    Null url or one without "://": empty host and path, judged as any other. Null page_id and repeated rows are kept, and count
+    each time; other columns are ignored. Ties: of two rules of one length the later one by action, host and path holds. A very long
+    url is judged whole: its segments from the 16th on are one, by their own value. An empty table gives no rows.
     """
     base = pages.select("page_id", F.col("url").cast("string").alias("url")).withColumns({"host": host_of(F.col("url")), "path": path_of(F.col("url"))})
     host, path = F.col("host"), F.col("path")
     judged = base.select(
         "page_id", "host", "path", rule_of(host, path, rules).alias("rule"), rule_of(host, path, rules, 0).alias("action"),
-        F.array_join(_segments(path), "/").alias("raw"),
+        _typed(path).alias("raw"),
     )
     known = judged.select("host", "raw", F.when(F.col("action") == "block", 1).when(F.col("action") == "allow", 0).alias("bad"))
     if labels is not None:
         given = labels.select(host_of(F.col("url")).alias("host"), path_of(F.col("url")).alias("path"), F.col("bad").cast("int").alias("bad"))
-        known = known.union(given.select("host", F.array_join(_segments(path), "/"), "bad"))
+        known = known.union(given.select("host", _typed(path), "bad"))
     paths = materialize(
         known.groupBy("host", "raw")
         .agg(F.count("*").alias("n"), F.count("bad").alias("labelled"), F.coalesce(F.sum("bad"), F.lit(0)).alias("bad"))
-        .withColumn("segments", F.when(F.col("raw") == "", F.array().cast("array<string>")).otherwise(F.split("raw", "/"))),
+        .withColumn("segments", F.when(F.col("raw") == "", F.array().cast("array<string>")).otherwise(F.split("raw", "/", DEPTH))),
         "url-paths",
     )
     tree = generalise(paths, least_seen, many, z).select("host", "raw", "template", "labelled", "bad")
@@ -151,12 +149,12 @@ WITH b AS (
     coalesce(regexp_extract(url, '(?s)^.*?://[^/?#]*([^?#]*)', 1), '') AS path FROM pages),
 p AS (SELECT *, list_filter(string_split(path, '/'), lambda s: s <> '') AS parts FROM b),
 j AS (
-  SELECT page_id, host, path, CASE {rule} END AS rule, CASE {action} END AS action, array_to_string(list_transform(parts[1:{DEPTH - 1}],
-    lambda s: CASE WHEN regexp_matches(s, '(?i)^[0-9a-f-]{{16,}}$') THEN '<id>' ELSE regexp_replace(s, '[0-9]+', '<n>', 'g') END)
-    || CASE WHEN len(parts) >= {DEPTH} THEN ['<rest>'] ELSE [] END, '/') AS raw
+  SELECT page_id, host, path, CASE {rule} END AS rule, CASE {action} END AS action, array_to_string(list_transform(parts,
+    lambda s: CASE WHEN regexp_matches(s, '(?i)^[0-9a-f-]{{16,}}$') THEN '<id>' ELSE regexp_replace(s, '[0-9]+', '<n>', 'g') END), '/') AS raw
   FROM p),
 t0 AS (
-  SELECT host, raw, CASE WHEN raw = '' THEN [] ELSE string_split(raw, '/') END AS segments, count(*) AS n, count(action) AS labelled,
+  SELECT host, raw, CASE WHEN raw = '' THEN [] WHEN len(string_split(raw, '/')) < {DEPTH} THEN string_split(raw, '/')
+    ELSE string_split(raw, '/')[1:{DEPTH - 1}] || [array_to_string(string_split(raw, '/')[{DEPTH}:], '/')] END AS segments, count(*) AS n, count(action) AS labelled,
     count(*) FILTER (action = 'block') AS bad, '' AS template FROM j GROUP BY host, raw)"""
     for k in range(DEPTH):
         sql += f""",
@@ -167,7 +165,7 @@ n{k} AS (
   SELECT host, template, child, CASE WHEN NOT contains(child, '<') AND ((v >= {many} AND seen < 3 * v) OR n < {least_seen} OR (v > 1 AND
     CASE WHEN l > 0 AND al - l > 0 THEN abs(b / l - (ab - b) / (al - l)) <= {z}::DOUBLE * sqrt(ab / al * (1 - ab / al) * (1 / l + 1 / (al - l))) ELSE l = 0 END))
     THEN '*' ELSE child END AS name FROM c{k} JOIN a{k} USING (host, template)),
-t{k + 1} AS (
+t{k + 1} AS MATERIALIZED (
   SELECT h.host, h.raw, h.segments, h.n, h.labelled, h.bad, CASE WHEN name IS NULL THEN h.template ELSE h.template || '/' || name END AS template
   FROM h{k} h LEFT JOIN n{k} x ON x.host = h.host AND x.template = h.template AND x.child = h.child)"""
     return sql + f""",

@@ -6,6 +6,7 @@ import re
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from lectern.llm import chunks, lines, minhash, suffixes
 
@@ -306,3 +307,19 @@ def test_near_duplicates_with_shingles_that_all_texts_have(spark, monkeypatch):
     monkeypatch.setattr(shared, "max", lambda *a: 2 if a[0] == 1000 else builtin(*a), raising=False)
     got = {r.doc_id: r.component_id for r in minhash.near_duplicates(frame(spark, texts)).collect()}
     assert got == components_of(texts)
+
+
+def test_texts_of_one_document_with_equal_short_hashes(spark):
+    """Two texts of one doc_id whose 32-bit hashes are equal are cut each by itself."""
+    from lectern.llm import chunks, suffixes
+
+    texts = spark.range(120_000).select(F.concat(F.sha2(F.col("id").cast("string"), 512), F.lit(" and more")).alias("text"), F.hash(F.concat(F.sha2(F.col("id").cast("string"), 512), F.lit(" and more"))).alias("h"))
+    h = texts.groupBy("h").agg(F.count("*").alias("n"), F.collect_list("text").alias("t")).filter("n > 1").first()
+    one, two = sorted(h.t)[:2]
+    rows = [(1, one), (2, one), (2, two)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    for run in (suffixes.remove_repeats, chunks.dedup_chunks):
+        got = sorted((r.doc_id, r.n_bytes, r.kept_sha256) for r in run(docs).filter("doc_id = 2").collect())
+        assert (2, len(two), hashlib.sha256(two.encode()).hexdigest()) in got, run
+    removed = sorted(r.n_removed for r in suffixes.remove_repeats(docs).collect())
+    assert removed == [0, 0, len(one)]

@@ -349,3 +349,13 @@ def test_pipeline_stages_on_nulls_and_nothing(spark):
         for _, stage in p.STAGES:
             got = stage(spark, docs, SF)
             assert got.count() <= len(rows)
+
+
+@pytest.mark.parametrize("lead", ["x/y/z/v/w", "a/b/c/d/e/f/g/h/i/j/k/l/m", "/".join("abcdefghijklmnopqrstuvw")])
+def test_url_templates_of_deep_paths(spark, lead):
+    """Segments far down a path decide, beyond the tree's levels as well."""
+    urls = [f"http://h.net/{lead}/{kind}/p{i}" for i in range(100) for kind in ("good", "bad")]
+    labels = spark.createDataFrame([(u, int("/bad/" in u)) for u in urls], "url string, bad int")
+    pages = spark.createDataFrame(list(enumerate(urls + [f"http://h.net/{lead}/bad/p999/"])), "page_id long, url string")
+    got = url_templates.judge_urls(pages, labels=labels).collect()
+    assert len(got) == 201 and all(r.verdict == ("block" if "/bad/" in r.path else "allow") for r in got)
