@@ -39,19 +39,31 @@ def mixed_mode(mode: str = "count_mode") -> Column:
     return F.coalesce(F.min(mode) != F.max(mode), F.lit(False))
 
 
+def level_sums(counts: DataFrame, value: str, within: Sequence[str], levels: dict[str, Sequence[str]]) -> tuple[DataFrame, dict[str, int]]:
+    """The sums of all levels in one table (all keys, _sum, _level), and each level's mark in it.
+
+    One aggregate by grouping sets: each task adds up its rows for every level first, so one shuffle of sums serves all levels.
+    """
+    keys = list(dict.fromkeys([*within, *[c for columns in levels.values() for c in columns]]))
+    left_out = lambda columns: sum(1 << (len(keys) - 1 - i) for i, k in enumerate(keys) if k not in (*within, *columns))
+    marks = {name: left_out(columns) for name, columns in levels.items()}
+    sets = {marks[name]: [F.col(k) for k in keys if k in (*within, *columns)] for name, columns in levels.items()}  # levels of equal columns are one
+    sums = counts.groupingSets(list(sets.values()), *[F.col(k) for k in keys]).agg(F.sum(value).alias("_sum"), F.grouping_id(*keys).alias("_level"))
+    return sums, marks
+
+
 def shares(counts: DataFrame, value: str, within: Sequence[str], levels: dict[str, Sequence[str]], decimals: int | None = 4) -> DataFrame:
     """Add each level's share of the count in the sum over the rows of equal `within` and level columns.
 
-    Sums come from the already small counts: one aggregate per level joined back, so a level with one value is
-    no window in a single task.
+    Sums come from the already small counts by one aggregate (`level_sums`), are written, and each level's are joined back, so a level
+    with one value is no window in a single task.
     """
-    out = counts
+    sums, marks = level_sums(counts, value, within, levels)
+    sums, out = kept(sums, "level-sums"), counts
     for name, columns in levels.items():
-        keys = [*columns, *within]
-        sums = counts.groupBy(*keys).agg(F.sum(value).alias("_sum"))
-        renamed = sums.select(*[F.col(k).alias(f"_{k}") for k in keys], "_sum")
-        same = [out[k].eqNullSafe(renamed[f"_{k}"]) for k in keys]
-        out = out.join(renamed, same).withColumn(name, F.col(value) / F.nullif(F.col("_sum"), F.lit(0))).drop("_sum", *[f"_{k}" for k in keys])
+        keys = list(dict.fromkeys([*columns, *within]))
+        own = sums.filter(F.col("_level") == marks[name]).select(*[F.col(k).alias(f"_{k}") for k in keys], "_sum")
+        out = out.join(own, [out[k].eqNullSafe(own[f"_{k}"]) for k in keys]).withColumn(name, F.col(value) / F.nullif(F.col("_sum"), F.lit(0))).drop("_sum", *[f"_{k}" for k in keys])
         if decimals is not None:
             out = out.withColumn(name, F.round(name, decimals))
     return out

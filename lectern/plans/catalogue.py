@@ -869,3 +869,14 @@ def context_search(spark, d):
     """Contexts behind, before and between other text; of two periods the first ends the name, and too long a faculty is none."""
     rows = table(spark, d, "part").select("p_partkey", course_f.parse_context(F.expr(_EMBEDDED)).alias("c"))
     return rows.select("p_partkey", *[F.col(f"c.{f}").alias(f) for f in ("course_code", "track_code", "course_name", "ay", "term")])
+
+
+@query(f"SELECT course, time_text, time_text AS at, source_file, row_key, note, course_id FROM {_LOG}")
+def split_log_records(spark, d):
+    """The records of log files whose lines are read by many tasks."""
+    from lectern.sources import split_logs
+
+    root = inputs.as_folder(inputs.log_files(spark, d), new_path(spark, "log-folder"))
+    rows = logs.first_records(split_logs.log_rows(spark, root, F.lit("1970-01-01")))
+    at = F.date_format("time_ts", "yyyy-MM-dd HH:mm:ss").alias("at")
+    return rows.select("course", "time_text", at, "source_file", "row_key", F.try_element_at("payload", F.lit("Opis")).alias("note"), "course_id")

@@ -14,7 +14,7 @@ from lectern.functions.course import FIELDS, code_from_file, parse_code
 from lectern.functions.text import at_zone, extract, parse_epoch, parse_time
 from lectern.operators import filters, keyed, reports, rules, stats, zones
 from lectern.operators.tables import kept
-from lectern.sources import logs, sinks
+from lectern.sources import logs, sinks, split_logs
 from lectern.sources.keyed_table import KeyedTable
 
 # Payload keys of context, description and time.
@@ -81,19 +81,24 @@ def _append(rows: DataFrame, table: str, keys: Sequence[str], order: Sequence[st
     return sinks.append_absent(rows, table, keys, order) if buckets is None else KeyedTable(table, tuple(keys), buckets).append_absent(rows, order)
 
 
-def merge_logs(spark: SparkSession, root: str, table: str, export: str | None = None, scope: str = "all", buckets: int | None = None, log_timezone: str | None = None) -> Merged:
+def merge_logs(spark: SparkSession, root: str, table: str, export: str | None = None, scope: str = "all", buckets: int | None = None, log_timezone: str | None = None, split: bool = False) -> Merged:
     """Append the records of all log files below `root` that `table` lacks; export courses if asked.
 
     With `buckets` the table is a KeyedTable, of which a merge reads the keys of its own buckets only. Files that can't be
     read are listed in the results and left out. Records are counted as they are written, files and courses in the results.
+    `split` is for folders with files of gigabytes: many tasks read each file (see split_logs), and files aren't tested beforehand.
     """
     found = logs.log_files(logs.files(spark, root))
-    readable, results, failed = _readable(found)
+    if split:
+        results, failed = found.select("path", "name", "length", F.lit(None).cast("string").alias("problem")), 0
+    else:
+        readable, results, failed = _readable(found)
     courses, files = logs.log_files(results).agg(F.countDistinct("course"), F.count("*")).first()
     if not files:
         return Merged("SKIPPED", 0, 0, 0, 0)
     seen = Observation()
-    rows = kept(logs.log_rows(readable, F.current_timestamp(), log_timezone).observe(seen, F.count("*").alias("n")), "log-rows")  # files are read and parsed once
+    rows = split_logs.log_rows(spark, root, F.current_timestamp(), log_timezone) if split else logs.log_rows(readable, F.current_timestamp(), log_timezone)
+    rows = kept(rows.observe(seen, F.count("*").alias("n")), "log-rows")  # files are parsed once
     inserted = _append(logs.first_records(rows, scope), table, ["row_key"] + (["course"] if scope == "course" else []), ["source_file"], buckets)
     if export:
         sinks.export_courses(spark.read.parquet(table) if buckets is None else KeyedTable(table, ("row_key",)).read(spark), export)

@@ -111,7 +111,11 @@ def records(found: DataFrame) -> DataFrame:
     files should be of a size that a task can hold.
     """
     text = found.withColumn("text", decoded(F.col("content"))).select("path", "text", delimiter(F.col("text")).alias("sep"))
-    rows = text.mapInArrow(_rows, "path string, line_no long, header array<string>, fields array<string>")
+    return with_payload(text.mapInArrow(_rows, "path string, line_no long, header array<string>, fields array<string>"))
+
+
+def with_payload(rows: DataFrame) -> DataFrame:
+    """(path, line_no, fields, payload) of records with their header."""
     named = F.transform(F.col("header"), lambda h, i: F.when(h == "", F.concat(F.lit("col_"), (i + 1).cast("string"))).otherwise(h))
     pairs = F.arrays_zip(named.alias("k"), F.slice("fields", F.lit(1), F.size("header")).alias("v"))
     last = F.filter(pairs, lambda p, i: ~F.exists(F.slice(named, i + 2, F.size("header")), lambda later: later == p["k"]))

@@ -98,3 +98,17 @@ def test_a_pack_that_is_not_whole_is_an_error(spark):
 def test_active_flags(spark):
     rows = spark.createDataFrame([("true", 1), (" VISIBLE_ACTIVE", 1), ("false", 1), ("x", 1), (None, 1), ("yes", 0)], "confidence_flag string, count_value int")
     assert [r.confidence_flag for r in reports.active(rows).collect()] == ["true", " VISIBLE_ACTIVE"]
+
+
+def test_one_aggregate_for_all_levels(spark):
+    rows = [("a", "x", "k", 1), ("a", "y", "k", 2), ("b", "x", None, 3), (None, "x", "k", 4), (None, None, "k", 5), ("a", "x", "k", 6)]
+    counts = spark.createDataFrame(rows, "course string, faculty string, key string, n long")
+    levels = {"pct_course": ["course"], "pct_both": ["course", "faculty"], "pct_again": ["course"], "pct_all": []}
+    sums, marks = stats.level_sums(counts, "n", ["key"], levels)
+    plan = sums._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1 and plan.count("Expand") == 1 and marks["pct_course"] == marks["pct_again"]
+    got = stats.shares(counts, "n", ["key"], levels, None).collect()
+    total = lambda r, *columns: sum(x[3] for x in rows if x[2] == r.key and all(x[("course", "faculty").index(c)] == r[c] for c in columns))
+    assert len(got) == len(rows)
+    for r in got:
+        assert (r.pct_course, r.pct_both, r.pct_again, r.pct_all) == (r.n / total(r, "course"), r.n / total(r, "course", "faculty"), r.n / total(r, "course"), r.n / total(r))
