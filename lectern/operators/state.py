@@ -5,11 +5,9 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Window as W
+from pyspark.sql import Column, DataFrame, Window as W
 from pyspark.sql import functions as F
 
-from lectern.operators.keyed import bounds, latest
-
 KEY = ["course_code", "activity_id"]
 META = ["ay", "term", "wydzial_code", "kierunek_code", "track_code", "semester_code"]
 
@@ -28,54 +26,68 @@ def universe(snapshots: DataFrame, events: DataFrame) -> DataFrame:
     return snapshots.select(*KEY).union(named).distinct()
 
 
-def disappearances(snapshots: DataFrame, options: StateOptions = StateOptions()) -> DataFrame:
-    """(KEY, deleted_at_snap, first_missing_at, last_course_at, missing_count) of activities that later snapshots lack.
-
-    An activity's last sighting is itself a snapshot of its course, so with the course's snapshots numbered, what
-    it misses is their number less the rank of that one, and the first missing is the next: one
-    equi-join in place of pairing every activity with all later snapshots.
-    """
+def _course_snapshots(snapshots: DataFrame) -> DataFrame:
+    """(course_code, last_seen, missing_count, first_missing_at, last_course_at): of each snapshot of a course what came after it."""
     course = W.partitionBy("course_code")
     ordered = course.orderBy("captured_at")
-    taken = snapshots.select("course_code", "captured_at").distinct().select(
+    return snapshots.select("course_code", "captured_at").distinct().select(
         "course_code",
         F.col("captured_at").alias("last_seen"),
         (F.count("*").over(course) - F.row_number().over(ordered)).alias("missing_count"),
         F.lead("captured_at").over(ordered).alias("first_missing_at"),
         F.max("captured_at").over(course).alias("last_course_at"),
     )
+
+
+def _is_lost(options: StateOptions) -> Column:
+    return (F.col("missing_count") >= options.least_missing) & (F.col("last_course_at") >= F.col("first_missing_at") + F.make_dt_interval(F.lit(options.grace_days)))
+
+
+def _lost_at(options: StateOptions, last_seen: str) -> Column:
+    return F.col("first_missing_at") if options.policy == "first_missing" else F.col(last_seen)
+
+
+def disappearances(snapshots: DataFrame, options: StateOptions = StateOptions()) -> DataFrame:
+    """(KEY, deleted_at_snap, first_missing_at, last_course_at, missing_count) of activities that later snapshots lack.
+
+    An activity's last sighting is itself a snapshot of its course, so with the course's snapshots numbered, what
+    it misses is their number less the rank of that one, and the first missing is the next: one
+    equi-join in place of pairing every activity with all later snapshots.
+    """
     seen = snapshots.groupBy(*KEY).agg(F.max("captured_at").alias("last_seen"))
-    lost = seen.join(taken, ["course_code", "last_seen"]).filter(
-        (F.col("missing_count") >= options.least_missing)
-        & (F.col("last_course_at") >= F.col("first_missing_at") + F.make_dt_interval(F.lit(options.grace_days)))
-    )
-    when = F.col("first_missing_at") if options.policy == "first_missing" else F.col("last_seen")
-    return lost.select(*KEY, when.alias("deleted_at_snap"), "first_missing_at", "last_course_at", "missing_count")
+    lost = seen.join(_course_snapshots(snapshots), ["course_code", "last_seen"]).filter(_is_lost(options))
+    return lost.select(*KEY, _lost_at(options, "last_seen").alias("deleted_at_snap"), "first_missing_at", "last_course_at", "missing_count")
 
 
 def activities_state(snapshots: DataFrame, events: DataFrame, options: StateOptions = StateOptions()) -> DataFrame:
-    """One row per activity: when it was seen, whether and on what evidence it was deleted, and its final status."""
+    """One row per activity: when it was seen, whether and on what evidence it was deleted, and its final status.
+
+    Snapshots and events are each aggregated once by activity, and meet in one join that needs no further shuffle; the course's
+    snapshots and its codes are small tables joined to that.
+    """
     named = events.filter("object_id is not null").withColumn("activity_id", F.col("object_id").cast("string"))
-    counted = named.filter("counted")
-    last = latest(snapshots, KEY, "captured_at", ["row_key"]).select(
-        *KEY, "type", F.col("name").alias("name_last"), F.col("visible_to_students").alias("visible_last")
-    )
-    deleted = (
-        counted.filter(F.upper("operation").isin(*[o.upper() for o in options.delete_operations]))
-        .groupBy(*KEY).agg(F.min("ts_utc").alias("deleted_at_log"))
+    gone = F.upper("operation").isin(*[o.upper() for o in options.delete_operations])
+    at = lambda holds: F.when(holds, F.col("ts_utc"))
+    of_events = named.groupBy(*KEY).agg(
+        F.min(at(F.col("counted"))).alias("first_evt"), F.max(at(F.col("counted"))).alias("last_event_at"), F.min(at(F.col("counted") & gone)).alias("deleted_at_log")
     )
+    # The latest row, ties by the smallest row_key; a row without time or key comes after those that have one.
+    last_first = F.struct(F.coalesce(-F.unix_micros(F.col("captured_at").cast("timestamp")), F.lit(2**63 - 1)), F.col("row_key").isNull(), "row_key")
+    of_snapshots = snapshots.groupBy(*KEY).agg(
+        F.min_by(F.struct("type", F.col("name").alias("name_last"), F.col("visible_to_students").alias("visible_last")), last_first).alias("_last"),
+        F.min("captured_at").alias("first_snap"), F.max("captured_at").alias("last_snapshot_at"),
+    )
     meta = events.groupBy("course_code").agg(*[F.min(c).alias(c) for c in META])
+    seen = _course_snapshots(snapshots).filter(_is_lost(options)).withColumnRenamed("last_seen", "last_snapshot_at")
     log, snap = F.col("deleted_at_log"), F.col("deleted_at_snap")
     by = lambda both, one, other, none: F.when(log.isNotNull() & snap.isNotNull(), both).when(log.isNotNull(), one).when(snap.isNotNull(), other).otherwise(none)
     full = (
-        universe(snapshots, events)
-        .join(last, KEY, "left")
-        .join(bounds(snapshots, KEY, "captured_at", "first_snap", "last_snapshot_at"), KEY, "left")
-        .join(bounds(counted, KEY, "ts_utc", "first_evt", "last_event_at"), KEY, "left")
-        .join(deleted, KEY, "left")
-        .join(disappearances(snapshots, options).select(*KEY, "deleted_at_snap"), KEY, "left")
+        of_snapshots.join(of_events, KEY, "full")
+        .join(seen, ["course_code", "last_snapshot_at"], "left")
         .join(meta, "course_code", "left")
+        .withColumn("deleted_at_snap", F.when(F.col("missing_count").isNotNull(), _lost_at(options, "last_snapshot_at")))
         .withColumn("deleted_at", F.least(log, snap))
+        .select("*", "_last.*")
     )
     status = (
         F.when(F.col("deleted_at").isNotNull(), "visible_deleted").when(F.col("visible_last"), "visible_active")

@@ -141,6 +141,7 @@ def compute_stats(
     state also has type. Counts are of visible events of eligible teachers (no students, with e-mail); they are written
     to the shared folder, since each level's sums and the rows themselves read them.
     """
+    state = kept(state.select("course_code", "activity_id", "type", "status_final", "confidence_deleted"), "stats-state")  # read for each event and for chapters
     enriched = kept(enrich(events, state, emails, people, options), "stats-enriched")  # read for counts, counters and findings
     eligible = enriched.filter(~F.col("is_student") & ~F.col("missing_email"))
     counts = visible(eligible, state).groupBy(*GROUP, "wydzial_code", "kierunek_code").agg(

@@ -349,7 +349,7 @@ def disappearance(spark, d):
 
 
 def _state(spark, d):
-    events = stats.invalidate(inputs.canonical(spark, d))
+    events = kept(stats.invalidate(inputs.canonical(spark, d)), "counted-events")  # read for the state and for what is made of it
     return state.activities_state(inputs.snapshots(spark, d), events), events
 
 
@@ -880,3 +880,126 @@ def split_log_records(spark, d):
     rows = logs.first_records(split_logs.log_rows(spark, root, F.lit("1970-01-01")))
     at = F.date_format("time_ts", "yyyy-MM-dd HH:mm:ss").alias("at")
     return rows.select("course", "time_text", at, "source_file", "row_key", F.try_element_at("payload", F.lit("Opis")).alias("note"), "course_id")
+
+
+# ---- sheets, headers and smaller steps ----
+
+
+@query(r"""SELECT p_partkey AS rule_no, trim(p_name) AS activity_label, 'K' || p_size AS tech_key, 'CREATE' AS operation, CASE p_partkey % 3 WHEN 1 THEN 'object-based' ELSE 'TAK' END AS count_mode,
+  CASE p_partkey % 4 WHEN 0 THEN 0 ELSE p_size END::INT AS priority, CASE p_partkey % 2 WHEN 0 THEN 'id (?<id>\d+)' ELSE 'x (\w+)' END AS match_rx,
+  CASE p_partkey % 2 WHEN 0 THEN '(a) by (?<id>\d+)' ELSE 'by (\d+)' END AS user_rx, CASE p_partkey % 2 WHEN 0 THEN 2 ELSE 1 END AS user_group, CASE p_partkey % 5 WHEN 0 THEN NULL ELSE 'of \d+' END AS object_rx, NULL::INT AS object_group
+FROM part WHERE p_partkey % 7 <> 0""")
+def compiled_rules(spark, d):
+    """A rule sheet as text: groups in another spelling, unreadable priorities, rules without pattern."""
+    p, n, text = table(spark, d, "part"), F.col("p_partkey"), lambda c: F.col(c).cast("string")
+    sheet = p.select(
+        n.alias("no"), F.concat(F.lit(" "), "p_name").alias(rules.LABEL), F.concat(F.lit("K"), text("p_size"), F.lit(" ")).alias(rules.TECH_KEY), F.lit("create").alias(rules.OPERATION), F.lit(" tak").alias(rules.COUNTED),
+        F.when(n % 7 == 0, " ").when(n % 2 == 0, r"id (?P<id>\d+)").otherwise(r"x (\w+)").alias(rules.MATCH), F.when(n % 2 == 0, r"(a) by (?P<id>\d+)").otherwise(r"by (\d+)").alias(rules.USER),
+        F.when(n % 5 == 0, "").otherwise(r"of \d+").alias(rules.OBJECT), F.when(n % 4 == 0, "high").otherwise(text("p_size")).alias(rules.PRIORITY), F.when(n % 3 == 1, " Object-Based").alias(rules.MODE),
+    )
+    return rules.compile_rules(sheet, "no")
+
+
+@query("SELECT lower(c_name) || '@x.pl' AS email, c_mktsegment AS full_name, c_nationkey::VARCHAR AS wydzial, NULL::VARCHAR AS jednostka, c_custkey FROM customer QUALIFY row_number() OVER (PARTITION BY c_name ORDER BY c_custkey) = 1")
+def people_by_columns(spark, d):
+    """Columns named one by one, a column carried along, the first row of each e-mail by position."""
+    c = table(spark, d, "customer").select(F.concat("c_name", F.lit("@X.pl ")).alias("a b"), F.col("c_mktsegment").alias("who"), F.col("c_nationkey").alias("fac"), F.lit(" ").alias("unit"), "c_custkey")
+    columns = {"email": "a b", "full_name": "who", "wydzial": "fac", "jednostka": "unit"}
+    return logs.people(c, "c_custkey", columns, ["c_custkey"]).select("email", "full_name", "wydzial", "jednostka", "c_custkey")
+
+
+@query("""WITH n AS (SELECT c_custkey, (['Nauczyciele_', 'dane_do_raportu ', 'Roster-', 'lista_kursow_', 'zawartosc_', 'SNAPSHOT', 'other_'])[c_custkey % 7 + 1] || c_custkey || '.csv' AS name,
+  (['hr', 'hr', 'roster', 'roster', 'snapshot', 'snapshot', NULL])[c_custkey % 7 + 1] AS kind FROM customer) SELECT kind, arg_max(name, c_custkey) AS path FROM n WHERE kind IS NOT NULL GROUP BY 1""")
+def inputs_by_name(spark, d):
+    """The latest file of each kind of input, by what their names usually hold."""
+    start = F.get(F.array(*[F.lit(x) for x in ("Nauczyciele_", "dane_do_raportu ", "Roster-", "lista_kursow_", "zawartosc_", "SNAPSHOT", "other_")]), (F.col("c_custkey") % 7).cast("int"))
+    name = F.concat(start, F.col("c_custkey").cast("string"), F.lit(".csv"))
+    return logs.latest_inputs(table(spark, d, "customer").select(name.alias("path"), name.alias("name"), F.col("c_custkey").alias("modificationTime")))
+
+
+@query("SELECT c_custkey AS id, c_name AS name, c_nationkey AS unit, NULL::BIGINT AS missing FROM customer")
+def columns_by_header(spark, d):
+    """Columns found under spellings of their headers; one that may be missing is null."""
+    c = table(spark, d, "customer").select(F.col("c_custkey").alias("﻿\"ID Kursu\""), F.col("c_name").alias("IMIĘ-i nazwisko"), F.col("c_nationkey").alias("Jednostka / organizacyjna."))
+    named = text_f.require_columns(c.columns, ["id_kursu", "Imię i nazwisko", "jednostka organizacyjna"])
+    assert text_f.pick_column(c.columns, ["nowhere"]) is None
+    picked = [F.col(f"`{source}`").alias(name) for name, source in zip(("id", "name", "unit"), named.values(), strict=True)]
+    return c.select(*picked, F.lit(None).cast("long").alias("missing"))
+
+
+@query(f"SELECT course, time_text, row_key, 'K' AS context FROM {_LOG}")
+def export_parquet_back(spark, d):
+    path = new_path(spark, "export")
+    sinks.export_courses(_raw(spark, d), path, "parquet")
+    return spark.read.parquet(path).select("course", "time_text", "row_key", F.try_element_at("payload", F.lit("Kontekst zdarzenia")).alias("context"))
+
+
+@query("SELECT o_orderstatus, count(*) * 2 AS n FROM orders GROUP BY 1")
+def append_rows(spark, d):
+    path, o = new_path(spark, "appended"), table(spark, d, "orders").select("o_orderkey", "o_orderstatus")
+    for _ in range(2):
+        sinks.append(o, path)
+    return spark.read.parquet(path).groupBy("o_orderstatus").agg(F.count("*").alias("n"))
+
+
+@query("WITH" + ENRICHED + """, cn AS (
+  SELECT teacher_id, course_code, tech_key, count(*) FILTER (status_final = 'visible_deleted') AS deleted_count, count(*) FILTER (status_final = 'hidden') AS hidden_count,
+    count(*) FILTER (status_final IS NULL OR status_final = 'unknown') AS unknown_count, bool_or(coalesce(confidence_deleted < 1, false)) AS confidence_flag FROM ok GROUP BY 1, 2, 3)
+SELECT teacher_id, course_code, tech_key, deleted_count, hidden_count, unknown_count, confidence_flag FROM ml JOIN cn USING (teacher_id, course_code, tech_key)""")
+def metrics_counters(spark, d):
+    """The counters of hidden, deleted and unknown activities beside each count."""
+    return _long(spark, d)[0].select("teacher_id", "course_code", "tech_key", "deleted_count", "hidden_count", "unknown_count", "confidence_flag")
+
+
+@query("SELECT o_custkey, " + ", ".join(f"count(*) FILTER (o_orderpriority = '{k}') AS \"count_{k.replace('-', '_').replace(' ', '_')}\"" for k in ("1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW")) + " FROM orders GROUP BY 1")
+def metrics_wide_named(spark, d):
+    """A column for each key of the rows, named so that it is a plain name."""
+    o = table(spark, d, "orders").groupBy("o_custkey", F.col("o_orderpriority").alias("tech_key")).agg(F.count("*").alias("count_value"))
+    names = ("1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW")
+    wide = stats.widen(o, None, ["count_value"], ["o_custkey"])
+    return wide.select("o_custkey", *[(F.coalesce(c, F.lit(0)) if (c := f"count_{text_f.safe_column(n)}") in wide.columns else F.lit(0)).cast("long").alias(c) for n in names])
+
+
+@query("WITH" + CANONICAL + " SELECT row_key, ay, term FROM c0 WHERE term = 'z'")
+def one_period(spark, d):
+    """Events of one period pass the check that refuses a mixture."""
+    events = inputs.canonical(spark, d)
+    try:
+        keyed.require_one_period(events)
+    except keyed.MixedPeriods:
+        events = events.filter("term = 'z'")
+    return keyed.require_one_period(events).select("row_key", "ay", "term")
+
+
+@query("WITH" + ENRICHED + """SELECT 'MISSING_HR_MAPPING' AS type, teacher_id, course_code, tech_key, 'email=' || email AS description FROM te WHERE NOT is_student AND missing_hr""")
+def findings_sheet(spark, d):
+    """Findings under the sheet's own names."""
+    qa = _long(spark, d)[1].filter("qa_type = 'MISSING_HR_MAPPING'")
+    return reports.qa_rows(qa)
+
+
+@query(r"""SELECT c_custkey, sha256(trim(c_name) || chr(31) || c_nationkey || chr(31)) AS print, c_custkey || '|' || '|' || c_name AS joined, lower(replace(c_name, '#', ' ')) AS email,
+  'a_b_' || replace(c_name, '#', '_') AS file, CASE c_custkey % 3 WHEN 0 THEN c_name WHEN 1 THEN c_mktsegment END AS first, c_custkey % 4 < 2 AS truth, sha1('{"k":"' || c_custkey || '","n":null}') AS key FROM customer""")
+def text_functions(spark, d):
+    c, n, text = table(spark, d, "customer"), F.col("c_custkey"), lambda x: F.col(x).cast("string")
+    return c.select(
+        "c_custkey", text_f.array_fingerprint(F.array(F.concat("c_name", F.lit(" ")), text("c_nationkey"), F.lit(None).cast("string"))).alias("print"), text_f.joined_key([n, F.lit(None), F.col("c_name")]).alias("joined"),
+        text_f.email_key(F.concat(F.lit(" "), F.upper(F.replace("c_name", F.lit("#"), F.lit(" "))), F.lit(" "))).alias("email"), text_f.file_name(F.concat(F.lit(" a/b:"), F.replace("c_name", F.lit("#"), F.lit("*")), F.lit(". "))).alias("file"),
+        text_f.first_present(F.when(n % 3 == 0, F.col("c_name")).otherwise(" "), F.when(n % 3 == 1, F.col("c_mktsegment"))).alias("first"),
+        text_f.truthy(F.when(n % 4 == 0, " tak").when(n % 4 == 1, "Yes").when(n % 4 == 2, "nie")).alias("truth"), text_f.json_key(k=text("c_custkey"), n=F.lit(None).cast("string")).alias("key"),
+    )
+
+
+@query(f"SELECT course, source_file, row_key, 0 AS added_again FROM {_LOG}")
+def stream_logs(spark, d):
+    """A folder of logs taken by a stream in two parts, then all files by another stream, which adds nothing."""
+    from lectern.sources.keyed_table import KeyedTable
+    from lectern.streaming import ingest
+
+    files, root, path, again = inputs.log_files(spark, d), new_path(spark, "stream-in"), new_path(spark, "stream-table"), []
+    for part in ("_K[0-7]_", "_K(?:[89]|1[0-4])_"):
+        inputs.as_folder(files.filter(F.col("name").rlike(part)), root, part[3:4] == "?")
+        ingest.stream_logs(spark, root, path, f"{path}-check", buckets=8).awaitTermination()
+    ingest.stream_logs(spark, root, path, f"{path}-check2", buckets=8, after=again.append).awaitTermination()
+    rows = KeyedTable(path, ("row_key",)).read(spark)
+    return rows.select("course", "source_file", "row_key", F.lit(sum(again)).cast("int").alias("added_again"))

@@ -180,11 +180,12 @@ def snapshot_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return as_files(lines, F.lit("Nazwa kursu,ID kursu,Nazwa aktywności,Format aktywności,ID aktywności"), F.encode("text", "utf-8"))
 
 
-def as_folder(files: DataFrame, root: str) -> str:
-    """Files (name, content) in a real folder: each is written by a task, with a line end behind it, and moved to its name."""
+def as_folder(files: DataFrame, root: str, more: bool = False) -> str:
+    """Files (name, content) in a real folder: each is written by a task, with a line end behind it, and moved to its name. more: to a folder that is there."""
     spark, fs = files.sparkSession, files.sparkSession._jvm.org.apache.hadoop.fs
-    files.select("name", F.col("content").cast("string")).repartition("name").write.partitionBy("name").text(f"{root}-parts")
-    base = fs.Path(f"{root}-parts")
+    parts = f"{root}-parts{'-more' if more else ''}"
+    files.select("name", F.col("content").cast("string")).repartition("name").write.partitionBy("name").text(parts)
+    base = fs.Path(parts)
     disk = base.getFileSystem(spark._jsc.hadoopConfiguration())
     disk.mkdirs(fs.Path(root))
     for folder in disk.listStatus(base):
