@@ -143,6 +143,13 @@ def _similar_across(texts: DataFrame, left: DataFrame) -> DataFrame:
     lists = join_hot(grams, number, ["gram"], "n").groupBy("id").agg(F.collect_list(F.struct("texts", "gram")).alias("grams"))
     prefixes = lists.mapInArrow(_prefixes, "gram long, id long, n long, at long, odd array<long>")
     prefixes = materialize(prefixes.join(left, "id"), "near-prefixes")
+    # A partner's size lies between what the own size asks for and what the place leaves room for; a row none of whose shingle's texts has
+    # such a size is left out before pairs are formed.
+    sizes = prefixes.groupBy("gram").agg(F.min("n").alias("_least"), F.max("n").alias("_most"), F.count("*").alias("_rows")).filter("_rows > 1")
+    prefixes = join_hot(prefixes, materialize(sizes, "near-sizes"), ["gram"], "_rows")
+    fits = 100 * F.col("_most") >= LEAST_PERCENT * F.col("n")
+    roomy = (100 + LEAST_PERCENT) * (F.col("n") - F.col("at")) >= LEAST_PERCENT * (F.col("n") + F.col("_least"))
+    prefixes = materialize(prefixes.filter(fits & roomy).drop("_least", "_most"), "near-prefixes")
     a = prefixes.filter("other").select("gram", F.col("id").alias("u"), F.col("n").alias("nu"), F.col("at").alias("at_u"), F.col("c").alias("cu"), F.col("odd").alias("odd_u"))
     b = prefixes.select("gram", F.col("id").alias("v"), F.col("n").alias("nv"), F.col("at").alias("at_v"), F.col("c").alias("cv"), F.col("odd").alias("odd_v"))
     asked = LEAST_PERCENT * (F.col("nu") + F.col("nv"))

@@ -323,3 +323,32 @@ def test_texts_of_one_document_with_equal_short_hashes(spark):
         assert (2, len(two), hashlib.sha256(two.encode()).hexdigest()) in got, run
     removed = sorted(r.n_removed for r in suffixes.remove_repeats(docs).collect())
     assert removed == [0, 0, len(one)]
+
+
+def test_template_texts_form_no_pairs_and_similar_ones_stay(spark, monkeypatch):
+    """Texts of one template and 17 % own words meet in its shingles, but none has room for a partner of their size; similar texts do."""
+    rng = random.Random(9)
+    common = [f"t{i}" for i in range(200)]
+    texts = [(i, " ".join(common + [f"o{i}x{k}" for k in range(42)])) for i in range(300)]
+    base = [f"s{i}" for i in range(120)]
+    for i in range(300, 340):
+        words = list(base)
+        for _ in range(rng.randrange(5)):
+            words[rng.randrange(len(words))] = f"e{rng.randrange(10**6)}"
+        texts.append((i, " ".join(words[: rng.randrange(95, 121)])))
+    frame_ = spark.createDataFrame(texts, "id long, text string")
+    left = frame_.select("id", F.lit(True).alias("other"), F.col("id").alias("c"))
+    seen, keep = [], minhash.materialize
+
+    def counted(df, name, *more):
+        made = keep(df, name, *more)
+        if name == "near-prefixes":
+            seen.append({bool(r.template): r.n for r in made.groupBy((F.col("id") < 300).alias("template")).agg(F.count("*").alias("n")).collect()})
+        return made
+
+    monkeypatch.setattr(minhash, "materialize", counted)
+    pairs = {(r.u, r.v) for r in minhash._similar_across(frame_, left).collect()}
+    assert len(seen) == 2 and seen[0][True] > 3000 and True not in seen[1]
+    sets = {i: {tuple(w[k : k + 5]) for k in range(len(w) - 4)} for i, w in ((i, t.split()) for i, t in texts)}
+    similar = {(a, b) for a in range(300, 340) for b in range(300, a) if 100 * len(sets[a] & sets[b]) >= 75 * len(sets[a] | sets[b])}
+    assert len(similar) > 30 and similar <= pairs and all(v >= 300 for _, v in pairs)
