@@ -12,6 +12,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
+from lectern.llm.shared import materialize as kept
+
 #: The public vocabulary's file and its split pattern.
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 PATTERN = r"""'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
@@ -61,14 +63,19 @@ def token_deltas(changes: DataFrame, tokenizer: str = "byte_bpe_50k", path: str
     )
 
 
-def _log(spark: SparkSession, store: str) -> list[Row]:
-    """The published commits (version, batch_id, deltas, totals), latest first; folders are named from the store on."""
+def _log(spark: SparkSession, store: str) -> DataFrame:
+    """The published commits (version, batch_id, deltas, totals), the latest of each batch; folders are named from the store on."""
+    schema = "version long, batch_id long, deltas string, totals string"
     path = spark._jvm.org.apache.hadoop.fs.Path(f"{store}/log")
     if not path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path):
-        return []
-    rows = spark.read.schema("version long, batch_id long, deltas string, totals string").json(f"{store}/log").filter("version is not null")
-    last = rows.groupBy("batch_id").agg(F.max(F.struct("version", "deltas", "totals")).alias("c")).select("batch_id", "c.*")
-    return last.orderBy(F.desc("version")).collect()  # one row a batch
+        return spark.createDataFrame([], schema)
+    rows = spark.read.schema(schema).json(f"{store}/log").filter("version is not null")
+    return rows.groupBy("batch_id").agg(F.max(F.struct("version", "deltas", "totals")).alias("c")).select("batch_id", "c.*")
+
+
+def _last(log: DataFrame) -> Row | None:
+    """The last commit; however many there are, one row comes to the driver."""
+    return log.orderBy(F.desc("version")).limit(1).first()
 
 
 def _publish(spark: SparkSession, store: str, version: int, batch_id: int, deltas: str, totals: str) -> None:
@@ -93,17 +100,18 @@ def commit(deltas: DataFrame, store: str, batch_id: int) -> None:
     group, are read: batches before aren't summed again. One writer at a time; a second one gets an error.
     """
     spark, batch_id = deltas.sparkSession, int(batch_id)
-    done = _log(spark, store)
-    version = done[0]["version"] + 1 if done else 1
+    log = _log(spark, store)
+    last, earlier = _last(log), log.filter(F.col("batch_id") == batch_id).first()
+    version = last["version"] + 1 if last else 1
     mine, after = (f"{kind}/{version:012d}-{uuid.uuid4().hex}" for kind in ("deltas", "totals"))
     deltas.select(*KEYS, *COUNTS).write.parquet(f"{store}/{mine}")
     parts = [_counts(spark, f"{store}/{mine}")]
-    if done:
-        parts.append(_counts(spark, f"{store}/{done[0]['totals']}"))
-    for earlier in (r for r in done if r["batch_id"] == batch_id):
+    if last:
+        parts.append(_counts(spark, f"{store}/{last['totals']}"))
+    if earlier:
         parts.append(_counts(spark, f"{store}/{earlier['deltas']}").select(*KEYS, *[(-F.col(c)).alias(c) for c in COUNTS]))
     total = reduce(DataFrame.union, parts).groupBy(*KEYS).agg(*[F.sum(c).alias(c) for c in COUNTS])
-    total.coalesce(1).write.parquet(f"{store}/{after}")  # a row for each source, language and tokenizer
+    total.write.parquet(f"{store}/{after}")  # a row for each source, language and tokenizer
     _publish(spark, store, version, batch_id, mine, after)
 
 
@@ -113,20 +121,35 @@ def _counts(spark: SparkSession, path: str) -> DataFrame:
 
 def totals(spark: SparkSession, store: str) -> DataFrame:
     """The last published totals: (source, lang, tokenizer, n_docs, n_tokens); groups that come to nothing go."""
-    done = _log(spark, store)
-    if not done:
+    last = _last(_log(spark, store))
+    if not last:
         return spark.createDataFrame([], "source string, lang string, tokenizer string, n_docs long, n_tokens long")
-    return _counts(spark, f"{store}/{done[0]['totals']}").filter("n_docs <> 0 or n_tokens <> 0")
+    return _counts(spark, f"{store}/{last['totals']}").filter("n_docs <> 0 or n_tokens <> 0")
 
 
 def compact(spark: SparkSession, store: str) -> int:
-    """Delete the totals of all versions but the last, and replaced or unpublished deltas; the number of folders deleted."""
-    done, gone = _log(spark, store), 0
-    used = {r["deltas"] for r in done} | {done[0]["totals"]} if done else set()
+    """Delete the totals of all versions but the last, replaced or unpublished deltas, and the log's single lines; the number of folders deleted.
+
+    The log is written anew as one table beside its lines before these go, and equal lines count once, so readers find every commit
+    throughout. Which folders are still named is told by a join; only the names of those that aren't come to the driver.
+    """
+    log = kept(_log(spark, store), "token-log")
+    last, gone = _last(log), 0
+    used = log.select(F.col("deltas").alias("folder")).union(log.filter(F.col("version") == (last["version"] if last else 0)).select("totals"))
+    fs = spark._jvm.org.apache.hadoop.fs
     for kind in ("deltas", "totals", "pending"):
-        path = spark._jvm.org.apache.hadoop.fs.Path(f"{store}/{kind}")
+        path = fs.Path(f"{store}/{kind}")
+        files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+        there = [(f"{kind}/{f.getPath().getName()}",) for f in files.listStatus(path)] if files.exists(path) else []
+        for (folder,) in spark.createDataFrame(there, "folder string").join(used, "folder", "left_anti").collect() if there else []:
+            gone += files.delete(fs.Path(f"{store}/{folder}"), True)
+    if last:
+        path = fs.Path(f"{store}/log")
         files = path.getFileSystem(spark._jsc.hadoopConfiguration())
-        for found in files.listStatus(path) if files.exists(path) else []:
-            if f"{kind}/{found.getPath().getName()}" not in used:
-                gone += files.delete(found.getPath(), True)
+        lines = [f.getPath() for f in files.listStatus(path)]
+        log.select("version", "batch_id", "deltas", "totals").write.mode("append").json(f"{store}/log")
+        kept_line = f"{last['version']:012d}.json"  # the last one stays: the next writer's version is told by its name
+        for line in lines:
+            if line.getName() != kept_line:
+                files.delete(line, False)
     return gone

@@ -359,3 +359,19 @@ def test_url_templates_of_deep_paths(spark, lead):
     pages = spark.createDataFrame(list(enumerate(urls + [f"http://h.net/{lead}/bad/p999/"])), "page_id long, url string")
     got = url_templates.judge_urls(pages, labels=labels).collect()
     assert len(got) == 201 and all(r.verdict == ("block" if "/bad/" in r.path else "allow") for r in got)
+
+
+def test_token_log_of_many_batches(spark, tmp_path):
+    """Commits, replays and compaction over a long log, of which the driver sees single rows only."""
+    store = f"file://{tmp_path}/store"
+    batch = lambda n: spark.createDataFrame([("s", "x", "t", 1, n)], "source string, lang string, tokenizer string, n_docs long, n_tokens long")
+    for n in range(1, 6):
+        token_counts.commit(batch(n), store, n)
+    assert token_counts.compact(spark, store) == 4
+    token_counts.commit(batch(10), store, 2)  # replaces the 2 that the compacted log knows
+    token_counts.commit(batch(100), store, 6)
+    assert [tuple(r) for r in token_counts.totals(spark, store).collect()] == [("s", "x", "t", 6, 1 + 10 + 3 + 4 + 5 + 100)]
+    assert token_counts.compact(spark, store) == 3 and token_counts.compact(spark, store) == 0
+    token_counts.commit(batch(0), store, 6)
+    assert token_counts.totals(spark, store).first().n_tokens == 23
+    assert len(list((tmp_path / "store" / "log").glob("0*.json"))) == 2
