@@ -67,11 +67,12 @@ def active(long: DataFrame, zero_counts: bool = False) -> DataFrame:
 def sheet_split(rows: DataFrame, order: Sequence[str], max_rows: int) -> DataFrame:
     """Add row_no and sheet_no (from 1): consecutive pieces of `max_rows` rows in report order.
 
-    Rows are range-partitioned and sorted; a small count per partition gives each its offset, so that the
+    Rows are written, since the bounds of ranges are found by reading them once more, range-partitioned and sorted; a small count per partition gives each its offset, so that the
     global number needs no single-task window. Equal order values should be broken by the caller's last column.
     """
     from lectern.operators.tables import kept
 
+    rows = kept(rows, "sheet-input")
     sorted_ = rows.repartitionByRange(*nulls_last(order)).sortWithinPartitions(*nulls_last(order))
     placed = kept(sorted_.withColumn("_part", F.spark_partition_id()).withColumn("_at", F.monotonically_increasing_id()), "sheet-rows")
     sizes = placed.groupBy("_part").agg(F.count("*").alias("_n"), F.min("_at").alias("_from"))
