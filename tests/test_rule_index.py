@@ -3,6 +3,7 @@
 import random
 import re
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -64,3 +65,22 @@ def test_no_rules_and_no_texts(spark):
     assert rule_index.match_rules_indexed(t, r.filter("false"), "text", ["id"]).count() == 0
     assert rule_index.match_rules_indexed(t.filter("false"), r, "text", ["id"]).count() == 0
     assert rule_index.match_rules_indexed(t.withColumn("text", F.upper("text")), r, "text", ["id"], case_sensitive=True).count() == 0
+
+
+def test_rules_are_never_broadcast_and_few_pieces_of_a_text_are_joined(spark):
+    """Rules as many as their users: the driver gets a filter of fixed size, and a text meets few rules that it doesn't match."""
+    table = [(i, 1, f"^the user with id '{i}' +(?:viewed|clicked) module") for i in range(10_000, 13_000)]
+    index = rule_index.rule_index(spark.createDataFrame(table, "rule_no int, priority int, match_rx string"))
+    texts = spark.range(300).select("id", F.format_string("The user with id '%d' viewed module id '%d'.", F.col("id") * 7 + 10_000, F.col("id")).alias("text"))
+    found = rule_index.candidates(texts, index, "text", ["id"])
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" not in plan and plan.count("SortMergeJoin") >= 2
+    assert rule_index._text_pieces(texts.withColumnRenamed("text", "_text"), index, ["id"]).count() < 300 * 5  # of more than 40 places each
+    assert found.count() == 300
+    assert rule_index.match_rules_indexed(texts, index, "text", ["id"], index=index).filter("rule_no = id * 7 + 10000").count() == 300
+
+
+def test_filter_of_pieces(spark):
+    pieces = [0, 1, 32767, 32768, 32769, 65536, 65537, rule_index.FILTER_BITS - 1, -1, -(1 << 63), 5 + 3 * rule_index.FILTER_BITS]
+    held = np.unpackbits(rule_index._piece_filter(spark.createDataFrame([(p,) for p in pieces], "piece long")))
+    assert np.flatnonzero(held).tolist() == sorted({p % rule_index.FILTER_BITS for p in pieces})
