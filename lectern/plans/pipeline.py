@@ -203,14 +203,14 @@ class Packs:
     status: DataFrame
 
 
-def individual_packs(long: DataFrame, path: str | None = None, active: Column | None = None, needs_number: bool = True, status_path: str | None = None) -> Packs:
-    """One pack for each teacher: active rows with a count, the person's record as lines, the status; rows are written to `path` if given.
+def individual_packs(long: DataFrame, path: str | None = None, active: Column | None = None, needs_number: bool = True, status_path: str | None = None, zero_counts: bool = False) -> Packs:
+    """One pack for each teacher: active rows with a count (all active rows if `zero_counts`), the person's record as lines, the status; rows are written to `path` if given.
 
     `active` says which rows are, in place of visible_active or confidence_flag. A teacher whose rows can't be read,
     or whose file another one has too, gets ERROR and no pack; all others come out. What is written is counted again, and
     the statuses (with n_written) are appended to `status_path` if that is given.
     """
-    chosen = reports.active(long) if active is None else long.filter(active & (F.col("count_value") > 0))
+    chosen = reports.active(long, zero_counts) if active is None else long.filter(active if zero_counts else active & (F.col("count_value") > 0))
     rows, persons = reports.pack_rows(chosen), reports.person_record(long)
     if path:
         rows = kept(rows, "pack-rows")  # read for the statuses and for the packs
