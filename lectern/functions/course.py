@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -31,6 +33,11 @@ PREFIX = r"^([A-Z]{2,3})([A-Za-z]{2}(?:-[A-Z]{2})?)$"
 FIELDS = ["course_code", "wydzial_code", "kierunek_code", "track_code", "semester_code", "course_name", "ay", "term"]
 
 
+def _once(c: Column, use: Callable[[Column], Column]) -> Column:
+    """`use` of a column that is worked out once, however often it is named there."""
+    return F.get(F.transform(F.array(c), use), F.lit(0))
+
+
 def expand_class_type(name: Column) -> Column:
     """Replace the first known class type code between dashes, or at the end after a dash, by its name."""
 
@@ -42,7 +49,7 @@ def expand_class_type(name: Column) -> Column:
             out = F.coalesce(inner, last, out)
         return out
 
-    return F.get(F.transform(F.array(name), expanded), F.lit(0))  # the name is worked out once
+    return _once(name, expanded)
 
 
 def parse_context(text: Column) -> Column:
@@ -66,31 +73,38 @@ def parse_context(text: Column) -> Column:
 
 def code_from_file(course: Column) -> Column:
     """Course code of a compact file name such as WFAnstj5sem-Name-WY-202526z, else null."""
-    prefix = extract(course, FILE, 1)
-    faculty, programme = extract(prefix, PREFIX, 1), extract(prefix, PREFIX, 2)
-    year = F.concat(extract(course, FILE, 5), F.lit("/"), extract(course, FILE, 6))
-    tail = F.concat_ws("-", extract(course, FILE, 3), expand_class_type(extract(course, FILE, 4)), F.concat(year, extract(course, FILE, 7)))
-    return F.when(faculty.isNotNull(), F.concat_ws("/", faculty, programme, extract(course, FILE, 2), tail))
+
+    def code(found: Column) -> Column:
+        prefix, track, semester, name, year, next_year, term = (F.get(found, F.lit(i)) for i in range(7))
+        tail = F.concat_ws("-", semester, expand_class_type(name), F.concat(year, F.lit("/"), next_year, term))
+        parts = _once(F.array(*[F.regexp_extract(prefix, PREFIX, i) for i in (1, 2)]), lambda p: F.when(F.get(p, F.lit(0)) != "", F.concat_ws("/", F.get(p, F.lit(0)), F.get(p, F.lit(1)), track, tail)))
+        return F.when(prefix != "", parts)
+
+    return _once(F.array(*[F.regexp_extract(course, FILE, i) for i in range(1, 8)]), code)
 
 
 def parse_code(code: Column) -> Column:
     """Struct of FIELDS from a course code W/K/T/5sem-Name-2025/26z."""
-    part = F.split(code, "/")
-    rest = F.coalesce(extract(code, r"^[^/]*/[^/]*/[^/]*/(.*)$"), F.lit(""))
-    semester = F.split_part(rest, F.lit("-"), F.lit(1))
-    return F.when(
-        code.isNotNull(),
-        F.struct(
-            code.alias("course_code"),
-            F.get(part, F.lit(0)).alias("wydzial_code"),
-            F.get(part, F.lit(1)).alias("kierunek_code"),
-            F.get(part, F.lit(2)).alias("track_code"),
-            semester.alias("semester_code"),
-            F.trim(F.regexp_replace(F.regexp_replace(rest, r"^[^-]*-?", ""), r"-\d{4}/\d{2}[zl]$", "")).alias("course_name"),
-            F.coalesce(extract(code, r"(\d{4}/\d{2})[zl]$"), F.lit("")).alias("ay"),
-            F.coalesce(extract(code, r"\d{4}/\d{2}([zl])$"), F.lit("")).alias("term"),
-        ),
-    )
+
+    def fields(code: Column) -> Column:
+        part = F.split(code, "/")
+        rest = F.coalesce(extract(code, r"^[^/]*/[^/]*/[^/]*/(.*)$"), F.lit(""))
+        semester = F.split_part(rest, F.lit("-"), F.lit(1))
+        return F.when(
+            code.isNotNull(),
+            F.struct(
+                code.alias("course_code"),
+                F.get(part, F.lit(0)).alias("wydzial_code"),
+                F.get(part, F.lit(1)).alias("kierunek_code"),
+                F.get(part, F.lit(2)).alias("track_code"),
+                semester.alias("semester_code"),
+                F.trim(F.regexp_replace(F.regexp_replace(rest, r"^[^-]*-?", ""), r"-\d{4}/\d{2}[zl]$", "")).alias("course_name"),
+                F.coalesce(extract(code, r"(\d{4}/\d{2})[zl]$"), F.lit("")).alias("ay"),
+                F.coalesce(extract(code, r"\d{4}/\d{2}([zl])$"), F.lit("")).alias("term"),
+            ),
+        )
+
+    return _once(code, fields)
 
 
 def parse_context_by(text: Column, course_rx: str, period_rx: str) -> Column:

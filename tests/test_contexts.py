@@ -27,3 +27,14 @@ def test_context(spark, text, code, name):
     assert (got and (got.course_code, got.course_name)) == (code and (code, name))
     if got:
         assert got.ay in ("2025/26", "2024/25") and got.term in "zl" and got.semester_code.lower().endswith("sem")
+
+
+def test_codes_of_files_are_worked_out_once(spark):
+    """The pattern of file names stands once for each of its groups in the plan, however many fields are made of the code."""
+    from lectern.functions.course import FILE, code_from_file, parse_code
+
+    rows = spark.createDataFrame([("WFAnstj5sem-Name-CL-202526z",), ("x",), (None,)], "name string")
+    found = rows.select(parse_code(code_from_file(F.col("name"))).alias("c"))
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert 0 < plan.count(FILE[:20]) <= 7
+    assert [r.c and r.c.course_name for r in found.collect()] == ["Name-Ćwiczenia laboratoryjne", None, None]
