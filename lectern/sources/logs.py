@@ -80,14 +80,15 @@ def delimiter(text: Column) -> Column:
 
 
 def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of (path, text, sep) one row per record: path, line_no, header, fields."""
+    """Of (path, text, sep) one row per record: path, line_no, header, fields. Texts are decoded a few KB at a time, straight from the batch."""
     csv.field_size_limit(sys.maxsize)
     kinds = [pa.string(), pa.int64(), pa.list_(pa.string()), pa.list_(pa.string())]
     names = ["path", "line_no", "header", "fields"]
     for batch in batches:
-        for path, text, sep in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+        for path, text, sep in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2).to_pylist(), strict=True):
             header, out = None, []
-            for no, record in enumerate(csv.reader(io.StringIO(text or "", newline=""), delimiter=sep)):
+            lines = io.TextIOWrapper(pa.BufferReader(text.as_buffer() or pa.py_buffer(b"")), encoding="utf-8", newline="")
+            for no, record in enumerate(csv.reader(lines, delimiter=sep)):
                 record = [x.strip() for x in record]
                 if not any(record):
                     continue
