@@ -11,10 +11,12 @@ from pyspark.sql import functions as F
 
 from lectern.llm.bytesops import U64, blocks, byte_codes, byte_view, randoms, signed, span_hashes
 from lectern.llm.shared import join_hot, materialize
-from lectern.llm.suffixes import CUT, cut, keyed, own_spans, span_lists, with_cuts
+from lectern.llm.suffixes import CUT, cut, keyed, own_spans, with_cuts
 
 #: Bits of the rolling hash that are zero at a cut, least bytes from a cut to the next, most bytes of a chunk.
 CUT_BITS, NEAREST, MOST = 6, 40, 1024
+#: A cut depends on so many bytes before it: those of the rolling hash, and NEAREST of them.
+SEEN = 32 + NEAREST
 _GEAR = (randoms(51, 256) >> U64(20)).astype(np.uint32)
 
 
@@ -49,7 +51,11 @@ def cut_points(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.nda
     return rows[ends - 1], ends
 
 
+_CHUNKS = "doc_id long, row_key long, h1 long, h2 long, lo int, hi int, again boolean, low int, high int, h_before long, h_after long"
+
+
 def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of (doc_id, row_key, text) the chunks, with the start of the chunk before and the end of the one after it, and the digests of these, null where there is none."""
     for batch in batches:
         data, offsets = byte_view(batch.column(2))
         for a, b in blocks(offsets):
@@ -62,14 +68,87 @@ def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             order = np.lexsort((*digests, rows))
             again = np.zeros(len(rows), bool)  # the text has the chunk before
             again[order[1:]] = np.logical_and.reduce([x[order[1:]] == x[order[:-1]] for x in (rows, *digests)])
+            opens = np.concatenate([[True], rows[1:] != rows[:-1]])
+            closes = np.concatenate([opens[1:], [True]])
+            own = lambda places: pa.array((places - bounds[rows]).astype(np.int32))
+            low, high = np.where(opens, starts, np.roll(starts, 1)), np.where(closes, ends, np.roll(ends, -1))
             sides = [batch.column(k).slice(a, b - a).take(pa.array(rows)) for k in (0, 1)]
             yield pa.RecordBatch.from_arrays(
-                [*sides, pa.array(digests[0]), pa.array(digests[1]), pa.array((starts - bounds[rows]).astype(np.int32)), pa.array((ends - bounds[rows]).astype(np.int32)), pa.array(again)],
-                ["doc_id", "row_key", "h1", "h2", "lo", "hi", "again"],
-            )
+                [
+                    *sides, pa.array(digests[0]), pa.array(digests[1]), own(starts), own(ends), pa.array(again), own(low), own(high),
+                    pa.array(np.roll(digests[0], 1), mask=opens), pa.array(np.roll(digests[0], -1), mask=closes),
+                ],
+                [c.split()[0] for c in _CHUNKS.split(", ")],
+            )
+
+
+_AROUND = "h1 long, h2 long, n long, s_before long, s_after long, s_left binary, s_right binary"
+
+
+def _around(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of (text, chunks in it) one row a chunk: the bytes on either side that a copy of the chunk elsewhere may go on with."""
+    kinds = [pa.int64()] * 5 + [pa.binary()] * 2
+    for batch in batches:
+        data, offsets = byte_view(batch.column(0))
+        rows = []
+        for r, own in enumerate(batch.column(1).to_pylist()):
+            text = data[offsets[r] : offsets[r + 1]].tobytes()
+            rows += [(c["h1"], c["h2"], c["n"], c["h_before"], c["h_after"], text[max(0, c["low"] - SEEN) : c["lo"]], text[c["hi"] : c["high"]]) for c in own]
+        columns = list(zip(*rows, strict=True)) or [[]] * 7
+        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], [c.split()[0] for c in _AROUND.split(", ")])
+
+
+def _same(one: np.ndarray, other: np.ndarray) -> int:
+    """How many bytes the two have in common at their start."""
+    n = min(len(one), len(other))
+    differ = one[:n] != other[:n]
+    return int(differ.argmax()) if differ.any() else n
 
 
-def dedup_chunks(docs: DataFrame) -> DataFrame:
+def _cut_stretched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """`cut`, with each span stretched to the left and right as far as the bytes agree with those of its source; no UTF-8 character is split."""
+    for batch in batches:
+        data, offsets = byte_view(batch.column(2))
+        inside = (data & 0xC0) == 0x80
+        all_lo, all_hi, sizes = [], [], [0]
+        for r, spans in enumerate(batch.column(3)):
+            text, middle = (x[offsets[r] : offsets[r + 1]] for x in (data, inside))
+            fields = [spans.values.field(f).to_pylist() for f in ("lo", "hi", "s_left", "s_right")]
+            for lo, hi, left, right in zip(*fields, strict=True):
+                start = lo - _same(text[:lo][::-1], np.frombuffer(left, np.uint8)[::-1]) if left else lo
+                while start < lo and middle[start]:
+                    start += 1
+                end = hi + _same(text[hi:], np.frombuffer(right, np.uint8)) if right else hi
+                while hi < end < len(text) and middle[end]:
+                    end -= 1
+                all_lo.append(start)
+                all_hi.append(end)
+            sizes.append(len(all_lo))
+        stretched = pa.StructArray.from_arrays([pa.array(all_lo, pa.int32()), pa.array(all_hi, pa.int32())], ["lo", "hi"])
+        lists = pa.ListArray.from_arrays(pa.array(sizes, pa.int32()), stretched)
+        yield from cut(iter([pa.RecordBatch.from_arrays([*batch.columns[:3], lists], ["doc_id", "row_key", "text", "spans"])]))
+
+
+def _with_sources(base: DataFrame, met: DataFrame) -> DataFrame:
+    """Chunks that an earlier document has, with the bytes around its first place there where the next chunks differ (s_left, s_right).
+
+    The first place is that of the smallest (doc_id, row_key, lo). Its surroundings are read from its text, once for
+    each digest however many copies there are, and meet the copies by the digest.
+    """
+    place = F.struct("row_key", "lo", "hi", "low", "high", "h_before", "h_after")
+    source = met.filter("doc_id = first_id").groupBy("h1", "h2").agg(F.min("first_id").alias("s_id"), F.min("n").alias("n"), F.min(place).alias("s"))
+    chunk = F.struct("h1", "h2", "n", *[F.col(f"s.{c}").alias(c) for c in ("lo", "hi", "low", "high", "h_before", "h_after")])
+    asked = source.groupBy("s_id", F.col("s.row_key").alias("s_key")).agg(F.collect_list(chunk).alias("own"))  # chunks of one text
+    texts = base.join(asked, (F.col("doc_id") == F.col("s_id")) & (F.col("row_key") == F.col("s_key"))).dropDuplicates(["doc_id", "row_key"])
+    around = materialize(texts.select("text", "own").mapInArrow(_around, _AROUND), "chunk-sources")
+    copies = met.filter("doc_id > first_id").drop("n")
+    # Where the neighbours are equal they are repeats themselves; at a text's start or end nothing is left to compare.
+    return join_hot(copies, around, ["h1", "h2"], "n").select(
+        "doc_id", "row_key", "lo", "hi", F.when(F.col("h_before") != F.col("s_before"), F.col("s_left")).alias("s_left"), F.when(F.col("h_after") != F.col("s_after"), F.col("s_right")).alias("s_right")
+    )
+
+
+def dedup_chunks(docs: DataFrame, stretch: bool = False) -> DataFrame:
     """Remove chunks that occurred before: (doc_id, n_bytes, n_removed, n_spans, kept_sha256), a row for each input row.
 
     Reads doc_id (whole number) and text, as UTF-8 bytes. Texts are cut where a gear rolling hash of the last
@@ -77,17 +156,28 @@ def dedup_chunks(docs: DataFrame) -> DataFrame:
     128-bit digest occurs at an earlier place, in a document of smaller doc_id or before it in its own;
     n_spans counts maximal runs of removed bytes. Chunks under 41 bytes are ends of texts, short texts among them.
 
+    `stretch`: what an earlier document has goes with the parts before its first cut and after its last one, too. A chunk that an
+    earlier document has is compared byte by byte with the surroundings of the chunk's first place of all, in the smallest doc_id, and goes with
+    all bytes on either side that are equal there, whole characters only. Chunks that only their own text has before aren't stretched. As cuts depend on
+    the SEEN bytes before them, equal bytes reach at most that much beyond the neighbouring chunks, or these are repeats themselves.
+
     Texts are chunked once; digests are reduced by min and joined back, digests that very many chunks have
     by a broadcast of at most 4096 of them; no group of equal chunks is gathered. Only texts that lose something
     meet their spans. Null text is empty. A null doc_id neither gives nor loses anything. Rows of one doc_id with
     different texts don't affect each other, equal ones are cut alike; each comes back. Empty input: no rows.
     """
     base = keyed(docs)
-    chunks = base.filter("doc_id is not null").mapInArrow(_chunks, "doc_id long, row_key long, h1 long, h2 long, lo int, hi int, again boolean")
-    chunks = materialize(chunks, "chunks")
+    chunks = materialize(base.filter("doc_id is not null").mapInArrow(_chunks, _CHUNKS), "chunks")
     first = chunks.groupBy("h1", "h2").agg(F.min("doc_id").alias("first_id"), F.max("doc_id").alias("last_id"), F.count("*").alias("n"))
     first = materialize(first.filter("first_id < last_id").drop("last_id"), "chunk-firsts")
-    copies = join_hot(chunks.filter("not again").drop("again"), first, ["h1", "h2"], "n").filter("doc_id > first_id")
-    spans = materialize(copies.select("doc_id", "row_key", "lo", "hi").unionByName(chunks.filter("again").select("doc_id", "row_key", "lo", "hi")), "chunk-repeats")
-    losing = base.join(span_lists(spans), F.col("doc_id") == F.col("span_id")).select("doc_id", "row_key", "text", own_spans())
-    return with_cuts(base, losing.mapInArrow(cut, CUT))
+    none = F.lit(None).cast("binary")
+    if stretch:
+        met = materialize(join_hot(chunks.drop("again"), first.withColumn("weight", F.col("n")), ["h1", "h2"], "weight"), "chunk-places")
+        copies = _with_sources(base, met)
+    else:
+        copies = join_hot(chunks.filter("not again"), first, ["h1", "h2"], "n").filter("doc_id > first_id").select("doc_id", "row_key", "lo", "hi", none.alias("s_left"), none.alias("s_right"))
+    own = chunks.filter("again").select("doc_id", "row_key", "lo", "hi", none.alias("s_left"), none.alias("s_right"))
+    spans = materialize(copies.unionByName(own), "chunk-repeats")
+    lists = spans.groupBy(F.col("doc_id").alias("span_id")).agg(F.collect_list(F.struct("row_key", "lo", "hi", "s_left", "s_right")).alias("all_spans"))
+    losing = base.join(lists, F.col("doc_id") == F.col("span_id")).select("doc_id", "row_key", "text", own_spans())
+    return with_cuts(base, losing.mapInArrow(_cut_stretched, CUT))

@@ -210,6 +210,44 @@ def test_chunks(spark, texts):
     assert sum(r.n_removed > 0 for r in got) > 5
 
 
+def test_chunks_stretched(spark, texts):
+    """Copies go with all that their first place has around them, before the first cut and after the last one too."""
+    rng, shared = random.Random(21), [" ".join(passage(random.Random(100 + k), 150)) + f" żółw{k}" for k in range(12)]
+    texts = texts + [(7000 + i, f"{' '.join(passage(rng, 20))} é{shared[i % 12]}ł {' '.join(passage(rng, 20))}") for i in range(36)]
+    texts += [(5000 + i, t) for i, t in enumerate([" ".join(WORDS[:60]) * 3, "short", "short", "x" * 40_000 + "short"])]
+    first, want, whole = {}, {}, 0
+    for i, t in sorted(texts):
+        data = (t or "").encode()
+        parts, gone, own = brute_chunks(data), bytearray(len(data)), {}
+        for a, b, part in parts:
+            if part in own:
+                gone[a:b] = b"\1" * (b - a)
+            if part in first:
+                source, at = first[part]
+                lo, hi, s_lo, s_hi = a, b, at, at + b - a
+                while lo and s_lo and data[lo - 1] == source[s_lo - 1]:
+                    lo, s_lo = lo - 1, s_lo - 1
+                while hi < len(data) and s_hi < len(source) and data[hi] == source[s_hi]:
+                    hi, s_hi = hi + 1, s_hi + 1
+                while lo < a and data[lo] & 0xC0 == 0x80:
+                    lo += 1
+                while b < hi < len(data) and data[hi] & 0xC0 == 0x80:
+                    hi -= 1
+                gone[lo:hi] = b"\1" * (hi - lo)
+            own.setdefault(part, (data, a))
+        for part, place in own.items():
+            first.setdefault(part, place)
+        want[i] = (len(data), sum(gone), len(re.findall(b"\1+", gone)), hashlib.sha256(bytes(c for c, g in zip(data, gone) if not g)).hexdigest())
+        if i >= 7012 and i < 7036:
+            whole += sum(gone) >= len(shared[(i - 7000) % 12].encode())
+    assert whole >= 20  # of 24 copies of a passage, nearly all have a cut, and go from end to end
+    got = chunks.dedup_chunks(frame(spark, texts + texts[:3] + [(None, "x" * 300)]), stretch=True).collect()
+    assert len(got) == len(texts) + 4
+    assert [(r.doc_id, (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256)) for r in got if r.doc_id is not None and (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) != want[r.doc_id]] == []
+    plain = {r.doc_id: r.n_removed for r in chunks.dedup_chunks(frame(spark, texts)).collect()}
+    assert all(plain[i] <= w[1] for i, w in want.items()) and sum(plain[i] < w[1] for i, w in want.items()) > 20
+
+
 def test_chunks_resist_shifts():
     rng = np.random.default_rng(3)
     data = rng.integers(97, 123, 20_000).astype(np.uint8)
