@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -61,10 +61,11 @@ class KeyedTable:
         rows = spark.read.parquet(self.path).filter(F.col(BUCKET).isin(*touched) & (F.col(BATCH).cast("string") != batch))
         return rows.select(*self.keys)
 
-    def append_absent(self, new: DataFrame, order: Sequence[str], batch: str | None = None) -> int:
+    def append_absent(self, new: DataFrame, order: Sequence[str], batch: str | None = None, finish: Callable[[DataFrame], DataFrame] | None = None) -> int:
         """Append the first row, in `order`, of each key that the table lacks; the number of rows.
 
-        Rows with a null key always count as new. A batch that comes again under its name replaces what it wrote.
+        Rows with a null key always count as new. A batch that comes again under its name replaces what it wrote. `finish` makes the table's rows,
+        row by row, of those that are appended, so that what only these need isn't computed for the others; it keeps the keys.
         """
         spark, batch = new.sparkSession, batch or f"b{uuid.uuid4().hex}"
         first = one_per_key(new, self.keys, [F.col(o).asc_nulls_last() for o in order])
@@ -75,6 +76,8 @@ class KeyedTable:
         fresh, seen = first, Observation()
         if exists(spark, self.path):
             fresh = only_new(first, self.possible(spark, touched, batch), self.keys)
+        if finish:
+            fresh = self.placed(finish(fresh.drop(OF, BUCKET)))
         dealt = fresh.withColumn(BATCH, F.lit(batch)).hint("rebalance", BUCKET).observe(seen, F.count("*").alias("n"))
         dealt.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(OF, BUCKET, BATCH).parquet(self.path)
         return seen.get.get("n", 0)

@@ -80,39 +80,55 @@ def delimiter(text: Column) -> Column:
 
 
 def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of (path, text, sep) one row per record: path, line_no, header, fields. Texts are decoded a few KB at a time, straight from the batch."""
+    """Of (path, text, sep, others) one row per record: path, line_no, fields, payload, others. Texts are decoded a few KB at a time, straight from the batch."""
     csv.field_size_limit(sys.maxsize)
-    kinds = [pa.string(), pa.int64(), pa.list_(pa.string()), pa.list_(pa.string())]
-    names = ["path", "line_no", "header", "fields"]
     for batch in batches:
-        for path, text, sep in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2).to_pylist(), strict=True):
-            header, out = None, []
+        own = [batch.column(k) for k in (0, *range(3, batch.num_columns))]
+        names = ["path", "line_no", "fields", "payload", *batch.schema.names[3:]]
+        for r, (text, sep) in enumerate(zip(batch.column(1), batch.column(2).to_pylist(), strict=True)):
+            header, no, fields, ends, values = None, [], [], [0], []
             lines = io.TextIOWrapper(pa.BufferReader(text.as_buffer() or pa.py_buffer(b"")), encoding="utf-8", newline="")
-            for no, record in enumerate(csv.reader(lines, delimiter=sep)):
+
+            def made():
+                at = pa.array(range(0, len(values) + 1, len(keys)), pa.int32())
+                payload = pa.MapArray.from_arrays(at, pa.array(keys * len(no), pa.string()), pa.array(values, pa.string()))
+                lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(fields, pa.string()))
+                path, *others = [pa.repeat(c[r], len(no)) for c in own]  # noqa: B023
+                return pa.RecordBatch.from_arrays([path, pa.array(no, pa.int64()), lists, payload, *others], names)
+
+            for at, record in enumerate(csv.reader(lines, delimiter=sep)):
                 record = [x.strip() for x in record]
                 if not any(record):
                     continue
                 if header is None:
-                    header = record
-                else:
-                    out.append((path, no, header, (record + [""] * len(header))[: max(len(header), len(record))]))
-                if len(out) == 5000:
-                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), kinds, strict=True)], names)
-                    out = []
-            if out:
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), kinds, strict=True)], names)
-
-
-def records(found: DataFrame) -> DataFrame:
-    """(path, line_no, fields, payload): the records of quoted, ragged delimited files, each by its own header.
+                    header = [h or f"col_{i}" for i, h in enumerate(record, 1)]
+                    last = sorted({h: i for i, h in enumerate(header)}.values())
+                    keys = [header[i] for i in last]
+                    continue
+                if len(record) < len(header):
+                    record += [""] * (len(header) - len(record))
+                no.append(at)
+                fields += record
+                ends.append(len(fields))
+                values += record[: len(header)] if len(last) == len(header) else [record[i] for i in last]
+                if len(no) == 5000:
+                    yield made()
+                    no, fields, ends, values = [], [], [0], []
+            if no:
+                yield made()
+
+
+def records(found: DataFrame, carry: Sequence[str] = ()) -> DataFrame:
+    """(path, line_no, fields, payload, carry): the records of quoted, ragged delimited files, each by its own header.
 
     Fields are trimmed, blank records dropped, missing tail fields empty; the payload maps header to field, an
     empty header is col_<n>, and of equal headers the last counts. A quote that is never closed takes what is
     left of its file into one field, of whatever length. A file is read by one task, so
-    files should be of a size that a task can hold.
+    files should be of a size that a task can hold. Each record also has the columns `carry` of its file.
     """
-    text = found.withColumn("text", decoded(F.col("content"))).select("path", "text", delimiter(F.col("text")).alias("sep"))
-    return with_payload(text.mapInArrow(_rows, "path string, line_no long, header array<string>, fields array<string>"))
+    text = found.withColumn("text", decoded(F.col("content"))).select("path", "text", delimiter(F.col("text")).alias("sep"), *carry)
+    others = "".join(f", {c} {found.schema[c].dataType.simpleString()}" for c in carry)
+    return text.mapInArrow(_rows, f"path string, line_no long, fields array<string>, payload map<string,string>{others}")
 
 
 def with_payload(rows: DataFrame) -> DataFrame:
@@ -134,17 +150,26 @@ def log_rows(found: DataFrame, inserted_at: Column, log_timezone: str | None = N
 
     Times count as UTC, or as wall clock times of `log_timezone` (see zones.in_zone).
     """
-    logs = log_files(found)
-    return raw_rows(records(logs).join(logs.select("path", "name", "course"), "path"), inserted_at, log_timezone)
+    return raw_rows(records(log_files(found), ("name", "course")), inserted_at, log_timezone)
+
+
+def keyed_rows(rows: DataFrame) -> DataFrame:
+    """Records (name, course, line_no, fields, payload) with their key: what tells equal ones apart and which of them is the first."""
+    return rows.select("course", F.sha2(F.array_join("fields", "\u001f"), 256).alias("row_key"), "payload", F.col("name").alias("source_file"), "line_no")
+
+
+def as_events(rows: DataFrame, inserted_at: Column) -> DataFrame:
+    """Rows of `keyed_rows` as raw events (schemas.RAW_EVENT), with line_no; times count as UTC."""
+    timed = rows.withColumn("time_text", time_text(F.col("payload")))
+    return timed.select(
+        "course", "time_text", parse_time(F.col("time_text")).alias("time_ts"), "row_key", "payload", "source_file", course_id(F.col("payload")).alias("course_id"),
+        inserted_at.cast("timestamp").alias("inserted_at"), "line_no",
+    )
 
 
 def raw_rows(rows: DataFrame, inserted_at: Column, log_timezone: str | None = None) -> DataFrame:
     """Records (name, course, line_no, fields, payload) as raw events."""
-    at = time_text(F.col("payload"))
-    raw = rows.select(
-        "course", at.alias("time_text"), parse_time(at).alias("time_ts"), F.sha2(F.array_join("fields", "\u001f"), 256).alias("row_key"),
-        "payload", F.col("name").alias("source_file"), course_id(F.col("payload")).alias("course_id"), inserted_at.cast("timestamp").alias("inserted_at"), "line_no",
-    )
+    raw = as_events(keyed_rows(rows), inserted_at)
     if not log_timezone:
         return raw
     zoned = F.coalesce(at_zone(F.col("time_text")), F.lit(False))  # such a time is an instant as it stands
@@ -168,7 +193,7 @@ def raw_events(spark: SparkSession, root: str, scope: str = "all", inserted_at:
 
 def snapshot_rows(found: DataFrame) -> DataFrame:
     """Activity snapshots of files (path, name, modificationTime, content), see `read_snapshots`."""
-    rows = records(found).join(found.select("path", "name", "modificationTime"), "path")
+    rows = records(found, ("name", "modificationTime"))
     field = lambda h: blank_to_null(F.try_element_at("payload", F.lit(h)))
     taken = F.coalesce(F.try_to_timestamp(extract(F.col("name"), r"(\d{8}-\d{4})"), F.lit("yyyyMMdd-HHmm")), F.col("modificationTime"))
     out = rows.select(

@@ -11,7 +11,7 @@ from pyspark.sql.streaming import StreamingQuery
 from lectern.operators.state import refresh_state
 from lectern.operators.tables import kept
 from lectern.sources.keyed_table import KeyedTable, batch_name
-from lectern.sources.logs import first_records, log_rows, snapshot_rows
+from lectern.sources.logs import as_events, first_records, keyed_rows, log_files, log_rows, records, snapshot_rows
 from lectern.sources.sinks import append_absent
 
 FILE = "path string, modificationTime timestamp, length long, content binary"
@@ -34,15 +34,19 @@ def stream_logs(
     nothing. Stops when all files that are there have been taken. With `buckets` the table is a KeyedTable: a batch reads the keys of its
     own buckets only, and writes folders named after the stream and the batch, so that a batch that failed in the middle of its
     write, or after it and before the checkpoint, replaces what it left when it comes again. `after` is called with the
-    number of rows that a batch added.
+    number of rows that a batch added. Without `log_timezone` only keys are worked out for all records, and times, course numbers
+    and the like for those that are appended.
     """
 
     def take(batch: DataFrame, batch_id: int) -> None:
-        events = first_records(log_rows(_named(batch), F.current_timestamp(), log_timezone))
+        events = lambda: first_records(log_rows(_named(batch), F.current_timestamp(), log_timezone))
         if buckets is None:
-            n = append_absent(events, table, ["row_key"], ["source_file", "course"])
+            n = append_absent(events(), table, ["row_key"], ["source_file", "course"])
+        elif log_timezone:  # a time depends on its file's other rows
+            n = KeyedTable(table, ("row_key",), buckets).append_absent(events(), ["source_file", "course"], batch_name(spark, checkpoint, batch_id))
         else:
-            n = KeyedTable(table, ("row_key",), buckets).append_absent(events, ["source_file", "course"], batch_name(spark, checkpoint, batch_id))
+            rows, finish = keyed_rows(records(log_files(_named(batch)), ("name", "course"))), lambda new: as_events(new, F.current_timestamp()).drop("line_no")
+            n = KeyedTable(table, ("row_key",), buckets).append_absent(rows, ["source_file", "line_no", "course"], batch_name(spark, checkpoint, batch_id), finish)
         if after:
             after(n)
 

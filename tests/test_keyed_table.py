@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from lectern.operators import state
 from lectern.plans import pipeline
-from lectern.sources import keyed_table
+from lectern.sources import keyed_table, logs
 from lectern.sources.keyed_table import KeyedTable
 from lectern.streaming import ingest
 
@@ -98,6 +98,28 @@ def test_a_stream_that_fails_after_its_append(spark, tmp_path):
     assert read() == sorted(f"n{i}" for i in range(51)) and added[3:] == [1, 0]
 
 
+def test_a_stream_reads_files_once_and_finishes_only_new_rows(spark, tmp_path, monkeypatch):
+    """No join brings a file's name back to its records, times and the like are made of appended rows only, and these are as read without a stream."""
+    put(tmp_path, "logs_A_20260101-0000.csv", "\ufeffCzas;;Opis;Opis\n" + "".join(f" 2026-01-0{1 + i % 9} 1{i % 10}:00;k{i};old;course with id '{i}' \n" for i in range(50)))
+    root = put(tmp_path, "logs_B_20260102-0000.csv", "Opis,DATE\nx\n\"a\n,b\",01.02.2026,more,\nx\n")
+    found, finished, make = spark.read.format("binaryFile").load(f"{root}/*.csv").withColumn("name", F.element_at(F.split("path", "/"), -1)), [], ingest.as_events
+    assert "Join" not in logs.log_rows(found, F.lit("1970-01-01"))._jdf.queryExecution().optimizedPlan().toString()
+
+    def counted(rows, at):
+        finished.append(rows.count())
+        return make(rows, at)
+
+    monkeypatch.setattr(ingest, "as_events", counted)
+    for check in ("c", "c2"):  # the second stream takes all files once more
+        ingest.stream_logs(spark, root, f"file://{tmp_path}/t", f"file://{tmp_path}/{check}", buckets=8).awaitTermination()
+    assert finished == [52, 0]
+    read = lambda rows: sorted((r.row_key, r.course, r.time_text, r.time_ts, sorted(r.payload.items()), r.source_file, r.course_id) for r in rows.collect())
+    got, want = (read(x) for x in (KeyedTable(f"file://{tmp_path}/t", ("row_key",)).read(spark), logs.raw_events(spark, root)))
+    assert repr(got) == repr(want) and len(got) == 52
+    assert [("Czas", "2026-01-08 17:00"), ("Opis", "course with id '7'"), ("col_2", "k7")] in [r[4] for r in got]
+    assert sum(r[4] == [("DATE", "01.02.2026"), ("Opis", "a\n,b")] for r in got) == 1
+
+
 def test_merge_into_a_keyed_table(spark, tmp_path):
     put(tmp_path, "logs_A_20260101-0000.csv", "Czas;Opis\n2026-01-01;x\n2026-01-02;y\n")
     root = put(tmp_path, "logs_B_20260101-0000.csv", "Czas;Opis\n2026-01-02;y\n2026-01-03;z\n")
