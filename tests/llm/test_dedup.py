@@ -248,6 +248,98 @@ def test_chunks_stretched(spark, texts):
     assert all(plain[i] <= w[1] for i, w in want.items()) and sum(plain[i] < w[1] for i, w in want.items()) > 20
 
 
+def brute_mark_ends(data):
+    """Ends of the marks, by looking through each window."""
+    gear, keys = 0, []
+    for i, c in enumerate(data):
+        gear = (2 * gear + int(chunks._GEAR[c])) % 2**32
+        keys.append((gear, -i))
+    least = sorted({-min(keys[a : a + chunks.WINDOW])[1] for a in range(31, len(data) - chunks.WINDOW - (chunks.CONTEXT - 32) + 1)})
+    found = set(least)
+    for a, b in zip(least, least[1:]):
+        if b - a <= chunks.CONTEXT and keys[a][0] == keys[b][0]:
+            for at, step in ((a, a - b), (b, b - a)):
+                while 31 <= at + step < len(data) - (chunks.CONTEXT - 32) and keys[at + step][0] == keys[at][0] and at + step not in found:
+                    at += step
+                    found.add(at)
+    return [x + 1 for x in sorted(found)]
+
+
+def brute_marks(data):
+    """(context, start, end) of the marks, those of equal contexts that follow each other as one."""
+    out = []
+    for lo, hi in ((e - 32, e + chunks.CONTEXT - 32) for e in brute_mark_ends(data)):
+        if out and out[-1][0] == data[lo:hi] and lo + chunks.CONTEXT - out[-1][2] <= chunks.CONTEXT:
+            out[-1] = (out[-1][0], out[-1][1], hi)
+        else:
+            out.append((data[lo:hi], lo, hi))
+    return out
+
+
+def brute_passages(texts):
+    """Chunks and contexts of marks that an earlier document has, stretched around their first place, and chunks that their own text has before."""
+    first, want = {}, {}
+    for i, t in sorted(texts):
+        data = (t or "").encode()
+        gone, own = bytearray(len(data)), {}
+        cut = [(part, a, b) for a, b, part in brute_chunks(data)]
+        for k, (part, a, b) in enumerate(cut + brute_marks(data)):
+            if k < len(cut) and part in own:
+                gone[a:b] = b"\1" * (b - a)
+            own[part] = min(own.get(part, (data, a, b)), (data, a, b), key=lambda x: x[1:])
+            if part in first:
+                source, s_lo, s_hi = first[part]
+                lo, hi = a, b
+                while lo and s_lo and data[lo - 1] == source[s_lo - 1]:
+                    lo, s_lo = lo - 1, s_lo - 1
+                while hi < len(data) and s_hi < len(source) and data[hi] == source[s_hi]:
+                    hi, s_hi = hi + 1, s_hi + 1
+                while lo < hi and data[lo] & 0xC0 == 0x80:
+                    lo += 1
+                while lo < hi < len(data) and data[hi] & 0xC0 == 0x80:
+                    hi -= 1
+                gone[lo:hi] = b"\1" * (hi - lo)
+        for part, at in own.items():
+            first.setdefault(part, at)
+        want[i] = (len(data), sum(gone), len(re.findall(b"\1+", gone)), hashlib.sha256(bytes(c for c, g in zip(data, gone) if not g)).hexdigest())
+    return want
+
+
+def test_passages_without_a_whole_chunk(spark, texts, tmp_path):
+    """The query takes passages that no two cuts fall into, and runs of one word, which have no cuts at all."""
+    from lectern.llm import queries
+
+    rng, short = random.Random(31), []
+    for k in range(400):
+        text = " ".join(passage(random.Random(500 + k), 60))[: chunks.REACH - 12] + f" żółw{k} é"
+        if len(brute_chunks(text.encode())) <= 2 and len(text.encode()) >= chunks.REACH - 1:
+            short.append(text)
+    assert len(short) >= 8
+    runs = [f"{w} " * (1200 // len(w)) for w in ("Tionaux.", "Ener,", "treêaux", "a")]
+    planted = [(7000 + i, f"{' '.join(passage(rng, 20 + i % 7))} {(short[:8] + runs)[i % 12]} {' '.join(passage(rng, 20 + i % 5))}") for i in range(36)]
+    texts = texts + planted + [(5000 + i, t) for i, t in enumerate([" ".join(WORDS[:60]) * 3, "short", "short", "x" * 40_000 + "short"])]
+    want = brute_passages(texts)
+    frame(spark, texts + texts[:3] + [(None, "x" * 300)]).repartition(3).write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in queries.op4_chunk_dedup(spark, str(tmp_path)).collect() if r.doc_id is not None}
+    assert {i: w for i, w in got.items() if w != want[i]} == {} and len(got) == len(want)
+    for i, _ in planted[12:]:
+        assert got[i][1] >= len((short[:8] + runs)[(i - 7000) % 12].encode())
+    stretched = {r.doc_id: r.n_removed for r in chunks.dedup_chunks(frame(spark, texts), stretch=True).collect()}
+    assert all(stretched[i] <= w[1] for i, w in want.items()) and sum(stretched[i] == 0 for i, _ in planted[12:]) >= 8
+
+
+def test_marks_of_odd_rows():
+    """Marks depend on near bytes alone, whatever stands in the same block."""
+    rng = random.Random(8)
+    rows = [b"", b"a", b"x" * 255, b"x" * 254, b"", b"ab" * 400, *(bytes(rng.choices(b"abc ", k=n)) for n in (254, 255, 256, 1000, 5)), b""]
+    data, bounds = np.frombuffer(b"".join(rows), np.uint8), np.cumsum([0, *map(len, rows)])
+    found, ends = chunks.mark_points(chunks._gear_hashes(data, bounds), bounds)
+    for r, row in enumerate(rows):
+        want = brute_mark_ends(row)
+        assert want == list(ends[found == r] - bounds[r])
+        assert bool(want) == (len(row) >= chunks.REACH - 1)
+
+
 def test_chunks_resist_shifts():
     rng = np.random.default_rng(3)
     data = rng.integers(97, 123, 20_000).astype(np.uint8)
